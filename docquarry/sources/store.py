@@ -1,0 +1,142 @@
+"""A named collection kept as immutable Parquet snapshots in a shared folder.
+
+``<root>/<name>/base-<v>``   a complete state of the collection
+``<root>/<name>/delta-<v>``  documents added or replaced by one load
+``<root>/<name>/committed/<v>``  marker file: version ``v`` is visible
+
+Readers use the newest base and the deltas after it that carry a marker, so a
+write that fails half-way is never seen, and a page of results can be read from
+one version while later ones are written.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .documents import last_wins, with_ids
+
+VERSION = "_version"
+
+
+class DocumentStore:
+    def __init__(self, spark: SparkSession, root: str, name: str, id_col: str = "_id"):
+        self.spark = spark
+        self.path = f"{root.rstrip('/')}/{name}"
+        self.id_col = id_col
+
+    # -- file system ---------------------------------------------------------------
+    def _fs(self, path: str):
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def _names(self, folder: str) -> list[str]:
+        fs, target = self._fs(folder)
+        if not fs.exists(target):
+            return []
+        return [status.getPath().getName() for status in fs.listStatus(target)]
+
+    def _parts(self) -> list[tuple[int, str]]:
+        """Written parts with their version, oldest first."""
+        found = [re.fullmatch(r"(base|delta)-(\d+)", n) for n in self._names(self.path)]
+        return sorted((int(m.group(2)), m.group(0)) for m in found if m)
+
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        return sorted(int(n) for n in self._names(f"{self.path}/committed") if n.isdigit())
+
+    def next_version(self) -> int:
+        return max([v for v, _ in self._parts()] + self.versions() + [0]) + 1
+
+    # -- writing -----------------------------------------------------------------------
+    def index_documents(self, docs: DataFrame, seq_col: str | None = None, version: int | None = None) -> int:
+        """Write documents as a new, not yet visible version.
+
+        Within one load the last document of an id wins by ``seq_col``.
+        """
+        version = self.next_version() if version is None else version
+        docs = with_ids(docs, self.id_col)
+        if seq_col is not None:
+            docs = last_wins(docs, self.id_col, seq_col)
+        kind = "delta" if self._base(version - 1) is not None else "base"
+        docs.write.mode("overwrite").parquet(f"{self.path}/{kind}-{version:012d}")
+        return version
+
+    def commit(self, version: int) -> None:
+        """Make a version visible to readers."""
+        fs, target = self._fs(f"{self.path}/committed/{version:012d}")
+        if not fs.exists(target):
+            fs.create(target, False).close()
+
+    def version_of_batch(self, stream: str, batch_id: int) -> int:
+        """Version reserved for a streaming micro-batch; the same one when asked again."""
+        folder = f"{self.path}/batches/{stream}"
+        for name in self._names(folder):
+            batch, _, version = name.partition("-")
+            if int(batch) == batch_id:
+                return int(version)
+        version = self.next_version()
+        fs, target = self._fs(f"{folder}/{batch_id}-{version:012d}")
+        fs.create(target, False).close()
+        return version
+
+    def clear(self) -> DataFrame:
+        """Remove all documents; one row ``deleted`` says how many there were."""
+        before = self.versions()
+        if not before:
+            return self.spark.range(1).select(F.lit(0).cast("long").alias("deleted"))
+        current = self.read()
+        version = self.next_version()
+        empty = self.spark.createDataFrame([], current.schema)
+        empty.write.mode("overwrite").parquet(f"{self.path}/base-{version:012d}")
+        self.commit(version)
+        # The old files stay, so the count may run later.
+        return current.agg(F.count(F.lit(1)).alias("deleted"))
+
+    def compact(self) -> int:
+        """Fold the deltas into a new base; readers then need no merge."""
+        version = self.next_version()
+        self.read().write.mode("overwrite").parquet(f"{self.path}/base-{version:012d}")
+        self.commit(version)
+        return version
+
+    # -- reading -----------------------------------------------------------------------
+    def _base(self, up_to: int) -> tuple[int, str] | None:
+        visible = set(self.versions())
+        bases = [(v, n) for v, n in self._parts() if n.startswith("base") and v in visible and v <= up_to]
+        return bases[-1] if bases else None
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The collection as of a version (default: the newest committed one).
+
+        Base files are not shuffled for the merge unless the deltas are too big
+        to broadcast, which Spark decides from their size.
+        """
+        visible = [v for v in self.versions() if version is None or v <= version]
+        if not visible:
+            raise ValueError(f"collection at {self.path} has no committed version")
+        base_version, base_name = self._base(visible[-1])
+        base = self.spark.read.parquet(f"{self.path}/{base_name}")
+        deltas = [n for v, n in self._parts() if n.startswith("delta") and base_version < v and v in visible]
+        if not deltas:
+            return base
+        merged = None
+        for name in deltas:
+            number = int(name.split("-")[1])
+            part = self.spark.read.parquet(f"{self.path}/{name}").withColumn(VERSION, F.lit(number))
+            merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
+        if len(deltas) > 1:
+            merged = last_wins(merged, self.id_col, VERSION)
+        merged = merged.drop(VERSION)
+        kept = base.join(merged.select(self.id_col), self.id_col, "left_anti")
+        return kept.unionByName(merged, allowMissingColumns=True)
+
+    def publish(self, view: str, version: int | None = None) -> DataFrame:
+        """Register the collection under a name for ``spark.table`` and SQL."""
+        docs = self.read(version)
+        docs.createOrReplaceTempView(view)
+        return docs
+
