@@ -133,7 +133,7 @@ def match_fuzzy_transpose(spark, folder):
 
 def _phrase_sql(terms: list[str]) -> str:
     joins = "".join(
-        f" JOIN at a{j} ON a{j}.doc_id = a0.doc_id AND a{j}.w = '{t}' AND a{j}.pos = a0.pos + {j}"
+        f" JOIN found a{j} ON a{j}.doc_id = a0.doc_id AND a{j}.w = '{t}' AND a{j}.pos = a0.pos + {j}"
         for j, t in enumerate(terms) if j
     )
     listed = ", ".join(f"'{t}'" for t in dict.fromkeys(terms))
@@ -144,9 +144,9 @@ def _phrase_sql(terms: list[str]) -> str:
     WITH toks AS (SELECT doc_id, {tokens_sql('text')} AS t FROM documents),
     size AS (SELECT count(*) FILTER (len(t) > 0) AS n, avg(len(t)) FILTER (len(t) > 0) AS avgdl FROM toks),
     every AS (SELECT doc_id, len(t) AS dl, unnest(t) AS w, generate_subscripts(t, 1) AS pos FROM toks),
-    at AS (SELECT * FROM every WHERE w IN ({listed})),
-    df AS (SELECT w, count(DISTINCT doc_id) AS df FROM at GROUP BY w),
-    tf AS (SELECT a0.doc_id, max(a0.dl) AS dl, count(*) AS tf FROM at a0{joins} WHERE a0.w = '{terms[0]}'
+    found AS (SELECT * FROM every WHERE w IN ({listed})),
+    df AS (SELECT w, count(DISTINCT doc_id) AS df FROM found GROUP BY w),
+    tf AS (SELECT a0.doc_id, max(a0.dl) AS dl, count(*) AS tf FROM found a0{joins} WHERE a0.w = '{terms[0]}'
            GROUP BY a0.doc_id)
     SELECT doc_id, round(2.2 * ({weight}) * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) AS score FROM tf, size"""
 

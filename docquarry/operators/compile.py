@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions import analysis, scoring
 from . import queries as q
 from .phrases import phrase_frequency, phrase_matches
-from .scope import STATS, CorpusStatistics, Field, Scope
+from .scope import CorpusStatistics, Field, Scope, tokens_name
 
 OCCURS = ("must", "should", "must_not", "filter")
 NO_MATCH_SCORE = 0.0
@@ -31,28 +31,36 @@ class Compiled:
         return F.when(self.match, self.score).otherwise(F.lit(NO_MATCH_SCORE))
 
 
-def attach_matches(
+@dataclass
+class Prepared:
+    """Matching documents, ready to be scored."""
+
+    rows: DataFrame
+    compiled: Compiled
+
+
+def find(
     docs: DataFrame,
     query: q.Query,
     text_fields: dict[str, str] | None = None,
     index=None,
-) -> tuple[DataFrame, Compiled]:
-    """Documents with the statistics column the query needs, and its compiled form."""
-    scope = Scope(docs.schema, text_fields or {}, docs)
-    stats = CorpusStatistics(index)
-    compile_query(query, scope, stats)
-    prepared = stats.attach(docs)
-    return prepared, compile_query(query, scope, stats)
-
+) -> Prepared:
+    """Filter by the match condition, then refer the score to the documents left.
 
-def matching(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> DataFrame:
-    """Only filter; works on batch and streaming DataFrames alike."""
-    return docs.filter(match_column(docs, query, text_fields))
-
-
-def match_column(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> Column:
-    """The match condition alone, to use in any select or filter over ``docs``."""
-    return compile_query(query, Scope(docs.schema, text_fields or {}, docs), CorpusStatistics()).match
+    The condition is written over the stored fields only, so that it reaches the
+    scan.  Texts are split into a tokens column once per matching document;
+    columns the caller does not use are pruned by Spark.
+    """
+    text_fields = text_fields or {}
+    scope = Scope(docs.schema, text_fields, docs)
+    stats = CorpusStatistics(index)
+    match = compile_query(query, scope, stats).match
+    rows = stats.attach(docs).filter(match)
+    for name in text_fields:
+        f = scope.field(name)
+        if f is not None and "." not in name and f.stored_tokens is None:
+            rows = rows.withColumn(tokens_name(name), f.tokens)
+    return Prepared(rows, compile_query(query, Scope(rows.schema, text_fields, docs), stats))
 
 
 def scored(
@@ -62,12 +70,23 @@ def scored(
     index=None,
 ) -> DataFrame:
     """Matching documents with ``_score`` and, where asked for, ``inner_hits``."""
-    prepared, compiled = attach_matches(docs, query, text_fields, index)
-    result = prepared.filter(compiled.match).withColumn("_score", compiled.score.cast("double"))
-    if compiled.inner_hits:
-        hits = F.struct(*[c.alias(p) for p, c in compiled.inner_hits.items()])
+    found = find(docs, query, text_fields, index)
+    result = found.rows.withColumn("_score", found.compiled.score.cast("double"))
+    if found.compiled.inner_hits:
+        hits = F.struct(*[c.alias(p) for p, c in found.compiled.inner_hits.items()])
         result = result.withColumn("inner_hits", hits)
-    return result.drop(STATS)
+    extra = [c for c in result.columns if c not in docs.columns and c not in ("_score", "inner_hits")]
+    return result.drop(*extra)
+
+
+def matching(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> DataFrame:
+    """Only filter; works on batch and streaming DataFrames alike."""
+    return docs.filter(match_column(docs, query, text_fields))
+
+
+def match_column(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> Column:
+    """The match condition alone, to use in any select or filter over ``docs``."""
+    return compile_query(query, Scope(docs.schema, text_fields or {}, docs), CorpusStatistics()).match
 
 
 def compile_query(query: q.Query, scope: Scope, stats: CorpusStatistics) -> Compiled:

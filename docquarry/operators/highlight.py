@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import analysis
+from ..functions.binding import bound
 
 # Defaults of the highlighter.
 DEFAULT_FRAGMENTS = 5
@@ -221,7 +222,9 @@ def highlight_column(text: Column, terms: TermSet, hl: HighlightField) -> Column
         cut = F.regexp_extract_all(source, F.lit(_fragment_regex(hl, terms)), 0)
 
     def mark(fragment: Column) -> Column:
-        parts = analysis.pieces(fragment)
+        return bound(analysis.pieces(fragment), lambda parts: mark_parts(fragment, parts))
+
+    def mark_parts(fragment: Column, parts: Column) -> Column:
         marked = F.transform(
             parts,
             lambda x, i: F.when(terms.is_hit(parts, x, i), F.concat(F.lit(pre), x, F.lit(post))).otherwise(x),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.binding import bound
+
 
 def phrase_matches(tokens: Column, terms: list[str], slop: int, prefix: bool = False) -> Column:
     if slop == 0:
@@ -15,9 +17,12 @@ def phrase_matches(tokens: Column, terms: list[str], slop: int, prefix: bool = F
 
 def phrase_frequency(tokens: Column, terms: list[str], slop: int, prefix: bool = False) -> Column:
     """Number of occurrences; a sloppy one counts ``1 / (1 + distance)``."""
+    if len(terms) == 1:
+        return F.size(F.filter(tokens, lambda x: _is_term(x, terms, 0, prefix)))
     if slop == 0:
-        return _exact_frequency(tokens, terms, prefix)
-    return _sloppy_frequency(tokens, terms, slop, prefix)
+        return bound(tokens, lambda t: _exact_frequency(t, terms, prefix))
+    places = F.array(*[_offsets(tokens, terms, j, prefix) for j in range(len(terms))])
+    return bound(places, lambda p: _sloppy_frequency([F.get(p, F.lit(j)) for j in range(len(terms))], terms, slop))
 
 
 def _is_term(token: Column, terms: list[str], j: int, prefix: bool) -> Column:
@@ -39,56 +44,60 @@ def _exact_frequency(tokens: Column, terms: list[str], prefix: bool) -> Column:
     return F.when(last_start >= 0, F.size(starts)).otherwise(F.lit(0))
 
 
-def _sloppy_frequency(tokens: Column, terms: list[str], slop: int, prefix: bool) -> Column:
-    """Each term ``j`` at position ``p`` has offset ``p - j``; an occurrence is a set
-    of offsets, one per term, spanning at most ``slop``.
+def _offsets(tokens: Column, terms: list[str], j: int, prefix: bool) -> Column:
+    """Offsets ``p - j`` of the term ``j`` at positions ``p``; ``array<int>``."""
+    at = F.transform(tokens, lambda x, i: F.when(_is_term(x, terms, j, prefix), i - F.lit(j)))
+    return F.array_compact(at)
+
 
-    Windows are taken from their smallest offset.  A window is skipped if the
-    same term occurs again before any other term of the window starts, as the
-    later occurrence gives the tighter window.
+def _sloppy_frequency(offsets: list[Column], terms: list[str], slop: int) -> Column:
+    """An occurrence is a set of offsets, one per term, spanning at most ``slop``.
+
+    Windows are taken from their smallest offset; on a tie the earlier term of
+    the phrase comes first.  A window is skipped if the same term occurs again
+    before any other term of the window starts, as the later occurrence gives
+    the tighter window.
     """
-    m = len(terms)
-
-    def offsets_of(j: int) -> Column:
-        return F.array_compact(
-            F.transform(tokens, lambda x, i: F.when(_is_term(x, terms, j, prefix), i - F.lit(j)))
-        )
-
-    occurrences = [offsets_of(j) for j in range(m)]
-    parts = []
-    for j in range(m):
-        others = [i for i in range(m) if i != j]
-
-        def window(v: Column, j: int = j, others: list[int] = others) -> Column:
-            columns = [v.alias("start")]
-            for i in others:
-                same = terms[i] == terms[j]
-
-                def usable(o: Column, i: int = i, same: bool = same) -> Column:
-                    after = o > v if i < j else o >= v
-                    # One position cannot serve two places of a repeated term.
-                    return after & (o + F.lit(i) != v + F.lit(j)) if same else after
-
-                columns.append(F.array_min(F.filter(occurrences[i], usable)).alias(f"o{i}"))
-            columns.append(F.array_min(F.filter(occurrences[j], lambda o: o > v)).alias("again"))
-            return F.struct(*columns)
-
-        def weight(w: Column, others: list[int] = others) -> Column:
-            found = [w[f"o{i}"] for i in others]
-            complete = found[0].isNotNull()
-            for c in found[1:]:
-                complete = complete & c.isNotNull()
-            end = F.greatest(*found) if len(found) > 1 else found[0]
-            following = F.least(*found) if len(found) > 1 else found[0]
-            span = end - w["start"]
-            tight = w["again"].isNull() | (w["again"] > following)
-            return F.when(complete & (span <= slop) & tight, F.lit(1.0) / (F.lit(1.0) + span)).otherwise(F.lit(0.0))
-
-        if not others:
-            return F.size(occurrences[0]).cast("double")
-        weights = F.transform(F.transform(occurrences[j], window), weight)
-        parts.append(F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x))
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
+    total = None
+    for j in range(len(terms)):
+        windows = F.transform(offsets[j], _window_from(offsets, terms, j))
+        weights = F.transform(windows, _window_weight(j, len(terms), slop))
+        part = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x)
+        total = part if total is None else total + part
     return total
+
+
+def _window_from(offsets: list[Column], terms: list[str], j: int):
+    def usable(start: Column, i: int):
+        def test(o: Column) -> Column:
+            after = o > start if i < j else o >= start
+            if terms[i] != terms[j]:
+                return after
+            # One position cannot serve two places of a repeated term.
+            return after & (o + F.lit(i) != start + F.lit(j))
+
+        return test
+
+    def window(start: Column) -> Column:
+        following = [
+            F.array_min(F.filter(offsets[i], usable(start, i))).alias(f"o{i}") for i in range(len(terms)) if i != j
+        ]
+        again = F.array_min(F.filter(offsets[j], lambda o: o > start)).alias("again")
+        return F.struct(start.alias("start"), *following, again)
+
+    return window
+
+
+def _window_weight(j: int, m: int, slop: int):
+    def weight(w: Column) -> Column:
+        found = [w[f"o{i}"] for i in range(m) if i != j]
+        complete = found[0].isNotNull()
+        for c in found[1:]:
+            complete = complete & c.isNotNull()
+        end = F.greatest(*found) if len(found) > 1 else found[0]
+        nearest = F.least(*found) if len(found) > 1 else found[0]
+        span = end - w["start"]
+        tight = w["again"].isNull() | (w["again"] > nearest)
+        return F.when(complete & (span <= slop) & tight, F.lit(1.0) / (F.lit(1.0) + span)).otherwise(F.lit(0.0))
+
+    return weight

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.fields import project_fields
 from ..operators import queries as q
 from ..operators.aggregations import Aggregation, aggregate
-from ..operators.compile import attach_matches, compile_query
+from ..operators.compile import matching, scored
 from ..operators.highlight import Highlight, highlights
 from ..operators.paging import Sort, after, count_hits, page, resolve_sort, total_hits
-from ..operators.scope import STATS, CorpusStatistics, Scope
+from ..operators.scope import Scope
 
 
 @dataclass
@@ -70,18 +70,13 @@ def search(collection: Collection, request: SearchRequest, persist: bool = False
     keeps the matching documents in memory or on disk if several results of the
     request will be read; the caller unpersists ``result.matched``.
     """
-    prepared, compiled = attach_matches(collection.docs, request.query, collection.text_fields, collection.index)
-    matched = prepared.filter(compiled.match).withColumn("_score", compiled.score.cast("double"))
-    if compiled.inner_hits:
-        matched = matched.withColumn("inner_hits", F.struct(*[c.alias(p) for p, c in compiled.inner_hits.items()]))
-    matched = matched.drop(STATS)
+    matched = scored(collection.docs, request.query, collection.text_fields, collection.index)
     if persist:
         matched = matched.persist()
 
     narrowed = matched
     if request.post_filter is not None:
-        scope = Scope(matched.schema, collection.text_fields, matched)
-        narrowed = matched.filter(compile_query(request.post_filter, scope, CorpusStatistics()).match)
+        narrowed = matching(matched, request.post_filter, collection.text_fields)
 
     hits = _present(_choose(narrowed, collection, request), collection, request)
     facets = aggregate(
@@ -92,8 +87,7 @@ def search(collection: Collection, request: SearchRequest, persist: bool = False
 
 def count(collection: Collection, query: q.Query) -> DataFrame:
     """Count-only request: one row ``count``; paging and facets play no part."""
-    prepared, compiled = attach_matches(collection.docs, query, collection.text_fields, collection.index)
-    return count_hits(prepared.filter(compiled.match))
+    return count_hits(matching(collection.docs, query, collection.text_fields))
 
 
 def _choose(narrowed: DataFrame, collection: Collection, request: SearchRequest) -> DataFrame:
