@@ -60,7 +60,8 @@ def document_index(spark: SparkSession, folder: str) -> TextIndex:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _INDEXES:
         collection = documents(spark, folder)
-        built = build_index(collection.docs, collection.id_col, collection.text_fields)
+        few_files = len(collection.docs.inputFiles()) < spark.sparkContext.defaultParallelism
+        built = build_index(collection.docs, collection.id_col, collection.text_fields, spread=few_files)
         label = folder.strip("/").replace("/", "_")
         _INDEXES[key] = built.save(f"{shared_folder(spark)}/index-{key[0]}-{label}")
     return _INDEXES[key]

@@ -634,7 +634,7 @@ def _inner_hits(query: q.Nested, f: Field, child, scope: Scope) -> Column:
         return F.struct(*columns)
 
     described = F.filter(F.transform(f.column, describe), lambda s: s["_match"])
-    ranked = F.slice(F.array_sort(described), 1, size) if size > 0 else F.slice(described, 1, 0)
+    ranked = F.slice(F.sort_array(described), 1, size) if size > 0 else F.slice(described, 1, 0)
     return F.transform(ranked, lambda s: s.dropFields("_rank", "_match"))
 
 

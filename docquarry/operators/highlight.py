@@ -239,7 +239,7 @@ def highlight_column(text: Column, terms: TermSet, hl: HighlightField) -> Column
 
     marked = F.filter(F.transform(cut, mark), lambda m: m["hits"] > 0)
     if hl.order == "score":
-        marked = F.array_sort(
+        marked = F.sort_array(
             F.transform(
                 marked, lambda m, i: F.struct((-m["hits"]).alias("rank"), i.alias("place"), m["text"].alias("text"))
             )

@@ -27,7 +27,9 @@ def prefix_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str]) ->
     """
     wanted = wanted.withColumn("_len", F.length("prefix"))
     lengths = wanted.select("_len").distinct()
-    cut = vocabulary.withColumn("_len", F.explode(F.sequence(F.lit(0), F.length("term"))))
+    # Without any prefix the shortest one is NULL, and no term is cut at all.
+    shortest = wanted.agg(F.min("_len").alias("n")).scalar()
+    cut = vocabulary.filter(F.length("term") >= shortest).withColumn("_len", F.explode(F.sequence(F.lit(0), F.length("term"))))
     cut = cut.join(lengths, "_len", "left_semi")
     cut = cut.withColumn("prefix", F.substring(F.col("term"), F.lit(1), F.col("_len")))
     return wanted.join(cut, [*keys, "_len", "prefix"]).drop("_len")
@@ -58,6 +60,13 @@ def fuzzy_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], max
     out of each, so joining on those forms finds every pair; the distance is
     then checked.
     """
+    reach = wanted.agg(
+        F.struct(
+            F.min(F.length("word") - F.col("k")).alias("low"), F.max(F.length("word") + F.col("k")).alias("high")
+        ).alias("reach")
+    ).scalar()
+    # Terms too short or too long for every word are left out; all, if there is no word.
+    vocabulary = vocabulary.filter(F.length("term").between(reach["low"], reach["high"]))
     left = wanted.withColumn("_form", F.explode(_deletions(F.col("word"), max_k)))
     right = vocabulary.withColumn("_form", F.explode(_deletions(F.col("term"), max_k)))
     pairs = left.join(right, [*keys, "_form"]).drop("_form")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import analysis, scoring
+from ..functions.binding import bound
 from ..operators.joins import fuzzy_matches, prefix_matches, salted_join
 from ..operators.topn import top_n_per_group
 from .index import TextIndex
@@ -63,6 +65,8 @@ def batch_match(
 
 # -- flat query strings ------------------------------------------------------------
 
+# The switches of the simple syntax, and the most edits a near word may have.
+MAX_EDITS = 2
 FLAGS = ("and", "or", "not", "prefix", "phrase", "escape", "whitespace", "fuzzy", "near", "slop")
 
 
@@ -105,122 +109,145 @@ class QueryStrings:
 
 
 def clause_rows(strings: DataFrame, spec: QueryStrings) -> DataFrame:
-    """One row per clause of each ``(query_id, query)``.
+    """One row per clause and field of each ``(query_id, query)``.
 
     ``query_id, clause_id, occur, kind, field, terms, k, boost`` where ``kind`` is
     ``term``, ``phrase``, ``prefix``, ``fuzzy`` or ``all`` and ``k`` is the slop or
     the edit distance.
+
+    The parts of a string are an array, refined by one ``transform`` per step;
+    each step refers only to the one before.
     """
-    simple = spec.syntax == "simple"
-    phrase = r'"[^"]*"(?:~\d+)?(?:\^[\d.]+)?'
-    named = "" if simple else r"(?:[\w.]+:)?"
-    parts_regex = rf"[+\-|]?{named}{phrase}|\S+" if spec.on("phrase") else r"\S+"
-    if not spec.on("whitespace"):
-        parts_regex = r"[\s\S]+"
-    parts = F.regexp_extract_all(F.col("query"), F.lit(parts_regex), 0)
-    words_and = ["+"] if simple else ["AND", "&&"]
-    words_or = ["|"] if simple else ["OR", "||"]
-    words_not = ["-"] if simple else ["NOT", "!"]
-    operators = (
-        (words_and if spec.on("and") else []) + (words_or if spec.on("or") else []) + (words_not if spec.on("not") else [])
+    parts = F.regexp_extract_all(F.col("query"), F.lit(_parts_regex(spec)), 0)
+    shaped = bound(parts, lambda p: F.transform(p, lambda part, i: _with_occur(spec, p, part, i)))
+    shaped = F.filter(shaped, lambda c: ~_is_one_of(c["part"], _operators(spec)))
+    for step in (_without_sign, _without_boost, _without_field, _with_kind, _with_terms, _with_final_kind):
+        shaped = F.transform(shaped, partial(step, spec))
+    rows = strings.select("query_id", F.posexplode(shaped).alias("clause_id", "c"))
+    rows = rows.filter((F.size("c.terms") > 0) | (F.col("c.kind") == "all"))
+    boosts = spec.boosts or [1.0] * len(spec.fields)
+    defaults = F.array(
+        *[F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost")) for f, b in zip(spec.fields, boosts)]
+    )
+    own = F.array(F.struct(F.col("c.field").alias("field"), F.lit(1.0).alias("boost")))
+    targets = F.when(F.col("c.field") != "", own).otherwise(defaults)
+    return rows.withColumn("target", F.explode(targets)).select(
+        "query_id", "clause_id", "c.occur", "c.kind", F.col("target.field").alias("field"), "c.terms", "c.k",
+        (F.col("c.boost") * F.col("target.boost")).alias("boost"),
     )
 
-    def is_one_of(col: Column, words: list[str]) -> Column:
-        return F.coalesce(col.isin(*words), F.lit(False)) if words else F.lit(False)
 
-    default = "must" if spec.default_operator.lower() == "and" else "should"
+# The operators of the two syntaxes, and the parts of a string.
+_WORDS = {
+    "lucene": {"and": ["AND", "&&"], "or": ["OR", "||"], "not": ["NOT", "!"]},
+    "simple": {"and": ["+"], "or": ["|"], "not": ["-"]},
+}
+_SIGNS = {"lucene": {"and": "+", "or": "", "not": "-"}, "simple": {"and": "+", "or": "|", "not": "-"}}
+_PHRASE = r'"[^"]*"(?:~\d+)?(?:\^[\d.]+)?'
 
-    def describe(part: Column, i: Column) -> Column:
-        before, behind = F.get(F.col("_parts"), i - F.lit(1)), F.get(F.col("_parts"), i + F.lit(1))
-        before2 = F.get(F.col("_parts"), i - F.lit(2))
-        negated = is_one_of(before, words_not) | (F.startswith(part, F.lit("-")) & (F.length(part) > 1))
-        joined = (
-            is_one_of(before, words_and)
-            | is_one_of(behind, words_and)
-            | (is_one_of(before, words_not) & is_one_of(before2, words_and))
-            | (F.startswith(part, F.lit("+")) & (F.length(part) > 1))
-        )
-        either = is_one_of(before, words_or) | is_one_of(behind, words_or)
-        if simple:
-            joined = joined | F.coalesce(F.startswith(behind, F.lit("+")), F.lit(False))
-            either = either | F.startswith(part, F.lit("|")) | F.coalesce(F.startswith(behind, F.lit("|")), F.lit(False))
-        occur = F.lit(default)
-        if spec.on("or"):
-            occur = F.when(either, F.lit("should")).otherwise(occur)
-        if spec.on("and"):
-            occur = F.when(joined, F.lit("must")).otherwise(occur)
-        if spec.on("not"):
-            occur = F.when(negated, F.lit("must_not")).otherwise(occur)
-        return F.struct(part.alias("part"), occur.alias("occur"))
-
-    rows = (
-        strings.select("query_id", parts.alias("_parts"))
-        .select("query_id", F.posexplode(F.transform(F.col("_parts"), describe)).alias("clause_id", "_c"))
-        .select("query_id", "clause_id", "_c.part", "_c.occur")
-    )
-    if operators:
-        rows = rows.filter(~F.col("part").isin(*operators))
 
-    signs = "".join(
-        s for s, flag in (("+", "and"), ("|", "or"), ("-", "not")) if spec.on(flag) and (simple or s != "|")
+def _parts_regex(spec: QueryStrings) -> str:
+    if not spec.on("whitespace"):
+        return r"[\s\S]+"
+    if not spec.on("phrase"):
+        return r"\S+"
+    named = "" if spec.syntax == "simple" else r"(?:[\w.]+:)?"
+    return rf"[+\-|]?{named}{_PHRASE}|\S+"
+
+
+def _operators(spec: QueryStrings) -> list[str]:
+    return [w for name, words in _WORDS[spec.syntax].items() if spec.on(name) for w in words]
+
+
+def _is_one_of(col: Column, words: list[str]) -> Column:
+    return F.coalesce(col.isin(*words), F.lit(False)) if words else F.lit(False)
+
+
+def _with_occur(spec: QueryStrings, parts: Column, part: Column, i: Column) -> Column:
+    """The role of a part, from its sign and the operators around it."""
+    words, signs = _WORDS[spec.syntax], _SIGNS[spec.syntax]
+
+    def neighbour(step: int) -> Column:
+        return F.get(parts, i + F.lit(step))
+
+    def signed(col: Column, name: str) -> Column:
+        sign = signs[name]
+        return F.coalesce(F.startswith(col, F.lit(sign)) & (F.length(col) > 1), F.lit(False)) if sign else F.lit(False)
+
+    def linked(name: str) -> Column:
+        link = _is_one_of(neighbour(-1), words[name]) | _is_one_of(neighbour(1), words[name]) | signed(part, name)
+        # In the simple syntax a sign ties its part to the one before.
+        return link | signed(neighbour(1), name) if spec.syntax == "simple" else link
+
+    required = linked("and") | (
+        _is_one_of(neighbour(-1), words["not"]) & _is_one_of(neighbour(-2), words["and"])
     )
-    body = F.regexp_replace("part", rf"^[{signs}]", "") if signs else F.col("part")
-    rows = rows.withColumn("_body", body)
-    if simple:
-        boost = F.lit(1.0)
-        rows = rows.withColumn("_field", F.lit(""))
-    else:
-        boost = F.coalesce(F.regexp_extract("_body", r"\^([\d.]+)$", 1).try_cast("double"), F.lit(1.0))
-        rows = rows.withColumn("_boost", boost).withColumn("_body", F.regexp_replace("_body", r"\^[\d.]+$", ""))
-        boost = F.col("_boost")
-        # ``*:*`` is no field.
-        rows = rows.withColumn("_field", F.regexp_extract("_body", r"^([\w.]+):(?=.)", 1))
-        rows = rows.withColumn(
-            "_body", F.when(F.col("_field") != "", F.regexp_replace("_body", r"^[\w.]+:", "")).otherwise(F.col("_body"))
-        )
+    negated = _is_one_of(neighbour(-1), words["not"]) | signed(part, "not")
+    occur = F.lit("must" if spec.default_operator.lower() == "and" else "should")
+    for name, test, role in (("or", linked("or"), "should"), ("and", required, "must"), ("not", negated, "must_not")):
+        if spec.on(name):
+            occur = F.when(test, F.lit(role)).otherwise(occur)
+    return F.struct(part.alias("part"), occur.alias("occur"))
 
-    text = F.col("_body")
-    kind = F.lit("term")
+
+def _without_sign(spec: QueryStrings, c: Column) -> Column:
+    signs = "".join(sign for name, sign in _SIGNS[spec.syntax].items() if spec.on(name))
+    body = F.regexp_replace(c["part"], rf"^[{signs}]", "") if signs else c["part"]
+    return F.struct(body.alias("body"), c["occur"].alias("occur"))
+
+
+def _without_boost(spec: QueryStrings, c: Column) -> Column:
+    body, boost = c["body"], F.lit(1.0)
+    if spec.syntax == "lucene":
+        boost = F.coalesce(F.regexp_extract(body, r"\^([\d.]+)$", 1).try_cast("double"), boost)
+        body = F.regexp_replace(body, r"\^[\d.]+$", "")
+    return F.struct(body.alias("body"), c["occur"].alias("occur"), boost.alias("boost"))
+
+
+def _without_field(spec: QueryStrings, c: Column) -> Column:
+    body, field = c["body"], F.lit("")
+    if spec.syntax == "lucene":
+        # ``*:*`` names no field, as its star is no word character.
+        field = F.regexp_extract(body, r"^([\w.]+):(?=.)", 1)
+        body = F.regexp_replace(body, r"^[\w.]+:(?=.)", "")
+    return F.struct(body.alias("body"), c["occur"].alias("occur"), c["boost"].alias("boost"), field.alias("field"))
+
+
+def _with_kind(spec: QueryStrings, c: Column) -> Column:
+    body = c["body"]
     # Behind a backslash (where escapes are on) an operator is plain text.
     plain = r'[^"\\]' if spec.on("escape") else r'[^"]'
+    kind = F.lit("term")
     if spec.on("fuzzy"):
-        kind = F.when(text.rlike(rf'^[^"]*{plain}~\d*$'), F.lit("fuzzy")).otherwise(kind)
+        kind = F.when(body.rlike(rf'^[^"]*{plain}~\d*$'), F.lit("fuzzy")).otherwise(kind)
     if spec.on("prefix"):
-        kind = F.when(text.rlike(rf'^[^"]*{plain}\*$'), F.lit("prefix")).otherwise(kind)
+        kind = F.when(body.rlike(rf'^[^"]*{plain}\*$'), F.lit("prefix")).otherwise(kind)
     if spec.on("phrase"):
-        kind = F.when(text.rlike(r'^".*"(~\d+)?$'), F.lit("phrase")).otherwise(kind)
-    kind = F.when(text.isin("*", "*:*"), F.lit("all")).otherwise(kind)
-    number = F.regexp_extract("_body", r"~(\d+)$", 1).try_cast("int")
+        kind = F.when(body.rlike(r'^".*"(~\d+)?$'), F.lit("phrase")).otherwise(kind)
+    kind = F.when(body.isin("*", "*:*"), F.lit("all")).otherwise(kind)
+    return F.struct(c.alias("c"), kind.alias("kind"))
+
+
+def _with_terms(spec: QueryStrings, x: Column) -> Column:
+    """Analysed words, and the number behind the tilde."""
+    c, kind = x["c"], x["kind"]
+    number = F.regexp_extract(c["body"], r"~(\d+)$", 1).try_cast("int")
     slop = F.coalesce(number, F.lit(0)) if spec.on("near", "slop") else F.lit(0)
-    rows = rows.withColumn("kind", kind).withColumn(
-        "k",
-        F.when(F.col("kind") == "phrase", slop)
-        .when(F.col("kind") == "fuzzy", F.least(F.coalesce(number, F.lit(2)), F.lit(2)))
-        .otherwise(F.lit(0)),
+    edits = F.least(F.coalesce(number, F.lit(MAX_EDITS)), F.lit(MAX_EDITS))
+    k = F.when(kind == "phrase", slop).when(kind == "fuzzy", edits).otherwise(F.lit(0))
+    tilde = kind.isin("phrase", "fuzzy")
+    text = F.when(tilde, F.regexp_replace(c["body"], r"~\d*$", "")).otherwise(c["body"])
+    return F.struct(
+        c["occur"].alias("occur"), c["boost"].alias("boost"), c["field"].alias("field"), kind.alias("kind"),
+        k.alias("k"), analysis.tokens(text, spec.analyzer).alias("terms"),
     )
-    stripped = F.when(
-        F.col("kind").isin("phrase", "fuzzy"), F.regexp_replace("_body", r"~\d*$", "")
-    ).otherwise(F.col("_body"))
-    rows = rows.withColumn("terms", analysis.tokens(stripped, spec.analyzer))
-    # A prefix, near word or phrase needs its shape; anything else is plain text.
-    one_word = F.size("terms") == 1
-    rows = rows.withColumn(
-        "kind",
-        F.when(F.col("kind").isin("prefix", "fuzzy") & ~one_word, F.lit("term"))
-        .when((F.col("kind") == "phrase") & one_word, F.lit("term"))
-        .otherwise(F.col("kind")),
-    ).filter((F.size("terms") > 0) | (F.col("kind") == "all"))
 
-    boosts = spec.boosts or [1.0] * len(spec.fields)
-    defaults = F.array(
-        *[F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost")) for f, b in zip(spec.fields, boosts)]
-    )
-    own = F.array(F.struct(F.col("_field").alias("field"), F.lit(1.0).alias("boost")))
-    targets = F.when(F.col("_field") != "", own).otherwise(defaults)
-    return rows.withColumn("_target", F.explode(targets)).select(
-        "query_id", "clause_id", "occur", "kind", F.col("_target.field").alias("field"), "terms", "k",
-        (boost * F.col("_target.boost")).alias("boost"),
-    )
+
+def _with_final_kind(spec: QueryStrings, c: Column) -> Column:
+    """A prefix, near word or phrase needs its shape; anything else is plain text."""
+    one = F.size(c["terms"]) == 1
+    shapeless = (c["kind"].isin("prefix", "fuzzy") & ~one) | ((c["kind"] == "phrase") & one)
+    return c.withField("kind", F.when(shapeless, F.lit("term")).otherwise(c["kind"]))
 
 
 _CLAUSE = ["query_id", "clause_id", "field"]
@@ -394,7 +421,7 @@ def _sloppy_places(places: DataFrame, keys: list[str]) -> DataFrame:
         clash = (x["term"] == F.col("term")) & (x["j"] != F.col("j")) & (x["o"] + x["j"] == F.col("o") + F.col("j"))
         return later & (x["o"] <= F.col("o") + F.col("k")) & ~clash
 
-    ordered = F.array_sort(F.filter("ahead", follows))
+    ordered = F.sort_array(F.filter("ahead", follows))
     first = F.aggregate(
         ordered,
         F.expr("map()").cast("map<int,int>"),
@@ -427,7 +454,9 @@ def _all_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
         )
     )
     wanted = wildcard.unionByName(only_not).withColumn("_one", F.lit(1))
-    ids = index.postings.select("_id").distinct().withColumn("_one", F.lit(1))
+    # The ids are gathered only if some query needs them.
+    asked = wanted.agg(F.count(F.lit(1)).alias("n")).scalar()
+    ids = index.postings.filter(asked > 0).select("_id").distinct().withColumn("_one", F.lit(1))
     return salted_join(wanted, ids, ["_one"], "_id").select(
         "query_id", "clause_id", F.lit("*").alias("field"), "occur", "_id",
         F.col("boost").alias("score"), F.lit(1).alias("n_units"),

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import bound
+from ..operators.joins import SALTS
 from ..operators.scope import Scope, tokens_name
 
 
@@ -58,16 +60,17 @@ class TextIndex:
     def save(self, path: str, files: int | None = None) -> "TextIndex":
         """Write the tables and read them back.
 
-        Postings are clustered by (field, term, _id), so a scan for a few terms
-        skips row groups by their min/max.  The range includes ``_id``: a term
-        found in most documents spreads over several files.
+        Postings are spread by term and sorted by (field, term, _id) within each
+        file, so a scan for a few terms skips row groups by their min/max.  A
+        salt from the document id divides the rows of a term found in most
+        documents among ``SALTS`` tasks.  Hashing needs no sampling pass, which
+        would analyse every text twice.
         """
         spark = self.postings.sparkSession
         n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        order = ["field", "term", "_id"]
-        self.postings.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
-            f"{path}/postings"
-        )
+        salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS))
+        clustered = self.postings.repartition(n, "field", "term", salt).sortWithinPartitions("field", "term", "_id")
+        clustered.write.mode("overwrite").parquet(f"{path}/postings")
         postings = spark.read.parquet(f"{path}/postings")
         # From the written postings, so the texts are not analysed again.
         term_stats(postings).sortWithinPartitions("field", "term").write.mode("overwrite").parquet(
@@ -86,8 +89,17 @@ def load_index(spark: SparkSession, path: str, fields: list[str]) -> TextIndex:
     )
 
 
-def build_index(docs: DataFrame, id_col: str, text_fields: dict[str, str], positions: bool = True) -> TextIndex:
-    """Postings and statistics of the text fields, lazily."""
+def build_index(
+    docs: DataFrame, id_col: str, text_fields: dict[str, str], positions: bool = True, spread: bool = False
+) -> TextIndex:
+    """Postings and statistics of the text fields, lazily.
+
+    ``spread`` first deals the documents out by id.  It pays only where they sit
+    in fewer splits than there are cores; otherwise leave the scan's partitions.
+    """
+    docs = docs.select(id_col, *text_fields)
+    if spread:
+        docs = docs.repartition(id_col)
     scope = Scope(docs.schema, text_fields, docs)
     parts, sizes = [], []
     for name in text_fields:
@@ -110,21 +122,38 @@ def build_index(docs: DataFrame, id_col: str, text_fields: dict[str, str], posit
 def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
     """One row per document and distinct term.
 
-    Everything about a document comes from its own row.  Documents, not their
-    words, are spread by id once; the grouping by (id, term) then finds its rows
-    in place and adds no shuffle of the many exploded words.
+    Everything about a document comes from its own row, so this is a narrow
+    step: no shuffle, and no row per word.
     """
     tokens = F.col(tokens_name("text"))
-    words = (
-        analysed.filter(F.size(tokens) > 0)
-        .repartition("_id")
-        .select("_id", F.size(tokens).alias("dl"), F.posexplode(tokens).alias("pos", "term"))
-    )
-    measures = [F.count(F.lit(1)).cast("int").alias("tf"), F.max("dl").alias("dl")]
-    if positions:
-        # A document's positions of one term are bounded by its length.
-        measures.append(F.array_sort(F.collect_list("pos")).alias("positions"))
-    return words.groupBy("_id", "term").agg(*measures).withColumn("field", F.lit(field))
+    entries = analysed.select("_id", F.size(tokens).alias("dl"), F.explode(term_entries(tokens)).alias("e"))
+    columns = ["_id", "dl", "e.term", "e.tf"] + (["e.positions"] if positions else [])
+    return entries.select(F.lit(field).alias("field"), *columns)
+
+
+def term_entries(tokens: Column) -> Column:
+    """``array<struct<term, tf, positions>>`` of one document.
+
+    (term, position) pairs are sorted; each run of equal terms is one entry.
+    """
+    pairs = F.sort_array(F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
+
+    def runs(s: Column) -> Column:
+        first = F.filter(
+            F.sequence(F.lit(0), F.size(s) - F.lit(1)),
+            lambda k: (k == 0) | (F.get(s, k)["term"] != F.get(s, k - F.lit(1))["term"]),
+        )
+        return bound(first, lambda starts: F.transform(starts, lambda at, j: entry(s, starts, at, j)))
+
+    def entry(s: Column, starts: Column, at: Column, j: Column) -> Column:
+        tf = F.coalesce(F.get(starts, j + F.lit(1)), F.size(s)) - at
+        return F.struct(
+            F.get(s, at)["term"].alias("term"),
+            tf.alias("tf"),
+            F.transform(F.slice(s, at + F.lit(1), tf), lambda x: x["pos"]).alias("positions"),
+        )
+
+    return F.when(F.size(tokens) > 0, bound(pairs, runs))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:

@@ -19,10 +19,15 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | N
 
 
 def with_ids(docs: DataFrame, id_col: str = "_id") -> DataFrame:
-    """Documents whose id is missing get a generated one."""
+    """Documents whose id is missing get a generated one.
+
+    Ids of another type than string are kept as they are and have to be complete.
+    """
     if id_col not in docs.columns:
         return docs.select(F.expr("uuid()").alias(id_col), "*")
-    return docs.withColumn(id_col, F.coalesce(F.col(id_col).cast("string"), F.expr("uuid()")))
+    if not isinstance(docs.schema[id_col].dataType, T.StringType):
+        return docs
+    return docs.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()")))
 
 
 def last_wins(changes: DataFrame, id_col: str, seq_col: str) -> DataFrame:
