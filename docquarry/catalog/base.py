@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.index import TextIndex, build_index
+from ..plans.index import TextIndex, prepare
 from ..plans.search import Collection
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
@@ -52,19 +52,27 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-_INDEXES: dict[tuple[str, str], TextIndex] = {}
+_PREPARED: dict[tuple[str, str, str], Collection] = {}
 
 
-def document_index(spark: SparkSession, folder: str) -> TextIndex:
-    """Postings of ``documents``, written once per application and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _INDEXES:
-        collection = documents(spark, folder)
+def prepared(spark: SparkSession, folder: str, collection: Collection, label: str) -> Collection:
+    """The analysed and indexed form of a table, written once per application and folder."""
+    application = spark.sparkContext.applicationId
+    key = (application, folder, label)
+    if key not in _PREPARED:
         few_files = len(collection.docs.inputFiles()) < spark.sparkContext.defaultParallelism
-        built = build_index(collection.docs, collection.id_col, collection.text_fields, spread=few_files)
-        label = folder.strip("/").replace("/", "_")
-        _INDEXES[key] = built.save(f"{shared_folder(spark)}/index-{key[0]}-{label}")
-    return _INDEXES[key]
+        place = folder.strip("/").replace("/", "_")
+        path = f"{shared_folder(spark)}/prepared-{application}-{place}-{label}"
+        _PREPARED[key] = prepare(collection, path, spread=few_files)
+    return _PREPARED[key]
+
+
+def indexed_documents(spark: SparkSession, folder: str) -> Collection:
+    return prepared(spark, folder, documents(spark, folder), "documents")
+
+
+def document_index(spark: SparkSession, folder: str) -> TextIndex:
+    return indexed_documents(spark, folder).index
 
 
 # -- pieces of SQL ---------------------------------------------------------------------

@@ -3,10 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions import analysis
-from ..operators import queries as q
-from ..operators.compile import scored
 from ..plans.batch import QueryStrings, batch_match, search_strings
-from .base import bm25_sql, document_index, query, table, term_scores_sql, tokens_sql
+from .base import bm25_sql, document_index, query, table, tokens_sql
 
 _POSTINGS = f"""
     toks AS (SELECT doc_id, {tokens_sql('text')} AS t FROM documents),
@@ -37,20 +35,6 @@ def index_field_stats(spark, folder):
     return stats.select("n_docs", F.round(F.col("sum_dl") / F.col("n_docs"), 6).alias("avgdl"))
 
 
-@query(
-    "match_with_index",
-    f"""WITH {term_scores_sql(['thtion', 'ention', 'queque'])}
-        SELECT doc_id, round(sum(s), 6) AS score FROM sc GROUP BY doc_id""",
-)
-def match_with_index(spark, folder):
-    """As ``match_or``, with the counts read from the stored statistics."""
-    docs = table(spark, folder, "documents")
-    found = scored(
-        docs, q.Match("text", "Thtion ention queque"), {"text": "standard"}, document_index(spark, folder)
-    )
-    return found.select("doc_id", F.round("_score", 6).alias("score"))
-
-
 # The queries of a batch are the texts of ``benchmark``, all of them and whole.
 _BATCH = f"""{_POSTINGS},
     asked AS (SELECT item_id AS query_id, unnest({tokens_sql('text')}) AS term FROM benchmark),

@@ -14,7 +14,7 @@ from ..operators.aggregations import (
 )
 from ..operators.compile import scored
 from ..plans.search import Collection, SearchRequest, search
-from .base import document_index, documents, query, table, term_scores_sql, tokens_sql
+from .base import documents, indexed_documents, query, table, term_scores_sql, tokens_sql
 
 
 def _facets(collection, requests, wanted=None):
@@ -68,7 +68,7 @@ def facet_multivalued(spark, folder):
         GROUP BY term ORDER BY doc_count DESC, term LIMIT 25""",
 )
 def facet_text_terms(spark, folder):
-    return _facets(documents(spark, folder), [TermsFacet("words", "text", size=25)])["words"]
+    return _facets(indexed_documents(spark, folder), [TermsFacet("words", "text", size=25)])["words"]
 
 
 @query(
@@ -232,7 +232,7 @@ def max_script(spark, folder):
         SELECT round(max(s), 6) AS max FROM total""",
 )
 def max_score(spark, folder):
-    found = _facets(documents(spark, folder), [MaxOf("best", script="_score")], q.Match("text", "thtion ention"))
+    found = _facets(indexed_documents(spark, folder), [MaxOf("best", script="_score")], q.Match("text", "thtion ention"))
     return found["best"].select(F.round("max", 6).alias("max"))
 
 
@@ -281,9 +281,7 @@ def significant_terms(spark, folder):
 
 @query("significant_terms_indexed", _SIGNIFICANT)
 def significant_terms_indexed(spark, folder):
-    collection = documents(spark, folder)
-    collection.index = document_index(spark, folder)
-    found = _facets(collection, [SignificantTerms("typical", "text")], q.Term("lang", "de"))["typical"]
+    found = _facets(indexed_documents(spark, folder), [SignificantTerms("typical", "text")], q.Term("lang", "de"))["typical"]
     return found.withColumn("score", F.round("score", 6))
 
 
@@ -311,6 +309,7 @@ def significant_per_bucket(spark, folder):
         ORDER BY count DESC, round(max(s), 9), term LIMIT 8""",
 )
 def field_terms_query(spark, folder):
-    matched = scored(table(spark, folder, "documents"), q.Match("text", "thtion ention"), {"text": "standard"})
+    docs = indexed_documents(spark, folder)
+    matched = scored(docs.docs, q.Match("text", "thtion ention"), docs.text_fields, docs.index)
     found = field_terms(matched, "source", 8, [Order("count"), Order("doc_score", descending=False)])
     return found.withColumn("max_doc_score", F.round("max_doc_score", 6))

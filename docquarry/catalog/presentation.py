@@ -6,7 +6,7 @@ from ..operators import queries as q
 from ..operators.highlight import Highlight
 from ..operators.suggest import count_suggestions, suggest, suggest_batch
 from ..plans.search import SearchRequest, search
-from .base import documents, query, table, tokens_sql
+from .base import indexed_documents, query, table, tokens_sql
 
 _PIECES = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+')"
 
@@ -19,7 +19,7 @@ def _marked_sql(text: str, condition: str, pre: str = "<em>", post: str = "</em>
 
 def _highlighted(spark, folder, wanted, spec, fields=()):
     request = SearchRequest(wanted, fields=list(fields), export=True, highlight=spec)
-    return search(documents(spark, folder), request).hits
+    return search(indexed_documents(spark, folder), request).hits
 
 
 @query(

@@ -5,15 +5,19 @@ from pyspark.sql import functions as F
 from ..operators import queries as q
 from ..operators.compile import matching, scored
 from ..plans.search import Collection, SearchRequest, search
-from .base import bm25_sql, documents, query, table, term_scores_sql, tokens_sql
+from .base import bm25_sql, documents, indexed_documents, prepared, query, table, term_scores_sql, tokens_sql
 
 _ANALYZED = {"text": "standard"}
 
 
-def _scores(spark, folder, wanted, docs=None, text_fields=None, key="doc_id"):
-    docs = table(spark, folder, "documents") if docs is None else docs
-    found = scored(docs, wanted, text_fields or _ANALYZED)
-    return found.select(key, F.round("_score", 6).alias("score"))
+def _scores(spark, folder, wanted):
+    """Scores over the prepared documents: stored tokens, stored counts."""
+    return _scores_in(indexed_documents(spark, folder), wanted)
+
+
+def _scores_in(collection: Collection, wanted):
+    found = scored(collection.docs, wanted, collection.text_fields, collection.index)
+    return found.select(collection.id_col, F.round("_score", 6).alias("score"))
 
 
 @query(
@@ -25,6 +29,16 @@ def match_or(spark, folder):
     return _scores(spark, folder, q.Match("text", "Thtion ention queque"))
 
 
+@query(
+    "match_unprepared",
+    f"""WITH {term_scores_sql(['thtion', 'ention', 'queque'])}
+        SELECT doc_id, round(sum(s), 6) AS score FROM sc GROUP BY doc_id""",
+)
+def match_unprepared(spark, folder):
+    """As ``match_or``, but texts are analysed and counted within the query itself."""
+    return _scores_in(documents(spark, folder), q.Match("text", "Thtion ention queque"))
+
+
 @query(
     "match_or_top",
     f"""WITH {term_scores_sql(['thtion', 'ention'])}, total AS (SELECT doc_id, sum(s) AS s FROM sc GROUP BY doc_id)
@@ -33,7 +47,7 @@ def match_or(spark, folder):
 )
 def match_or_top(spark, folder):
     request = SearchRequest(q.Match("text", "thtion ention"), fields=["lang"])
-    return search(documents(spark, folder), request).hits.select("doc_id", "lang", F.round("_score", 6).alias("score"))
+    return search(indexed_documents(spark, folder), request).hits.select("doc_id", "lang", F.round("_score", 6).alias("score"))
 
 
 @query(
@@ -156,6 +170,11 @@ def phrase(spark, folder):
     return _scores(spark, folder, q.MatchPhrase("text", "Of the"))
 
 
+@query("phrase_unprepared", _phrase_sql(["of", "the"]))
+def phrase_unprepared(spark, folder):
+    return _scores_in(documents(spark, folder), q.MatchPhrase("text", "Of the"))
+
+
 @query("phrase_three", _phrase_sql(["in", "the", "of"]))
 def phrase_three(spark, folder):
     return _scores(spark, folder, q.MatchPhrase("text", "in the of"))
@@ -171,7 +190,7 @@ def phrase_three(spark, folder):
 )
 def phrase_slop(spark, folder):
     wanted = q.MatchPhrase("text", "of the", slop=2)
-    return matching(table(spark, folder, "documents"), wanted, _ANALYZED).select("doc_id")
+    return matching(indexed_documents(spark, folder).docs, wanted, _ANALYZED).select("doc_id")
 
 
 # Events of the sloppy count: each offset of one word, with the next offset of the
@@ -238,7 +257,7 @@ _PER_FIELD = """by_field AS (SELECT page_id, field, sum(CASE field WHEN 'url' TH
 
 def _multi(spark, folder, kind, text, operator="or", weights=(2.0, 1.0)):
     wanted = q.MultiMatch(text, ["url", "html"], list(weights), operator, kind)
-    return _scores(spark, folder, wanted, table(spark, folder, "pages"), _PAGE_FIELDS, "page_id")
+    return _scores_in(prepared(spark, folder, pages(spark, folder), "pages"), wanted)
 
 
 @query(

@@ -20,12 +20,20 @@ NO_MATCH_SCORE = 0.0
 
 @dataclass
 class Compiled:
-    """``match`` is never NULL; ``score`` is meaningful only where ``match`` holds."""
+    """``score`` is meaningful only where ``match`` holds; a NULL ``match`` is no match.
+
+    Conditions stay bare comparisons, which a Parquet scan can use; ``sure_match``
+    is for places where NULL would matter, such as a negation.
+    """
 
     match: Column
     score: Column
     inner_hits: dict[str, Column] = field(default_factory=dict)
 
+    @property
+    def sure_match(self) -> Column:
+        return F.coalesce(self.match, F.lit(False))
+
     @property
     def gated_score(self) -> Column:
         return F.when(self.match, self.score).otherwise(F.lit(NO_MATCH_SCORE))
@@ -81,12 +89,13 @@ def scored(
 
 def matching(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> DataFrame:
     """Only filter; works on batch and streaming DataFrames alike."""
-    return docs.filter(match_column(docs, query, text_fields))
+    scope = Scope(docs.schema, text_fields or {}, docs)
+    return docs.filter(compile_query(query, scope, CorpusStatistics()).match)
 
 
 def match_column(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> Column:
     """The match condition alone, to use in any select or filter over ``docs``."""
-    return compile_query(query, Scope(docs.schema, text_fields or {}, docs), CorpusStatistics()).match
+    return compile_query(query, Scope(docs.schema, text_fields or {}, docs), CorpusStatistics()).sure_match
 
 
 def compile_query(query: q.Query, scope: Scope, stats: CorpusStatistics) -> Compiled:
@@ -96,9 +105,7 @@ def compile_query(query: q.Query, scope: Scope, stats: CorpusStatistics) -> Comp
         rule = _RULES[type(query)]
     except KeyError:
         raise TypeError(f"cannot compile a query of type {type(query).__name__}") from None
-    compiled = rule(query, scope, stats)
-    match = F.coalesce(compiled.match, F.lit(False))
-    return Compiled(match, compiled.score, compiled.inner_hits)
+    return rule(query, scope, stats)
 
 
 def _nothing() -> Compiled:
@@ -341,7 +348,7 @@ def _match(query: q.Match, scope: Scope, stats: CorpusStatistics) -> Compiled:
     if query.fuzziness in (None, 0, "0"):
         return _tokens_query(f, terms, needed, query.boost, scope, stats)
     parts = [_fuzzy_token(f, t, query, scope, stats) for t in terms]
-    match = scoring.total([p.match.cast("int") for p in parts]) >= needed
+    match = scoring.total([p.sure_match.cast("int") for p in parts]) >= needed
     return Compiled(match, scoring.boosted(scoring.total([p.gated_score for p in parts]), query.boost))
 
 
@@ -475,13 +482,13 @@ def _bool(query: q.Bool, scope: Scope, stats: CorpusStatistics) -> Compiled:
         needed = 1 if should and not must and not by_occur["filter"] else 0
     elif should and not must and not by_occur["filter"]:
         needed = max(1, needed)
-    tests = [c.match for c in by_occur["filter"] + must] + [~c.match for c in by_occur["must_not"]]
+    tests = [c.match for c in by_occur["filter"] + must] + [~c.sure_match for c in by_occur["must_not"]]
     if needed == 1:
         tests.append(scoring.any_of([c.match for c in should]))
     elif needed and needed == len(should):
         tests += [c.match for c in should]
     elif needed:
-        tests.append(scoring.total([c.match.cast("int") for c in should]) >= needed)
+        tests.append(scoring.total([c.sure_match.cast("int") for c in should]) >= needed)
     score = scoring.total([c.score for c in must] + [c.gated_score for c in should])
     return Compiled(scoring.all_of(tests), scoring.boosted(score, query.boost), inner)
 
@@ -535,7 +542,7 @@ def _function_list(query: q.FunctionScore, scope: Scope, stats: CorpusStatistics
     values, applies, weights = [], [], []
     for item in query.functions:
         value = F.lit(1.0) if item.function is None else _factor(item.function, scope)
-        hit = F.lit(True) if item.filter is None else compile_query(item.filter, scope, stats).match
+        hit = F.lit(True) if item.filter is None else compile_query(item.filter, scope, stats).sure_match
         values.append(scoring.boosted(value, item.weight))
         applies.append(hit)
         weights.append(float(item.weight))
@@ -616,7 +623,7 @@ def _inner_hits(query: q.Nested, f: Field, child, scope: Scope) -> Column:
         columns = [
             (-F.coalesce(compiled.score.cast("double"), F.lit(0.0))).alias("_rank"),
             i.alias("_offset"),
-            compiled.match.alias("_match"),
+            compiled.sure_match.alias("_match"),
             compiled.score.cast("double").alias("_score"),
         ]
         columns += [x[n].alias(n) for n in shown]

@@ -58,18 +58,22 @@ def fuzzy_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], max
 
     Two words at most k edits apart share a form with at most k characters left
     out of each, so joining on those forms finds every pair; the distance is
-    then checked.
+    then checked.  Each k has its own join, as forms multiply with k.
     """
-    reach = wanted.agg(
-        F.struct(
-            F.min(F.length("word") - F.col("k")).alias("low"), F.max(F.length("word") + F.col("k")).alias("high")
-        ).alias("reach")
-    ).scalar()
+    found = None
+    for k in range(max_k + 1):
+        part = _within(wanted.filter(F.col("k") == k), vocabulary, keys, k)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _within(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], k: int) -> DataFrame:
+    length = F.length("word")
+    reach = wanted.agg(F.struct(F.min(length - k).alias("low"), F.max(length + k).alias("high")).alias("r")).scalar()
     # Terms too short or too long for every word are left out; all, if there is no word.
     vocabulary = vocabulary.filter(F.length("term").between(reach["low"], reach["high"]))
-    left = wanted.withColumn("_form", F.explode(_deletions(F.col("word"), max_k)))
-    right = vocabulary.withColumn("_form", F.explode(_deletions(F.col("term"), max_k)))
+    left = wanted.withColumn("_form", F.explode(_deletions(F.col("word"), k)))
+    right = vocabulary.withColumn("_form", F.explode(_deletions(F.col("term"), k)))
     pairs = left.join(right, [*keys, "_form"]).drop("_form")
-    distance = F.levenshtein(F.col("word"), F.col("term"))
-    near = pairs.filter(distance <= F.col("k"))
+    near = pairs.filter(F.levenshtein(F.col("word"), F.col("term")) <= k)
     return near.dropDuplicates([*wanted.columns, "term"])

@@ -21,8 +21,13 @@ def phrase_frequency(tokens: Column, terms: list[str], slop: int, prefix: bool =
         return F.size(F.filter(tokens, lambda x: _is_term(x, terms, 0, prefix)))
     if slop == 0:
         return bound(tokens, lambda t: _exact_frequency(t, terms, prefix))
-    places = F.array(*[_offsets(tokens, terms, j, prefix) for j in range(len(terms))])
-    return bound(places, lambda p: _sloppy_frequency([F.get(p, F.lit(j)) for j in range(len(terms))], terms, slop))
+    places = F.array(
+        *[
+            F.struct(F.lit(term).alias("term"), _offsets(tokens, terms, j, prefix).alias("offsets"))
+            for j, term in enumerate(terms)
+        ]
+    )
+    return bound(places, lambda p: sloppy_frequency(p, F.lit(slop)))
 
 
 def _is_term(token: Column, terms: list[str], j: int, prefix: bool) -> Column:
@@ -50,54 +55,45 @@ def _offsets(tokens: Column, terms: list[str], j: int, prefix: bool) -> Column:
     return F.array_compact(at)
 
 
-def _sloppy_frequency(offsets: list[Column], terms: list[str], slop: int) -> Column:
-    """An occurrence is a set of offsets, one per term, spanning at most ``slop``.
+def exact_frequency(places: Column) -> Column:
+    """Number of offsets all terms share; ``places`` is ``array<struct<term, offsets>>``."""
+    offsets = F.transform(places, lambda p: p["offsets"])
+    first, rest = F.get(offsets, F.lit(0)), F.slice(offsets, F.lit(2), F.size(offsets))
+    return F.size(F.aggregate(rest, first, lambda shared, o: F.array_intersect(shared, o)))
+
+
+def sloppy_frequency(places: Column, slop: Column) -> Column:
+    """Weight of the sets of offsets, one per term, that span at most ``slop``.
 
     Windows are taken from their smallest offset; on a tie the earlier term of
     the phrase comes first.  A window is skipped if the same term occurs again
     before any other term of the window starts, as the later occurrence gives
     the tighter window.
     """
-    total = None
-    for j in range(len(terms)):
-        windows = F.transform(offsets[j], _window_from(offsets, terms, j))
-        weights = F.transform(windows, _window_weight(j, len(terms), slop))
-        part = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x)
-        total = part if total is None else total + part
-    return total
-
-
-def _window_from(offsets: list[Column], terms: list[str], j: int):
-    def usable(start: Column, i: int):
-        def test(o: Column) -> Column:
-            after = o > start if i < j else o >= start
-            if terms[i] != terms[j]:
-                return after
-            # One position cannot serve two places of a repeated term.
-            return after & (o + F.lit(i) != start + F.lit(j))
 
-        return test
+    def window(own: Column, j: Column, start: Column) -> Column:
+        def nearest(other: Column, i: Column) -> Column:
+            def usable(o: Column) -> Column:
+                after = (o > start) | ((o == start) & (i > j))
+                # One position cannot serve two places of a repeated term.
+                clash = (other["term"] == own["term"]) & (o + i == start + j)
+                return after & ~clash
 
-    def window(start: Column) -> Column:
-        following = [
-            F.array_min(F.filter(offsets[i], usable(start, i))).alias(f"o{i}") for i in range(len(terms)) if i != j
-        ]
-        again = F.array_min(F.filter(offsets[j], lambda o: o > start)).alias("again")
-        return F.struct(start.alias("start"), *following, again)
-
-    return window
+            return F.when(i != j, F.array_min(F.filter(other["offsets"], usable)))
 
+        ahead = F.array_compact(F.transform(places, nearest))
+        again = F.array_min(F.filter(own["offsets"], lambda o: o > start))
+        return F.struct(
+            (F.size(ahead) == F.size(places) - F.lit(1)).alias("complete"),
+            (F.array_max(ahead) - start).alias("span"),
+            (again.isNull() | (again > F.array_min(ahead))).alias("tight"),
+        )
 
-def _window_weight(j: int, m: int, slop: int):
     def weight(w: Column) -> Column:
-        found = [w[f"o{i}"] for i in range(m) if i != j]
-        complete = found[0].isNotNull()
-        for c in found[1:]:
-            complete = complete & c.isNotNull()
-        end = F.greatest(*found) if len(found) > 1 else found[0]
-        nearest = F.least(*found) if len(found) > 1 else found[0]
-        span = end - w["start"]
-        tight = w["again"].isNull() | (w["again"] > nearest)
-        return F.when(complete & (span <= slop) & tight, F.lit(1.0) / (F.lit(1.0) + span)).otherwise(F.lit(0.0))
-
-    return weight
+        counts = w["complete"] & w["tight"] & (w["span"] <= slop)
+        return F.when(counts, F.lit(1.0) / (F.lit(1.0) + w["span"])).otherwise(F.lit(0.0))
+
+    windows = F.flatten(
+        F.transform(places, lambda own, j: F.transform(own["offsets"], lambda start: window(own, j, start)))
+    )
+    return F.aggregate(windows, F.lit(0.0), lambda acc, w: acc + weight(w))

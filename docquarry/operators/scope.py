@@ -182,7 +182,13 @@ class CorpusStatistics:
                 raise RuntimeError(f"statistic {key} was not recorded")
             self._requests[key] = (f"s{len(self._requests)}", scope, build)
         name = self._requests[key][0]
-        return F.lit(1.0) if self.recording else F.col(STATS)[name]
+        return F.lit(1.0) if self.recording else F.col(STATS)[self._source(key)][name]
+
+    def _source(self, key: tuple) -> str:
+        """Where a count comes from: a stored table, or the documents of one level."""
+        if self.index is not None and self._in_index(key):
+            return "terms" if key[1] == "df" else "fields"
+        return f"level_{key[0]}"
 
     # -- where the numbers come from ---------------------------------------------
     @property
@@ -194,32 +200,36 @@ class CorpusStatistics:
         self.recording = False
         if not self._requests:
             return docs
-        stored, computed = {}, {}
-        for key, (name, scope, build) in self._requests.items():
-            if self.index is not None and self._in_index(key):
-                stored[key] = name
+        by_source: dict[str, dict[tuple, tuple]] = {}
+        for key, request in self._requests.items():
+            by_source.setdefault(self._source(key), {})[key] = request
+        # One scalar subquery per source, each used once in the plan.
+        parts = []
+        for source, requests in sorted(by_source.items()):
+            if source == "terms":
+                row = self.index.term_row({k: r[0] for k, r in requests.items()})
+            elif source == "fields":
+                row = self.index.field_row({k: r[0] for k, r in requests.items()})
             else:
-                computed.setdefault(scope.path, []).append((name, scope, build))
-        parts: dict[str, Column] = {}
-        if stored:
-            parts.update(self.index.statistics_columns(stored))
-        for requests in computed.values():
-            flat = requests[0][1].flat()
-            rows = flat.rows
-            # Tokens are split once per document, not once per count.
-            for name in sorted(flat.text_fields):
-                f = flat.field(name)
-                if f is not None and f.stored_tokens is None and "." not in name:
-                    rows = rows.withColumn(tokens_name(name), f.tokens)
-            counted = Scope(rows.schema, flat.text_fields, rows, None, flat.path)
-            row = F.struct(*[build(counted).alias(name) for name, _, build in requests])
-            one = rows.agg(row.alias(STATS)).scalar()
-            for name, _, _ in requests:
-                parts[name] = one[name]
-        return docs.withColumn(STATS, F.struct(*[c.alias(n) for n, c in sorted(parts.items())]))
+                row = _count(list(requests.values()))
+            parts.append(row.scalar().alias(source))
+        return docs.withColumn(STATS, F.struct(*parts))
 
     def _in_index(self, key: tuple) -> bool:
         path, kind, field, *rest = key
         if path or not self.index.covers(field):
             return False
         return kind in ("n_docs", "avgdl") or (kind == "df" and rest[0][0] == "term")
+
+
+def _count(requests: list[tuple]) -> DataFrame:
+    """All counts over the documents of one level, as one row with one struct."""
+    flat = requests[0][1].flat()
+    rows = flat.rows
+    # Tokens are split once per document, not once per count.
+    for name in sorted(flat.text_fields):
+        f = flat.field(name)
+        if f is not None and f.stored_tokens is None and "." not in name:
+            rows = rows.withColumn(tokens_name(name), f.tokens)
+    counted = Scope(rows.schema, flat.text_fields, rows, None, flat.path)
+    return rows.agg(F.struct(*[build(counted).alias(name) for name, _, build in requests]).alias(STATS))

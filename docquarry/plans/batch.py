@@ -7,11 +7,11 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import analysis, scoring
 from ..functions.binding import bound
 from ..operators.joins import fuzzy_matches, prefix_matches, salted_join
+from ..operators.phrases import exact_frequency, sloppy_frequency
 from ..operators.topn import top_n_per_group
 from .index import TextIndex
 
@@ -266,14 +266,17 @@ def search_clauses(
     Returns ``(query_id, _id, _score)``, with ``rank`` and only the best ``n`` if
     ``n`` is given.
     """
-    units = _token_units(clauses, index)
-    for part in (_class_units(clauses, index), _phrase_units(clauses, index), _all_units(clauses, index)):
-        units = units.unionByName(part)
+    units = _word_units(clauses, index).unionByName(_phrase_units(clauses, index))
+    units = units.unionByName(_all_units(clauses, index))
 
     # One exchange serves the three groupings below, as each is within (query, document).
     units = units.repartition("query_id", "_id")
+    class_score = scoring.bm25(F.max("class_weight"), F.sum("tf"), F.max("dl"), F.max("avgdl"))
     per_field = units.groupBy(*_CLAUSE, "occur", "_id").agg(
-        F.sum("score").alias("score"), F.count(F.lit(1)).alias("found"), F.max("n_units").alias("n_units")
+        (F.coalesce(class_score, F.sum("score")) * F.max("boost")).alias("score"),
+        # All words of a prefix or near word are one unit.
+        F.when(F.max("class_weight").isNotNull(), F.lit(1)).otherwise(F.count(F.lit(1))).alias("found"),
+        F.max("n_units").alias("n_units"),
     )
     if default_operator.lower() == "and":
         per_field = per_field.filter(F.col("found") == F.col("n_units"))
@@ -327,118 +330,73 @@ def _needed_column(spec: str | int | None, n_should: Column) -> Column:
     return F.greatest(F.lit(0), F.least(n_should, value)).cast("int")
 
 
-def _scored_unit(pairs: DataFrame) -> DataFrame:
-    score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl")) * F.col("boost")
-    return pairs.withColumn("score", score).select(
-        *_CLAUSE, "occur", "_id", "score", F.col("n_units").cast("int").alias("n_units")
-    )
+_UNIT = [*_CLAUSE, "occur", "boost", "n_units", "_id", "score", "class_weight", "tf", "dl", "avgdl"]
+
 
+def _word_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
+    """One row per document and word a clause covers, from one pass over the postings.
 
-def _token_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
-    """Plain words: one unit per word of the clause."""
-    words = clauses.filter(F.col("kind") == "term").select(
+    A plain word has its own ``score``.  The words of a prefix or near word count
+    as one term, so they bring ``class_weight`` and are scored together later.
+    """
+    columns = [*_CLAUSE, "occur", "boost", "n_units", "term"]
+    plain = clauses.filter(F.col("kind") == "term").select(
         *_CLAUSE, "occur", "boost", F.size("terms").alias("n_units"), F.explode("terms").alias("term")
     )
+    plain = _weighted(plain, index).select(*columns, "weight", F.lit(None).cast("double").alias("class_weight"), "avgdl")
+    covered = _covered_words(clauses, index)
+    sized = covered.join(_class_weights(covered, index), _CLAUSE)
+    covered = sized.select(*columns, F.lit(None).cast("double").alias("weight"), "class_weight", "avgdl")
     postings = index.postings.select("field", "term", "_id", "tf", "dl")
-    return _scored_unit(salted_join(_weighted(words, index), postings, ["field", "term"], "_id"))
+    pairs = salted_join(plain.unionByName(covered), postings, ["field", "term"], "_id")
+    score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl"))
+    return pairs.withColumn("score", score).select(*_UNIT)
 
 
-def _class_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
-    """Prefixes and near words: all words they cover count as one term."""
+def _covered_words(clauses: DataFrame, index: TextIndex) -> DataFrame:
+    """Words of the vocabulary that a prefix or near word stands for."""
     vocabulary = index.term_stats.select("field", "term")
-    base = clauses.select(*_CLAUSE, "occur", "boost", "kind", "k", F.get("terms", F.lit(0)).alias("prefix"))
-    prefixes = prefix_matches(base.filter(F.col("kind") == "prefix"), vocabulary, ["field"])
-    near = fuzzy_matches(
-        base.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word"), vocabulary, ["field"]
-    )
-    columns = [*_CLAUSE, "occur", "boost", "term"]
-    covered = prefixes.select(*columns).unionByName(near.select(*columns))
-    postings = index.postings.select("field", "term", "_id", "tf", "dl")
-    per_doc = (
-        salted_join(covered, postings, ["field", "term"], "_id")
-        .groupBy(*_CLAUSE, "occur", "boost", "_id")
-        .agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
-    )
-    df = per_doc.groupBy(*_CLAUSE).agg(F.count(F.lit(1)).alias("df"))
-    return _scored_unit(
-        salted_join(df, per_doc, _CLAUSE, "_id")
-        .join(_sizes(index), "field")
-        .withColumn("weight", scoring.idf(F.col("n_docs"), F.col("df")))
-        .withColumn("n_units", F.lit(1))
+    base = clauses.select(
+        *_CLAUSE, "occur", "boost", "kind", "k", F.lit(1).alias("n_units"), F.get("terms", F.lit(0)).alias("prefix")
     )
+    prefixes = prefix_matches(base.filter(F.col("kind") == "prefix"), vocabulary, ["field"])
+    near = base.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word")
+    columns = [*_CLAUSE, "occur", "boost", "n_units", "term"]
+    return prefixes.select(*columns).unionByName(fuzzy_matches(near, vocabulary, ["field"], MAX_EDITS).select(*columns))
+
+
+def _class_weights(covered: DataFrame, index: TextIndex) -> DataFrame:
+    """Idf of each prefix or near word: documents holding any of its words."""
+    holders = salted_join(covered.select(*_CLAUSE, "term"), index.postings.select("field", "term", "_id"),
+                          ["field", "term"], "_id")
+    df = holders.select(*_CLAUSE, "_id").distinct().groupBy(*_CLAUSE).agg(F.count(F.lit(1)).alias("df"))
+    weight = scoring.idf(F.col("n_docs"), F.col("df"))
+    return df.join(_sizes(index), "field").select(*_CLAUSE, weight.alias("class_weight"), "avgdl")
 
 
 def _phrase_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
-    """Phrases: positions of the words, shifted so that an exact phrase lines up."""
+    """Phrases: the positions of the words, brought together per document."""
     words = clauses.filter(F.col("kind") == "phrase").select(
         *_CLAUSE, "occur", "boost", "k", F.size("terms").alias("m"), F.posexplode("terms").alias("j", "term")
     )
-    weighted = _weighted(words, index)
-    weights = weighted.groupBy(*_CLAUSE).agg(F.sum("weight").alias("weight"))
     postings = index.postings.select("field", "term", "_id", "dl", "positions")
-    keys = [*_CLAUSE, "_id"]
-    columns = [*keys, "occur", "boost", "k", "m", "dl", "avgdl", "j", "term"]
-    places = salted_join(weighted, postings, ["field", "term"], "_id").select(
-        *columns, F.explode("positions").alias("p")
-    ).withColumn("o", F.col("p") - F.col("j"))
-    # Each window below spans one document of one query, bounded by the document's length.
-    places = places.repartition("query_id", "_id")
-
-    exact = (
-        places.filter(F.col("k") == 0)
-        .groupBy(*keys, "occur", "boost", "m", "dl", "avgdl", "o")
-        .agg(F.count(F.lit(1)).alias("in_line"))
-        .filter(F.col("in_line") == F.col("m"))
-        .groupBy(*keys, "occur", "boost", "dl", "avgdl")
-        .agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    )
-    sloppy = _sloppy_places(places.filter(F.col("k") > 0), keys)
-    hits = exact.unionByName(sloppy)
-    return _scored_unit(hits.join(weights, _CLAUSE).withColumn("n_units", F.lit(1)))
-
-
-def _sloppy_places(places: DataFrame, keys: list[str]) -> DataFrame:
-    """Sloppy frequency: windows of offsets, one per word, spanning at most ``k``.
-
-    Each place sees the places up to ``k`` further on, of which there are at most
-    a few per word; see ``operators.phrases`` for the rule.  A range frame needs
-    a constant width, so offsets are measured in units of ``k``; the exact bound
-    is checked on the frame's content.
-    """
-    partition = ", ".join(keys)
-    places = places.withColumn("x", F.col("o") / F.col("k").cast("double"))
-    rows = places.withColumn(
-        "ahead",
-        F.expr(
-            f"collect_list(struct(o, j, term)) OVER (PARTITION BY {partition} ORDER BY x "
-            "RANGE BETWEEN CURRENT ROW AND 1.000001D FOLLOWING)"
-        ),
+    pairs = salted_join(_weighted(words, index), postings, ["field", "term"], "_id")
+    offsets = F.transform("positions", lambda p: p - F.col("j"))
+    # A group holds the words of one phrase in one document, so it is bounded by both.
+    together = (
+        pairs.withColumn("place", F.struct("j", "term", offsets.alias("offsets")))
+        .groupBy(*_CLAUSE, "occur", "boost", "k", "m", "_id", "dl", "avgdl")
+        .agg(F.sort_array(F.collect_list("place")).alias("places"), F.sum("weight").alias("weight"))
+        .filter(F.size("places") == F.col("m"))
     )
-
-    def follows(x: Column) -> Column:
-        later = (x["o"] > F.col("o")) | ((x["o"] == F.col("o")) & (x["j"] > F.col("j")))
-        # One position cannot serve two places of a repeated word.
-        clash = (x["term"] == F.col("term")) & (x["j"] != F.col("j")) & (x["o"] + x["j"] == F.col("o") + F.col("j"))
-        return later & (x["o"] <= F.col("o") + F.col("k")) & ~clash
-
-    ordered = F.sort_array(F.filter("ahead", follows))
-    first = F.aggregate(
-        ordered,
-        F.expr("map()").cast("map<int,int>"),
-        lambda acc, x: F.when(F.map_contains_key(acc, x["j"]), acc).otherwise(
-            F.map_concat(acc, F.create_map(x["j"], x["o"]))
-        ),
+    freq = F.when(F.col("k") == 0, exact_frequency(F.col("places")).cast("double")).otherwise(
+        sloppy_frequency(F.col("places"), F.col("k"))
     )
-    rows = rows.withColumn("first", first).drop("ahead")
-    rows = rows.withColumn("others", F.map_values(F.map_filter("first", lambda j, _: j != F.col("j"))))
-    again = F.try_element_at("first", F.col("j"))
-    complete = F.size("others") == F.col("m") - 1
-    span = F.array_max("others") - F.col("o")
-    tight = again.isNull() | (again > F.array_min("others"))
-    return (
-        rows.filter(complete & (span <= F.col("k")) & tight)
-        .groupBy(*keys, "occur", "boost", "dl", "avgdl")
-        .agg(F.sum(F.lit(1.0) / (F.lit(1.0) + span)).alias("tf"))
+    found = together.withColumn("freq", freq).filter(F.col("freq") > 0)
+    score = scoring.bm25(F.col("weight"), F.col("freq"), F.col("dl"), F.col("avgdl"))
+    return found.select(
+        *_CLAUSE, "occur", "boost", F.lit(1).alias("n_units"), "_id", score.alias("score"),
+        F.lit(None).cast("double").alias("class_weight"), F.lit(0).alias("tf"), "dl", "avgdl",
     )
 
 
@@ -457,9 +415,11 @@ def _all_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
     # The ids are gathered only if some query needs them.
     asked = wanted.agg(F.count(F.lit(1)).alias("n")).scalar()
     ids = index.postings.filter(asked > 0).select("_id").distinct().withColumn("_one", F.lit(1))
+    nothing = F.lit(None).cast("double")
     return salted_join(wanted, ids, ["_one"], "_id").select(
-        "query_id", "clause_id", F.lit("*").alias("field"), "occur", "_id",
-        F.col("boost").alias("score"), F.lit(1).alias("n_units"),
+        "query_id", "clause_id", F.lit("*").alias("field"), "occur", "boost", F.lit(1).alias("n_units"), "_id",
+        F.lit(1.0).alias("score"), nothing.alias("class_weight"), F.lit(0).alias("tf"), F.lit(0).alias("dl"),
+        nothing.alias("avgdl"),
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.binding import bound
 from ..operators.joins import SALTS
 from ..operators.scope import Scope, tokens_name
+from .search import Collection
 
 
 @dataclass
@@ -28,33 +29,21 @@ class TextIndex:
     def covers(self, field: str) -> bool:
         return field in self.fields
 
-    def statistics_columns(self, requests: dict[tuple, str]) -> dict[str, Column]:
-        """Counts for one query, read from the small statistics tables.
-
-        Each table is filtered to the query's fields and terms and folded into
-        one row, a scalar subquery.
-        """
-        terms, sizes = [], []
-        for (_, kind, field, *rest), name in requests.items():
-            if kind == "df":
-                terms.append((name, field, rest[0][1]))
-            else:
-                value = F.col("n_docs") if kind == "n_docs" else F.col("sum_dl") / F.col("n_docs")
-                sizes.append((name, field, value))
-        columns: dict[str, Column] = {}
-        if sizes:
-            folded = [F.max(F.when(F.col("field") == f, v)).cast("double").alias(n) for n, f, v in sizes]
-            one = self.field_stats.agg(F.struct(*folded).alias("s")).scalar()
-            columns.update({n: one[n] for n, _, _ in sizes})
-        if terms:
-            wanted = F.col("term").isin(*sorted({t for _, _, t in terms}))
-            folded = [
-                F.coalesce(F.max(F.when((F.col("field") == f) & (F.col("term") == t), F.col("df"))), F.lit(0)).alias(n)
-                for n, f, t in terms
-            ]
-            one = self.term_stats.filter(wanted).agg(F.struct(*folded).alias("s")).scalar()
-            columns.update({n: one[n] for n, _, _ in terms})
-        return columns
+    # Rows for one query: the tables filtered to its fields and terms, folded into a struct.
+    def field_row(self, names: dict[tuple, str]) -> DataFrame:
+        folded = []
+        for (_, kind, field), name in names.items():
+            value = F.col("n_docs") if kind == "n_docs" else F.col("sum_dl") / F.col("n_docs")
+            folded.append(F.max(F.when(F.col("field") == field, value)).cast("double").alias(name))
+        return self.field_stats.agg(F.struct(*folded).alias("s"))
+
+    def term_row(self, names: dict[tuple, str]) -> DataFrame:
+        folded = []
+        for (_, _, field, (_, term)), name in names.items():
+            df = F.max(F.when((F.col("field") == field) & (F.col("term") == term), F.col("df")))
+            folded.append(F.coalesce(df, F.lit(0)).alias(name))
+        wanted = sorted({key[3][1] for key in names})
+        return self.term_stats.filter(F.col("term").isin(*wanted)).agg(F.struct(*folded).alias("s"))
 
     # -- storage -------------------------------------------------------------
     def save(self, path: str, files: int | None = None) -> "TextIndex":
@@ -97,7 +86,8 @@ def build_index(
     ``spread`` first deals the documents out by id.  It pays only where they sit
     in fewer splits than there are cores; otherwise leave the scan's partitions.
     """
-    docs = docs.select(id_col, *text_fields)
+    stored = [tokens_name(name) for name in text_fields if tokens_name(name) in docs.columns]
+    docs = docs.select(id_col, *text_fields, *stored)
     if spread:
         docs = docs.repartition(id_col)
     scope = Scope(docs.schema, text_fields, docs)
@@ -168,3 +158,22 @@ def refresh_index(index: TextIndex, changed: DataFrame, id_col: str, text_fields
     per_doc = postings.groupBy("field", "_id").agg(F.max("dl").alias("dl"))
     sizes = per_doc.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl"))
     return TextIndex(postings, term_stats(postings), sizes, index.fields)
+
+
+def prepare(collection: Collection, path: str, files: int | None = None, spread: bool = False) -> Collection:
+    """Ingest-time analysis: write the documents with their tokens, and the index.
+
+    Queries over the returned collection read stored tokens and counts instead
+    of splitting every text again.
+    """
+    spark = collection.docs.sparkSession
+    docs = collection.docs
+    if spread:
+        docs = docs.repartition(files or spark.sparkContext.defaultParallelism, collection.id_col)
+    scope = Scope(docs.schema, collection.text_fields, docs)
+    for name in collection.text_fields:
+        docs = docs.withColumn(tokens_name(name), scope.field(name).tokens)
+    docs.write.mode("overwrite").parquet(f"{path}/docs")
+    docs = spark.read.parquet(f"{path}/docs")
+    index = build_index(docs, collection.id_col, collection.text_fields).save(path, files)
+    return Collection(docs, collection.id_col, collection.text_fields, index)
