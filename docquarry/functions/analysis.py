@@ -7,6 +7,7 @@ work stays in the JVM.  ``analyze`` runs only on the (short) query string.
 from __future__ import annotations
 
 import re
+from itertools import combinations, product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ PIECE = rf"{WORD}|{NON_WORD}"
 
 ANALYZERS = ("standard", "whitespace", "keyword")
 
+MAX_LENGTH = 2**31 - 1
 _WORD_PY = re.compile(r"[^\W_]+")
 
 
@@ -85,11 +87,10 @@ def minimum_should_match(spec: str | int | None, n_optional: int) -> int | None:
             needed = minimum_should_match(rest, n_optional)
         return needed
     if text.endswith("%"):
-        share = int(text[:-1]) * n_optional / 100.0
-        value = int(share)
+        value = int(int(text[:-1]) * n_optional / 100.0)  # rounded towards zero
     else:
         value = int(text)
-    if value < 0:
+    if text.startswith("-"):
         value += n_optional
     return max(0, min(n_optional, value))
 
@@ -103,37 +104,48 @@ def edit_distance_within(word: Column, term: str, k: int, transpositions: bool)
     """True if ``word`` is at most ``k`` (0..3) edits away from ``term``.
 
     With ``transpositions`` a swap of two neighbouring characters counts as one
-    edit.  Swaps are spelled out with sequence/exists, as Spark has no such
-    distance function.
+    edit, and the two are not edited further.
     """
     if k == 0:
         return word == F.lit(term)
     near = F.abs(F.length(word) - F.lit(len(term))) <= k
     close = F.levenshtein(word, F.lit(term), k).between(0, k)
     if transpositions:
-        # Every string one or more disjoint swaps away from the term is known on
-        # the driver; a swap uses one edit, the rest is plain edit distance.
-        for swapped, used in _swapped_forms(term, k):
-            left = k - used
-            if left == 0:
-                close = close | (word == F.lit(swapped))
-            else:
-                close = close | F.levenshtein(word, F.lit(swapped), left).between(0, left)
+        for m in range(1, k + 1):
+            for starts in combinations(range(len(term) - 1), m):
+                apart = all(b - a >= 2 for a, b in zip(starts, starts[1:]))
+                if apart and all(term[i] != term[i + 1] for i in starts):
+                    close = close | _swapped_at(word, term, starts, k - m)
     return near & close
 
 
-def _swapped_forms(term: str, k: int) -> list[tuple[str, int]]:
-    """Forms of ``term`` after 1..k swaps of non-overlapping neighbours."""
-    forms: dict[str, int] = {}
-    layer = {(term, 0)}
-    for used in range(1, k + 1):
-        following = set()
-        for form, start in layer:
-            for i in range(start, len(term) - 1):
-                if form[i] != form[i + 1]:
-                    swapped = form[:i] + form[i + 1] + form[i] + form[i + 2:]
-                    following.add((swapped, i + 2))
-                    forms.setdefault(swapped, used)
-        layer = following
-    forms.pop(term, None)
-    return sorted(forms.items())
+def _swapped_at(word: Column, term: str, starts: tuple[int, ...], edits: int) -> Column:
+    """``word`` holds the pairs of ``term`` at ``starts`` swapped, and at most ``edits`` edits around them.
+
+    Edits before a pair move it in the word, by every shift they allow.
+    """
+    pairs = [term[i + 1] + term[i] for i in starts]
+    if edits == 0:
+        text, done = "", 0
+        for i, pair in zip(starts, pairs):
+            text, done = text + term[done:i] + pair, i + 2
+        return word == F.lit(text + term[done:])
+
+    found = F.lit(False)
+    for shifts in product(range(-edits, edits + 1), repeat=len(starts)):
+        moves = [abs(b - a) for a, b in zip((0, *shifts), shifts)]
+        if sum(moves) > edits:
+            continue
+        test, cost, at, done, possible = F.lit(True), F.lit(0), 0, 0, True
+        for i, pair, shift in zip(starts, pairs, shifts):
+            here = i + shift
+            possible = possible and here >= at
+            if not possible:
+                break
+            cost = cost + F.levenshtein(F.substring(word, at + 1, here - at), F.lit(term[done:i]))
+            test = test & (F.substring(word, here + 1, 2) == F.lit(pair))
+            at, done = here + 2, i + 2
+        if possible:
+            rest = F.substring(word, at + 1, MAX_LENGTH)
+            found = found | (test & (cost + F.levenshtein(rest, F.lit(term[done:])) <= edits))
+    return found
