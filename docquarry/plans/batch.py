@@ -16,16 +16,21 @@ from ..operators.topn import top_n_per_group
 from .index import TextIndex
 
 
-def _sizes(index: TextIndex) -> DataFrame:
-    """One row per text field, hence small: number of documents and mean length."""
-    return F.broadcast(
-        index.field_stats.select("field", "n_docs", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl"))
-    )
+def _with_sizes(rows: DataFrame, index: TextIndex) -> DataFrame:
+    """Add ``n_docs`` and ``avgdl`` of the row's field.
+
+    The sizes are a map with one entry per text field, read by a scalar subquery;
+    a join on a column that is often constant would turn into a cross join.
+    """
+    entry = F.struct("field", F.struct("n_docs", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl")))
+    sizes = index.field_stats.agg(F.map_from_entries(F.collect_list(entry)).alias("sizes")).scalar()
+    sized = rows.withColumn("_size", sizes[F.col("field")])
+    return sized.withColumns({"n_docs": F.col("_size.n_docs"), "avgdl": F.col("_size.avgdl")}).drop("_size")
 
 
 def _weighted(terms: DataFrame, index: TextIndex) -> DataFrame:
     """Add ``weight`` (idf) and ``avgdl`` to rows of (field, term)."""
-    known = terms.join(index.term_stats, ["field", "term"]).join(_sizes(index), "field")
+    known = _with_sizes(terms.join(index.term_stats, ["field", "term"]), index)
     return known.withColumn("weight", scoring.idf(F.col("n_docs"), F.col("df"))).drop("n_docs", "df")
 
 
@@ -371,7 +376,7 @@ def _class_weights(covered: DataFrame, index: TextIndex) -> DataFrame:
                           ["field", "term"], "_id")
     df = holders.select(*_CLAUSE, "_id").distinct().groupBy(*_CLAUSE).agg(F.count(F.lit(1)).alias("df"))
     weight = scoring.idf(F.col("n_docs"), F.col("df"))
-    return df.join(_sizes(index), "field").select(*_CLAUSE, weight.alias("class_weight"), "avgdl")
+    return _with_sizes(df, index).select(*_CLAUSE, weight.alias("class_weight"), "avgdl")
 
 
 def _phrase_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
