@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.index import TextIndex, prepare
 from ..plans.search import Collection
+from ..session import shared_folder
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
 
@@ -38,20 +38,6 @@ def documents(spark: SparkSession, folder: str) -> Collection:
     return Collection(table(spark, folder, "documents"), "doc_id", {"text": "standard"})
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: the session's checkpoint directory.
-
-    Only where none is set, as in tests on one machine, a new temporary one is made.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured is None:
-        configured = tempfile.mkdtemp(prefix="docquarry-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
-
-
 _PREPARED: dict[tuple[str, str, str], Collection] = {}
 
 

@@ -1,38 +1,74 @@
-"""Equi-joins of a short request table with a large one."""
+"""Equi-joins of a table of requests with a large one."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 SALTS = 16
+# A request table is broadcast only if its measured size stays below this.
+BROADCAST_BYTES = 32 << 20
+
+
+@dataclass
+class Requests:
+    """A checkpointed table of requests and whether its measured size allows a broadcast."""
+
+    rows: DataFrame
+    count: int
+    small: bool
+
+    def hinted(self, rows: DataFrame | None = None) -> DataFrame:
+        """The table, or rows filtered from it, to join with a larger one."""
+        rows = self.rows if rows is None else rows
+        return F.broadcast(rows) if self.small else rows
+
+
+def settle(rows: DataFrame) -> Requests:
+    """Compute a request table once and measure it.
+
+    It is used several times and is small next to the data it meets; Spark's
+    estimate for it is usually far too high.  Only two numbers reach the driver.
+    """
+    shared_folder(rows.sparkSession)
+    kept = rows.checkpoint(eager=True)
+    text = [F.coalesce(F.length(f.name), F.lit(0)) for f in kept.schema if f.dataType.typeName() == "string"]
+    width = F.lit(16 * len(kept.columns))
+    for length in text:
+        width = width + 4 * length
+    count, size = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return Requests(kept, count, size <= BROADCAST_BYTES)
 
 
-def salted_join(small: DataFrame, large: DataFrame, keys: list[str], spread_by: str, salts: int = SALTS) -> DataFrame:
+def request_join(requests: Requests, large: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
     """Inner join in which one key may hold a large part of ``large``.
 
-    Rows of ``large`` with the same key are spread over ``salts`` sub-keys by
-    ``spread_by``; each row of ``small`` is repeated for every sub-key.  Whether
-    the small side is broadcast is left to Spark, which knows its size.
+    A small request table is broadcast, which leaves ``large`` where it is.
+    Otherwise rows of ``large`` with the same key are spread over ``SALTS``
+    sub-keys by ``spread_by``, and each request is repeated for every sub-key.
     """
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = large.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    if requests.small:
+        return large.join(F.broadcast(requests.rows), keys)
+    repeated = requests.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = large.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
     return repeated.join(spread, [*keys, "_salt"]).drop("_salt")
 
 
-def prefix_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str]) -> DataFrame:
+def prefix_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """Rows of ``vocabulary`` whose ``term`` starts with ``wanted.prefix`` (equal ``keys``).
 
     Terms are cut to the prefix lengths in use, which makes it an equi-join.
     """
     wanted = wanted.withColumn("_len", F.length("prefix"))
-    lengths = wanted.select("_len").distinct()
-    # Without any prefix the shortest one is NULL, and no term is cut at all.
-    shortest = wanted.agg(F.min("_len").alias("n")).scalar()
-    cut = vocabulary.filter(F.length("term") >= shortest).withColumn("_len", F.explode(F.sequence(F.lit(0), F.length("term"))))
-    cut = cut.join(lengths, "_len", "left_semi")
+    # An array with one number per length in use, bounded by the longest prefix.
+    lengths = wanted.agg(F.collect_set("_len").alias("n")).scalar()
+    cut = vocabulary.withColumn("_len", F.explode(lengths)).filter(F.col("_len") <= F.length("term"))
     cut = cut.withColumn("prefix", F.substring(F.col("term"), F.lit(1), F.col("_len")))
-    return wanted.join(cut, [*keys, "_len", "prefix"]).drop("_len")
+    return cut.join(F.broadcast(wanted) if small else wanted, [*keys, "_len", "prefix"]).drop("_len")
 
 
 def _deletions(term, k: int):
@@ -53,27 +89,29 @@ def _deletions(term, k: int):
     return forms
 
 
-def fuzzy_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], max_k: int = 2) -> DataFrame:
+def fuzzy_matches(
+    wanted: DataFrame, vocabulary: DataFrame, keys: list[str], ks: list[int], small: bool = False
+) -> DataFrame:
     """Rows of ``vocabulary`` whose ``term`` is within ``wanted.k`` edits of ``wanted.word``.
 
     Two words at most k edits apart share a form with at most k characters left
     out of each, so joining on those forms finds every pair; the distance is
-    then checked.  Each k has its own join, as forms multiply with k.
+    then checked.  Each k of ``ks`` has its own join, as forms multiply with k.
     """
     found = None
-    for k in range(max_k + 1):
-        part = _within(wanted.filter(F.col("k") == k), vocabulary, keys, k)
+    for k in ks:
+        part = _within(wanted.filter(F.col("k") == k), vocabulary, keys, k, small)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _within(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], k: int) -> DataFrame:
+def _within(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], k: int, small: bool) -> DataFrame:
     length = F.length("word")
     reach = wanted.agg(F.struct(F.min(length - k).alias("low"), F.max(length + k).alias("high")).alias("r")).scalar()
     # Terms too short or too long for every word are left out; all, if there is no word.
     vocabulary = vocabulary.filter(F.length("term").between(reach["low"], reach["high"]))
     left = wanted.withColumn("_form", F.explode(_deletions(F.col("word"), k)))
     right = vocabulary.withColumn("_form", F.explode(_deletions(F.col("term"), k)))
-    pairs = left.join(right, [*keys, "_form"]).drop("_form")
+    pairs = right.join(F.broadcast(left) if small and k <= 1 else left, [*keys, "_form"]).drop("_form")
     near = pairs.filter(F.levenshtein(F.col("word"), F.col("term")) <= k)
     return near.dropDuplicates([*wanted.columns, "term"])

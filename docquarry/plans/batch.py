@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import analysis, scoring
 from ..functions.binding import bound
-from ..operators.joins import fuzzy_matches, prefix_matches, salted_join
+from ..operators.joins import SALTS, Requests, fuzzy_matches, prefix_matches, request_join, settle
 from ..operators.phrases import exact_frequency, sloppy_frequency
 from ..operators.topn import top_n_per_group
 from .index import TextIndex
@@ -28,9 +28,9 @@ def _with_sizes(rows: DataFrame, index: TextIndex) -> DataFrame:
     return sized.withColumns({"n_docs": F.col("_size.n_docs"), "avgdl": F.col("_size.avgdl")}).drop("_size")
 
 
-def _weighted(terms: DataFrame, index: TextIndex) -> DataFrame:
+def _weighted(terms: Requests, index: TextIndex, rows: DataFrame | None = None) -> DataFrame:
     """Add ``weight`` (idf) and ``avgdl`` to rows of (field, term)."""
-    known = _with_sizes(terms.join(index.term_stats, ["field", "term"]), index)
+    known = _with_sizes(index.term_stats.join(terms.hinted(rows), ["field", "term"]), index)
     return known.withColumn("weight", scoring.idf(F.col("n_docs"), F.col("df"))).drop("n_docs", "df")
 
 
@@ -53,9 +53,10 @@ def batch_match(
     if operator == "and":
         total = words.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
         words = words.join(total, "query_id")
-    weighted = _weighted(words.withColumn("field", F.lit(field)), index)
+    words = settle(words.withColumn("field", F.lit(field)))
+    weighted = settle(_weighted(words, index))
     postings = index.postings.filter(F.col("field") == field).select("field", "term", "_id", "tf", "dl")
-    pairs = salted_join(weighted, postings, ["field", "term"], "_id")
+    pairs = request_join(weighted, postings, ["field", "term"], "_id")
     score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl")) * F.col("times")
     measures = [F.sum(score).alias("_score")]
     if operator == "and":
@@ -271,8 +272,20 @@ def search_clauses(
     Returns ``(query_id, _id, _score)``, with ``rank`` and only the best ``n`` if
     ``n`` is given.
     """
-    units = _word_units(clauses, index).unionByName(_phrase_units(clauses, index))
-    units = units.unionByName(_all_units(clauses, index))
+    clauses = settle(clauses)
+    # At most a handful of (kind, k): only the parts that occur are planned.
+    shapes = {(r["kind"], r["k"] if r["kind"] == "fuzzy" else 0) for r in clauses.rows.select("kind", "k").distinct().collect()}
+    kinds = {kind for kind, _ in shapes}
+    counts = settle(_clause_counts(clauses.rows))
+    only_not = counts.rows.filter((F.col("n_must") == 0) & (F.col("n_should") == 0))
+    parts = []
+    if kinds & {"term", "prefix", "fuzzy"}:
+        parts.append(_word_units(clauses, index, kinds, sorted(k for kind, k in shapes if kind == "fuzzy")))
+    if "phrase" in kinds:
+        parts.append(_phrase_units(clauses, index))
+    if "all" in kinds or not only_not.isEmpty() or not parts:
+        parts.append(_all_units(clauses, only_not, index))
+    units = reduce(DataFrame.unionByName, parts)
 
     # One exchange serves the three groupings below, as each is within (query, document).
     units = units.repartition("query_id", "_id")
@@ -293,15 +306,11 @@ def search_clauses(
         *[F.sum(F.when(test, F.lit(1)).otherwise(F.lit(0))).alias(o) for o, test in is_a.items()],
     )
 
-    counts = clauses.select("query_id", "clause_id", "occur").distinct().groupBy("query_id").agg(
-        F.sum(F.when(F.col("occur") == "must", 1).otherwise(0)).alias("n_must"),
-        F.sum(F.when(F.col("occur") == "should", 1).otherwise(0)).alias("n_should"),
-    )
     needed = _needed_column(minimum_should_match, F.col("n_should"))
     lonely = (F.col("n_must") == 0) & (F.col("n_should") > 0)
     needed = F.when(lonely, F.greatest(F.lit(1), needed)).otherwise(needed)
     hits = (
-        per_doc.join(counts, "query_id")
+        per_doc.join(counts.hinted(), "query_id")
         .filter((F.col("must_not") == 0) & (F.col("must") == F.col("n_must")) & (F.col("should") >= needed))
         .select("query_id", "_id", "_score")
     )
@@ -310,6 +319,15 @@ def search_clauses(
     return top_n_per_group(hits, ["query_id"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
 
 
+def _clause_counts(clauses: DataFrame) -> DataFrame:
+    """Number of required and optional clauses of each query."""
+    distinct = clauses.select("query_id", "clause_id", "occur").distinct()
+    return distinct.groupBy("query_id").agg(
+        F.sum(F.when(F.col("occur") == "must", 1).otherwise(0)).alias("n_must"),
+        F.sum(F.when(F.col("occur") == "should", 1).otherwise(0)).alias("n_should"),
+    )
+
+
 def _needed_column(spec: str | int | None, n_should: Column) -> Column:
     """``minimum_should_match`` where the number of optional clauses is a column."""
     if spec is None or str(spec).strip() == "":
@@ -338,54 +356,65 @@ def _needed_column(spec: str | int | None, n_should: Column) -> Column:
 _UNIT = [*_CLAUSE, "occur", "boost", "n_units", "_id", "score", "class_weight", "tf", "dl", "avgdl"]
 
 
-def _word_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
+def _word_units(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
     """One row per document and word a clause covers, from one pass over the postings.
 
     A plain word has its own ``score``.  The words of a prefix or near word count
     as one term, so they bring ``class_weight`` and are scored together later.
     """
     columns = [*_CLAUSE, "occur", "boost", "n_units", "term"]
-    plain = clauses.filter(F.col("kind") == "term").select(
-        *_CLAUSE, "occur", "boost", F.size("terms").alias("n_units"), F.explode("terms").alias("term")
-    )
-    plain = _weighted(plain, index).select(*columns, "weight", F.lit(None).cast("double").alias("class_weight"), "avgdl")
-    covered = _covered_words(clauses, index)
-    sized = covered.join(_class_weights(covered, index), _CLAUSE)
-    covered = sized.select(*columns, F.lit(None).cast("double").alias("weight"), "class_weight", "avgdl")
+    nothing = F.lit(None).cast("double")
+    parts = []
+    if "term" in kinds:
+        plain = clauses.rows.filter(F.col("kind") == "term").select(
+            *_CLAUSE, "occur", "boost", F.size("terms").alias("n_units"), F.explode("terms").alias("term")
+        )
+        weighted = _weighted(clauses, index, plain)
+        parts.append(weighted.select(*columns, "weight", nothing.alias("class_weight"), "avgdl"))
+    if kinds & {"prefix", "fuzzy"}:
+        covered = settle(_covered_words(clauses, index, kinds, fuzzy_ks))
+        sized = covered.rows.join(_class_weights(covered, index), _CLAUSE)
+        parts.append(sized.select(*columns, nothing.alias("weight"), "class_weight", "avgdl"))
+    words = settle(reduce(DataFrame.unionByName, parts))
     postings = index.postings.select("field", "term", "_id", "tf", "dl")
-    pairs = salted_join(plain.unionByName(covered), postings, ["field", "term"], "_id")
+    pairs = request_join(words, postings, ["field", "term"], "_id")
     score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl"))
     return pairs.withColumn("score", score).select(*_UNIT)
 
 
-def _covered_words(clauses: DataFrame, index: TextIndex) -> DataFrame:
+def _covered_words(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
     """Words of the vocabulary that a prefix or near word stands for."""
     vocabulary = index.term_stats.select("field", "term")
-    base = clauses.select(
+    base = clauses.rows.select(
         *_CLAUSE, "occur", "boost", "kind", "k", F.lit(1).alias("n_units"), F.get("terms", F.lit(0)).alias("prefix")
     )
-    prefixes = prefix_matches(base.filter(F.col("kind") == "prefix"), vocabulary, ["field"])
-    near = base.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word")
     columns = [*_CLAUSE, "occur", "boost", "n_units", "term"]
-    return prefixes.select(*columns).unionByName(fuzzy_matches(near, vocabulary, ["field"], MAX_EDITS).select(*columns))
+    parts = []
+    if "prefix" in kinds:
+        stems = base.filter(F.col("kind") == "prefix")
+        parts.append(prefix_matches(stems, vocabulary, ["field"], clauses.small).select(*columns))
+    if "fuzzy" in kinds:
+        near = base.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word")
+        parts.append(fuzzy_matches(near, vocabulary, ["field"], fuzzy_ks, clauses.small).select(*columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _class_weights(covered: DataFrame, index: TextIndex) -> DataFrame:
+def _class_weights(covered: Requests, index: TextIndex) -> DataFrame:
     """Idf of each prefix or near word: documents holding any of its words."""
-    holders = salted_join(covered.select(*_CLAUSE, "term"), index.postings.select("field", "term", "_id"),
-                          ["field", "term"], "_id")
+    lean = Requests(covered.rows.select(*_CLAUSE, "term"), covered.count, covered.small)
+    holders = request_join(lean, index.postings.select("field", "term", "_id"), ["field", "term"], "_id")
     df = holders.select(*_CLAUSE, "_id").distinct().groupBy(*_CLAUSE).agg(F.count(F.lit(1)).alias("df"))
     weight = scoring.idf(F.col("n_docs"), F.col("df"))
     return _with_sizes(df, index).select(*_CLAUSE, weight.alias("class_weight"), "avgdl")
 
 
-def _phrase_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
+def _phrase_units(clauses: Requests, index: TextIndex) -> DataFrame:
     """Phrases: the positions of the words, brought together per document."""
-    words = clauses.filter(F.col("kind") == "phrase").select(
+    words = clauses.rows.filter(F.col("kind") == "phrase").select(
         *_CLAUSE, "occur", "boost", "k", F.size("terms").alias("m"), F.posexplode("terms").alias("j", "term")
     )
     postings = index.postings.select("field", "term", "_id", "dl", "positions")
-    pairs = salted_join(_weighted(words, index), postings, ["field", "term"], "_id")
+    pairs = request_join(settle(_weighted(clauses, index, words)), postings, ["field", "term"], "_id")
     offsets = F.transform("positions", lambda p: p - F.col("j"))
     # A group holds the words of one phrase in one document, so it is bounded by both.
     together = (
@@ -405,23 +434,26 @@ def _phrase_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
     )
 
 
-def _all_units(clauses: DataFrame, index: TextIndex) -> DataFrame:
+def _all_units(clauses: Requests, only_not: DataFrame, index: TextIndex) -> DataFrame:
     """``*``, and the base of queries that only exclude: every indexed document."""
-    wildcard = clauses.filter(F.col("kind") == "all").select("query_id", "clause_id", "occur", "boost").distinct()
-    only_not = (
-        clauses.groupBy("query_id")
-        .agg(F.max(F.when(F.col("occur") == "must_not", 0).otherwise(1)).alias("positive"))
-        .filter(F.col("positive") == 0)
-        .select(
-            "query_id", F.lit(-1).alias("clause_id"), F.lit("should").alias("occur"), F.lit(0.0).alias("boost")
-        )
+    wildcard = clauses.rows.filter(F.col("kind") == "all").select("query_id", "clause_id", "occur", "boost").distinct()
+    excluding = only_not.select(
+        "query_id", F.lit(-1).alias("clause_id"), F.lit("should").alias("occur"), F.lit(0.0).alias("boost")
     )
-    wanted = wildcard.unionByName(only_not).withColumn("_one", F.lit(1))
-    # The ids are gathered only if some query needs them.
-    asked = wanted.agg(F.count(F.lit(1)).alias("n")).scalar()
-    ids = index.postings.filter(asked > 0).select("_id").distinct().withColumn("_one", F.lit(1))
+    # Each document meets each such query: the result itself has that many rows.
+    # The documents stay where they are and the queries come as one array, whose
+    # size was checked, or, if there are too many, as salted rows.
+    wanted = wildcard.unionByName(excluding)
+    ids = index.postings.select("_id").distinct()
+    if clauses.small:
+        listed = wanted.agg(F.collect_list(F.struct("query_id", "clause_id", "occur", "boost")).alias("w")).scalar()
+        pairs = ids.withColumn("w", F.explode(listed)).select("_id", "w.*")
+    else:
+        salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        spread = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
+        pairs = ids.withColumn("_salt", spread).join(wanted.withColumn("_salt", salt), "_salt").drop("_salt")
     nothing = F.lit(None).cast("double")
-    return salted_join(wanted, ids, ["_one"], "_id").select(
+    return pairs.select(
         "query_id", "clause_id", F.lit("*").alias("field"), "occur", "boost", F.lit(1).alias("n_units"), "_id",
         F.lit(1.0).alias("score"), nothing.alias("class_weight"), F.lit(0).alias("tf"), F.lit(0).alias("dl"),
         nothing.alias("avgdl"),

@@ -1,10 +1,28 @@
-"""A local session for tests and benchmarks; on a cluster use the one it provides."""
+"""Sessions for tests and benchmarks, and the folder a job may keep intermediate tables in."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach: the session's checkpoint directory.
+
+    Only where none is set, as in tests on one machine, a new temporary one is made.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if configured is None:
+        configured = context.getCheckpointDir()
+    if configured is None:
+        configured = tempfile.mkdtemp(prefix="docquarry-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured.rstrip("/")
+
+
 def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
