@@ -623,7 +623,6 @@ def _inner_hits(query: q.Nested, f: Field, child, scope: Scope) -> Column:
         columns = [
             (-F.coalesce(compiled.score.cast("double"), F.lit(0.0))).alias("_rank"),
             i.alias("_offset"),
-            compiled.sure_match.alias("_match"),
             compiled.score.cast("double").alias("_score"),
         ]
         columns += [x[n].alias(n) for n in shown]
@@ -638,11 +637,12 @@ def _inner_hits(query: q.Nested, f: Field, child, scope: Scope) -> Column:
                 if target is not None:
                     terms = highlight_terms(hl.query or query.query, child_scope, target.name, hl)
                     columns.append(highlight_column(target.column, terms, hl).alias(f"{target.name}_highlight"))
-        return F.struct(*columns)
+        # Children that do not match are not described, let alone scored.
+        return F.when(compiled.match, F.struct(*columns))
 
-    described = F.filter(F.transform(f.column, describe), lambda s: s["_match"])
+    described = F.array_compact(F.transform(f.column, describe))
     ranked = F.slice(F.sort_array(described), 1, size) if size > 0 else F.slice(described, 1, 0)
-    return F.transform(ranked, lambda s: s.dropFields("_rank", "_match"))
+    return F.transform(ranked, lambda s: s.dropFields("_rank"))
 
 
 def _explanation(query: q.Query, child, x: Column) -> Column:
