@@ -88,7 +88,7 @@ def term_keyword_score(spark, folder):
 
 @query(
     "terms_in",
-    """SELECT o_orderkey, 1.5 AS score FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""",
+    """SELECT o_orderkey, 1.5::DOUBLE AS score FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""",
 )
 def terms_in(spark, folder):
     found = scored(table(spark, folder, "orders"), q.Terms("o_orderpriority", ["1-URGENT", "5-LOW"], boost=1.5))

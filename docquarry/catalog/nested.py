@@ -68,7 +68,7 @@ def _register_score_mode(mode: str, expression: str) -> None:
         return found.select("doc_id", F.round("_score", 6).alias("score"))
 
 
-for _mode, _expression in {"sum": "sum(s)", "avg": "avg(s)", "min": "min(s)", "max": "max(s)", "none": "0.0"}.items():
+for _mode, _expression in {"sum": "sum(s)", "avg": "avg(s)", "min": "min(s)", "max": "max(s)", "none": "0::DOUBLE"}.items():
     _register_score_mode(_mode, _expression)
 
 
@@ -82,7 +82,7 @@ def inner_hits(spark, folder):
     wanted = q.Nested("lines", _LINE_QUERY, inner_hits=q.InnerHits(fields=["line", "no"]))
     found = scored(documents_with_lines(spark, folder), wanted, _LINE_FIELDS)
     hits = found.select("doc_id", F.explode("inner_hits.lines").alias("hit"))
-    return hits.select("doc_id", "hit.no", "hit.line", F.round("hit._score", 6).alias("score"))
+    return hits.select("doc_id", F.col("hit.no").cast("long").alias("no"), "hit.line", F.round("hit._score", 6).alias("score"))
 
 
 # -- children in a table of their own ---------------------------------------------
@@ -132,7 +132,7 @@ def _register_child_score(mode: str, expression: str) -> None:
 
 for _mode, _expression in {
     "sum": "sum(l_quantity)", "avg": "avg(l_quantity)", "min": "min(l_quantity)", "max": "max(l_quantity)",
-    "none": "0.0",
+    "none": "0::DOUBLE",
 }.items():
     _register_child_score(_mode, _expression)
 

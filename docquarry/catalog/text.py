@@ -78,7 +78,7 @@ def term_on_text(spark, folder):
 
 @query(
     "constant_score",
-    f"""SELECT doc_id, 3.5 AS score FROM documents WHERE list_contains({tokens_sql('text')}, 'enlich')""",
+    f"""SELECT doc_id, 3.5::DOUBLE AS score FROM documents WHERE list_contains({tokens_sql('text')}, 'enlich')""",
 )
 def constant_score(spark, folder):
     return _scores(spark, folder, q.ConstantScore(q.Match("text", "enlich"), boost=3.5))
