@@ -80,7 +80,7 @@ FLAGS = ("and", "or", "not", "prefix", "phrase", "escape", "whitespace", "fuzzy"
 class QueryStrings:
     """How a column of flat query strings is read.
 
-    ``syntax`` is ``lucene`` (``AND OR NOT``, ``field:term``, ``^boost``) or
+    ``syntax`` is ``full`` (``AND OR NOT``, ``field:term``, ``^boost``) or
     ``simple`` (``+ | -``).  ``fields`` with ``boosts`` are searched where a part
     names no field.  ``flags`` (simple syntax) says which operators are active;
     the characters of the others are plain text.
@@ -88,7 +88,7 @@ class QueryStrings:
 
     fields: list[str]
     boosts: list[float] | None = None
-    syntax: str = "lucene"
+    syntax: str = "full"
     default_operator: str = "or"
     analyzer: str = "standard"
     flags: list[str] | None = None
@@ -99,7 +99,7 @@ class QueryStrings:
             raise ValueError("query strings need at least one field")
         if self.boosts and len(self.boosts) != len(self.fields):
             raise ValueError(f"{len(self.fields)} fields but {len(self.boosts)} boosts")
-        if self.syntax not in ("lucene", "simple"):
+        if self.syntax not in ("full", "simple"):
             raise ValueError(f"unknown syntax {self.syntax!r}")
         if self.default_operator.lower() not in ("or", "and"):
             raise ValueError(f"unknown operator {self.default_operator!r}; expected 'or' or 'and'")
@@ -145,10 +145,10 @@ def clause_rows(strings: DataFrame, spec: QueryStrings) -> DataFrame:
 
 # The operators of the two syntaxes, and the parts of a string.
 _WORDS = {
-    "lucene": {"and": ["AND", "&&"], "or": ["OR", "||"], "not": ["NOT", "!"]},
+    "full": {"and": ["AND", "&&"], "or": ["OR", "||"], "not": ["NOT", "!"]},
     "simple": {"and": ["+"], "or": ["|"], "not": ["-"]},
 }
-_SIGNS = {"lucene": {"and": "+", "or": "", "not": "-"}, "simple": {"and": "+", "or": "|", "not": "-"}}
+_SIGNS = {"full": {"and": "+", "or": "", "not": "-"}, "simple": {"and": "+", "or": "|", "not": "-"}}
 _PHRASE = r'"[^"]*"(?:~\d+)?(?:\^[\d.]+)?'
 
 
@@ -204,7 +204,7 @@ def _without_sign(spec: QueryStrings, c: Column) -> Column:
 
 def _without_boost(spec: QueryStrings, c: Column) -> Column:
     body, boost = c["body"], F.lit(1.0)
-    if spec.syntax == "lucene":
+    if spec.syntax == "full":
         boost = F.coalesce(F.regexp_extract(body, r"\^([\d.]+)$", 1).try_cast("double"), boost)
         body = F.regexp_replace(body, r"\^[\d.]+$", "")
     return F.struct(body.alias("body"), c["occur"].alias("occur"), boost.alias("boost"))
@@ -212,7 +212,7 @@ def _without_boost(spec: QueryStrings, c: Column) -> Column:
 
 def _without_field(spec: QueryStrings, c: Column) -> Column:
     body, field = c["body"], F.lit("")
-    if spec.syntax == "lucene":
+    if spec.syntax == "full":
         # ``*:*`` names no field, as its star is no word character.
         field = F.regexp_extract(body, r"^([\w.]+):(?=.)", 1)
         body = F.regexp_replace(body, r"^[\w.]+:(?=.)", "")
@@ -469,5 +469,5 @@ def search_strings(strings: DataFrame, index: TextIndex, spec: QueryStrings, n:
         n,
         spec.default_operator,
         spec.minimum_should_match,
-        "max" if spec.syntax == "lucene" else "sum",
+        "max" if spec.syntax == "full" else "sum",
     )

@@ -18,7 +18,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def three(spark):
-    """The three small documents of the reference's own tests."""
+    """Three small documents of mixed types."""
     return spark.createDataFrame(
         [
             ("42", "The social behaviour of many mammals are quite intricated.", ["animals", "biology"], 1, False),
