@@ -1,4 +1,4 @@
 """Importing this module registers the queries of all operators."""
 
-from . import near_dedup  # noqa: F401
+from . import decontamination, near_dedup  # noqa: F401
 from .common import QUERIES, SQL  # noqa: F401
