@@ -1,4 +1,4 @@
 """Importing this module registers the queries of all operators."""
 
-from . import decontamination, near_dedup, packing  # noqa: F401
+from . import decontamination, language_id, near_dedup, packing, toxicity  # noqa: F401
 from .common import QUERIES, SQL  # noqa: F401
