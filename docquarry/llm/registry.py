@@ -1,4 +1,12 @@
 """Importing this module registers the queries of all operators."""
 
-from . import decontamination, language_id, near_dedup, packing, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    decontamination,
+    language_id,
+    language_model,
+    near_dedup,
+    packing,
+    topk_search,
+    toxicity,
+)
 from .common import QUERIES, SQL  # noqa: F401
