@@ -1,6 +1,7 @@
 """Importing this module registers the queries of all operators."""
 
 from . import (  # noqa: F401
+    chat_format,
     decontamination,
     language_id,
     language_model,
