@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     decontamination,
     language_id,
     language_model,
+    line_dedup,
     near_dedup,
     packing,
     topk_search,
