@@ -59,8 +59,9 @@ def _block_keys(distance: int, blocks: int) -> Column:
 def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, line_no, k, k2, words, norm) of every line of at least ``min_words`` words; k and k2
     together are a 128-bit name of the normalised line."""
+    # The outer form of explode: the inner one would add a filter that computes the array again.
     lines = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line")
+        F.col(id_col).cast("long").alias("doc_id"), F.posexplode_outer(F.split(text_col, "\n", -1)).alias("line_no", "line")
     )
     lines = lines.select("doc_id", "line_no", normalised(F.col("line")).alias("norm"))
     words = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1
@@ -79,7 +80,7 @@ def fingerprints(lines: DataFrame) -> DataFrame:
         F.min(first).alias("first"), F.count("*").alias("n"), F.first("norm").alias("norm"), F.first("words").alias("words")
     )
     split = distinct.select(
-        "k", "k2", "words", F.length("norm").alias("chars"), "first", "n", F.explode(F.split("norm", " ")).alias("word")
+        "k", "k2", "words", F.length("norm").alias("chars"), "first", "n", F.explode_outer(F.split("norm", " ")).alias("word")
     )
     hashed = split.select("k", "k2", "words", "chars", "first.*", "n", F.xxhash64("word").alias("hash"))
     keep = [F.max(c).alias(c) for c in ("words", "chars", "doc_id", "line_no", "n")]

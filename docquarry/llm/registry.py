@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     decontamination,
     language_id,
     language_model,
+    license_scan,
     line_dedup,
     near_dedup,
     packing,
