@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import array
 import zlib
 from collections.abc import Iterator
 
@@ -13,26 +14,35 @@ from pyspark.sql import functions as F
 from .common import materialise, query, table
 
 _LOADED: dict = {}
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+#: Byte-level tokenizers write each byte as a letter: printable ones as themselves, the others from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
 def id_kind(tokenizer) -> str:
-    """Ids are kept in 16 bits where the vocabulary allows it."""
-    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+    """Ids are kept in 16 bits where the vocabulary allows it, else in 32 (as codes of ``array`` and numpy)."""
+    return "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
 
-class Encoder:
-    """Ids of texts by a tokenizer file, with a cache of white-space separated chunks.
+class Encoder(dict):
+    """Ids of texts by a tokenizer file, remembering each white-space separated chunk's ids.
 
-    For a tokenizer that treats white space as a separator only (as ``word_bpe_49k.json``), a text's
-    ids are its chunks' ids one after another, so each chunk of a task is encoded once.  The cache
-    is dropped when it holds ``most`` chunks.
+    For a tokenizer like ``word_bpe_49k.json`` (NFC, lower case, white space only a separator, words of
+    letters, byte-level BPE) a text's ids are its chunks' ids one after another, so each chunk of a
+    task is encoded once.  All is forgotten when there are more than ``most`` chunks.
+
+    A chunk that is one word of plain letters, perhaps with marks behind it, goes to the tokenizer's
+    model at once: for letters below U+0180 (but the dotted capital I) its normalisation is
+    lower-casing and its pre-tokenisation one word.  All others are encoded in full.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
-        self.kind = id_kind(self.tokenizer)
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.kind, self.model = id_kind(self.tokenizer), self.tokenizer.model
+        self.words, self.marks = {}, {"": b""}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -40,21 +50,38 @@ class Encoder:
             _LOADED[path] = cls(path)
         return _LOADED[path]
 
-    def _learn(self, new: list[str]) -> None:
-        for encoding, chunk in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new):
-            self.known[chunk] = np.array(encoding.ids, self.kind).tobytes()
+    def _in_full(self, text: str) -> bytes:
+        return array.array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = self.words[word] = array.array(self.kind, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk.rstrip(_MARKS)
+        if word.isalpha() and max(word) < "\u0180" and "\u0130" not in word:
+            marks = chunk[len(word) :]
+            if marks not in self.marks:
+                self.marks[marks] = self._in_full(marks)
+            ids = self._word(word.lower()) + self.marks[marks]
+        else:
+            ids = self._in_full(chunk)
+        self[chunk] = ids
+        return ids
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """Little-endian ids of each text, with ``end_id`` after each; null is empty."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        end, out, known = np.array([end_id], self.kind).tobytes(), [], self.known
-        chunked = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*chunked).difference(known)
-        if new:
-            self._learn(list(new))
-        for chunks in chunked:
-            out.append(b"".join([known[c] for c in chunks]) + end)
+        end, out = array.array(self.kind, [end_id]).tobytes(), []
+        for text in texts:
+            if len(self) > self.most:
+                self.clear()
+                self.words.clear()
+                self.marks = {"": b""}
+            chunks = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            out.append(b"".join(map(self.__getitem__, chunks)) + end)
         return out
 
 

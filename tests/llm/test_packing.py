@@ -48,7 +48,8 @@ def test_query(spark, folder, documents, tokenizer):
 def test_chunks_encode_as_whole_texts(tokenizer):
     texts = [
         "It's a DOG's  life here\x1cthere x", "café ́x", "a<|endoftext|>b <|startoftext|>", "a" * 3000,
-        "İstanbul ΟΔΟΣ ΟΔΟΣ, don't 'll 's", "퟿\n\t\r\n 12345 ##!? 漢字かな", "", " ", "x\x0bz\x0cy\x85w",
+        "Éclair, ÑANDÚ. straße; ŠĄŻĿŉſ! Ÿ? ǅ word.. .word a., ª º µ ÆØ, Ǆ. x² don't. It's, ĳĲ,", "éé e\u0301é, ÀÉ.",
+        "İstanbul İ, ΟΔΟΣ ΟΔΟΣ, don't 'll 's", "퟿\n\t\r\n 12345 ##!? 漢字かな", "", " ", "x\x0bz\x0cy\x85w",
     ]
     got = Encoder(PATH).encode(texts, 1)
     for text, ids in zip(texts, got):
