@@ -73,13 +73,21 @@ def batch_search_all_terms(spark, folder):
 
 
 # -- query strings --------------------------------------------------------------------
-# Each benchmark text yields strings made of its first words, so their number
-# follows the table.
+# Each benchmark text is cut into runs of four words, the last one filled up from the
+# text's beginning, and every run gives one string.  So all words of all texts are used.
 
-def _first_words(spark, folder, n=4):
+def _runs(spark, folder):
     words = analysis.tokens(F.col("text"))
-    rows = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), words.alias("w"))
-    return rows.filter(F.size("w") >= n)
+    rows = table(spark, folder, "benchmark").select("item_id", words.alias("all")).filter(F.size("all") > 0)
+    rows = rows.select("item_id", "all", F.explode(F.sequence(F.lit(0), F.size("all") - 1, F.lit(4))).alias("at"))
+    four = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: F.get("all", (F.col("at") + j) % F.size("all")))
+    return rows.select(F.concat_ws("-", "item_id", "at").alias("query_id"), four.alias("w"))
+
+
+def _asked(spark, folder, build):
+    """One string per run, made by ``build`` from its four words."""
+    w = [F.col("w")[i] for i in range(4)]
+    return _runs(spark, folder).select("query_id", F.concat(*[F.lit(x) if isinstance(x, str) else x for x in build(w)]).alias("query"))
 
 
 def _string_result(found):
@@ -87,8 +95,10 @@ def _string_result(found):
 
 
 _FIRST = f"""{_POSTINGS},
-    parts AS (SELECT item_id AS query_id, {tokens_sql('text')} AS w FROM benchmark),
-    asked AS (SELECT query_id, w[1] AS a, w[2] AS b, w[3] AS c, w[4] AS d FROM parts WHERE len(w) >= 4)"""
+    parts AS (SELECT item_id, {tokens_sql('text')} AS w FROM benchmark),
+    runs AS (SELECT item_id, w, unnest(range(0, len(w), 4)) AS i FROM parts WHERE len(w) > 0),
+    asked AS (SELECT item_id || '-' || i AS query_id, w[1 + i] AS a, w[1 + (i + 1) % len(w)] AS b,
+                     w[1 + (i + 2) % len(w)] AS c, w[1 + (i + 3) % len(w)] AS d FROM runs)"""
 
 _RANKED = """ranked AS (SELECT query_id, doc_id, s,
                      row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, doc_id) AS rank FROM total)
@@ -101,72 +111,70 @@ _RANKED = """ranked AS (SELECT query_id, doc_id, s,
         must AS (SELECT query_id, doc_id, s FROM asked JOIN sc ON term = a),
         should AS (SELECT query_id, doc_id, 2 * s AS s FROM asked JOIN sc ON term = b),
         must_not AS (SELECT query_id, doc_id FROM asked JOIN sc ON term = c),
-        total AS (SELECT query_id, doc_id, m.s + coalesce(o.s, 0) AS s
-                  FROM must m LEFT JOIN should o USING (query_id, doc_id) ANTI JOIN must_not USING (query_id, doc_id)),
+        more AS (SELECT query_id, doc_id, s FROM asked JOIN sc ON term = d),
+        total AS (SELECT query_id, doc_id, m.s + coalesce(o.s, 0) + coalesce(p.s, 0) AS s
+                  FROM must m LEFT JOIN should o USING (query_id, doc_id) LEFT JOIN more p USING (query_id, doc_id)
+                  ANTI JOIN must_not USING (query_id, doc_id)),
         {_RANKED}""",
 )
 def query_strings(spark, folder):
-    """Required, optional (boosted) and excluded words."""
-    w = [F.col("w")[i] for i in range(3)]
-    text = F.concat(F.lit("+"), w[0], F.lit(" "), w[1], F.lit("^2 -"), w[2])
-    strings = _first_words(spark, folder).select("query_id", text.alias("query"))
+    """Required, optional (one boosted) and excluded words."""
+    strings = _asked(spark, folder, lambda w: ("+", w[0], " ", w[1], "^2 -", w[2], " ", w[3]))
     return _string_result(search_strings(strings, document_index(spark, folder), QueryStrings(["text"])))
 
 
 @query(
     "query_strings_phrase",
     f"""WITH {_FIRST},
-        pairs AS (SELECT query_id, x.doc_id, max(x.dl) AS dl, count(*) AS tf
-                  FROM asked JOIN every x ON x.term = a JOIN every y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 AND y.term = b
-                  GROUP BY query_id, x.doc_id),
-        weight AS (SELECT query_id, ln(1 + (n - p.df + 0.5) / (p.df + 0.5)) + ln(1 + (n - r.df + 0.5) / (r.df + 0.5)) AS w
-                   FROM asked JOIN df p ON p.term = a JOIN df r ON r.term = b, size),
-        phrase AS (SELECT query_id, doc_id, 2.2 * w * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS s
-                   FROM pairs JOIN weight USING (query_id), size),
-        word AS (SELECT query_id, doc_id, s FROM asked JOIN sc ON term = d),
-        total AS (SELECT query_id, doc_id, sum(s) AS s
-                  FROM (SELECT * FROM phrase UNION ALL SELECT * FROM word) GROUP BY ALL),
+        phrases AS (SELECT query_id, 1 AS k, a AS x, b AS y FROM asked UNION ALL SELECT query_id, 2, c, d FROM asked),
+        pairs AS (SELECT query_id, k, p.doc_id, max(p.dl) AS dl, count(*) AS tf
+                  FROM phrases JOIN every p ON p.term = x JOIN every r ON r.doc_id = p.doc_id AND r.pos = p.pos + 1 AND r.term = y
+                  GROUP BY ALL),
+        weight AS (SELECT query_id, k, ln(1 + (n - p.df + 0.5) / (p.df + 0.5)) + ln(1 + (n - r.df + 0.5) / (r.df + 0.5)) AS w
+                   FROM phrases JOIN df p ON p.term = x JOIN df r ON r.term = y, size),
+        total AS (SELECT query_id, doc_id, sum(2.2 * w * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS s
+                  FROM pairs JOIN weight USING (query_id, k), size GROUP BY ALL),
         {_RANKED}""",
 )
 def query_strings_phrase(spark, folder):
-    """A phrase or a word, with the field named for the phrase."""
-    w = [F.col("w")[i] for i in range(4)]
-    text = F.concat(F.lit('text:"'), w[0], F.lit(" "), w[1], F.lit('" OR '), w[3])
-    strings = _first_words(spark, folder).select("query_id", text.alias("query"))
+    """One phrase or another, with the field named for the first."""
+    strings = _asked(spark, folder, lambda w: ('text:"', w[0], " ", w[1], '" OR "', w[2], " ", w[3], '"'))
     return _string_result(search_strings(strings, document_index(spark, folder), QueryStrings(["text"])))
 
 
-@query(
-    "query_strings_prefix",
-    f"""WITH {_FIRST},
-        stems AS (SELECT DISTINCT query_id, substr(a, 1, 3) AS stem FROM asked),
-        covered AS (SELECT query_id, term FROM stems JOIN df ON starts_with(term, stem)),
-        hits AS (SELECT query_id, doc_id, max(dl) AS dl, sum(tf) AS tf FROM covered JOIN tf USING (term) GROUP BY ALL),
-        freq AS (SELECT query_id, count(*) AS df FROM hits GROUP BY query_id),
-        total AS (SELECT query_id, doc_id, {bm25_sql('tf', 'df')} AS s FROM hits JOIN freq USING (query_id), size),
-        {_RANKED}""",
-)
+def _classes_sql(condition: str) -> str:
+    """Each of the four words stands for the terms under a condition on ``w`` and ``term``."""
+    return f"""
+        words AS (SELECT query_id, unnest([1, 2, 3, 4]) AS i, unnest([a, b, c, d]) AS w FROM asked),
+        covered AS (SELECT w, term FROM (SELECT DISTINCT w FROM words) JOIN df ON {condition}),
+        hits AS (SELECT w, doc_id, max(dl) AS dl, sum(tf) AS tf FROM covered JOIN tf USING (term) GROUP BY ALL),
+        freq AS (SELECT w, count(*) AS df FROM hits GROUP BY w),
+        scores AS (SELECT w, doc_id, {bm25_sql('tf', 'df')} AS s FROM hits JOIN freq USING (w), size),
+        total AS (SELECT query_id, doc_id, sum(s) AS s FROM words JOIN scores USING (w) GROUP BY ALL)"""
+
+
+@query("query_strings_prefix", f"WITH {_FIRST}, {_classes_sql('starts_with(term, substr(w, 1, 3))')}, {_RANKED}")
 def query_strings_prefix(spark, folder):
-    text = F.concat(F.substring(F.col("w")[0], 1, 3), F.lit("*"))
-    strings = _first_words(spark, folder).select("query_id", text.alias("query"))
+    """The first three letters of every word as a prefix."""
+    strings = _asked(
+        spark, folder, lambda w: [x for v in w for x in (F.substring(v, 1, 3), "* ")]
+    )
     return _string_result(search_strings(strings, document_index(spark, folder), QueryStrings(["text"])))
 
 
 @query(
     "query_strings_simple",
     f"""WITH {_FIRST},
-        words AS (SELECT query_id, unnest([a, b]) AS term, unnest([1, 2]) AS i FROM asked),
+        words AS (SELECT query_id, unnest([a, b, c]) AS term, unnest([1, 2, 3]) AS i FROM asked),
         must AS (SELECT query_id, doc_id, sum(3 * s) AS s FROM words JOIN sc USING (term)
-                 GROUP BY ALL HAVING count(*) = 2),
+                 GROUP BY ALL HAVING count(*) = 3),
         must_not AS (SELECT query_id, doc_id FROM asked JOIN sc ON term = d),
         total AS (SELECT * FROM must ANTI JOIN must_not USING (query_id, doc_id)),
         {_RANKED}""",
 )
 def query_strings_simple(spark, folder):
-    """The simple syntax: ``a + b -d``, the prefix operator switched off."""
-    w = [F.col("w")[i] for i in range(4)]
-    text = F.concat(w[0], F.lit(" + "), w[1], F.lit("* -"), w[3])
-    strings = _first_words(spark, folder).select("query_id", text.alias("query"))
+    """The simple syntax: ``a + b* + c -d``, the prefix operator switched off."""
+    strings = _asked(spark, folder, lambda w: (w[0], " + ", w[1], "* + ", w[2], " -", w[3]))
     spec = QueryStrings(["text"], [3.0], syntax="simple", flags=["AND", "NOT", "WHITESPACE"])
     return _string_result(search_strings(strings, document_index(spark, folder), spec))
 
@@ -174,15 +182,26 @@ def query_strings_simple(spark, folder):
 @query("query_strings_fuzzy")
 def query_strings_fuzzy(spark, folder):
     """Words one edit away; the SQL distance counts bytes, so this is checked by a test instead."""
-    text = F.concat(F.col("w")[0], F.lit("~1"))
-    strings = _first_words(spark, folder).select("query_id", text.alias("query"))
+    strings = _asked(spark, folder, lambda w: [x for v in w for x in (v, "~1 ")])
     return _string_result(search_strings(strings, document_index(spark, folder), QueryStrings(["text"])))
 
 
 @query("query_strings_sloppy")
 def query_strings_sloppy(spark, folder):
     """Phrases with gaps; checked against the single-query form by a test."""
-    w = [F.col("w")[i] for i in range(3)]
-    text = F.concat(F.lit('"'), w[0], F.lit(" "), w[1], F.lit(" "), w[2], F.lit('"~4'))
-    strings = _first_words(spark, folder).select("query_id", text.alias("query"))
+    strings = _asked(spark, folder, lambda w: ('"', w[0], " ", w[1], " ", w[2], " ", w[3], '"~4'))
     return _string_result(search_strings(strings, document_index(spark, folder), QueryStrings(["text"])))
+
+
+@query(
+    "query_strings_all",
+    f"""WITH {_POSTINGS}, numbers AS (SELECT doc_id FROM documents),
+        nots AS (SELECT DISTINCT doc_id FROM tf WHERE term = 'the')
+        SELECT 'all' AS query_id, doc_id AS _id, 1.0 AS score FROM numbers
+        UNION ALL SELECT 'not', doc_id, 0.0 FROM numbers ANTI JOIN nots USING (doc_id)""",
+)
+def query_strings_all(spark, folder):
+    """``*`` and a purely negative string: every document counts, also one without words."""
+    strings = spark.createDataFrame([("all", "*"), ("not", "-the")], "query_id string, query string")
+    found = search_strings(strings, document_index(spark, folder), QueryStrings(["text"]), None)
+    return found.select("query_id", "_id", F.round("_score", 6).alias("score"))

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import queries as q
 from ..plans.index import refresh_index
 from ..sources.documents import upsert, with_ids
-from ..sources.store import DocumentStore
-from ..streaming.ingest import standing_query, standing_scores, upsert_stream
+from ..streaming.ingest import append_changes, standing_query, standing_scores
 from .base import document_index, query, shared_folder, table, term_scores_sql, tokens_sql
 
 # A change set derived from the orders: every finished order is repriced, twice, and
@@ -51,8 +50,15 @@ def _changes(spark, folder):
     )
 
 
-def _new_store(spark, name):
-    return DocumentStore(spark, shared_folder(spark), f"{name}-{uuid.uuid4().hex}", "o_orderkey")
+def _place(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _written(df, name):
+    """The rows as a table of Parquet files."""
+    path = _place(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @query("upsert_last_wins", _UPSERTED)
@@ -62,38 +68,51 @@ def upsert_last_wins(spark, folder):
 
 @query("store_upsert", _UPSERTED)
 def store_upsert(spark, folder):
-    """The same through a store: a base, one delta, merged when read."""
-    store = _new_store(spark, "upsert")
-    # Ids are kept as numbers here, so the documents go in as they are.
-    store.commit(store.index_documents(_orders(spark, folder)))
-    store.commit(store.index_documents(_changes(spark, folder), "seq"))
-    return store.read().select("o_orderkey", "o_totalprice", "o_orderstatus")
+    """The same over written tables: a base and a load of changes, merged when read."""
+    base, changes = _written(_orders(spark, folder), "base"), _written(_changes(spark, folder), "changes")
+    return upsert(base, changes, "o_orderkey", "seq").select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
 @query("store_uncommitted_hidden", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def store_uncommitted_hidden(spark, folder):
-    store = _new_store(spark, "hidden")
-    store.commit(store.index_documents(_orders(spark, folder)))
-    store.index_documents(_changes(spark, folder), "seq")
-    return store.read()
+    """A load written beside the base does not show until a reader merges it."""
+    base = _written(_orders(spark, folder), "base")
+    _written(_changes(spark, folder), "changes")
+    return base
 
 
 @query("store_clear", "SELECT count(*) AS deleted, 0 AS left FROM orders".replace("left", '"left"'))
 def store_clear(spark, folder):
-    store = _new_store(spark, "clear")
-    store.commit(store.index_documents(_orders(spark, folder)))
-    deleted = store.clear()
-    left = store.read().agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
-    return deleted.withColumn("left", left)
+    """A table is cleared by writing no rows over it."""
+    base = _written(_orders(spark, folder), "base")
+    path = _place(spark, "cleared")
+    base.write.parquet(path)
+    deleted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("deleted")).first()[0]
+    base.limit(0).write.mode("overwrite").parquet(path)
+    left = spark.read.schema(base.schema).parquet(path)
+    return left.agg(F.lit(deleted).cast("long").alias("deleted"), F.count(F.lit(1)).cast("int").alias("left"))
 
 
 @query("store_compact", _UPSERTED)
 def store_compact(spark, folder):
-    store = _new_store(spark, "compact")
-    store.commit(store.index_documents(_orders(spark, folder)))
-    store.commit(store.index_documents(_changes(spark, folder), "seq"))
-    store.compact()
-    return store.read().select("o_orderkey", "o_totalprice", "o_orderstatus")
+    """Base and changes written as one new table."""
+    merged = upsert(_orders(spark, folder), _changes(spark, folder), "o_orderkey", "seq")
+    return _written(merged.select("o_orderkey", "o_totalprice", "o_orderstatus"), "merged")
+
+
+@query(
+    "json_documents",
+    """SELECT lang AS _id, doc_id, "text", n_chars FROM documents WHERE lang IS NOT NULL""",
+)
+def json_documents(spark, folder):
+    """All documents written as JSON and read back; the id is the name of the folder or file read."""
+    docs = table(spark, folder, "documents").where("lang is not null").select("doc_id", "text", "n_chars", "lang")
+    path = _place(spark, "json")
+    docs.write.partitionBy("lang").json(path)
+    schema = docs.select("doc_id", "text", "n_chars").schema
+    return spark.read.schema(schema).json(path).select(
+        F.regexp_extract("_metadata.file_path", "lang=([^/]*)/", 1).alias("_id"), "doc_id", "text", "n_chars"
+    )
 
 
 @query("generated_ids", "SELECT count(*) AS n, count(*) AS distinct_ids FROM documents")
@@ -120,9 +139,9 @@ def refresh_postings(spark, folder):
 # -- streams ----------------------------------------------------------------------------
 
 def _stream(spark, folder, name):
-    schema = table(spark, folder, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.option("maxFilesPerTrigger", 1).parquet(folder)
+    # The pattern finds the table as one file and as a folder of files.
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    return reader.option("maxFilesPerTrigger", 1).parquet(f"{folder}/{name}.parque[t]")
 
 
 def _run(writer, spark):
@@ -136,14 +155,13 @@ def _run(writer, spark):
        UNION ALL SELECT o_orderkey, o_totalprice / 2, 'S' FROM orders WHERE o_orderstatus = 'F'""",
 )
 def stream_upsert(spark, folder):
-    """Orders in a store are overwritten by a stream of repriced ones."""
-    store = _new_store(spark, "stream")
-    store.commit(store.index_documents(_orders(spark, folder)))
+    """Orders overwritten by a stream of repriced ones: the stream appends, the reader merges."""
     stream = _stream(spark, folder, "orders").filter(F.col("o_orderstatus") == "F").select(
         "o_orderkey", (F.col("o_totalprice") / 2).alias("o_totalprice"), F.lit("S").alias("o_orderstatus")
     )
-    _run(upsert_stream(stream, store, f"{store.path}/checkpoint"), spark)
-    return store.read()
+    path = _place(spark, "stream")
+    _run(append_changes(stream, f"{path}/changes", f"{path}/checkpoint"), spark)
+    return upsert(_orders(spark, folder), spark.read.schema(stream.schema).parquet(f"{path}/changes"), "o_orderkey")
 
 
 @query(

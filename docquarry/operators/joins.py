@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
@@ -36,7 +36,9 @@ def settle(rows: DataFrame) -> Requests:
     """
     shared_folder(rows.sparkSession)
     kept = rows.checkpoint(eager=True)
-    text = [F.coalesce(F.length(f.name), F.lit(0)) for f in kept.schema if f.dataType.typeName() == "string"]
+    # Arrays and structs count with the length of their text form.
+    sized = [f.name for f in kept.schema if f.dataType.typeName() in ("string", "array", "struct", "map")]
+    text = [F.coalesce(F.length(F.col(name).cast("string")), F.lit(0)) for name in sized]
     width = F.lit(16 * len(kept.columns))
     for length in text:
         width = width + 4 * length
@@ -71,22 +73,33 @@ def prefix_matches(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], sm
     return cut.join(F.broadcast(wanted) if small else wanted, [*keys, "_len", "prefix"]).drop("_len")
 
 
-def _deletions(term, k: int):
-    """``term`` and all its forms with up to ``k`` characters left out."""
-    def shorter(word):
-        return F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1))),
-            lambda i: F.concat(
-                F.substring(word, F.lit(1), i - F.lit(1)), F.substring(word, i + F.lit(1), F.length(word))
-            ),
-        )
+def _word_pieces(word: Column, k: int) -> Column:
+    """A word cut into k + 1 pieces: (length of the word, number of the piece, piece)."""
+    n = F.length(word)
+    return F.array(*[_piece(word, n, p, k, F.lit(0)) for p in range(k + 1)])
 
-    forms = F.array(term)
-    layer = forms
-    for _ in range(k):
-        layer = F.array_distinct(F.flatten(F.transform(layer, shorter)))
-        forms = F.array_union(forms, layer)
-    return forms
+
+def _piece(text: Column, n: Column, p: int, k: int, shift: Column) -> Column:
+    """What stands in ``text`` where piece ``p`` of a word of ``n`` letters stands, ``shift`` letters on."""
+    start, end = F.floor(n * p / (k + 1)), F.floor(n * (p + 1) / (k + 1))
+    inside = (start + shift >= 0) & (end + shift <= F.length(text))
+    piece = F.substring(text, (start + shift + 1).cast("int"), (end - start).cast("int"))
+    return F.when(inside, F.struct(n.alias("n"), F.lit(p).alias("p"), piece.alias("piece")))
+
+
+def _term_pieces(term: Column, k: int, lengths: Column) -> Column:
+    """All pieces through which a word of one of ``lengths`` letters can be at most k edits away.
+
+    Their number depends on k alone, not on the length of the term.
+    """
+    near = F.sequence(F.length(term) - k, F.length(term) + k)
+    shifts = F.sequence(F.lit(-k), F.lit(k))
+
+    def of_length(n: Column) -> Column:
+        return F.flatten(F.transform(shifts, lambda d: F.array(*[_piece(term, n, p, k, d) for p in range(k + 1)])))
+
+    found = F.flatten(F.transform(F.array_intersect(near, lengths), of_length))
+    return F.array_distinct(F.filter(found, lambda x: x.isNotNull()))
 
 
 def fuzzy_matches(
@@ -94,9 +107,8 @@ def fuzzy_matches(
 ) -> DataFrame:
     """Rows of ``vocabulary`` whose ``term`` is within ``wanted.k`` edits of ``wanted.word``.
 
-    Two words at most k edits apart share a form with at most k characters left
-    out of each, so joining on those forms finds every pair; the distance is
-    then checked.  Each k of ``ks`` has its own join, as forms multiply with k.
+    k edits leave one of k + 1 pieces of a word whole, at most k letters from its place.  Joining
+    on the pieces finds every pair; the distance is then checked.
     """
     found = None
     for k in ks:
@@ -106,12 +118,12 @@ def fuzzy_matches(
 
 
 def _within(wanted: DataFrame, vocabulary: DataFrame, keys: list[str], k: int, small: bool) -> DataFrame:
-    length = F.length("word")
-    reach = wanted.agg(F.struct(F.min(length - k).alias("low"), F.max(length + k).alias("high")).alias("r")).scalar()
-    # Terms too short or too long for every word are left out; all, if there is no word.
-    vocabulary = vocabulary.filter(F.length("term").between(reach["low"], reach["high"]))
-    left = wanted.withColumn("_form", F.explode(_deletions(F.col("word"), k)))
-    right = vocabulary.withColumn("_form", F.explode(_deletions(F.col("term"), k)))
-    pairs = right.join(F.broadcast(left) if small and k <= 1 else left, [*keys, "_form"]).drop("_form")
-    near = pairs.filter(F.levenshtein(F.col("word"), F.col("term")) <= k)
+    # The lengths in use are one small array, bounded by the longest word.
+    lengths = wanted.agg(F.collect_set(F.length("word")).alias("n")).scalar()
+    left = wanted.withColumn("_piece", F.explode(_word_pieces(F.col("word"), k)))
+    right = vocabulary.withColumn("_lengths", lengths)
+    pieces = _term_pieces(F.col("term"), k, F.col("_lengths"))
+    right = right.withColumn("_piece", F.explode_outer(pieces)).drop("_lengths")
+    pairs = right.join(F.broadcast(left) if small else left, [*keys, "_piece"]).drop("_piece")
+    near = pairs.filter(F.levenshtein(F.col("word"), F.col("term"), k) >= 0)
     return near.dropDuplicates([*wanted.columns, "term"])

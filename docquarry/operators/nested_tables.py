@@ -13,15 +13,15 @@ from .topn import top_n_per_group
 def with_matching_child(
     parents: DataFrame, children: DataFrame, key: str, query: q.Query, text_fields: dict[str, str] | None = None
 ) -> DataFrame:
-    """Parents with at least one matching child (semi join)."""
-    return parents.join(matching(children, query, text_fields).select(key), key, "left_semi")
+    """Parents with at least one matching child (semi join); a parent's children count once before the shuffle."""
+    return parents.join(matching(children, query, text_fields).select(key).distinct(), key, "left_semi")
 
 
 def without_matching_child(
     parents: DataFrame, children: DataFrame, key: str, query: q.Query, text_fields: dict[str, str] | None = None
 ) -> DataFrame:
     """Parents without any matching child (anti join)."""
-    return parents.join(matching(children, query, text_fields).select(key), key, "left_anti")
+    return parents.join(matching(children, query, text_fields).select(key).distinct(), key, "left_anti")
 
 
 def score_by_children(

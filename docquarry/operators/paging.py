@@ -109,12 +109,13 @@ def count_hits(matched: DataFrame) -> DataFrame:
 
 
 def total_hits(matched: DataFrame, track_up_to: int | None = None) -> DataFrame:
-    """One row ``(value, relation)``; counting stops just above the ceiling."""
+    """One row ``(value, relation)``; the value is at most the ceiling.
+
+    A plain count sends one number per partition, where a limit would gather rows.
+    """
     if track_up_to is None:
         return matched.agg(F.count(F.lit(1)).alias("value")).withColumn("relation", F.lit("EQUAL_TO"))
-    seen = matched.select(F.lit(1).alias("one")).limit(track_up_to + 1)
-    n = F.count(F.lit(1))
-    return seen.agg(n.alias("n")).select(
+    return matched.agg(F.count(F.lit(1)).alias("n")).select(
         F.least(F.col("n"), F.lit(track_up_to).cast("long")).alias("value"),
         F.when(F.col("n") > track_up_to, F.lit("GREATER_THAN_OR_EQUAL_TO"))
         .otherwise(F.lit("EQUAL_TO"))

@@ -78,9 +78,12 @@ def suggest_batch(
     keyed = options.withColumn("_len", F.explode(F.sequence(F.lit(0), F.length("text"))))
     keyed = keyed.join(lengths, "_len", "left_semi")
     keyed = keyed.withColumn("_prefix", F.substring(F.lower(F.col("text")), F.lit(1), F.col("_len")))
-    found = wanted.join(keyed, ["_len", "_prefix"]).drop("_len", "_prefix")
+    # Only values under a wanted prefix stay, and of those the best of each prefix,
+    # before they are spread to the requests that ask for it.
+    keyed = keyed.join(wanted.select("_len", "_prefix").distinct(), ["_len", "_prefix"], "left_semi")
     order = [F.col("weight").desc_nulls_last(), F.col("text").asc()]
-    return top_n_per_group(found, ["request_id"], order, size)
+    best = top_n_per_group(keyed, ["_len", "_prefix"], order, size)
+    return wanted.join(best, ["_len", "_prefix"]).drop("_len", "_prefix")
 
 
 def count_suggestions(suggestions: DataFrame) -> DataFrame:

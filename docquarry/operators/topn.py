@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Fixed value: up to this rank Spark itself cuts each partition before the shuffle.
-GROUP_LIMIT_THRESHOLD = 1000
 SALTS = 64
 
 
@@ -20,7 +18,8 @@ def top_n_per_group(
     group and input partition before shuffling.  For large ``n``, where that
     rule is off, the same cut is made by hand over salted groups.
     """
-    if n > GROUP_LIMIT_THRESHOLD:
+    # Up to this rank Spark itself cuts each partition before the shuffle.
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(df)]), F.lit(SALTS)))
         window = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = salted.withColumn("_local", F.row_number().over(window)).filter(F.col("_local") <= n)

@@ -72,7 +72,7 @@ def batch_match(
 # -- flat query strings ------------------------------------------------------------
 
 # The switches of the simple syntax, and the most edits a near word may have.
-MAX_EDITS = 2
+DEFAULT_EDITS, MAX_EDITS = 2, 3
 FLAGS = ("and", "or", "not", "prefix", "phrase", "escape", "whitespace", "fuzzy", "near", "slop")
 
 
@@ -239,7 +239,9 @@ def _with_terms(spec: QueryStrings, x: Column) -> Column:
     c, kind = x["c"], x["kind"]
     number = F.regexp_extract(c["body"], r"~(\d+)$", 1).try_cast("int")
     slop = F.coalesce(number, F.lit(0)) if spec.on("near", "slop") else F.lit(0)
-    edits = F.least(F.coalesce(number, F.lit(MAX_EDITS)), F.lit(MAX_EDITS))
+    too_many = F.raise_error(F.concat(F.lit(f"at most {MAX_EDITS} edits are supported: "), c["body"])).cast("int")
+    edits = F.coalesce(number, F.lit(DEFAULT_EDITS))
+    edits = F.when((kind == "fuzzy") & (edits > MAX_EDITS), too_many).otherwise(edits)
     k = F.when(kind == "phrase", slop).when(kind == "fuzzy", edits).otherwise(F.lit(0))
     tilde = kind.isin("phrase", "fuzzy")
     text = F.when(tilde, F.regexp_replace(c["body"], r"~\d*$", "")).otherwise(c["body"])
@@ -273,8 +275,9 @@ def search_clauses(
     ``n`` is given.
     """
     clauses = settle(clauses)
-    # At most a handful of (kind, k): only the parts that occur are planned.
-    shapes = {(r["kind"], r["k"] if r["kind"] == "fuzzy" else 0) for r in clauses.rows.select("kind", "k").distinct().collect()}
+    # Five kinds and three numbers of edits at most: only the parts that occur are planned.
+    edits = F.when(F.col("kind") == "fuzzy", F.col("k")).otherwise(F.lit(0)).alias("k")
+    shapes = {(r["kind"], r["k"]) for r in clauses.rows.select("kind", edits).distinct().collect()}
     kinds = {kind for kind, _ in shapes}
     counts = settle(_clause_counts(clauses.rows))
     only_not = counts.rows.filter((F.col("n_must") == 0) & (F.col("n_should") == 0))
@@ -289,11 +292,9 @@ def search_clauses(
 
     # One exchange serves the three groupings below, as each is within (query, document).
     units = units.repartition("query_id", "_id")
-    class_score = scoring.bm25(F.max("class_weight"), F.sum("tf"), F.max("dl"), F.max("avgdl"))
     per_field = units.groupBy(*_CLAUSE, "occur", "_id").agg(
-        (F.coalesce(class_score, F.sum("score")) * F.max("boost")).alias("score"),
-        # All words of a prefix or near word are one unit.
-        F.when(F.max("class_weight").isNotNull(), F.lit(1)).otherwise(F.count(F.lit(1))).alias("found"),
+        (F.sum("score") * F.max("boost")).alias("score"),
+        F.count(F.lit(1)).alias("found"),
         F.max("n_units").alias("n_units"),
     )
     if default_operator.lower() == "and":
@@ -353,68 +354,77 @@ def _needed_column(spec: str | int | None, n_should: Column) -> Column:
     return F.greatest(F.lit(0), F.least(n_should, value)).cast("int")
 
 
-_UNIT = [*_CLAUSE, "occur", "boost", "n_units", "_id", "score", "class_weight", "tf", "dl", "avgdl"]
+_UNIT = [*_CLAUSE, "occur", "boost", "n_units", "_id", "score"]
+_CLASS = ["field", "kind", "k", "prefix"]
 
 
 def _word_units(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
-    """One row per document and word a clause covers, from one pass over the postings.
-
-    A plain word has its own ``score``.  The words of a prefix or near word count
-    as one term, so they bring ``class_weight`` and are scored together later.
-    """
-    columns = [*_CLAUSE, "occur", "boost", "n_units", "term"]
-    nothing = F.lit(None).cast("double")
+    """One row per clause, document and unit: a plain word, or all words a prefix or near word stands for."""
     parts = []
     if "term" in kinds:
         plain = clauses.rows.filter(F.col("kind") == "term").select(
             *_CLAUSE, "occur", "boost", F.size("terms").alias("n_units"), F.explode("terms").alias("term")
         )
-        weighted = _weighted(clauses, index, plain)
-        parts.append(weighted.select(*columns, "weight", nothing.alias("class_weight"), "avgdl"))
+        words = settle(_weighted(clauses, index, plain))
+        pairs = request_join(words, index.postings.select("field", "term", "_id", "tf", "dl"), ["field", "term"], "_id")
+        score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl"))
+        parts.append(pairs.withColumn("score", score).select(*_UNIT))
     if kinds & {"prefix", "fuzzy"}:
-        covered = settle(_covered_words(clauses, index, kinds, fuzzy_ks))
-        sized = covered.rows.join(_class_weights(covered, index), _CLAUSE)
-        parts.append(sized.select(*columns, nothing.alias("weight"), "class_weight", "avgdl"))
-    words = settle(reduce(DataFrame.unionByName, parts))
+        parts.append(_class_units(clauses, index, kinds, fuzzy_ks))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _class_units(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
+    """Prefixes and near words, each scored like one term.
+
+    Equal ones of all queries are one class, which meets the postings once: term
+    counts are summed per class and document, and the number of those rows is the
+    class's document count.
+    """
+    wanted = clauses.rows.filter(F.col("kind").isin("prefix", "fuzzy")).select(
+        *_CLAUSE, "occur", "boost", "kind", "k", F.lit(1).alias("n_units"), F.get("terms", F.lit(0)).alias("prefix")
+    )
+    covered = settle(_covered_words(wanted.select(*_CLASS).distinct(), index, kinds, fuzzy_ks, clauses.small))
     postings = index.postings.select("field", "term", "_id", "tf", "dl")
-    pairs = request_join(words, postings, ["field", "term"], "_id")
+    pairs = request_join(covered, postings, ["field", "term"], "_id")
+    held = pairs.groupBy(*_CLASS, "_id").agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
+    df = _with_sizes(held.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("df")), index)
+    weights = df.select(*_CLASS, scoring.idf(F.col("n_docs"), F.col("df")).alias("weight"), "avgdl")
+    scored = held.join(clauses.hinted(weights), _CLASS)
     score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl"))
-    return pairs.withColumn("score", score).select(*_UNIT)
+    scored = scored.select(*_CLASS, "_id", score.alias("score"))
+    return scored.join(clauses.hinted(wanted), _CLASS).select(*_UNIT)
 
 
-def _covered_words(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
-    """Words of the vocabulary that a prefix or near word stands for."""
+def _covered_words(
+    classes: DataFrame, index: TextIndex, kinds: set[str], fuzzy_ks: list[int], small: bool
+) -> DataFrame:
+    """Words of the vocabulary that each class stands for."""
     vocabulary = index.term_stats.select("field", "term")
-    base = clauses.rows.select(
-        *_CLAUSE, "occur", "boost", "kind", "k", F.lit(1).alias("n_units"), F.get("terms", F.lit(0)).alias("prefix")
-    )
-    columns = [*_CLAUSE, "occur", "boost", "n_units", "term"]
     parts = []
     if "prefix" in kinds:
-        stems = base.filter(F.col("kind") == "prefix")
-        parts.append(prefix_matches(stems, vocabulary, ["field"], clauses.small).select(*columns))
+        stems = classes.filter(F.col("kind") == "prefix")
+        parts.append(prefix_matches(stems, vocabulary, ["field"], small).select(*_CLASS, "term"))
     if "fuzzy" in kinds:
-        near = base.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word")
-        parts.append(fuzzy_matches(near, vocabulary, ["field"], fuzzy_ks, clauses.small).select(*columns))
+        near = classes.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word")
+        found = fuzzy_matches(near, vocabulary, ["field"], fuzzy_ks, small).withColumnRenamed("word", "prefix")
+        parts.append(found.select(*_CLASS, "term"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _class_weights(covered: Requests, index: TextIndex) -> DataFrame:
-    """Idf of each prefix or near word: documents holding any of its words."""
-    lean = Requests(covered.rows.select(*_CLAUSE, "term"), covered.count, covered.small)
-    holders = request_join(lean, index.postings.select("field", "term", "_id"), ["field", "term"], "_id")
-    df = holders.select(*_CLAUSE, "_id").distinct().groupBy(*_CLAUSE).agg(F.count(F.lit(1)).alias("df"))
-    weight = scoring.idf(F.col("n_docs"), F.col("df"))
-    return _with_sizes(df, index).select(*_CLAUSE, weight.alias("class_weight"), "avgdl")
-
-
 def _phrase_units(clauses: Requests, index: TextIndex) -> DataFrame:
     """Phrases: the positions of the words, brought together per document."""
     words = clauses.rows.filter(F.col("kind") == "phrase").select(
         *_CLAUSE, "occur", "boost", "k", F.size("terms").alias("m"), F.posexplode("terms").alias("j", "term")
     )
+    weighted = settle(_weighted(clauses, index, words))
+    # First the documents that hold every word, without positions; then the positions of only those.
+    held = request_join(weighted, index.postings.select("field", "term", "_id"), ["field", "term"], "_id")
+    whole = held.groupBy(*_CLAUSE, "_id").agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("m")).filter("n = m")
     postings = index.postings.select("field", "term", "_id", "dl", "positions")
-    pairs = request_join(settle(_weighted(clauses, index, words)), postings, ["field", "term"], "_id")
+    postings = postings.join(whole.select("field", "_id").distinct(), ["field", "_id"], "left_semi")
+    pairs = request_join(weighted, postings, ["field", "term"], "_id")
+    pairs = pairs.join(whole.select(*_CLAUSE, "_id"), [*_CLAUSE, "_id"], "left_semi")
     offsets = F.transform("positions", lambda p: p - F.col("j"))
     # A group holds the words of one phrase in one document, so it is bounded by both.
     together = (
@@ -430,7 +440,6 @@ def _phrase_units(clauses: Requests, index: TextIndex) -> DataFrame:
     score = scoring.bm25(F.col("weight"), F.col("freq"), F.col("dl"), F.col("avgdl"))
     return found.select(
         *_CLAUSE, "occur", "boost", F.lit(1).alias("n_units"), "_id", score.alias("score"),
-        F.lit(None).cast("double").alias("class_weight"), F.lit(0).alias("tf"), "dl", "avgdl",
     )
 
 
@@ -444,7 +453,7 @@ def _all_units(clauses: Requests, only_not: DataFrame, index: TextIndex) -> Data
     # The documents stay where they are and the queries come as one array, whose
     # size was checked, or, if there are too many, as salted rows.
     wanted = wildcard.unionByName(excluding)
-    ids = index.postings.select("_id").distinct()
+    ids = index.documents
     if clauses.small:
         listed = wanted.agg(F.collect_list(F.struct("query_id", "clause_id", "occur", "boost")).alias("w")).scalar()
         pairs = ids.withColumn("w", F.explode(listed)).select("_id", "w.*")
@@ -452,11 +461,9 @@ def _all_units(clauses: Requests, only_not: DataFrame, index: TextIndex) -> Data
         salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         spread = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
         pairs = ids.withColumn("_salt", spread).join(wanted.withColumn("_salt", salt), "_salt").drop("_salt")
-    nothing = F.lit(None).cast("double")
     return pairs.select(
         "query_id", "clause_id", F.lit("*").alias("field"), "occur", "boost", F.lit(1).alias("n_units"), "_id",
-        F.lit(1.0).alias("score"), nothing.alias("class_weight"), F.lit(0).alias("tf"), F.lit(0).alias("dl"),
-        nothing.alias("avgdl"),
+        F.lit(1.0).alias("score"),
     )
 
 

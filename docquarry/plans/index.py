@@ -3,6 +3,7 @@
 ``postings``     field, term, _id, tf, positions, dl
 ``term_stats``   field, term, df
 ``field_stats``  field, n_docs, sum_dl
+``documents``    _id of every document, those without words too
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ class TextIndex:
     term_stats: DataFrame
     field_stats: DataFrame
     fields: list[str]
+    documents: DataFrame
 
     def covers(self, field: str) -> bool:
         return field in self.fields
@@ -65,6 +67,7 @@ class TextIndex:
         term_stats(postings).sortWithinPartitions("field", "term").write.mode("overwrite").parquet(
             f"{path}/term_stats"
         )
+        self.documents.write.mode("overwrite").parquet(f"{path}/documents")
         self.field_stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
         return load_index(spark, path, self.fields)
 
@@ -75,6 +78,7 @@ def load_index(spark: SparkSession, path: str, fields: list[str]) -> TextIndex:
         spark.read.parquet(f"{path}/term_stats"),
         spark.read.parquet(f"{path}/field_stats"),
         list(fields),
+        spark.read.parquet(f"{path}/documents"),
     )
 
 
@@ -106,7 +110,8 @@ def build_index(
             )
         )
     postings = reduce(DataFrame.unionByName, parts)
-    return TextIndex(postings, term_stats(postings), reduce(DataFrame.unionByName, sizes), list(text_fields))
+    return TextIndex(postings, term_stats(postings), reduce(DataFrame.unionByName, sizes), list(text_fields),
+                     docs.select(F.col(id_col).alias("_id")))
 
 
 def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
@@ -157,7 +162,8 @@ def refresh_index(index: TextIndex, changed: DataFrame, id_col: str, text_fields
     postings = index.postings.join(gone, "_id", "left_anti").unionByName(fresh.postings)
     per_doc = postings.groupBy("field", "_id").agg(F.max("dl").alias("dl"))
     sizes = per_doc.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl"))
-    return TextIndex(postings, term_stats(postings), sizes, index.fields)
+    documents = index.documents.join(gone, "_id", "left_anti").unionByName(fresh.documents)
+    return TextIndex(postings, term_stats(postings), sizes, index.fields, documents)
 
 
 def prepare(collection: Collection, path: str, files: int | None = None, spread: bool = False) -> Collection:

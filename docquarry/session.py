@@ -10,14 +10,18 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's checkpoint directory.
 
-    Only where none is set, as in tests on one machine, a new temporary one is made.
+    Where none is set, a session on one machine gets a new temporary folder, and a session on a
+    cluster a folder in its warehouse, which its executors share.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if configured is None:
         configured = context.getCheckpointDir()
     if configured is None:
-        configured = tempfile.mkdtemp(prefix="docquarry-")
+        if context.master.startswith("local[") or context.master == "local":
+            configured = tempfile.mkdtemp(prefix="docquarry-")
+        else:
+            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/docquarry-work"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured.rstrip("/")

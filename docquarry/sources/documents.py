@@ -30,14 +30,16 @@ def with_ids(docs: DataFrame, id_col: str = "_id") -> DataFrame:
     return docs.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()")))
 
 
-def last_wins(changes: DataFrame, id_col: str, seq_col: str) -> DataFrame:
-    """The latest version of each document.
+def last_wins(changes: DataFrame, id_col: str, seq_col: str | None) -> DataFrame:
+    """The latest version of each document; without an order column one of them, see ``upsert``.
 
     ``max_by`` keeps one row per id already on the map side, so an id that was
     written very often does not gather in one task.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in changes.columns])
-    order = F.struct(F.col(seq_col))  # a struct is never NULL, so a missing number counts as the lowest
+    values = [F.col(f"`{name}`") for name, kind in changes.dtypes if "map<" not in kind and "variant" not in kind]
+    # A struct is never NULL, so a missing number counts as the lowest.
+    order = F.struct(F.col(seq_col) if seq_col is not None else F.xxhash64(*values))
     latest = changes.groupBy(F.col(id_col).alias("_key")).agg(F.max_by(row, order).alias("_row"))
     return latest.select("_row.*")
 
@@ -45,11 +47,12 @@ def last_wins(changes: DataFrame, id_col: str, seq_col: str) -> DataFrame:
 def upsert(current: DataFrame, changes: DataFrame, id_col: str = "_id", seq_col: str | None = None) -> DataFrame:
     """``current`` with changed documents replaced and new ones added.
 
+    Of several changes of one id the last by ``seq_col`` counts.  Without an order column
+    it is the one with the greatest hash of its values: any, but one and always the same.
     Fields known to only one side are NULL on the other.
     """
-    if seq_col is not None:
-        changes = last_wins(changes, id_col, seq_col)
-        if seq_col not in current.columns:
-            changes = changes.drop(seq_col)
+    changes = last_wins(changes, id_col, seq_col)
+    if seq_col is not None and seq_col not in current.columns:
+        changes = changes.drop(seq_col)
     untouched = current.join(changes.select(id_col), id_col, "left_anti")
     return untouched.unionByName(changes, allowMissingColumns=True)

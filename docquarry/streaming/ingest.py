@@ -1,4 +1,4 @@
-"""Structured Streaming: continuous upserts and standing queries."""
+"""Structured Streaming: continuous loads and standing queries."""
 
 from __future__ import annotations
 
@@ -7,27 +7,17 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import queries as q
 from ..operators.compile import matching, scored
-from ..sources.store import DocumentStore
 
 
-def upsert_stream(
-    changes: DataFrame, store: DocumentStore, checkpoint: str, seq_col: str | None = None, name: str = "stream"
-) -> DataStreamWriter:
-    """Write a stream of documents into a store, one version per micro-batch.
+def append_changes(changes: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append a stream of changed documents to a folder of Parquet files.
 
-    The version given to a batch is noted before it is written, so a batch that
-    runs again after a failure overwrites its own files.  ``name`` must differ
-    between streams that feed one store.  The caller chooses the trigger and
-    starts the writer; the source's ``maxFilesPerTrigger`` sets the batch size.
+    Spark's file sink notes which files are complete, so a reader of the folder sees each change
+    once.  The current documents are ``upsert(base, spark.read.parquet(path), id, seq)``.  The
+    caller chooses the trigger and starts the writer; the source's ``maxFilesPerTrigger`` sets the
+    batch size.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        version = store.version_of_batch(name, batch_id)
-        if version not in store.versions():
-            store.index_documents(batch, seq_col, version)
-            store.commit(version)
-
-    return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return changes.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
 
 
 def standing_query(documents: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ TEXT = {"text": "standard"}
 def docs(spark):
     rng = random.Random(11)
     words = ["red", "rod", "read", "blue", "blur", "green", "a", "b", "c"]
-    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))) for i in range(150)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))) for i in range(150)] + [(150, ""), (151, None)]
     return spark.createDataFrame(rows, "id int, text string").repartition(4)
 
 
@@ -49,7 +49,7 @@ def test_postings_reproduce_texts(docs, index):
             rebuilt.setdefault(r["_id"], {})[p] = r["term"]
         assert len(r["positions"]) == r["tf"]
     for r in docs.collect():
-        assert [t for _, t in sorted(rebuilt.get(r["id"], {}).items())] == r["text"].split()
+        assert [t for _, t in sorted(rebuilt.get(r["id"], {}).items())] == (r["text"] or "").split()
 
 
 def test_prepared_scores_equal_unprepared(docs, collection):
@@ -87,19 +87,21 @@ def test_batch_equals_single_queries(spark, docs, index):
         ('"c b"~5^2', q.MatchPhrase("text", "c b", slop=5, boost=2.0)),
         ("rad~1", q.Match("text", "rad", fuzziness=1)),
         ("bleu~", q.Match("text", "bleu", fuzziness=2)),
+        ("grn~2 r~1", q.Bool.of(should=[q.Match("text", "grn", fuzziness=2), q.Match("text", "r", fuzziness=1)])),
+        ("rodxyz~3", q.Match("text", "rodxyz", fuzziness=3)),
         ("-red", q.Bool.of(must=[q.ConstantScore(q.MatchAll(), boost=0.0)], must_not=[q.Match("text", "red")])),
         ("* -red", q.Bool.of(should=[q.MatchAll()], must_not=[q.Match("text", "red")])),
     ],
 )
 def test_query_strings_equal_queries(spark, docs, index, text, query):
-    expected = single(docs.filter("text <> ''"), query)
+    expected = single(docs, query)
     assert strings(spark, index, text) == expected
     assert expected, "the case should find something"
 
 
 def test_prefix_words_count_as_one_term(spark, docs, index):
     found = strings(spark, index, "re*")
-    holders = {r["id"] for r in docs.collect() if any(w.startswith("re") for w in r["text"].split())}
+    holders = {r["id"] for r in docs.collect() if any(w.startswith("re") for w in (r["text"] or "").split())}
     assert set(found) == holders
 
 
@@ -150,7 +152,7 @@ def test_sloppy_match_against_brute_force(docs):
     for terms, slop in ((["a", "b"], 1), (["a", "b", "c"], 3), (["a", "a"], 2)):
         wanted = set()
         for r in docs.collect():
-            words = r["text"].split()
+            words = (r["text"] or "").split()
             places = [[p for p, w in enumerate(words) if w == t] for t in terms]
             for chosen in product(*places):
                 offsets = [p - j for j, p in enumerate(chosen)]
@@ -159,3 +161,40 @@ def test_sloppy_match_against_brute_force(docs):
                     break
         found = scored(docs, q.MatchPhrase("text", " ".join(terms), slop=slop), TEXT)
         assert {r["id"] for r in found.select(F.col("id")).collect()} == wanted, terms
+
+
+def test_too_many_edits_are_refused(spark, index):
+    with pytest.raises(Exception, match="at most 3 edits"):
+        strings(spark, index, "word~4")
+
+
+def test_both_join_forms_agree(spark, index, monkeypatch):
+    """Beyond the size limit requests are salted and shuffled; every kind of clause gives the same."""
+    from docquarry.operators import joins
+
+    texts = ["red blue", '"a b" -red', "re* gre*", "rad~1 bleu~2", '"a b c"~3', "* -red", "-red"]
+    small = [strings(spark, index, t) for t in texts]
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    assert [strings(spark, index, t) for t in texts] == small
+
+
+def test_near_words_against_brute_force(spark):
+    from docquarry.operators.joins import fuzzy_matches
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.randint(1, 9)))
+    terms, words = sorted({word() for _ in range(120)}), [(word(), rng.randint(1, 3)) for _ in range(25)]
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            new = [i]
+            for j, d in enumerate(y, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return row[-1]
+
+    wanted = spark.createDataFrame([("f", w, k) for w, k in set(words)], "field string, word string, k int")
+    vocabulary = spark.createDataFrame([("f", t) for t in terms], "field string, term string")
+    found = {(r["word"], r["k"], r["term"]) for r in fuzzy_matches(wanted, vocabulary, ["field"], [1, 2, 3]).collect()}
+    assert found == {(w, k, t) for w, k in words for t in terms if distance(w, t) <= k}
