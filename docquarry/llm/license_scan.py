@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binding import bound
 from .common import materialise, query, table
-from .line_dedup import normalised, small_or_plain
+from .line_dedup import small_or_plain
 
 WIDTH = 5
 #: Shingles in a block; a window is two neighbouring blocks, so windows overlap by half.
@@ -59,6 +59,11 @@ TEMPLATES = {
 }
 
 
+def normalised(text: Column) -> Column:
+    """Lower case, with one space for each run of other characters than letters and digits."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+
+
 def _shingles(text: Column) -> Column:
     """The hashes of each run of five words of a text, in order, repeated ones too."""
 

@@ -18,22 +18,26 @@ BITS = 64
 SMALL_ROWS = 1_000_000
 
 
-def normalised(line: Column) -> Column:
-    """Lower case, with one space for each run of other characters than letters and digits."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+#: ASCII characters but letters, digits and the newline.  Listed one by one, they are matched by a bit set.
+_MARKS = "[" + "".join(f"\\x{c:02x}" for c in range(128) if not chr(c).isalnum() and c != 10) + "]+"
+
+
+def normalised(text: Column) -> Column:
+    """Lower case, with one space for each run of ASCII characters other than letters, digits and newlines."""
+    return F.regexp_replace(F.lower(text), _MARKS, " ")
 
 
 def _lanes() -> list[Column]:
-    """Sixteen sums per line; each holds four of the 64 bit counts, 16 bits apart."""
-    mask = F.lit(0x0001000100010001)
-    return [F.sum(F.shiftrightunsigned("hash", j).bitwiseAND(mask)).alias(f"s{j}") for j in range(16)]
+    """32 sums per line; each holds two of the 64 bit counts, 32 bits apart."""
+    mask = F.lit(0x0000000100000001)
+    return [F.sum(F.shiftrightunsigned("hash", j).bitwiseAND(mask)).alias(f"s{j}") for j in range(32)]
 
 
 def _fingerprint(words: Column) -> Column:
-    """Bit b is set if more than half of the words' hashes have it set; bit b is in lane b // 16 of sum b % 16."""
+    """Bit b is set if more than half of the words' hashes have it set; bit b is in lane b // 32 of sum b % 32."""
     bits = [
         F.when(
-            F.shiftrightunsigned(f"s{b % 16}", 16 * (b // 16)).bitwiseAND(F.lit(0xFFFF)) * 2 > words,
+            F.shiftrightunsigned(f"s{b % 32}", 32 * (b // 32)).bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > words,
             F.lit(1 << b if b < 63 else -(1 << 63)),
         ).otherwise(F.lit(0))
         for b in range(BITS)
@@ -52,40 +56,44 @@ def _block_keys(distance: int, blocks: int) -> Column:
     for number, chosen in enumerate(combinations(range(blocks), blocks - distance)):
         mask = sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen)
         mask -= (1 << 64) if mask >> 63 else 0
-        parts.append(F.xxhash64(F.lit(number), F.col("print").bitwiseAND(F.lit(mask))))
+        parts.append(F.hash(F.lit(number), F.col("print").bitwiseAND(F.lit(mask))))
     return F.array(*parts)
 
 
 def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, line_no, k, k2, words, norm) of every line of at least ``min_words`` words; k and k2
-    together are a 128-bit name of the normalised line."""
+    """(doc_id, line_no, k, k2, norm) of every line of at least ``min_words`` words; k and k2 together
+    are a 128-bit name of the normalised line."""
     # The outer form of explode: the inner one would add a filter that computes the array again.
     lines = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.posexplode_outer(F.split(text_col, "\n", -1)).alias("line_no", "line")
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.posexplode_outer(F.split(normalised(F.col(text_col)), "\n", -1)).alias("line_no", "norm"),
     )
-    lines = lines.select("doc_id", "line_no", normalised(F.col("line")).alias("norm"))
-    words = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1
-    lines = lines.withColumn("words", F.when(F.length("norm") == 0, 0).otherwise(words)).where(F.col("words") >= min_words)
-    return lines.select("doc_id", "line_no", F.xxhash64("norm").alias("k"), F.xxhash64(F.lit(1), "norm").alias("k2"), "words", "norm")
+    lines = lines.withColumn("norm", F.trim("norm"))
+    # With fewer words, the text before the last space asked for is the whole line.
+    enough = F.substring_index("norm", " ", min_words - 1) != F.col("norm") if min_words > 1 else F.col("norm") != ""
+    return lines.where(enough).select("doc_id", "line_no", F.xxhash64("norm").alias("k"), F.xxhash64(F.lit(1), "norm").alias("k2"), "norm")
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """(k, k2, first, n, words, chars, print): one row per distinct normalised line.
+    """(k, k2, doc_id, line_no, n, chars, print): one row per distinct normalised line, with its first
+    occurrence and its number of occurrences.
 
-    Equal lines are reduced in the map tasks before the shuffle.  The words of a line are then
-    exploded and summed where the line already is, with no second shuffle.
+    Words are exploded and summed in the map tasks, and only sums are shuffled, not texts.  A line's
+    occurrences in one input partition are one group: its sums are multiples of one occurrence's,
+    which leaves the fingerprint, and stay below 2**32 however often the line occurs elsewhere.
     """
-    first = F.struct("doc_id", "line_no")
-    distinct = lines.groupBy("k", "k2").agg(
-        F.min(first).alias("first"), F.count("*").alias("n"), F.first("norm").alias("norm"), F.first("words").alias("words")
-    )
-    split = distinct.select(
-        "k", "k2", "words", F.length("norm").alias("chars"), "first", "n", F.explode_outer(F.split("norm", " ")).alias("word")
+    words = lines.select(
+        "k", "k2", F.spark_partition_id().alias("part"), F.length("norm").alias("chars"),
+        F.explode_outer(F.split("norm", " ")).alias("word"),
     )
-    hashed = split.select("k", "k2", "words", "chars", "first.*", "n", F.xxhash64("word").alias("hash"))
-    keep = [F.max(c).alias(c) for c in ("words", "chars", "doc_id", "line_no", "n")]
-    summed = hashed.groupBy("k", "k2").agg(*keep, *_lanes())
-    return summed.select("k", "k2", "doc_id", "line_no", "n", "words", "chars", _fingerprint(F.col("words")).alias("print"))
+    hashed = words.select("k", "k2", "part", "chars", F.xxhash64("word").alias("hash"))
+    summed = hashed.groupBy("k", "k2", "part").agg(F.count("*").alias("words"), F.max("chars").alias("chars"), *_lanes())
+    prints = summed.select("k", "k2", "chars", _fingerprint(F.col("words")).alias("print"))
+    prints = prints.groupBy("k", "k2").agg(F.max("chars").alias("chars"), F.max("print").alias("print"))
+    least = lines.groupBy("k", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    inside = lines.groupBy("k", "k2", "doc_id").agg(F.min("line_no").alias("line_no"))
+    first = least.join(inside, ["k", "k2", "doc_id"])
+    return first.join(prints, ["k", "k2"]).select("k", "k2", "doc_id", "line_no", "n", "chars", "print")
 
 
 def _near(a: str, b: str, distance: int, percent: int) -> Column:
@@ -106,10 +114,12 @@ def _links(prints: DataFrame, lines: DataFrame, distance: int, blocks: int, perc
     linked to it (the rest, few in a family of variants of one line) then meet all members.  So
     two lines linked to one middle make no pair of their own.
     """
-    keyed = prints.select("k", "n", "chars", "print", F.explode(_block_keys(distance, blocks)).alias("bucket"))
+    # The wide shuffle carries names only; fingerprints join the few rows that share a bucket.
+    keyed = prints.select("k", F.explode(_block_keys(distance, blocks)).alias("bucket"))
+    sized = keyed.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).where("size > 1")
+    shared = sized.join(prints.select("k", "n", "chars", "print"), "k")
     inside = Window.partitionBy("bucket").orderBy(F.desc("n"), "k")
-    rows = keyed.withColumn("middle", F.first(F.struct("k", "chars", "print")).over(inside))
-    rows = rows.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).where("size > 1 and k <> middle.k")
+    rows = shared.withColumn("middle", F.first(F.struct("k", "chars", "print")).over(inside)).where("k <> middle.k")
     rows = materialise(rows.withColumn("ok", _near("", "middle.", distance, percent)), "buckets")
 
     stars = materialise(rows.where("ok").select(*_in_order("k", "middle.k")).distinct(), "pairs")
@@ -161,8 +171,7 @@ def line_groups(
 
     Lines of fewer than ``min_words`` words (blank ones too) are no duplicates of anything.  Null
     texts have no lines; rows without an id are left alone; rows that repeat an id are one
-    document.  A repeated line counts once in every later step.  No rows give no rows.  Sums for a
-    line of more than 65,535 words run over, which changes its fingerprint but not its equality.
+    document.  A repeated line counts once in every later step.  No rows give no rows.
     """
     lines = materialise(occurrences(docs, min_words, id_col, text_col), "lines")
     prints = materialise(fingerprints(lines), "prints")
