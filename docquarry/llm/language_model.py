@@ -230,18 +230,37 @@ class Fitted:
         self.known_kinds = sum(w in common for w in model.index)
 
 
+def _commonest(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """Words from some count up, ``most`` at most, by falling count.
+
+    A histogram of the counts' logarithms, a few hundred rows at any size, says from which count.  A
+    sorted limit would send ``most`` words of every partition to the driver.
+    """
+    size = F.floor(F.log2("c") * 8).alias("size")
+    steps = counts.groupBy(size).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()
+    taken, least = 0, None
+    for step in sorted(steps, key=lambda r: -r["size"]):
+        taken += step["n"]
+        if taken > most:
+            break
+        least = step["least"]
+    if least is None:
+        return {}
+    rows = counts.where(F.col("c") >= least).collect()
+    return {bytes(r["word"]): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], bytes(r["word"])))}
+
+
 def fit(texts: DataFrame, classes: int = CLASSES, common_words: int = COMMON_WORDS) -> Fitted:
     """Count all words of the one-column table ``texts`` and train on all of them.
 
-    The driver receives the ``common_words`` most frequent words and the model's parameters, whose
-    sizes do not depend on the corpus.
+    The driver receives ``common_words`` of the most frequent words at most and the model's parameters,
+    whose sizes do not depend on the corpus.
     """
     counts = materialise(word_counts(texts), "words")
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(common_words).collect()
-    common = {bytes(r["word"]): r["c"] for r in top}
+    common = _commonest(counts, common_words)
     words = [w for w in common if w != END][: classes - 2]
-    ends = common.get(END, 0)
+    ends = texts.count() if END not in common else common[END]
     own = np.array([ends, *(common[w] for w in words)])
     model = LogBilinear(words, own, total - int(own.sum()))
     return Fitted(train(texts, model) if ends else model, counts, total, kinds, common | ({END: ends} if ends else {}))
