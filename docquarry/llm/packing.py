@@ -30,19 +30,20 @@ class Encoder(dict):
 
     For a tokenizer like ``word_bpe_49k.json`` (NFC, lower case, white space only a separator, words of
     letters, byte-level BPE) a text's ids are its chunks' ids one after another, so each chunk of a
-    task is encoded once.  All is forgotten when there are more than ``most`` chunks.
+    task is encoded once.  At ``most`` chunks the cache becomes the old one, whose chunks are taken
+    over when they occur again, and the old one before is dropped; so frequent chunks stay.
 
     A chunk that is one word of plain letters, perhaps with marks behind it, goes to the tokenizer's
     model at once: for letters below U+0180 (but the dotted capital I) its normalisation is
     lower-casing and its pre-tokenisation one word.  All others are encoded in full.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.kind, self.model = id_kind(self.tokenizer), self.tokenizer.model
-        self.words, self.marks = {}, {"": b""}
+        self.old, self.marks = {}, {"": b""}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -53,32 +54,33 @@ class Encoder(dict):
     def _in_full(self, text: str) -> bytes:
         return array.array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
         if ids is None:
-            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = self.words[word] = array.array(self.kind, [t.id for t in self.model.tokenize(letters)]).tobytes()
+            ids = self._learned(chunk)
+        self[chunk] = ids
         return ids
 
-    def __missing__(self, chunk: str) -> bytes:
+    def _learned(self, chunk: str) -> bytes:
         word = chunk.rstrip(_MARKS)
-        if word.isalpha() and max(word) < "\u0180" and "\u0130" not in word:
-            marks = chunk[len(word) :]
-            if marks not in self.marks:
-                self.marks[marks] = self._in_full(marks)
-            ids = self._word(word.lower()) + self.marks[marks]
-        else:
-            ids = self._in_full(chunk)
-        self[chunk] = ids
-        return ids
+        if not (word.isalpha() and max(word) < "\u0180" and "\u0130" not in word):
+            return self._in_full(chunk)
+        marks = chunk[len(word) :]
+        if marks not in self.marks:
+            self.marks[marks] = self._in_full(marks)
+        lower = word.lower()
+        if lower != chunk:
+            return self[lower] + self.marks[marks]
+        letters = lower if lower.isascii() else lower.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array.array(self.kind, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """Little-endian ids of each text, with ``end_id`` after each; null is empty."""
         end, out = array.array(self.kind, [end_id]).tobytes(), []
         for text in texts:
             if len(self) > self.most:
+                self.old = dict(self)
                 self.clear()
-                self.words.clear()
                 self.marks = {"": b""}
             chunks = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             out.append(b"".join(map(self.__getitem__, chunks)) + end)
