@@ -5,9 +5,10 @@ import pyarrow.parquet as pq
 from docquarry.llm.toxicity import CumulativeLink, fit, op2_toxicity, severity, words_of
 
 
-def test_query(spark, folder, documents):
+def test_query(spark, folder):
+    folder = folder.replace("sf0.001", "sf0.01")  # fewer labels hold each insult too rarely
     rows = {r["doc_id"]: r for r in op2_toxicity(spark, folder).collect()}
-    assert set(rows) == {d["doc_id"] for d in documents}
+    assert set(rows) == {r["doc_id"] for r in pq.read_table(f"{folder}/documents.parquet", columns=["doc_id"]).to_pylist()}
     labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{folder}/labels.parquet").to_pylist()}
     right = [rows[i]["toxic"] == bool(t) for i, t in labels.items() if i in rows]
     assert np.mean(right) > 0.95
@@ -69,7 +70,7 @@ def test_gradient_leads_to_a_maximum():
 def test_cases(spark, make):
     labels = spark.createDataFrame([(0, 1), (1, 0), (2, None), (None, 1), (1, 0), (9, 1)], "doc_id long, toxic int")
     texts = ["bad words", "good words", "good", None, "", "bad " * 100_000]
-    model = fit(make(texts), labels, "toxic", least=1)
+    model = fit(make(texts), labels, "toxic", least=1, deviations=0)
     rows = severity(make(texts).withColumnRenamed("source", "grade"), model).orderBy("doc_id").collect()
     assert len(rows) == 6 and rows[0]["p_toxic"] > 0.5 > rows[1]["p_toxic"]
     assert rows[3]["severity"] == rows[4]["severity"]
