@@ -109,7 +109,7 @@ def contamination(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    shard_bytes: int = 6_000_000,
+    shard_bytes: int = 2_000_000,
     block_bytes: int = 2_000_000,
 ) -> DataFrame:
     """Per row of ``docs``: id, n_words, n_hit, items (sorted ids), spans (merged word ranges), contaminated.

@@ -60,7 +60,8 @@ def signatures(docs: DataFrame, bands: Bands, width: int = 5, id_col: str = "doc
     """Per document: number of distinct shingles, digest of its set, band keys, 16 bits of each minimum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A few hundred texts at a time are Python objects, not a whole batch.
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for first, last, encoded in chunks(texts):
                 sets = list(shingle_sets(encoded, width=width))
