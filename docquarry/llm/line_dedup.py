@@ -18,13 +18,9 @@ BITS = 64
 SMALL_ROWS = 1_000_000
 
 
-#: ASCII characters but letters, digits and the newline.  Listed one by one, they are matched by a bit set.
-_MARKS = "[" + "".join(f"\\x{c:02x}" for c in range(128) if not chr(c).isalnum() and c != 10) + "]+"
-
-
 def normalised(text: Column) -> Column:
-    """Lower case, with one space for each run of ASCII characters other than letters, digits and newlines."""
-    return F.regexp_replace(F.lower(text), _MARKS, " ")
+    """Lower case, with one space for each run of characters other than letters, digits and newlines."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
 
 
 def _lanes() -> list[Column]:

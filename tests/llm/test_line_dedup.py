@@ -119,3 +119,10 @@ def test_fingerprint_same_as_plain(spark, words):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     got = {(r["doc_id"], r["line_no"]): r["print"] % 2**64 for r in fingerprints(occurrences(df, 1, "doc_id", "text")).collect()}
     assert got == {(1, i): fingerprint(normal(line)) for i, line in enumerate(text.split("\n"))}
+
+
+def test_lines_that_differ_in_unicode_marks_only_are_equal(spark, make):
+    plain = 'he said "no" to it - and so on, with many words'
+    docs = [plain, "he said \u201cno\u201d to it \u2014 and so on\u2026 with many words", plain.replace(" ", "\u00a0"),
+            plain.replace(" ", "\u3000"), plain.replace(",", "\uff0c")]
+    assert rows(line_groups(make(docs))) == {(i, 0, 0, 0, i == 0) for i in range(5)}
