@@ -165,7 +165,7 @@ def line_groups(
     more.  Of each connected group the occurrence of the smallest (doc_id, line_no) is kept, and
     names the group.
 
-    Lines of fewer than ``min_words`` words (blank ones too) are no duplicates of anything.  Null
+    Blank lines and lines of fewer than ``min_words`` words are no duplicates of anything.  Null
     texts have no lines; rows without an id are left alone; rows that repeat an id are one
     document.  A repeated line counts once in every later step.  No rows give no rows.
     """
@@ -206,4 +206,4 @@ def without_lines(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", te
 
 @query("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return line_groups(table(spark, folder, "documents").select("doc_id", "text"), min_words=1)

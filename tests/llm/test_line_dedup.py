@@ -126,3 +126,15 @@ def test_lines_that_differ_in_unicode_marks_only_are_equal(spark, make):
     docs = [plain, "he said \u201cno\u201d to it \u2014 and so on\u2026 with many words", plain.replace(" ", "\u00a0"),
             plain.replace(" ", "\u3000"), plain.replace(",", "\uff0c")]
     assert rows(line_groups(make(docs))) == {(i, 0, 0, 0, i == 0) for i in range(5)}
+
+
+def test_query_and_pipeline_group_equal_lines_of_any_length(spark, make, tmp_path):
+    from corpus_pipeline import drop_repeated_lines
+
+    long = "\u8fd9\u662f\u4e00\u6bb5\u6ca1\u6709\u7a7a\u683c\u7684\u6587\u5b57" * 30
+    docs = make(["Read more", "x y\nread MORE!", long, long + "\nz", "\n \n\u3000\n7", "7."])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {(0, 0, 0, 0, True), (1, 1, 0, 0, False), (2, 0, 2, 0, True), (3, 0, 2, 0, False), (4, 3, 4, 3, True), (5, 0, 4, 3, False)}
+    assert rows(op10_line_dedup(spark, str(tmp_path))) == expected
+    left = {r["doc_id"]: r["text"] for r in drop_repeated_lines(spark, docs, "").collect()}
+    assert left == {0: "Read more", 1: "x y", 2: long, 3: "z", 4: "\n \n\u3000\n7"}
