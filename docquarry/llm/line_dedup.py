@@ -1,10 +1,15 @@
-"""Line deduplication: SimHash of normalised lines, pigeonhole blocks, edit similarity, connected groups.
+"""Line deduplication: near lines by MinHash of character runs, edit similarity, connected groups.
+
+``repeated_lines`` is what the query and the pipeline use; ``line_groups`` retrieves by SimHash of words,
+which finds lines of nearly the same words only.
 
 Built-in functions only.
 """
 
 from __future__ import annotations
 
+import random
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +21,16 @@ from .components import connected_components
 BITS = 64
 #: Rows of ids that may be broadcast: 16 MB at 16 bytes.
 SMALL_ROWS = 1_000_000
+#: Characters of a run, in lines below LONG characters and in others.  Lines near LONG have runs of both widths.
+SHORT_WIDTH, LONG_WIDTH, LONG = 3, 5, 100
+#: Minima of a line.  A band joins three of them, and no two bands share more than one.
+MINIMA, BANDS, STEPS = 36, 24, (0, 1, 4)
+#: Of the first 32 minima so many agree in near lines, at least.
+AGREE = 7
+#: Lines up to this length also meet by what is left of them without one character.
+TINY = 14
+_DRAW = random.Random(10)
+_MASKS = [_DRAW.getrandbits(64) - (1 << 63) for _ in range(MINIMA)]
 
 
 def normalised(text: Column) -> Column:
@@ -148,6 +163,25 @@ def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> tuple[DataFra
     return judged.where("same").select("a", "b"), judged.where("not same").select("a", "b")
 
 
+def _grouped(lines: DataFrame, prints: DataFrame, components: DataFrame) -> DataFrame:
+    """The rows of every line that has a duplicate, of (node, component) of linked lines' names."""
+    named = prints.select("k", "k2", "n", F.struct("doc_id", "line_no").alias("first"))
+    grouped = named.join(components.withColumnRenamed("node", "k"), "k", "left")
+    in_group = grouped.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
+    fuzzy = grouped.join(in_group, "component").select("k", "k2", F.col("least").alias("kept_at"))
+    equal = grouped.where("component is null and n > 1").select("k", "k2", F.col("first").alias("kept_at"))
+    members = materialise(fuzzy.unionAll(equal), "members")
+    found = lines.select("doc_id", "line_no", "k", "k2").join(small_or_plain(members), ["k", "k2"])
+    at = F.struct("doc_id", "line_no")
+    return found.select(
+        "doc_id",
+        "line_no",
+        F.col("kept_at.doc_id").alias("group_doc_id"),
+        F.col("kept_at.line_no").alias("group_line_no"),
+        (at == F.col("kept_at")).alias("kept"),
+    )
+
+
 def line_groups(
     docs: DataFrame,
     percent: int = 80,
@@ -171,23 +205,111 @@ def line_groups(
     """
     lines = materialise(occurrences(docs, min_words, id_col, text_col), "lines")
     prints = materialise(fingerprints(lines), "prints")
-    components = connected_components(_links(prints, lines, distance, blocks, percent))
+    return _grouped(lines, prints, connected_components(_links(prints, lines, distance, blocks, percent)))
 
-    named = prints.select("k", "k2", "n", F.struct("doc_id", "line_no").alias("first"))
-    grouped = named.join(components.withColumnRenamed("node", "k"), "k", "left")
-    in_group = grouped.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
-    fuzzy = grouped.join(in_group, "component").select("k", "k2", F.col("least").alias("kept_at"))
-    equal = grouped.where("component is null and n > 1").select("k", "k2", F.col("first").alias("kept_at"))
-    members = materialise(fuzzy.unionAll(equal), "members")
-    found = lines.select("doc_id", "line_no", "k", "k2").join(small_or_plain(members), ["k", "k2"])
-    at = F.struct("doc_id", "line_no")
-    return found.select(
-        "doc_id",
-        "line_no",
-        F.col("kept_at.doc_id").alias("group_doc_id"),
-        F.col("kept_at.line_no").alias("group_line_no"),
-        (at == F.col("kept_at")).alias("kept"),
+
+def _run_hashes(chunks: Column, i: Column, width: Column) -> Column:
+    """The hashes of all runs of ``width`` characters that begin in chunk ``i``; null without any."""
+    piece = F.concat(F.get(chunks, i), F.substring(F.coalesce(F.get(chunks, i + 1), F.lit("")), F.lit(1), width - 1))
+    hashes = F.transform(F.sequence(F.lit(1), F.length(piece) - width + 1), lambda at: F.xxhash64(F.substring(piece, at, width)))
+    return F.when(F.length(piece) >= width, hashes)
+
+
+def _turned(j: int) -> Column:
+    """The hash under permutation ``j``: turned by some bits, so that others decide, and masked."""
+    by = 64 * j // MINIMA
+    turned = F.shiftleft("hash", by).bitwiseOR(F.shiftrightunsigned("hash", 64 - by)) if by else F.col("hash")
+    return turned.bitwiseXOR(F.lit(_MASKS[j]))
+
+
+def sketches(lines: DataFrame, percent: int) -> DataFrame:
+    """(k, k2, doc_id, line_no, n, chars, width, bands, s0 to s3): for each distinct line its first
+    occurrence, number of occurrences, bands of minima and the low bytes of 32 minima.
+
+    Lines that may be similar to shorter and longer ones have a row of each width.  Texts are
+    shuffled once; runs are cut and reduced where the line then is.
+    """
+    distinct = lines.groupBy("k", "k2").agg(
+        F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("n"), F.first("norm").alias("norm")
+    )
+    chars = F.length("norm")
+    widths = F.array_compact(
+        F.array(F.when(chars < LONG, F.lit(SHORT_WIDTH)), F.when(100 * chars >= percent * LONG, F.lit(LONG_WIDTH)))
+    )
+    # A place in a chunk is near its start, so cutting runs out of a long line takes linear time.
+    chunks = distinct.select(
+        "k", "k2", "at.*", "n", chars.alias("chars"), F.explode(widths).alias("width"),
+        F.regexp_extract_all("norm", F.lit("(?s).{1,64}"), F.lit(0)).alias("chunks"),
     )
+    own = ["k", "k2", "doc_id", "line_no", "n", "chars", "width"]
+    places = chunks.select(*own, "chunks", F.explode(F.sequence(F.lit(0), F.size("chunks") - 1)).alias("i"))
+    hashed = places.select(*own, F.explode_outer(_run_hashes(F.col("chunks"), F.col("i"), F.col("width"))).alias("hash"))
+    least = hashed.groupBy(*own).agg(*[F.min(_turned(j)).alias(f"m{j}") for j in range(MINIMA)])
+    bands = [F.hash("width", F.lit(j), *[F.col(f"m{(j + step) % MINIMA}") for step in STEPS]) for j in range(BANDS)]
+    bytes_ = [[F.shiftleft(F.col(f"m{8 * part + b}").bitwiseAND(F.lit(255)), 8 * b) for b in range(8)] for part in range(4)]
+    packed = [reduce(Column.bitwiseOR, eight).alias(f"s{part}") for part, eight in enumerate(bytes_)]
+    return least.select(*own, F.when(F.col("m0").isNotNull(), F.array(*bands)).alias("bands"), *packed)
+
+
+def _without_one(lines: DataFrame) -> DataFrame:
+    """(k, width, bucket): the short lines' names by their texts and their texts without one character."""
+    tiny = lines.where(F.length("norm") <= TINY).select("k", "norm").distinct()
+    left = F.transform(
+        F.sequence(F.lit(1), F.length("norm")),
+        lambda at: F.concat(F.substring("norm", F.lit(1), at - 1), F.substring("norm", at + 1, F.lit(TINY))),
+    )
+    keys = F.array_distinct(F.array_append(left, F.col("norm")))
+    return tiny.select("k", F.lit(SHORT_WIDTH).alias("width"), F.explode(F.transform(keys, lambda x: F.hash(x))).alias("bucket"))
+
+
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether two lines' lengths allow the similarity and enough minima agree; short ones need no minima."""
+    unequal = F.lit(0)
+    for part in range(4):
+        x = F.coalesce(F.col(f"{a}s{part}"), F.lit(0)).bitwiseXOR(F.coalesce(F.col(f"{b}s{part}"), F.lit(0)))
+        for by in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, by))
+        unequal = unequal + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    shorter, longer = F.least(f"{a}chars", f"{b}chars"), F.greatest(f"{a}chars", f"{b}chars")
+    return (100 * shorter >= percent * longer) & ((longer <= TINY) | (unequal <= 32 - AGREE))
+
+
+def _similar(prints: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what all retrieved pairs of similar lines would.
+
+    As in ``_links``, a bucket's members meet its middle, and only those not linked to it all others.
+    """
+    fields = ["chars", "s0", "s1", "s2", "s3"]
+    keyed = prints.select("k", "width", F.explode("bands").alias("bucket")).unionAll(_without_one(lines))
+    shared = keyed.join(keyed.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket")
+    rows = shared.join(prints.select("k", "width", "n", *fields), ["k", "width"])
+    rows = materialise(rows, "buckets")
+    middle = rows.groupBy("bucket").agg(
+        F.max_by(F.struct(F.col("k").alias("m_k"), *[F.col(c).alias(f"m_{c}") for c in fields]), F.struct("n", "k")).alias("m")
+    )
+    starred = rows.join(middle.select("bucket", "m.*"), "bucket").where("k <> m_k")
+    stars = starred.where(_alike("", "m_", percent)).select(*_in_order("k", "m_k")).distinct()
+    linked, _ = _verified(materialise(stars, "pairs"), lines, percent)
+    linked = materialise(linked, "linked")
+
+    several = starred.select("bucket", "k", *fields, *_in_order("k", "m_k"))
+    rest = several.join(linked, ["a", "b"], "left_anti").select("bucket", *[F.col(c).alias(f"r_{c}") for c in ("k", *fields)])
+    more = rest.join(several.drop("a", "b"), "bucket").where((F.col("r_k") != F.col("k")) & _alike("r_", "", percent))
+    pairs = materialise(more.select(*_in_order("r_k", "k")).distinct(), "pairs")
+    return linked.unionAll(_verified(pairs, lines, percent)[0])
+
+
+def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every line that has a duplicate, as ``line_groups`` returns them, but of any length above blank.
+
+    Two lines are linked if their normalised forms are equal, or if they share a band of minima of
+    their character runs (or all but one character, if short) and their edit similarity is
+    ``percent`` / 100 or more.
+    """
+    lines = materialise(occurrences(docs, 1, id_col, text_col), "lines")
+    prints = materialise(sketches(lines, percent), "prints")
+    one_each = prints.where((F.col("width") == SHORT_WIDTH) | (F.col("chars") >= LONG))
+    return _grouped(lines, one_each, connected_components(_similar(prints, lines, percent)))
 
 
 def without_lines(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,4 +328,4 @@ def without_lines(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", te
 
 @query("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_groups(table(spark, folder, "documents").select("doc_id", "text"), min_words=1)
+    return repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))

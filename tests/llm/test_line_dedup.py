@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from docquarry.llm.line_dedup import line_groups, op10_line_dedup, without_lines
+from docquarry.llm.line_dedup import line_groups, op10_line_dedup, repeated_lines, without_lines
 
 
 def normal(line):
@@ -138,3 +138,35 @@ def test_query_and_pipeline_group_equal_lines_of_any_length(spark, make, tmp_pat
     assert rows(op10_line_dedup(spark, str(tmp_path))) == expected
     left = {r["doc_id"]: r["text"] for r in drop_repeated_lines(spark, docs, "").collect()}
     assert left == {0: "Read more", 1: "x y", 2: long, 3: "z", 4: "\n \n\u3000\n7"}
+
+
+def test_recall_against_edit_similarity_alone(spark, make):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choices(letters, k=rng.randint(2, 9)))
+    docs = []
+    for size in (3, 6, 10, 20, 50, 200):
+        for kind in range(40):
+            line = [word() for _ in range(size)]
+            docs.append(" ".join(line))
+            if kind % 2 and size > 3:
+                line[rng.randrange(size)] = word()
+                docs.append(" ".join(line))
+            else:
+                chars = list(" ".join(line))
+                for at in rng.sample(range(len(chars)), max(1, len(chars) // 20)):
+                    chars[at] = rng.choice(letters)
+                docs.append("".join(chars))
+    found = {(d, g) for d, _, g, *_ in rows(repeated_lines(make(docs)))}
+    share = {}
+    for first in range(0, len(docs), 2):
+        x, y = normal(docs[first]), normal(docs[first + 1])
+        if levenshtein(x, y) <= max(len(x), len(y)) // 5:
+            share.setdefault(first // 80, []).append((first + 1, first) in found)
+    assert len(share) == 6 and min(np.mean(s) for s in share.values()) >= 0.9
+    assert all(d // 2 == g // 2 for d, g in found)
+
+
+def test_short_lines_with_one_edit(spark, make):
+    docs = ["abcd", "abcde", "abxde", "zzz", "zzy", "quick fox", "quack fox"]
+    assert rows(repeated_lines(make(docs))) == {(0, 0, 0, 0, True), (1, 0, 0, 0, False), (2, 0, 0, 0, False), (5, 0, 5, 0, True), (6, 0, 5, 0, False)}
