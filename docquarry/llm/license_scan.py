@@ -1,12 +1,10 @@
-"""License scans: MinHash bands of overlapping windows retrieve templates, shingle containment verifies.
+"""License scans: enough shingles of each template retrieve it, shingle containment verifies.
 
 Built-in functions only.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +13,6 @@ from .common import materialise, query, table
 from .line_dedup import small_or_plain
 
 WIDTH = 5
-#: Shingles in a block; a window is two neighbouring blocks, so windows overlap by half.
-BLOCK = 8
-#: Bands of one minimum each.  A window with half of its shingles from a template's window misses
-#: it with probability 2**-20, one with a quarter with probability 0.003.
-BANDS = 20
-_DRAW = random.Random(6)
-_MASKS = [_DRAW.getrandbits(64) - (1 << 63) for _ in range(BANDS)]
 
 # Notices of public licenses.
 TEMPLATES = {
@@ -74,42 +65,30 @@ def _shingles(text: Column) -> Column:
     return bound(F.transform(F.split(normalised(text), " "), lambda w: F.xxhash64(w)), runs)
 
 
-def _band_keys(shingles: Column) -> Column:
-    """The band keys of all windows of a text; none without shingles."""
-    masks = F.array(*[F.lit(m) for m in _MASKS])
-
-    # The least value under a mask's exclusive or is a uniform choice among well mixed hashes.
-    def least(block: Column) -> Column:
-        return F.transform(masks, lambda m: F.array_min(F.transform(block, lambda h: h.bitwiseXOR(m))))
-
-    def windows(minima: Column) -> Column:
-        def window(one: Column, w: Column) -> Column:
-            both = F.zip_with(one, F.coalesce(F.get(minima, w + 1), one), lambda x, y: F.least(x, y))
-            return F.transform(both, lambda x, i: F.xxhash64(i, x))
-
-        # The last block is the second half of the window before it, unless it stands alone.
-        firsts = F.slice(minima, 1, F.greatest(F.size(minima) - 1, F.lit(1)))
-        return F.array_distinct(F.flatten(F.transform(firsts, window)))
+def _keys(wanted: Column, percent: int) -> Column:
+    """So many of a template's shingles that a text with none of them lacks more than it may."""
+    needed = F.ceil(F.size(wanted) * percent / 100)
+    return F.slice(wanted, 1, F.greatest(F.size(wanted) - needed + 1, F.lit(0)).cast("int"))
 
-    def cut(own: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(own), F.lit(1)), F.lit(BLOCK))
-        blocks = F.transform(starts, lambda at: F.slice(own, at, BLOCK))
-        keys = bound(F.transform(blocks, least), windows)
-        return F.when(F.size(own) > 0, keys)
 
-    return bound(shingles, cut)
+def _first_line(text: Column, shingles: Column, wanted: Column) -> Column:
+    """The number of the line on which the first of the wanted shingles begins."""
+    words = F.transform(F.split(text, "\n", -1), lambda x: F.size(F.filter(F.split(normalised(x), " "), lambda w: w != "")))
+    lines = F.flatten(F.transform(words, lambda n, i: F.array_repeat(i, n)))
+    at = F.array_position(F.transform(shingles, lambda s: F.array_contains(wanted, s)), True)
+    return F.get(lines, at.cast("int") - 1)
 
 
 def scan_licenses(
     docs: DataFrame, templates: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, template_id, line_no, matched, total, containment): templates of which a document holds
-    at least ``percent`` / 100 of the distinct five-word shingles; ``line_no`` is the first line whose
-    window retrieved the template.
+    at least ``percent`` / 100 of the distinct five-word shingles; ``line_no`` is the first line on
+    which one of them begins.
 
-    ``templates`` has template_id and text.  Each line's words are cut into overlapping windows, and a
-    template's likewise; windows that share a band retrieve the template for the document.  Then the
-    whole document's shingles, over line ends, are compared.
+    ``templates`` has template_id and text.  A document that may lack at most m shingles of a template
+    has one of any m + 1, so m + 1 of each template retrieve all that hold it, wherever lines end.
+    Then the whole document's shingles, over line ends, are compared.
 
     Words are runs of letters and digits, lower-cased.  Null, empty and shorter texts hold nothing.
     Rows without an id are not reported; rows that repeat an id give each template once, by the row
@@ -118,21 +97,21 @@ def scan_licenses(
     """
     given = templates.where("template_id is not null and text is not null").select("template_id", "text")
     shingled = given.select("template_id", F.array_distinct(_shingles(F.col("text"))).alias("wanted"))
-    bands = given.select("template_id", F.explode_outer(_band_keys(_shingles(F.col("text")))).alias("key")).distinct()
-    bands = materialise(bands, "templates")
+    shingled = shingled.where(F.size("wanted") > 0)
+    keys = materialise(shingled.select("template_id", F.explode(_keys(F.col("wanted"), percent)).alias("key")), "templates")
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # The outer form of explode: the inner one would add a filter that computes the arrays again.
-    lines = texts.select("doc_id", F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
-    keys = F.explode_outer(_band_keys(_shingles(F.col("line")))).alias("key")
-    hits = lines.select("doc_id", "line_no", keys).join(small_or_plain(bands), "key")
-    retrieved = materialise(hits.groupBy("doc_id", "template_id").agg(F.min("line_no").alias("line_no")), "retrieved")
+    own = texts.select("doc_id", F.explode_outer(_shingles(F.col("text"))).alias("key"))
+    hits = own.join(small_or_plain(keys), "key")
+    retrieved = materialise(hits.select("doc_id", "template_id").distinct(), "retrieved")
 
     held = texts.join(small_or_plain(retrieved.select("doc_id").distinct()), "doc_id")
-    held = held.select("doc_id", _shingles(F.col("text")).alias("shingles"))
-    both = held.join(retrieved, "doc_id").join(small_or_plain(shingled.where(F.size("wanted") > 0)), "template_id")
+    held = held.select("doc_id", "text", _shingles(F.col("text")).alias("shingles"))
+    both = held.join(retrieved, "doc_id").join(small_or_plain(shingled), "template_id")
     matched = F.size(F.array_intersect("wanted", "shingles")).cast("long")
-    judged = both.select("doc_id", "template_id", "line_no", matched.alias("matched"), F.size("wanted").cast("long").alias("total"))
+    line = _first_line(F.col("text"), F.col("shingles"), F.col("wanted")).alias("line_no")
+    judged = both.select("doc_id", "template_id", line, matched.alias("matched"), F.size("wanted").cast("long").alias("total"))
     judged = judged.where(100 * F.col("matched") >= percent * F.col("total"))
     best = judged.groupBy("doc_id", "template_id").agg(
         F.min("line_no").alias("line_no"), F.max("matched").alias("matched"), F.max("total").alias("total")

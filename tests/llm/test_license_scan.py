@@ -68,3 +68,17 @@ def test_cases(spark, make):
 def test_no_python_in_the_plan(spark, make):
     plan = scan_licenses(make(["a b c d e f"]), known_templates(spark))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_every_template_inline_and_wrapped_at_each_word(spark, make):
+    rng = random.Random(4)
+    filler = lambda n: " ".join(f"w{rng.randint(0, 900)}" for _ in range(n))
+    docs = []
+    for text in TEMPLATES.values():
+        docs += [f"{filler(rng.randint(8, 40))} {text} {filler(rng.randint(8, 40))}" for _ in range(60)]
+        docs += [f"{filler(20)} {text[:at]}\n{text[at + 1:]} {filler(20)}" for at, c in enumerate(text) if c == " "]
+        docs.append("\n".join(text.split(" ")))
+    expected = brute(list(enumerate(docs)))
+    assert {d for d, *_ in expected} == set(range(len(docs))) and rows(scan_licenses(make(docs), known_templates(spark))) == expected
+    first = scan_licenses(make(["a b\n\nc Released under\nthe MIT License."]), known_templates(spark)).collect()
+    assert [(r["template_id"], r["line_no"]) for r in first] == [("MIT", 2)]
