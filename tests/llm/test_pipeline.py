@@ -106,3 +106,17 @@ def test_decisions_take_effect(spark, small):
 def test_empty_tables(spark, small):
     folder, _ = small([])
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_contaminated_rows_go_by_their_own_text(spark, tmp_path):
+    from corpus_pipeline import drop_contaminated
+
+    bad = " ".join(f"bench{i}" for i in range(60))
+    spark.createDataFrame([("b", bad)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(
+        [(None, bad, "en", "s", 1), (1, bad, "en", "s", 1), (1, "clean words here", "en", "s", 1), (None, "clean", "en", "s", 1), (2, None, "en", "s", None)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    left = drop_contaminated(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left.collect()) == [("1", "clean words here"), ("2", "None"), ("None", "clean")]
