@@ -21,17 +21,23 @@ def _both_ways(links: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, split_hubs: bool = False) -> DataFrame:
     """Every larger neighbour of a node is linked to the least one around that node."""
     pairs = _both_ways(links)
-    joined = pairs.join(_least_neighbours(pairs), "node").where(F.col("other") > F.col("node"))
+    least = _least_neighbours(pairs)
+    if split_hubs:
+        # Two plain tables: the join can then split a hub's neighbours over tasks.
+        least = materialise(least, "least")
+    joined = pairs.join(least, "node").where(F.col("other") > F.col("node"))
     return joined.select(F.col("other").alias("child"), F.col("least").alias("parent")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, split_hubs: bool = False) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
     pairs = links.select(F.col("child").alias("node"), F.col("parent").alias("other"))
     least = _least_neighbours(pairs)
+    if split_hubs:
+        least = materialise(least, "least")
     moved = pairs.join(least, "node").select(F.col("other").alias("child"), F.col("least").alias("parent"))
     kept = least.select(F.col("node").alias("child"), F.col("least").alias("parent"))
     return moved.unionAll(kept).where(F.col("child") != F.col("parent")).distinct()
@@ -47,19 +53,20 @@ def _is_stars(links: DataFrame) -> bool:
     return broken.isEmpty()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, split_hubs: bool = False) -> DataFrame:
     """(node, component) of every node with a link; the component is its smallest node.
 
     ``links`` has columns ``a`` and ``b`` of one orderable type.  Nulls and links of a node to
     itself count for nothing; repeated links and both directions count once; no links give no
     rows.  Every round is written to the shared folder, so it never replays earlier rounds.  A
-    node's neighbours are reduced by aggregation and join and are never gathered into one row.
+    node's neighbours are reduced by aggregation and join and are never gathered into one row; with
+    ``split_hubs`` the joins can also split the neighbours of one node over many tasks.
     """
     links = links.where("a is not null and b is not null and a <> b")
     links = links.select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent")).distinct()
     links = materialise(links, "links")
     while not _is_stars(links):
-        links = materialise(_small_star(_large_star(links)), "links")
+        links = materialise(_small_star(_large_star(links, split_hubs), split_hubs), "links")
     return links.select(F.col("child").alias("node"), F.col("parent").alias("component")).unionAll(
         links.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct()
     )

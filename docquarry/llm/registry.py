@@ -11,5 +11,6 @@ from . import (  # noqa: F401
     packing,
     topk_search,
     toxicity,
+    url_filter,
 )
 from .common import QUERIES, SQL  # noqa: F401
