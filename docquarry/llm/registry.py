@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     chat_format,
+    chat_repair,
     decontamination,
     language_id,
     language_model,
