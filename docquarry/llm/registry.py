@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     chat_format,
     chat_repair,
     decontamination,
+    filter_audit,
     language_id,
     language_model,
     license_scan,
