@@ -172,7 +172,7 @@ def op12_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.when(F.col("edit") == "R", grammar.REROLE_COST).otherwise(0) + F.when(F.col("fault") == "truncated", grammar.TRUNCATED_COST).otherwise(0))
     )
     step = F.struct("n", "edit", F.when(F.col("edit") != "D", F.concat("role", F.lit(":"), "text")).alias("line"))
-    digests = repair(broken).groupBy("conv_id").agg(
+    counted = repair(broken).groupBy("conv_id").agg(
         told("blank").alias("blank"),
         told("duplicate").alias("duplicate"),
         told("truncated").alias("truncated"),
@@ -180,6 +180,13 @@ def op12_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.sum(paid).cast("long").alias("cost"),
         F.array_sort(F.collect_list(step)).alias("steps"),
     )
+    # Digests before the join, so that no text is shuffled again.
+    lines = F.array_join(F.array_compact(F.transform("steps", lambda s: s["line"])), "\n")
+    digests = counted.select(
+        "conv_id", "blank", "duplicate", "truncated", "illegal", "cost",
+        F.array_join("steps.edit", "").alias("audit"),
+        F.sha2(lines, 256).alias("repaired_sha256"),
+    )
     places = broken.groupBy("conv_id").agg(
         (F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")).cast("long").alias("gaps")
     )
@@ -187,11 +194,10 @@ def op12_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
     for part in (places, digests):
         named = part.withColumnRenamed("conv_id", "_id")
         ids = ids.join(named, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    lines = F.array_join(F.array_compact(F.transform("steps", lambda s: s["line"])), "\n")
     counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
     return ids.select(
         "conv_id",
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
-        F.coalesce(F.array_join("steps.edit", ""), F.lit("")).alias("audit"),
-        F.sha2(F.coalesce(lines, F.lit("")), 256).alias("repaired_sha256"),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
