@@ -55,15 +55,16 @@ class Shard:
 def encode(docs: DataFrame, text_col: str, facts: Callable[[bytes], tuple], fact_types: list[tuple], shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The texts by local dictionaries, written once: rows of documents and rows of the dictionaries' words.
 
-    A document's row has the other columns of ``docs``, ``facts`` of its text, and its terms and counts; a
-    word's row has ``local`` and ``word``.  Both name their shard.  Null texts are empty.
+    A document's row has the other columns of ``docs``, ``facts`` of its text, and its terms in order with their
+    counts; a term's two halves are apart, as the high ones hardly differ and so take little room.  A word's row has ``local`` and ``word``.
+    Both name their shard.  Null texts are empty.
     """
     kept = [c for c in docs.columns if c != text_col]
     fields = [(f"k{i}", to_arrow_type(docs.schema[c].dataType)) for i, c in enumerate(kept)]
-    fields += [("digest", pa.binary()), *[(n, t) for n, t, _ in fact_types], ("terms", pa.binary()), ("counts", pa.binary())]
+    fields += [("digest", pa.binary()), *[(n, t) for n, t, _ in fact_types], ("low", pa.binary()), ("high", pa.binary()), ("counts", pa.binary())]
     schema = pa.schema([("shard", pa.int64()), *fields, ("local", pa.int32()), ("word", pa.binary())])
     spark_types = [f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)]
-    spark_types += ["digest binary", *[f"{n} {s}" for n, _, s in fact_types], "terms binary, counts binary"]
+    spark_types += ["digest binary", *[f"{n} {s}" for n, _, s in fact_types], "low binary, high binary, counts binary"]
     ddl = ", ".join(["shard long", *spark_types, "local int", "word binary"])
 
     def filled(columns: dict[str, object], n: int) -> pa.RecordBatch:
@@ -90,8 +91,12 @@ def encode(docs: DataFrame, text_col: str, facts: Callable[[bytes], tuple], fact
                 found["digest"].append(hashlib.sha256(text).digest())
                 for (name, *_), value in zip(fact_types, facts(text)):
                     found[name].append(value)
-                found["terms"].append(np.fromiter(map(local.__getitem__, counted), np.int32, len(counted)).tobytes())
-                found["counts"].append(np.fromiter(counted.values(), np.int32, len(counted)).tobytes())
+                terms = np.fromiter(map(local.__getitem__, counted), np.uint32, len(counted))
+                order = np.argsort(terms)
+                terms = terms[order]
+                found["low"].append(terms.astype(np.uint16).tobytes())
+                found["high"].append((terms >> 16).astype(np.uint16).tobytes())
+                found["counts"].append(np.fromiter(counted.values(), np.int32, len(counted))[order].tobytes())
                 size, held = size + len(text), held + 1
                 if size >= shard_bytes:
                     yield filled(found | {f"k{i}": _part(batch, i, held - len(found["shard"]), held) for i in range(len(kept))}, len(found["shard"]))
@@ -124,16 +129,17 @@ def dictionary(encoded: DataFrame) -> DataFrame:
 
 def over_shards(encoded: DataFrame, reduced: Callable[[Shard], pa.Table], schema: str) -> DataFrame:
     """Build each shard with the dictionary's codes and reduce it; a task holds one shard at a time."""
-    rows = encoded.where("terms is not null").drop("local", "word")
+    rows = encoded.where("counts is not null").drop("local", "word")
     codes = dictionary(encoded).select("shard", "local", "term")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         terms_of = np.zeros(right.num_rows, np.int64)
         terms_of[right.column("local").to_numpy()] = right.column("term").to_numpy()
-        runs = left.column("terms").to_pylist()
+        runs = left.column("counts").to_pylist()
         starts = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs], dtype=np.int64)])
-        counts = np.frombuffer(b"".join(left.column("counts").to_pylist()), np.int32)
-        terms = terms_of[np.frombuffer(b"".join(runs), np.int32)]
-        return reduced(Shard(left.drop_columns(["terms", "counts"]), starts, terms, counts))
+        low, high = (np.frombuffer(b"".join(left.column(c).to_pylist()), np.uint16) for c in ("low", "high"))
+        terms = terms_of[low.astype(np.int64) | (high.astype(np.int64) << 16)]
+        counts = np.frombuffer(b"".join(runs), np.int32)
+        return reduced(Shard(left.drop_columns(["low", "high", "counts"]), starts, terms, counts))
 
     return rows.groupBy("shard").cogroup(codes.groupBy("shard")).applyInArrow(run, schema)
