@@ -7,7 +7,6 @@ work stays in the JVM.  ``analyze`` runs only on the (short) query string.
 from __future__ import annotations
 
 import re
-from itertools import combinations, product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -109,43 +108,44 @@ def edit_distance_within(word: Column, term: str, k: int, transpositions: bool)
     if k == 0:
         return word == F.lit(term)
     near = F.abs(F.length(word) - F.lit(len(term))) <= k
-    close = F.levenshtein(word, F.lit(term), k).between(0, k)
-    if transpositions:
-        for m in range(1, k + 1):
-            for starts in combinations(range(len(term) - 1), m):
-                apart = all(b - a >= 2 for a, b in zip(starts, starts[1:]))
-                if apart and all(term[i] != term[i + 1] for i in starts):
-                    close = close | _swapped_at(word, term, starts, k - m)
-    return near & close
+    if not transpositions:
+        return near & F.levenshtein(word, F.lit(term), k).between(0, k)
+    # A swap is two plain edits at most, so the plain distance tells most words apart.
+    close = F.levenshtein(word, F.lit(term), 2 * k).between(0, 2 * k)
+    return near & close & (swapping_distance(word, term) <= k)
 
 
-def _swapped_at(word: Column, term: str, starts: tuple[int, ...], edits: int) -> Column:
-    """``word`` holds the pairs of ``term`` at ``starts`` swapped, and at most ``edits`` edits around them.
+def swapping_distance(word: Column, term: str) -> Column:
+    """Edit distance in which a swap of two neighbours counts as one edit, by dynamic programming.
 
-    Edits before a pair move it in the word, by every shift they allow.
+    One aggregate over the word's characters keeps the last two rows of the table, so the expression has the
+    same size for every term and distance.
     """
-    pairs = [term[i + 1] + term[i] for i in starts]
-    if edits == 0:
-        text, done = "", 0
-        for i, pair in zip(starts, pairs):
-            text, done = text + term[done:i] + pair, i + 2
-        return word == F.lit(text + term[done:])
-
-    found = F.lit(False)
-    for shifts in product(range(-edits, edits + 1), repeat=len(starts)):
-        moves = [abs(b - a) for a, b in zip((0, *shifts), shifts)]
-        if sum(moves) > edits:
-            continue
-        test, cost, at, done, possible = F.lit(True), F.lit(0), 0, 0, True
-        for i, pair, shift in zip(starts, pairs, shifts):
-            here = i + shift
-            possible = possible and here >= at
-            if not possible:
-                break
-            cost = cost + F.levenshtein(F.substring(word, at + 1, here - at), F.lit(term[done:i]))
-            test = test & (F.substring(word, here + 1, 2) == F.lit(pair))
-            at, done = here + 2, i + 2
-        if possible:
-            rest = F.substring(word, at + 1, MAX_LENGTH)
-            found = found | (test & (cost + F.levenshtein(rest, F.lit(term[done:])) <= edits))
-    return found
+    m = len(term)
+    letters = F.array(*[F.lit(c) for c in term])
+    chars = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1)))
+    places = F.sequence(F.lit(1), F.lit(m))
+    row = "array<int>"
+
+    def cell(state: Column, char: Column, done: Column, j: Column) -> Column:
+        own = F.get(letters, j - F.lit(1))
+        swap = (j > 1) & (char == F.get(letters, j - F.lit(2))) & (state["char"] == own)
+        return F.least(
+            F.get(state["last"], j) + F.lit(1),
+            F.get(done, j - F.lit(1)) + F.lit(1),
+            F.get(state["last"], j - F.lit(1)) + F.when(char == own, F.lit(0)).otherwise(F.lit(1)),
+            F.when(swap, F.get(state["before"], j - F.lit(2)) + F.lit(1)),
+        )
+
+    def step(state: Column, char: Column) -> Column:
+        first = F.array(F.get(state["last"], F.lit(0)) + F.lit(1)).cast(row)
+        done = F.aggregate(places, first, lambda d, j: F.concat(d, F.array(cell(state, char, d, j))).cast(row))
+        return F.struct(state["last"].alias("before"), done.alias("last"), char.alias("char"))
+
+    start = F.struct(
+        F.array(*[F.lit(2 * m + 1)] * (m + 1)).cast(row).alias("before"),
+        F.array(*[F.lit(j) for j in range(m + 1)]).cast(row).alias("last"),
+        F.lit("").alias("char"),
+    )
+    filled = F.when(F.length(word) > 0, F.aggregate(chars, start, step, lambda s: F.get(s["last"], F.lit(m))))
+    return F.coalesce(filled, F.lit(m))

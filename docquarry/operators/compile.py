@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import analysis, scoring
+from ..functions.binding import bound
 from . import queries as q
-from .phrases import phrase_frequency, phrase_matches
+from .phrases import exact_frequency, phrase_frequency, phrase_matches, sloppy_frequency
+from .posted import PostingsView
 from .scope import CorpusStatistics, Field, Scope, tokens_name
 
 OCCURS = ("must", "should", "must_not", "filter")
@@ -62,6 +64,10 @@ def find(
     text_fields = text_fields or {}
     scope = Scope(docs.schema, text_fields, docs)
     stats = CorpusStatistics(index)
+    if index is not None and index.buckets is not None and index.id_col in docs.columns:
+        found = _find_posted(docs, query, text_fields, stats)
+        if found is not None:
+            return found
     match = compile_query(query, scope, stats).match
     rows = stats.attach(docs).filter(match)
     for name in text_fields:
@@ -71,6 +77,46 @@ def find(
     return Prepared(rows, compile_query(query, Scope(rows.schema, text_fields, docs), stats))
 
 
+def _find_posted(docs: DataFrame, query: q.Query, text_fields: dict[str, str], stats: CorpusStatistics) -> Prepared | None:
+    """The same by the postings of the query's terms; None if the query asks for no indexed text.
+
+    Documents are met by their id, which has to be theirs alone.
+    """
+    view = PostingsView(stats.index)
+    compile_query(query, Scope(docs.schema, text_fields, docs, view=view), stats)
+    if not view.needed:
+        stats.forget()
+        return None
+    scope = Scope(docs.schema, text_fields, docs, view=view)
+    rows = view.attach(stats.attach(docs), _needs_text(query, scope))
+    compiled = compile_query(query, Scope(rows.schema, text_fields, docs, view=view), stats)
+    return Prepared(rows.filter(compiled.match), compiled)
+
+
+def _needs_text(query: q.Query, scope: Scope) -> bool:
+    """Whether every match has a posting of the query's own terms."""
+    def posted(name: str) -> bool:
+        f = scope.field(name)
+        return f is not None and f.posted is not None
+
+    if isinstance(query, (q.Term, q.Terms, q.Match, q.MatchPhrase, q.Wildcard)):
+        return posted(query.field)
+    if isinstance(query, q.MultiMatch):
+        return all(posted(name) or scope.field(name) is None for name in query.fields)
+    if isinstance(query, (q.ConstantScore, q.FunctionScore)):
+        return _needs_text(query.query, scope)
+    if isinstance(query, q.DisMax):
+        return all(_needs_text(p, scope) for p in query.queries)
+    if isinstance(query, q.Bool):
+        parts = {o: [p for c in query.clauses if c.occur == o for p in c.queries] for o in OCCURS}
+        if any(_needs_text(p, scope) for p in parts["must"] + parts["filter"]):
+            return True
+        lonely = parts["should"] and not parts["must"] and not parts["filter"]
+        needed = analysis.minimum_should_match(query.minimum_should_match, len(parts["should"])) or 0
+        return bool(lonely or needed > 0) and all(_needs_text(p, scope) for p in parts["should"])
+    return False
+
+
 def scored(
     docs: DataFrame,
     query: q.Query,
@@ -87,8 +133,10 @@ def scored(
     return result.drop(*extra)
 
 
-def matching(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> DataFrame:
-    """Only filter; works on batch and streaming DataFrames alike."""
+def matching(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None, index=None) -> DataFrame:
+    """Only filter; without an index it works on batch and streaming DataFrames alike."""
+    if index is not None:
+        return find(docs, query, text_fields, index).rows.select(*[F.col(f"`{c}`") for c in docs.columns])
     scope = Scope(docs.schema, text_fields or {}, docs)
     return docs.filter(compile_query(query, scope, CorpusStatistics()).match)
 
@@ -149,6 +197,8 @@ def _terms(query: q.Terms, scope: Scope, stats: CorpusStatistics) -> Compiled:
     f = scope.field(query.field)
     if f is None or not query.terms:
         return _nothing()
+    if f.posted is not None:
+        return _constant(scoring.any_of([f.has_token(str(t)) for t in dict.fromkeys(query.terms)]), query.boost)
     if f.is_text:
         wanted = F.array(*[F.lit(str(t)) for t in query.terms])
         return _constant(F.arrays_overlap(f.tokens, wanted), query.boost)
@@ -167,6 +217,10 @@ def _wildcard(query: q.Wildcard, scope: Scope, stats: CorpusStatistics) -> Compi
         return _nothing()
     pattern = query.pattern
     stem = pattern[:-1]
+    if f.posted is not None:
+        plain_stem = pattern.endswith("*") and "*" not in stem and "?" not in stem
+        key = ("prefix", stem) if plain_stem else ("like", pattern)
+        return _constant(f.posted.frequency(f.name, key) > 0, query.boost)
     if pattern.endswith("*") and "*" not in stem and "?" not in stem:
         def test(x: Column) -> Column:
             return F.startswith(x.cast("string"), F.lit(stem))
@@ -290,18 +344,19 @@ def _operator(name: str) -> str:
     return name.lower()
 
 
-def _frequency(tokens: Column, term: str) -> Column:
-    return F.size(tokens) - F.size(F.array_remove(tokens, term))
-
-
 def _token_score(f: Field, term: str, scope: Scope, stats: CorpusStatistics) -> Column:
     weight = scoring.idf(stats.doc_count(scope, f), stats.term_freq(scope, f, term))
-    return scoring.bm25(weight, _frequency(f.tokens, term), F.size(f.tokens), stats.average_length(scope, f))
+    return scoring.bm25(weight, f.frequency(term), f.length, stats.average_length(scope, f))
 
 
 def _contains_at_least(f: Field, terms: list[str], needed: int) -> Column:
     """At least ``needed`` of the query tokens occur; the text is split only once."""
     distinct = list(dict.fromkeys(terms))
+    if f.posted is not None:
+        held = [f.has_token(t) for t in (distinct if needed <= 1 or needed >= len(terms) else terms)]
+        if needed <= 1:
+            return scoring.any_of(held)
+        return scoring.all_of(held) if needed >= len(terms) else scoring.total([h.cast("int") for h in held]) >= needed
     quick = [f.maybe_contains(t) for t in distinct]
     wanted = F.array(*[F.lit(t) for t in distinct])
     if len(distinct) == 1:
@@ -361,6 +416,12 @@ def _fuzzy_token(f: Field, term: str, query: q.Match, scope: Scope, stats: Corpu
     if not 0 <= k <= 3:
         raise ValueError(f"fuzziness {query.fuzziness!r} is not 0..3 or 'auto'")
 
+    if f.posted is not None:
+        key = ("near", term, k, query.transpositions)
+        freq = f.posted.frequency(f.name, key)
+        weight = scoring.idf(stats.doc_count(scope, f), f.posted.doc_freq(f.name, key))
+        return Compiled(freq > 0, scoring.bm25(weight, freq, f.length, stats.average_length(scope, f)))
+
     def near(word: Column) -> Column:
         return analysis.edit_distance_within(word, term, k, query.transpositions)
 
@@ -388,6 +449,10 @@ def _match_phrase(query: q.MatchPhrase, scope: Scope, stats: CorpusStatistics) -
     if len(terms) == 1 and not query.prefix:
         return _tokens_query(f, terms, 1, query.boost, scope, stats)
     weights = [_phrase_term_idf(f, t, query.prefix and i == len(terms) - 1, scope, stats) for i, t in enumerate(terms)]
+    if f.posted is not None:
+        match, freq = _posted_phrase(f, terms, query)
+        score = scoring.bm25(scoring.total(weights), freq, f.length, stats.average_length(scope, f))
+        return Compiled(match, scoring.boosted(score, query.boost))
     freq = phrase_frequency(f.tokens, terms, query.slop, query.prefix)
     score = scoring.bm25(scoring.total(weights), freq, F.size(f.tokens), stats.average_length(scope, f))
     tests = [f.maybe_contains(t) for t in dict.fromkeys(terms)]
@@ -395,9 +460,33 @@ def _match_phrase(query: q.MatchPhrase, scope: Scope, stats: CorpusStatistics) -
     return Compiled(scoring.all_of(tests), scoring.boosted(score, query.boost))
 
 
+def _posted_phrase(f: Field, terms: list[str], query: q.MatchPhrase) -> tuple[Column, Column]:
+    """Does the phrase occur, and how often, from the positions of its terms."""
+    keys = [("term", t) for t in terms]
+    if query.prefix:
+        keys[-1] = ("prefix", terms[-1])
+    held = [f.posted.frequency(f.name, key) > 0 for key in dict.fromkeys(keys)]
+    if len(terms) == 1:
+        return held[0], f.posted.frequency(f.name, keys[0]).cast("double")
+
+    def offsets(key: tuple, j: int) -> Column:
+        return F.transform(f.posted.positions(f.name, key), lambda p: p - F.lit(j))
+
+    places = F.array(
+        *[F.struct(F.lit(t).alias("term"), offsets(key, j).alias("offsets")) for j, (t, key) in enumerate(zip(terms, keys))]
+    )
+    if query.slop:
+        freq = bound(places, lambda p: sloppy_frequency(p, F.lit(query.slop)))
+    else:
+        freq = exact_frequency(places).cast("double")
+    return scoring.all_of(held) & (freq > 0), freq
+
+
 def _phrase_term_idf(f: Field, term: str, prefix: bool, scope: Scope, stats: CorpusStatistics) -> Column:
     if not prefix:
         return scoring.idf(stats.doc_count(scope, f), stats.term_freq(scope, f, term))
+    if f.posted is not None:
+        return scoring.idf(stats.doc_count(scope, f), f.posted.doc_freq(f.name, ("prefix", term)))
     df = stats.doc_freq(
         scope, f, ("prefix", term), lambda g: F.exists(g.tokens, lambda x: F.startswith(x, F.lit(term)))
     )
@@ -447,7 +536,7 @@ def _cross_fields(query, weights, scope, stats) -> Compiled:
         per_field = [
             F.coalesce(
                 scoring.boosted(
-                    scoring.bm25(weight, _frequency(f.tokens, term), F.size(f.tokens), stats.average_length(scope, f)),
+                    scoring.bm25(weight, f.frequency(term), f.length, stats.average_length(scope, f)),
                     w,
                 ),
                 F.lit(0.0),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import analysis
 from ..functions.fields import field_type
+from .posted import PostingsView
 
 STATS = "_stats"
 KEYWORD_SUFFIX = ".keyword"
@@ -30,6 +31,7 @@ class Field:
     dtype: T.DataType
     analyzer: str | None = None
     stored_tokens: Column | None = None
+    posted: PostingsView | None = None
 
     @property
     def is_array(self) -> bool:
@@ -56,16 +58,29 @@ class Field:
 
         It spares documents without the term the split into tokens.
         """
-        if self.stored_tokens is not None or self.is_array or not self.is_text:
+        if self.posted is not None or self.stored_tokens is not None or self.is_array or not self.is_text:
             return None
         text = F.lower(self.column) if self.analyzer == "standard" else self.column
         return F.contains(text, F.lit(term))
 
     def has_token(self, term: str) -> Column:
+        if self.posted is not None:
+            return self.frequency(term) > 0
         exact = F.array_contains(self.tokens, F.lit(term))
         quick = self.maybe_contains(term)
         return exact if quick is None else quick & exact
 
+    def frequency(self, term: str) -> Column:
+        """Occurrences of a token."""
+        if self.posted is not None:
+            return self.posted.frequency(self.name, ("term", term))
+        return F.size(self.tokens) - F.size(F.array_remove(self.tokens, term))
+
+    @property
+    def length(self) -> Column:
+        """Number of tokens."""
+        return F.size(self.tokens) if self.posted is None else self.posted.length(self.name)
+
 
 class Scope:
     """Field lookup for one level of documents: the root or the children of a path.
@@ -81,11 +96,14 @@ class Scope:
         rows: DataFrame | Callable[[], DataFrame],
         bind: Callable[[str], Column] | None = None,
         path: str = "",
+        view: PostingsView | None = None,
     ):
         self.schema = schema
         self.text_fields = text_fields
         self._rows = rows
         self.path = path
+        #: Answers for text fields of the root, where an index has them.
+        self.view = view
         self._bind = bind or (lambda name: F.col(f"`{name}`"))
 
     @property
@@ -113,7 +131,8 @@ class Scope:
         stored = None
         if analyzer is not None and field_type(self.schema, tokens_name(name)) is not None:
             stored = self._bind(tokens_name(name))
-        return Field(name, column, dtype, analyzer, stored)
+        posted = self.view if analyzer is not None and self.view is not None and self.view.covers(name) else None
+        return Field(name, column, dtype, analyzer, stored, posted)
 
     def children(self, path: str, element: Column | None = None) -> "Scope":
         """Scope of the children under ``path``; ``element`` is the lambda variable."""
@@ -149,6 +168,11 @@ class CorpusStatistics:
         self._requests: dict[tuple, tuple[str, Scope, Callable[[Scope], Column]]] = {}
         self.recording = True
 
+    def forget(self) -> None:
+        """Start again, as if nothing had been asked for."""
+        self._requests.clear()
+        self.recording = True
+
     # -- what can be asked for -------------------------------------------------
     def doc_count(self, scope: Scope, field: Field) -> Column:
         """Documents that have the field."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import analysis, scoring
 from ..functions.binding import bound
-from ..operators.joins import SALTS, Requests, fuzzy_matches, prefix_matches, request_join, settle
+from ..operators.joins import SALTS, Requests, fuzzy_matches, prefix_matches, settle
 from ..operators.phrases import exact_frequency, sloppy_frequency
 from ..operators.topn import top_n_per_group
 from .index import TextIndex
@@ -30,7 +30,9 @@ def _with_sizes(rows: DataFrame, index: TextIndex) -> DataFrame:
 
 def _weighted(terms: Requests, index: TextIndex, rows: DataFrame | None = None) -> DataFrame:
     """Add ``weight`` (idf) and ``avgdl`` to rows of (field, term)."""
-    known = _with_sizes(index.term_stats.join(terms.hinted(rows), ["field", "term"]), index)
+    keys = ["field", "term"] if index.buckets is None else ["bucket", "field", "term"]
+    wanted = terms.hinted(index.with_bucket(terms.rows if rows is None else rows))
+    known = _with_sizes(index.term_stats.select(*keys, "df").join(wanted, keys), index)
     return known.withColumn("weight", scoring.idf(F.col("n_docs"), F.col("df"))).drop("n_docs", "df")
 
 
@@ -55,8 +57,7 @@ def batch_match(
         words = words.join(total, "query_id")
     words = settle(words.withColumn("field", F.lit(field)))
     weighted = settle(_weighted(words, index))
-    postings = index.postings.filter(F.col("field") == field).select("field", "term", "_id", "tf", "dl")
-    pairs = request_join(weighted, postings, ["field", "term"], "_id")
+    pairs = index.postings_for(weighted, columns=["_id", "tf", "dl"])
     score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl")) * F.col("times")
     measures = [F.sum(score).alias("_score")]
     if operator == "and":
@@ -366,7 +367,7 @@ def _word_units(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks:
             *_CLAUSE, "occur", "boost", F.size("terms").alias("n_units"), F.explode("terms").alias("term")
         )
         words = settle(_weighted(clauses, index, plain))
-        pairs = request_join(words, index.postings.select("field", "term", "_id", "tf", "dl"), ["field", "term"], "_id")
+        pairs = index.postings_for(words, columns=["_id", "tf", "dl"])
         score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl"))
         parts.append(pairs.withColumn("score", score).select(*_UNIT))
     if kinds & {"prefix", "fuzzy"}:
@@ -384,9 +385,8 @@ def _class_units(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks:
     wanted = clauses.rows.filter(F.col("kind").isin("prefix", "fuzzy")).select(
         *_CLAUSE, "occur", "boost", "kind", "k", F.lit(1).alias("n_units"), F.get("terms", F.lit(0)).alias("prefix")
     )
-    covered = settle(_covered_words(wanted.select(*_CLASS).distinct(), index, kinds, fuzzy_ks, clauses.small))
-    postings = index.postings.select("field", "term", "_id", "tf", "dl")
-    pairs = request_join(covered, postings, ["field", "term"], "_id")
+    covered = _covered_words(wanted.select(*_CLASS).distinct(), index, kinds, fuzzy_ks, clauses.small)
+    pairs = index.postings_for(settle(index.with_bucket(covered)), columns=["_id", "tf", "dl"])
     held = pairs.groupBy(*_CLASS, "_id").agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
     df = _with_sizes(held.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("df")), index)
     weights = df.select(*_CLASS, scoring.idf(F.col("n_docs"), F.col("df")).alias("weight"), "avgdl")
@@ -419,11 +419,9 @@ def _phrase_units(clauses: Requests, index: TextIndex) -> DataFrame:
     )
     weighted = settle(_weighted(clauses, index, words))
     # First the documents that hold every word, without positions; then the positions of only those.
-    held = request_join(weighted, index.postings.select("field", "term", "_id"), ["field", "term"], "_id")
+    held = index.postings_for(weighted, columns=["_id"])
     whole = held.groupBy(*_CLAUSE, "_id").agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("m")).filter("n = m")
-    postings = index.postings.select("field", "term", "_id", "dl", "positions")
-    postings = postings.join(whole.select("field", "_id").distinct(), ["field", "_id"], "left_semi")
-    pairs = request_join(weighted, postings, ["field", "term"], "_id")
+    pairs = index.postings_for(weighted, columns=["_id", "dl", "positions"])
     pairs = pairs.join(whole.select(*_CLAUSE, "_id"), [*_CLAUSE, "_id"], "left_semi")
     offsets = F.transform("positions", lambda p: p - F.col("j"))
     # A group holds the words of one phrase in one document, so it is bounded by both.

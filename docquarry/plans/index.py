@@ -1,41 +1,106 @@
 """Postings and corpus statistics of a collection, as ordinary Spark tables.
 
-``postings``     field, term, _id, tf, positions, dl
-``term_stats``   field, term, df
+``postings``     bucket, field, term, _id, tf, positions, dl, impact
+``term_stats``   bucket, field, term, df, best, levels
 ``field_stats``  field, n_docs, sum_dl
 ``documents``    _id of every document, those without words too
+
+Saved postings and term statistics are partitioned by ``bucket``, a hash of field and term, so a query
+reads the partitions of its own terms only.  ``impact`` is a posting's share of its term's
+weight in BM25; the postings of a term are sorted by it, so the statistics of row groups
+and pages bound it block by block.  ``best`` is a term's largest impact, and
+``levels[i]`` counts its postings of at least ``(i + 1) / LEVELS`` of the largest possible impact.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import zlib
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scoring
 from ..functions.binding import bound
-from ..operators.joins import SALTS
+from ..operators.joins import Requests, request_join
 from ..operators.scope import Scope, tokens_name
 from .search import Collection
 
+# A bucket holds about so many distinct terms, a file so many postings; there are at most MOST_BUCKETS buckets.
+BUCKET_TERMS = 4_000
+FILE_POSTINGS = 4_000_000
+MOST_BUCKETS = 4096
+#: Steps in which a term's impacts are counted.
+LEVELS = 16
+
+
+def bucket_of(buckets: int) -> Column:
+    return (F.crc32(F.concat("field", F.lit("\0"), "term").cast("binary")) % buckets).cast("int")
+
 
 @dataclass
 class TextIndex:
+    """``buckets``, ``id_col`` and ``lengths`` (mean lengths that impacts refer to, by field) are known of a saved index."""
+
     postings: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
     fields: list[str]
     documents: DataFrame
+    buckets: int | None = None
+    id_col: str | None = None
+    lengths: dict[str, float] = field(default_factory=dict)
+    #: Estimated number of terms per field, to lay out an index that is to be saved.
+    vocabulary: DataFrame | None = None
 
     def covers(self, field: str) -> bool:
         return field in self.fields
 
+    # -- reading by term ---------------------------------------------------------
+    def _bucket(self, field: str, term: str) -> int:
+        return zlib.crc32(f"{field}\0{term}".encode()) % self.buckets
+
+    def of_terms(self, table: DataFrame, terms: list[tuple[str, str]]) -> DataFrame:
+        """Rows of ``postings`` or ``term_stats`` for some (field, term), from their partitions alone."""
+        if self.buckets is not None:
+            table = table.filter(F.col("bucket").isin(*sorted({self._bucket(f, t) for f, t in terms})))
+        by_field: dict[str, list[str]] = {}
+        for f, t in terms:
+            by_field.setdefault(f, []).append(t)
+        tests = [(F.col("field") == f) & F.col("term").isin(*sorted(ts)) for f, ts in sorted(by_field.items())]
+        return table.filter(scoring.any_of(tests))
+
+    def postings_of(self, terms: list[tuple[str, str]]) -> DataFrame:
+        return self.of_terms(self.postings, terms)
+
+    def with_bucket(self, rows: DataFrame) -> DataFrame:
+        """Request rows of (field, term) with the partition their postings are in."""
+        return rows if self.buckets is None else rows.withColumn("bucket", bucket_of(self.buckets))
+
+    def postings_for(self, requests: Requests, keys: list[str] = (), columns: list[str] | None = None) -> DataFrame:
+        """Inner join of settled request rows of (field, term) with their postings.
+
+        The buckets in use, a bounded set of numbers, prune partitions before the join.
+        """
+        postings = self.postings
+        if self.buckets is not None:
+            used = [r[0] for r in requests.rows.select("bucket").distinct().collect()]
+            postings = postings.filter(F.col("bucket").isin(*sorted(used)))
+            keys = ["bucket", *[k for k in keys if k != "bucket"]]
+        keys = [*keys, "field", "term"]
+        if columns is not None:
+            postings = postings.select(*keys, *[c for c in columns if c not in keys])
+        return request_join(requests, postings, keys, "_id")
+
+    def _stats_of(self, names: dict[tuple, str]) -> DataFrame:
+        return self.of_terms(self.term_stats, sorted({(key[2], key[3][1]) for key in names}))
+
     # Rows for one query: the tables filtered to its fields and terms, folded into a struct.
     def field_row(self, names: dict[tuple, str]) -> DataFrame:
         folded = []
         for (_, kind, field), name in names.items():
-            value = F.col("n_docs") if kind == "n_docs" else F.col("sum_dl") / F.col("n_docs")
+            value = F.col("n_docs") if kind == "n_docs" else F.try_divide("sum_dl", "n_docs")
             folded.append(F.max(F.when(F.col("field") == field, value)).cast("double").alias(name))
         return self.field_stats.agg(F.struct(*folded).alias("s"))
 
@@ -44,44 +109,68 @@ class TextIndex:
         for (_, _, field, (_, term)), name in names.items():
             df = F.max(F.when((F.col("field") == field) & (F.col("term") == term), F.col("df")))
             folded.append(F.coalesce(df, F.lit(0)).alias(name))
-        wanted = sorted({key[3][1] for key in names})
-        return self.term_stats.filter(F.col("term").isin(*wanted)).agg(F.struct(*folded).alias("s"))
+        return self._stats_of(names).agg(F.struct(*folded).alias("s"))
 
     # -- storage -------------------------------------------------------------
-    def save(self, path: str, files: int | None = None) -> "TextIndex":
+    def save(self, path: str, files: int | None = None, id_col: str | None = None) -> "TextIndex":
         """Write the tables and read them back.
 
-        Postings are spread by term and sorted by (field, term, _id) within each
-        file, so a scan for a few terms skips row groups by their min/max.  A
-        salt from the document id divides the rows of a term found in most
-        documents among ``SALTS`` tasks.  Hashing needs no sampling pass, which
-        would analyse every text twice.
+        The number of buckets comes from the (estimated) vocabulary.  A salt from the document's id divides a
+        bucket into files of about ``FILE_POSTINGS`` postings, as many as a term found in
+        most documents needs.  Hashing needs no sampling pass, which would analyse every text twice.
         """
         spark = self.postings.sparkSession
         n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS))
-        clustered = self.postings.repartition(n, "field", "term", salt).sortWithinPartitions("field", "term", "_id")
-        clustered.write.mode("overwrite").parquet(f"{path}/postings")
-        postings = spark.read.parquet(f"{path}/postings")
-        # From the written postings, so the texts are not analysed again.
-        term_stats(postings).sortWithinPartitions("field", "term").write.mode("overwrite").parquet(
-            f"{path}/term_stats"
-        )
         self.documents.write.mode("overwrite").parquet(f"{path}/documents")
         self.field_stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
-        return load_index(spark, path, self.fields)
-
-
-def load_index(spark: SparkSession, path: str, fields: list[str]) -> TextIndex:
+        field_stats = spark.read.parquet(f"{path}/field_stats")
+        tokens, docs = field_stats.agg(F.sum("sum_dl"), F.max("n_docs")).first()
+        terms = self.vocabulary.agg(F.sum("n_terms")).first()[0]
+        buckets = max(1, min(MOST_BUCKETS, -(-(terms or 0) // BUCKET_TERMS)))
+        salts = max(1, -(-max((tokens or 0) // buckets, docs or 0) // FILE_POSTINGS))
+        layout = field_stats.select("field", F.try_divide("sum_dl", "n_docs").alias("avgdl"))
+        layout = layout.withColumns({"buckets": F.lit(buckets), "positions": F.lit("positions" in self.postings.columns)})
+        layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+
+        salt = F.pmod(F.xxhash64("_id"), F.lit(salts))
+        laid = with_impact(self.postings, layout.select("field", "avgdl")).withColumn("bucket", bucket_of(buckets))
+        clustered = laid.repartition(n, "bucket", salt).sortWithinPartitions("bucket", "field", "term", F.desc("impact"))
+        clustered.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+        # From the written postings, so the texts are not analysed again.
+        counted = term_stats(spark.read.schema(clustered.schema).parquet(f"{path}/postings"))
+        counted = counted.repartition(n, "bucket").sortWithinPartitions("bucket", "field", "term")
+        counted.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/term_stats")
+        return load_index(spark, path, self.fields, id_col)
+
+
+def load_index(spark: SparkSession, path: str, fields: list[str], id_col: str | None = None) -> TextIndex:
+    """A saved index; one row per field, its layout, is read at once."""
+    layout = spark.read.parquet(f"{path}/layout").collect()
+    documents = spark.read.parquet(f"{path}/documents")
+    id_type = documents.schema["_id"].dataType.simpleString()
+    places = "positions array<int>, " if layout and layout[0]["positions"] else ""
+    # Partitioned tables without rows have no file to tell their columns.
+    postings = f"field string, _id {id_type}, dl int, term string, tf int, {places}impact double, bucket int"
+    counts = "field string, term string, df bigint, best double, levels array<bigint>, bucket int"
     return TextIndex(
-        spark.read.parquet(f"{path}/postings"),
-        spark.read.parquet(f"{path}/term_stats"),
+        spark.read.schema(postings).parquet(f"{path}/postings"),
+        spark.read.schema(counts).parquet(f"{path}/term_stats"),
         spark.read.parquet(f"{path}/field_stats"),
         list(fields),
-        spark.read.parquet(f"{path}/documents"),
+        documents,
+        layout[0]["buckets"] if layout else None,
+        id_col,
+        {r["field"]: r["avgdl"] for r in layout if r["avgdl"] is not None},
     )
 
 
+def with_impact(postings: DataFrame, means: DataFrame) -> DataFrame:
+    """Add ``impact``: BM25 for a weight of one; ``means`` has one row per field."""
+    entry = F.struct("field", "avgdl")
+    mean = means.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    return postings.withColumn("impact", scoring.bm25(F.lit(1.0), F.col("tf"), F.col("dl"), mean[F.col("field")]))
+
+
 def build_index(
     docs: DataFrame, id_col: str, text_fields: dict[str, str], positions: bool = True, spread: bool = False
 ) -> TextIndex:
@@ -95,7 +184,7 @@ def build_index(
     if spread:
         docs = docs.repartition(id_col)
     scope = Scope(docs.schema, text_fields, docs)
-    parts, sizes = [], []
+    parts, sizes, vocabulary = [], [], []
     for name in text_fields:
         f = scope.field(name)
         if f is None:
@@ -105,13 +194,18 @@ def build_index(
         size = F.size(tokens_name("text"))
         present = F.when(size > 0, size)
         sizes.append(
-            analysed.agg(F.count(present).alias("n_docs"), F.coalesce(F.sum(present), F.lit(0)).alias("sum_dl")).select(
-                F.lit(name).alias("field"), "n_docs", "sum_dl"
-            )
+            analysed.agg(
+                F.count(present).alias("n_docs"),
+                F.coalesce(F.sum(present), F.lit(0)).alias("sum_dl"),
+            ).select(F.lit(name).alias("field"), "n_docs", "sum_dl")
         )
+        words = analysed.select(F.explode(tokens_name("text")).alias("term"))
+        vocabulary.append(words.agg(F.approx_count_distinct("term").alias("n_terms")).select(F.lit(name).alias("field"), "n_terms"))
     postings = reduce(DataFrame.unionByName, parts)
-    return TextIndex(postings, term_stats(postings), reduce(DataFrame.unionByName, sizes), list(text_fields),
-                     docs.select(F.col(id_col).alias("_id")))
+    return TextIndex(
+        postings, term_stats(postings), reduce(DataFrame.unionByName, sizes), list(text_fields),
+        docs.select(F.col(id_col).alias("_id")), vocabulary=reduce(DataFrame.unionByName, vocabulary),
+    )
 
 
 def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
@@ -152,18 +246,31 @@ def term_entries(tokens: Column) -> Column:
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    """Document counts; of laid-out postings also the largest impact and the counts by level."""
+    count = F.count(F.lit(1)).alias("df")
+    if "impact" not in postings.columns:
+        return postings.groupBy("field", "term").agg(count)
+    # The largest possible impact is K1 + 1.
+    levels = [F.count_if(F.col("impact") >= (scoring.K1 + 1) * (i + 1) / LEVELS) for i in range(LEVELS)]
+    return postings.groupBy("bucket", "field", "term").agg(count, F.max("impact").alias("best"), F.array(*levels).alias("levels"))
 
 
 def refresh_index(index: TextIndex, changed: DataFrame, id_col: str, text_fields: dict[str, str]) -> TextIndex:
     """Index after documents changed: their old postings out, their new ones in."""
     fresh = build_index(changed, id_col, text_fields, "positions" in index.postings.columns)
     gone = changed.select(F.col(id_col).alias("_id"))
-    postings = index.postings.join(gone, "_id", "left_anti").unionByName(fresh.postings)
+    added = fresh.postings
+    if index.buckets is not None:
+        means = F.create_map(*[F.lit(x) for item in index.lengths.items() for x in item])
+        added = added.withColumn("impact", scoring.bm25(F.lit(1.0), F.col("tf"), F.col("dl"), means[F.col("field")]))
+        added = index.with_bucket(added)
+    postings = index.postings.join(gone, "_id", "left_anti").unionByName(added)
     per_doc = postings.groupBy("field", "_id").agg(F.max("dl").alias("dl"))
     sizes = per_doc.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl"))
     documents = index.documents.join(gone, "_id", "left_anti").unionByName(fresh.documents)
-    return TextIndex(postings, term_stats(postings), sizes, index.fields, documents)
+    return TextIndex(
+        postings, term_stats(postings), sizes, index.fields, documents, index.buckets, index.id_col, index.lengths
+    )
 
 
 def prepare(collection: Collection, path: str, files: int | None = None, spread: bool = False) -> Collection:
@@ -181,5 +288,5 @@ def prepare(collection: Collection, path: str, files: int | None = None, spread:
         docs = docs.withColumn(tokens_name(name), scope.field(name).tokens)
     docs.write.mode("overwrite").parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
-    index = build_index(docs, collection.id_col, collection.text_fields).save(path, files)
+    index = build_index(docs, collection.id_col, collection.text_fields).save(path, files, collection.id_col)
     return Collection(docs, collection.id_col, collection.text_fields, index)

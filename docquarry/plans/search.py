@@ -16,6 +16,12 @@ from ..operators.paging import Sort, after, count_hits, page, resolve_sort, tota
 from ..operators.scope import Scope
 
 
+#: Pages that end beyond this have a threshold that cuts too little.
+BEST_PAGE = 1000
+#: Below so many postings the two rounds of ``plans.top`` cost more than they spare.
+LEAST_POSTINGS = 2_000_000
+
+
 @dataclass
 class Collection:
     """A table of documents.
@@ -51,6 +57,8 @@ class SearchRequest:
     track_total_hits_up_to: int | None = None
     export: bool = False
     limit: int | None = None
+    #: Postings from which on the first page is cut by a threshold; it changes the cost, not the result.
+    least_postings: int = LEAST_POSTINGS
 
 
 @dataclass
@@ -78,7 +86,8 @@ def search(collection: Collection, request: SearchRequest, persist: bool = False
     if request.post_filter is not None:
         narrowed = matching(matched, request.post_filter, collection.text_fields)
 
-    hits = _present(_choose(narrowed, collection, request), collection, request)
+    chosen = _best(collection, request)
+    hits = _present(_choose(narrowed, collection, request) if chosen is None else chosen, collection, request)
     facets = aggregate(
         matched, request.aggregations, collection.docs, collection.id_col, collection.text_fields, collection.index
     )
@@ -87,7 +96,25 @@ def search(collection: Collection, request: SearchRequest, persist: bool = False
 
 def count(collection: Collection, query: q.Query) -> DataFrame:
     """Count-only request: one row ``count``; paging and facets play no part."""
-    return count_hits(matching(collection.docs, query, collection.text_fields))
+    return count_hits(matching(collection.docs, query, collection.text_fields, collection.index))
+
+
+def _best(collection: Collection, request: SearchRequest) -> DataFrame | None:
+    """The first page by relevance from those documents only that can be on it; None for other requests."""
+    from .top import best_candidates
+
+    last = request.start + request.rows
+    if request.sort or request.search_after is not None or request.post_filter is not None or request.export or request.rows <= 0:
+        return None
+    if last > BEST_PAGE:
+        return None
+    found = best_candidates(collection.docs, request.query, collection.text_fields, collection.index, last, request.least_postings)
+    if found is None:
+        return None
+    rows = found.rows.withColumn("_score", found.compiled.score.cast("double")).select(
+        *[F.col(f"`{c}`") for c in collection.docs.columns], "_score"
+    )
+    return page(rows, resolve_sort(rows, [], collection.id_col), request.start, request.rows, request.limit)
 
 
 def _choose(narrowed: DataFrame, collection: Collection, request: SearchRequest) -> DataFrame:
