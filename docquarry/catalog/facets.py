@@ -313,3 +313,53 @@ def field_terms_query(spark, folder):
     matched = scored(docs.docs, q.Match("text", "thtion ention"), docs.text_fields, docs.index)
     found = field_terms(matched, "source", 8, [Order("count"), Order("doc_score", descending=False)])
     return found.withColumn("max_doc_score", F.round("max_doc_score", 6))
+
+
+# -- several facets in one pass ---------------------------------------------------------
+
+_TOGETHER = [
+    TermsFacet("types", "event_type", sub=[
+        MaxOf("most", "value"),
+        TermsFacet("users", "user_id", size=2, order=[Order("spread", metric="avg")], sub=[StatsOf("spread", "value")]),
+    ]),
+    TermsFacet("users", "user_id", size=5, order=[Order("most"), Order("term", False)], sub=[MaxOf("most", "value")]),
+    TermsFacet("some", "event_type", include="c.*|v.*", exclude=["view"]),
+    MaxOf("most", "value"),
+]
+
+
+@query(
+    "facets_one_pass",
+    """WITH hits AS (SELECT * FROM events WHERE value >= 5),
+        types AS (SELECT event_type, count(*) AS n, max(value) AS m FROM hits GROUP BY event_type ORDER BY n DESC, event_type LIMIT 10),
+        pairs AS (SELECT event_type, user_id, count(*) AS n, avg(value) AS a, max(value) AS m,
+                         row_number() OVER (PARTITION BY event_type ORDER BY avg(value) DESC, user_id) AS rank
+                  FROM hits SEMI JOIN types USING (event_type) GROUP BY event_type, user_id),
+        users AS (SELECT user_id, count(*) AS n, max(value) AS m FROM hits GROUP BY user_id ORDER BY m DESC, user_id LIMIT 5)
+        SELECT 'types' AS facet, '' AS parent, event_type AS term, n AS doc_count, NULL::DOUBLE AS "max" FROM types
+        UNION ALL SELECT 'types.most', event_type, '', NULL, m FROM types
+        UNION ALL SELECT 'types.users', event_type, user_id::VARCHAR, n, NULL FROM pairs WHERE rank <= 2
+        UNION ALL SELECT 'types.users.spread', event_type, user_id::VARCHAR, NULL, m FROM pairs WHERE rank <= 2
+        UNION ALL SELECT 'users', '', user_id::VARCHAR, n, NULL FROM users
+        UNION ALL SELECT 'users.most', user_id::VARCHAR, '', NULL, m FROM users
+        UNION ALL SELECT 'some', '', event_type, count(*), NULL FROM hits
+                  WHERE regexp_full_match(event_type, 'c.*|v.*') AND event_type <> 'view' GROUP BY event_type
+        UNION ALL SELECT 'most', '', '', NULL, max(value) FROM hits""",
+)
+def facets_one_pass(spark, folder):
+    """Four trees of facets and measures counted in one pass, told as one table."""
+    collection = Collection(table(spark, folder, "events"), "event_id")
+    request = SearchRequest(q.Range("value", gte=5), rows=0, aggregations=_TOGETHER, facets_together=True)
+    found = search(collection, request).aggregations
+    told = None
+    for name, rows in found.items():
+        inner = "term" if "term" in rows.columns else "parent_2" if "parent_2" in rows.columns else None
+        part = rows.select(
+            F.lit(name).alias("facet"),
+            (F.col("parent_1").cast("string") if "parent_1" in rows.columns else F.lit("")).alias("parent"),
+            (F.col(inner).cast("string") if inner else F.lit("")).alias("term"),
+            (F.col("doc_count") if "doc_count" in rows.columns else F.lit(None).cast("long")).alias("doc_count"),
+            (F.col("max") if "max" in rows.columns else F.lit(None).cast("double")).alias("max"),
+        )
+        told = part if told is None else told.unionByName(part)
+    return told

@@ -11,6 +11,7 @@ from ..functions.fields import project_fields
 from ..operators import queries as q
 from ..operators.aggregations import Aggregation, aggregate
 from ..operators.compile import matching, scored
+from ..operators.facets_together import aggregate_together, can_be_together
 from ..operators.highlight import Highlight, highlights
 from ..operators.paging import Sort, after, count_hits, page, resolve_sort, total_hits
 from ..operators.scope import Scope
@@ -53,6 +54,8 @@ class SearchRequest:
     search_after: list | None = None
     post_filter: q.Query | None = None
     aggregations: list[Aggregation] = field(default_factory=list)
+    #: Count all facets that can be in one pass, which runs when the request is built.
+    facets_together: bool = False
     highlight: Highlight | None = None
     track_total_hits_up_to: int | None = None
     export: bool = False
@@ -88,9 +91,10 @@ def search(collection: Collection, request: SearchRequest, persist: bool = False
 
     chosen = _best(collection, request)
     hits = _present(_choose(narrowed, collection, request) if chosen is None else chosen, collection, request)
-    facets = aggregate(
-        matched, request.aggregations, collection.docs, collection.id_col, collection.text_fields, collection.index
-    )
+    together = [r for r in request.aggregations if request.facets_together and can_be_together(r)]
+    apart = [r for r in request.aggregations if r not in together]
+    facets = aggregate_together(matched, together, collection.text_fields)
+    facets |= aggregate(matched, apart, collection.docs, collection.id_col, collection.text_fields, collection.index)
     return SearchResult(hits, total_hits(narrowed, request.track_total_hits_up_to), facets, matched)
 
 
