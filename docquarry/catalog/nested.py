@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..operators import nested_tables
 from ..operators import queries as q
 from ..operators.compile import matching, scored
-from .base import bm25_sql, query, table, tokens_sql
+from ..plans.search import Collection
+from .base import bm25_sql, prepared, query, table, tokens_sql
 
 _LINE_FIELDS = {"lines.line": "standard"}
 
@@ -20,6 +21,16 @@ def documents_with_lines(spark, folder):
     return docs.select("doc_id", "lang", lines.alias("lines"))
 
 
+def indexed_lines(spark, folder):
+    """The same with the tokens of all lines stored beside them, and an index of the lines."""
+    return prepared(spark, folder, Collection(documents_with_lines(spark, folder), "doc_id", _LINE_FIELDS), "lines")
+
+
+def _scored_lines(spark, folder, wanted):
+    lines = indexed_lines(spark, folder)
+    return scored(lines.docs, wanted, lines.text_fields, lines.index)
+
+
 _LINES = """lines AS (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no
@@ -34,6 +45,17 @@ _LINE_QUERY = q.Bool.of(must=[q.Match("lines.line", "thtion")], filter=[q.Range(
         WHERE length(line) >= 200 AND list_contains({tokens_sql('line')}, 'thtion')""",
 )
 def nested_exists(spark, folder):
+    wanted = q.Nested("lines", _LINE_QUERY)
+    lines = indexed_lines(spark, folder)
+    return matching(lines.docs, wanted, lines.text_fields, lines.index).select("doc_id")
+
+
+@query(
+    "nested_exists_unprepared",
+    f"""WITH {_LINES} SELECT DISTINCT doc_id FROM lines
+        WHERE length(line) >= 200 AND list_contains({tokens_sql('line')}, 'thtion')""",
+)
+def nested_exists_unprepared(spark, folder):
     wanted = q.Nested("lines", _LINE_QUERY)
     return matching(documents_with_lines(spark, folder), wanted, _LINE_FIELDS).select("doc_id")
 
@@ -64,7 +86,7 @@ def _register_score_mode(mode: str, expression: str) -> None:
     )
     def score_mode(spark, folder):
         wanted = q.Nested("lines", _LINE_QUERY, score_mode=mode)
-        found = scored(documents_with_lines(spark, folder), wanted, _LINE_FIELDS)
+        found = _scored_lines(spark, folder, wanted)
         return found.select("doc_id", F.round("_score", 6).alias("score"))
 
 
@@ -80,7 +102,7 @@ for _mode, _expression in {"sum": "sum(s)", "avg": "avg(s)", "min": "min(s)", "m
 )
 def inner_hits(spark, folder):
     wanted = q.Nested("lines", _LINE_QUERY, inner_hits=q.InnerHits(fields=["line", "no"]))
-    found = scored(documents_with_lines(spark, folder), wanted, _LINE_FIELDS)
+    found = _scored_lines(spark, folder, wanted)
     hits = found.select("doc_id", F.explode("inner_hits.lines").alias("hit"))
     return hits.select("doc_id", F.col("hit.no").cast("long").alias("no"), "hit.line", F.round("hit._score", 6).alias("score"))
 

@@ -114,9 +114,52 @@ def _needs_text(query: q.Query, scope: Scope) -> bool:
         lonely = parts["should"] and not parts["must"] and not parts["filter"]
         needed = analysis.minimum_should_match(query.minimum_should_match, len(parts["should"])) or 0
         return bool(lonely or needed > 0) and all(_needs_text(p, scope) for p in parts["should"])
+    if isinstance(query, q.Nested):
+        return _held_by_children(query, scope) is not None
     return False
 
 
+def _held_by_children(query: q.Nested, scope: Scope) -> Column | None:
+    """What the postings of its children's texts say a document must have to match; None if nothing.
+
+    Postings of a nested field name the parent, so the children of other documents are never looked at.
+    """
+    view = scope.view
+    if view is None or scope.path or scope.field(query.path) is None:
+        return None
+    children = scope.children(query.path)
+
+    def held(part: q.Query) -> Column | None:
+        if isinstance(part, (q.ConstantScore, q.FunctionScore)):
+            return held(part.query)
+        if isinstance(part, (q.Term, q.Match, q.MatchPhrase)):
+            f = children.field(part.field)
+            if f is None or not f.is_text or not view.covers(f"{query.path}.{f.name}"):
+                return None
+            if isinstance(part, q.Term):
+                terms, every = [str(part.term)], True
+            elif isinstance(part, q.Match):
+                if part.fuzziness not in (None, 0, "0"):
+                    return None
+                terms = analysis.analyze(part.query, part.analyzer or f.analyzer)
+                every = _operator(part.operator) == "and"
+            else:
+                terms = analysis.analyze(part.phrase, part.analyzer or f.analyzer)
+                terms, every = (terms[:-1] if part.prefix else terms), True
+            tests = [view.frequency(f"{query.path}.{f.name}", ("term", t)) > 0 for t in dict.fromkeys(terms)]
+            return None if not tests else scoring.all_of(tests) if every else scoring.any_of(tests)
+        if isinstance(part, q.Bool):
+            parts = {o: [held(p) for c in part.clauses if c.occur == o for p in c.queries] for o in ("must", "filter", "should")}
+            known = [c for c in parts["must"] + parts["filter"] if c is not None]
+            if known:
+                return scoring.all_of(known)
+            lonely = parts["should"] and not parts["must"] and not parts["filter"]
+            return scoring.any_of(parts["should"]) if lonely and all(c is not None for c in parts["should"]) else None
+        return None
+
+    return held(query.query)
+
+
 def scored(
     docs: DataFrame,
     query: q.Query,
@@ -674,12 +717,19 @@ def _nested(query: q.Nested, scope: Scope, stats: CorpusStatistics) -> Compiled:
         return compile_query(part, scope.children(query.path, x), stats)
 
     match = F.exists(f.column, lambda x: child(x).match)
+    held = _held_by_children(query, scope)
+    if held is not None:
+        match = held & match
     inner = {}
     if query.inner_hits is not None:
         inner[scope.local_name(query.path)] = _inner_hits(query, f, child, scope)
     if query.score_mode == "none":
         return Compiled(match, F.lit(0.0), inner)
-    scores = F.transform(F.filter(f.column, lambda x: child(x).match), lambda x: child(x).score.cast("double"))
+    def scored_child(x: Column) -> Column:
+        compiled = child(x)
+        return F.when(compiled.match, F.coalesce(compiled.score.cast("double"), F.lit(0.0)))
+
+    scores = F.array_compact(F.transform(f.column, scored_child))
     if query.score_mode == "max":
         score = F.array_max(scores)
     elif query.score_mode == "min":
@@ -697,7 +747,9 @@ def _inner_hits(query: q.Nested, f: Field, child, scope: Scope) -> Column:
 
     spec = query.inner_hits
     size = DEFAULT_INNER_HITS if spec.size is None else spec.size
-    names = f.dtype.elementType.fieldNames()
+    hidden = [tokens_name(n) for n in scope.children(query.path).text_fields]
+    names = [n for n in f.dtype.elementType.fieldNames() if n not in hidden]
+    hidden = [n for n in hidden if n in f.dtype.elementType.fieldNames()]
     prefix = scope.local_name(query.path) + "."
     if spec.fields:
         from ..functions.fields import expand_names
@@ -716,7 +768,7 @@ def _inner_hits(query: q.Nested, f: Field, child, scope: Scope) -> Column:
         ]
         columns += [x[n].alias(n) for n in shown]
         if spec.fetch_source:
-            columns.append(x.alias("_source"))
+            columns.append((x.dropFields(*hidden) if hidden else x).alias("_source"))
         if spec.explain:
             columns.append(_explanation(query.query, child, x).alias("_explain"))
         if spec.highlight is not None:

@@ -17,6 +17,11 @@ STATS = "_stats"
 KEYWORD_SUFFIX = ".keyword"
 
 
+def stored_name(path: str, field: str) -> str:
+    """Name under which an index knows a field of the documents or of their children."""
+    return f"{path}.{field}" if path else field
+
+
 def tokens_name(field: str) -> str:
     """Name of the stored tokens column of a text field."""
     return f"{field}_tokens"
@@ -241,7 +246,7 @@ class CorpusStatistics:
 
     def _in_index(self, key: tuple) -> bool:
         path, kind, field, *rest = key
-        if path or not self.index.covers(field):
+        if not self.index.covers(stored_name(path, field)):
             return False
         return kind in ("n_docs", "avgdl") or (kind == "df" and rest[0][0] == "term")
 

@@ -20,11 +20,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scoring
 from ..functions.binding import bound
 from ..operators.joins import Requests, request_join
-from ..operators.scope import Scope, tokens_name
+from ..operators.scope import Scope, stored_name, tokens_name
 from .search import Collection
 
 # A bucket holds about so many distinct terms, a file so many postings; there are at most MOST_BUCKETS buckets.
@@ -94,19 +95,21 @@ class TextIndex:
         return request_join(requests, postings, keys, "_id")
 
     def _stats_of(self, names: dict[tuple, str]) -> DataFrame:
-        return self.of_terms(self.term_stats, sorted({(key[2], key[3][1]) for key in names}))
+        return self.of_terms(self.term_stats, sorted({(stored_name(key[0], key[2]), key[3][1]) for key in names}))
 
     # Rows for one query: the tables filtered to its fields and terms, folded into a struct.
     def field_row(self, names: dict[tuple, str]) -> DataFrame:
         folded = []
-        for (_, kind, field), name in names.items():
+        for (path, kind, field), name in names.items():
+            field = stored_name(path, field)
             value = F.col("n_docs") if kind == "n_docs" else F.try_divide("sum_dl", "n_docs")
             folded.append(F.max(F.when(F.col("field") == field, value)).cast("double").alias(name))
         return self.field_stats.agg(F.struct(*folded).alias("s"))
 
     def term_row(self, names: dict[tuple, str]) -> DataFrame:
         folded = []
-        for (_, _, field, (_, term)), name in names.items():
+        for (path, _, field, (_, term)), name in names.items():
+            field = stored_name(path, field)
             df = F.max(F.when((F.col("field") == field) & (F.col("term") == term), F.col("df")))
             folded.append(F.coalesce(df, F.lit(0)).alias(name))
         return self._stats_of(names).agg(F.struct(*folded).alias("s"))
@@ -180,16 +183,24 @@ def build_index(
     in fewer splits than there are cores; otherwise leave the scan's partitions.
     """
     stored = [tokens_name(name) for name in text_fields if tokens_name(name) in docs.columns]
-    docs = docs.select(id_col, *text_fields, *stored)
+    scope = Scope(docs.schema, text_fields, docs)
+    tops = [nested_path(scope, name) or name for name in text_fields]
+    docs = docs.select(id_col, *dict.fromkeys([*tops, *stored]))
     if spread:
         docs = docs.repartition(id_col)
     scope = Scope(docs.schema, text_fields, docs)
     parts, sizes, vocabulary = [], [], []
     for name in text_fields:
-        f = scope.field(name)
+        path = nested_path(scope, name)
+        if path is not None:
+            # One row per child: its texts are counted like documents, and its postings name the parent.
+            rows = docs.select(F.col(id_col).alias("_id"), F.explode(path).alias("_child"))
+            f = scope.children(path, F.col("_child")).field(name)
+        else:
+            rows, f = docs.select(F.col(id_col).alias("_id"), *docs.columns), scope.field(name)
         if f is None:
             raise ValueError(f"no text field {name!r}")
-        analysed = docs.select(F.col(id_col).alias("_id"), f.tokens.alias(tokens_name("text")))
+        analysed = rows.select("_id", f.tokens.alias(tokens_name("text")))
         parts.append(_postings(analysed, name, positions))
         size = F.size(tokens_name("text"))
         present = F.when(size > 0, size)
@@ -208,6 +219,13 @@ def build_index(
     )
 
 
+def nested_path(scope: Scope, name: str) -> str | None:
+    """The array of children a field belongs to, if it does."""
+    path = name.rpartition(".")[0]
+    f = scope.field(path) if path else None
+    return path if f is not None and f.is_array and isinstance(f.element_type, T.StructType) else None
+
+
 def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
     """One row per document and distinct term.
 
@@ -273,6 +291,12 @@ def refresh_index(index: TextIndex, changed: DataFrame, id_col: str, text_fields
     )
 
 
+def _with_child_tokens(scope: Scope, path: str, name: str) -> Column:
+    """The children with the tokens of one of their texts beside it."""
+    leaf = tokens_name(name[len(path) + 1:])
+    return F.transform(path, lambda x: F.when(x.isNotNull(), x.withField(leaf, scope.children(path, x).field(name).tokens)))
+
+
 def prepare(collection: Collection, path: str, files: int | None = None, spread: bool = False) -> Collection:
     """Ingest-time analysis: write the documents with their tokens, and the index.
 
@@ -285,7 +309,11 @@ def prepare(collection: Collection, path: str, files: int | None = None, spread:
         docs = docs.repartition(files or spark.sparkContext.defaultParallelism, collection.id_col)
     scope = Scope(docs.schema, collection.text_fields, docs)
     for name in collection.text_fields:
-        docs = docs.withColumn(tokens_name(name), scope.field(name).tokens)
+        parent = nested_path(scope, name)
+        if parent is None:
+            docs = docs.withColumn(tokens_name(name), scope.field(name).tokens)
+        else:
+            docs = docs.withColumn(parent, _with_child_tokens(scope, parent, name))
     docs.write.mode("overwrite").parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
     index = build_index(docs, collection.id_col, collection.text_fields).save(path, files, collection.id_col)

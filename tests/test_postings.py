@@ -18,7 +18,7 @@ from docquarry.plans.search import Collection, SearchRequest, count, search
 from docquarry.plans.top import best_candidates, known_terms, required_terms, second_round, summed_terms, threshold
 from docquarry.operators.scope import Scope
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +68,7 @@ QUERIES = [
     q.MatchPhrase("text", "of the of", slop=2, prefix=True),
     q.Match("text", "!!"),
     q.DisMax([q.Match("text", "thtion"), q.MatchPhrase("text", "of the")], tie_breaker=0.3),
-    q.Bool.of(must=[q.Range("doc_id", lt=300)], should=[q.Match("text", "the")], must_not=[q.Match("text", "thtion")]),
+    q.Bool.of(must=[q.Range("doc_id", lt=100)], should=[q.Match("text", "the")], must_not=[q.Match("text", "thtion")]),
     q.Bool.of(should=[q.Match("text", "thtion"), q.Term("lang", "de")]),
     q.Bool.of(filter=[q.Term("lang", "en")], must=[q.Match("text", "thtion ention")]),
     q.Bool.of(must=[q.Term("lang", "en")], should=[q.Match("text", "the"), q.Match("text", "thtion")], minimum_should_match=1),
@@ -106,38 +106,38 @@ def best(collection, wanted, start, rows, least):
 def test_best_page_is_the_same_in_two_rounds(spark, indexed):
     rng = random.Random(3)
     frequent = [r["term"] for r in indexed.index.term_stats.orderBy(F.desc("df"), "term").limit(40).collect()]
-    rare = [r["term"] for r in indexed.index.term_stats.where("df between 15 and 60").orderBy("term").limit(200).collect()]
+    rare = [r["term"] for r in indexed.index.term_stats.where("df between 8 and 20").orderBy("term").limit(200).collect()]
     cut = 0
-    for trial in range(12):
+    for trial in range(6):
         words = rng.sample(rare, rng.randint(1, 2)) + rng.sample(frequent, rng.randint(1, 3))
         wanted = q.Match("text", " ".join(words))
         if trial % 3 == 0:
             wanted = q.Bool.of(should=[q.Match("text", words[0], boost=3.0), q.Term("text", words[-1]), wanted])
-        start, rows = rng.choice([(0, 5), (0, 10), (3, 7)])
+        start, rows = rng.choice([(0, 3), (0, 5), (2, 3)])
         cut += best_candidates(indexed.docs, wanted, indexed.text_fields, indexed.index, start + rows, 0) is not None
         assert best(indexed, wanted, start, rows, 0) == best(indexed, wanted, start, rows, 10**12)
-    assert cut >= 4
+    assert cut >= 2
 
 
 def test_second_round_reads_fewer_postings(spark, indexed):
-    rare = indexed.index.term_stats.where("df between 20 and 40").orderBy("term").first()["term"]
+    rare = indexed.index.term_stats.where("df between 10 and 15").orderBy("term").first()["term"]
     view = PostingsView(indexed.index)
     boosts = summed_terms(q.Match("text", f"{rare} the"), Scope(indexed.docs.schema, indexed.text_fields, indexed.docs, view=view))
     terms = known_terms(indexed.index, boosts)
-    required = required_terms(terms, threshold(indexed.index, terms, 10))
+    required = required_terms(terms, threshold(indexed.index, terms, 3))
     assert set(required) == {("text", rare)}
     for name, term in boosts:
         view.frequency(name, ("term", term))
     view.recording = False
     everything = indexed.index.postings_of(list(boosts)).count()
-    assert second_round(view, required).count() < everything / 5
+    assert second_round(view, required).count() < everything / 3
     levels = {t.term: t for t in terms}
     held = indexed.index.postings_of([("text", "the")]).agg(*[F.count_if(F.col("impact") >= 2.2 * (i + 1) / LEVELS) for i in range(LEVELS)]).first()
     assert list(held) == levels["the"].levels
 
 
 def test_refreshed_index_same_as_a_new_one(spark, indexed):
-    changed = indexed.docs.where("doc_id < 100").select("doc_id", F.concat("text", F.lit(" thtion zebra")).alias("text"))
+    changed = indexed.docs.where("doc_id < 20").select("doc_id", F.concat("text", F.lit(" thtion zebra")).alias("text"))
     changed = changed.unionByName(spark.createDataFrame([(10**6, "thtion alone")], "doc_id long, text string"))
     refreshed = refresh_index(indexed.index, changed, "doc_id", {"text": "standard"})
     rest = documents(spark, FOLDER).docs.select("doc_id", "text").join(changed.select("doc_id"), "doc_id", "left_anti").unionByName(changed)
