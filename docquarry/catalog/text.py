@@ -118,6 +118,25 @@ def bool_text_scores(spark, folder):
     return _scores(spark, folder, wanted)
 
 
+@query(
+    "query_string_in_bool",
+    f"""WITH {term_scores_sql(['thtion', 'attion', 'ertion', 'enlich'])},
+        by_doc AS (SELECT doc_id, max(CASE WHEN term = 'thtion' THEN s END) AS a, max(CASE WHEN term = 'attion' THEN s END) AS b,
+                          max(CASE WHEN term = 'ertion' THEN s END) AS c, max(CASE WHEN term = 'enlich' THEN s END) AS d
+                   FROM sc GROUP BY doc_id)
+        SELECT doc_id, round(2 * (a + coalesce(3 * b, 0)) + coalesce(d, 0), 6) AS score FROM by_doc JOIN documents USING (doc_id)
+        WHERE a IS NOT NULL AND c IS NULL AND lang = 'en'""",
+)
+def query_string_in_bool(spark, folder):
+    """A string is one part of a boolean query, beside a filter and another query."""
+    wanted = q.Bool.of(
+        must=[q.QueryString("+thtion attion^3 -ertion", ["te*"], boost=2.0)],
+        should=[q.QueryString("enlich", ["text"], syntax="simple")],
+        filter=[q.Term("lang", "en")],
+    )
+    return _scores(spark, folder, wanted)
+
+
 @query(
     "dis_max",
     f"""WITH {term_scores_sql(['thtion', 'attion', 'queque'])}

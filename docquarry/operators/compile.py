@@ -14,6 +14,7 @@ from ..functions.binding import bound
 from . import queries as q
 from .phrases import exact_frequency, phrase_frequency, phrase_matches, sloppy_frequency
 from .posted import PostingsView
+from .query_strings import expanded
 from .scope import CorpusStatistics, Field, Scope, tokens_name
 
 OCCURS = ("must", "should", "must_not", "filter")
@@ -63,6 +64,7 @@ def find(
     """
     text_fields = text_fields or {}
     scope = Scope(docs.schema, text_fields, docs)
+    query = expanded(query, scope)
     stats = CorpusStatistics(index)
     if index is not None and index.buckets is not None and index.id_col in docs.columns:
         found = _find_posted(docs, query, text_fields, stats)
@@ -181,12 +183,13 @@ def matching(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None
     if index is not None:
         return find(docs, query, text_fields, index).rows.select(*[F.col(f"`{c}`") for c in docs.columns])
     scope = Scope(docs.schema, text_fields or {}, docs)
-    return docs.filter(compile_query(query, scope, CorpusStatistics()).match)
+    return docs.filter(compile_query(expanded(query, scope), scope, CorpusStatistics()).match)
 
 
 def match_column(docs: DataFrame, query: q.Query, text_fields: dict[str, str] | None = None) -> Column:
     """The match condition alone, to use in any select or filter over ``docs``."""
-    return compile_query(query, Scope(docs.schema, text_fields or {}, docs), CorpusStatistics()).sure_match
+    scope = Scope(docs.schema, text_fields or {}, docs)
+    return compile_query(expanded(query, scope), scope, CorpusStatistics()).sure_match
 
 
 def compile_query(query: q.Query, scope: Scope, stats: CorpusStatistics) -> Compiled:

@@ -181,3 +181,21 @@ class Nested(Query):
     query: Query
     score_mode: str = "avg"
     inner_hits: InnerHits | None = None
+
+
+@dataclass
+class QueryString(Query):
+    """A flat query string as one query among others.
+
+    ``syntax`` is ``full`` (``AND OR NOT``, ``field:term``, ``^boost``) or ``simple`` (``+ | -``); a clause that names no field is
+    searched in ``fields``, whose names may be patterns.  ``flags`` (simple syntax) says which operators are active.
+    """
+
+    query: str
+    fields: list[str]
+    boosts: list[float] | None = None
+    syntax: str = "full"
+    default_operator: str = "or"
+    analyzer: str = "standard"
+    flags: list[str] | None = None
+    minimum_should_match: str | int | None = None

@@ -443,7 +443,8 @@ def _phrase_units(clauses: Requests, index: TextIndex) -> DataFrame:
 
 def _all_units(clauses: Requests, only_not: DataFrame, index: TextIndex) -> DataFrame:
     """``*``, and the base of queries that only exclude: every indexed document."""
-    wildcard = clauses.rows.filter(F.col("kind") == "all").select("query_id", "clause_id", "occur", "boost").distinct()
+    # ``*`` names no field, so it counts once, with the largest boost of the fields searched.
+    wildcard = clauses.rows.filter(F.col("kind") == "all").groupBy("query_id", "clause_id", "occur").agg(F.max("boost").alias("boost"))
     excluding = only_not.select(
         "query_id", F.lit(-1).alias("clause_id"), F.lit("should").alias("occur"), F.lit(0.0).alias("boost")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from ..operators.compile import matching, scored
 from ..operators.facets_together import aggregate_together, can_be_together
 from ..operators.highlight import Highlight, highlights
 from ..operators.paging import Sort, after, count_hits, page, resolve_sort, total_hits
+from ..operators.query_strings import expanded
 from ..operators.scope import Scope
 
 
@@ -81,6 +82,8 @@ def search(collection: Collection, request: SearchRequest, persist: bool = False
     keeps the matching documents in memory or on disk if several results of the
     request will be read; the caller unpersists ``result.matched``.
     """
+    # Query strings become ordinary clauses once, for matching, scoring and highlighting alike.
+    request = replace(request, query=expanded(request.query, Scope(collection.docs.schema, collection.text_fields, collection.docs)))
     matched = scored(collection.docs, request.query, collection.text_fields, collection.index)
     if persist:
         matched = matched.persist()
