@@ -3,7 +3,9 @@ import re
 
 import numpy as np
 import pytest
+import regex
 import xxhash
+from docquarry.llm import line_dedup
 from docquarry.llm.line_dedup import line_groups, op10_line_dedup, repeated_lines, without_lines
 
 
@@ -56,6 +58,59 @@ def brute(docs, percent=80, distance=3, min_words=5):
     return {(*at, *min(g), at == min(g)) for g in groups.values() if len(g) > 1 for at in g}, len(norms)
 
 
+def sketch(norm, width):
+    """Minima of a line's runs under each permutation, one by one."""
+    runs = {norm[i : i + width] for i in range(len(norm) - width + 1)}
+    hashes = np.array([xxhash.xxh64_intdigest(r.encode(), 42) for r in runs], np.uint64)
+    found = []
+    for j, mask in enumerate(line_dedup._MASKS):
+        by = np.uint64(64 * j // line_dedup.MINIMA)
+        turned = (hashes << by) | (hashes >> (np.uint64(64) - by)) if by else hashes
+        found.append(int((turned ^ np.uint64(mask % 2**64)).view(np.int64).min()) if len(hashes) else None)
+    return found
+
+
+def brute_similar(docs, percent=80):
+    """As ``repeated_lines`` states it: equal lines, and pairs that share a band (or all but one character) and are similar."""
+    where = {}
+    for doc, text in docs:
+        for number, line in enumerate(text.split("\n") if text is not None else []):
+            norm = regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
+            if norm:
+                where.setdefault(norm, []).append((doc, number))
+    norms, buckets, minima = list(where), {}, {}
+    for i, norm in enumerate(norms):
+        widths = [3] * (len(norm) < line_dedup.LONG) + [5] * (100 * len(norm) >= percent * line_dedup.LONG)
+        for width in widths:
+            m = minima[i, width] = sketch(norm, width)
+            for j in range(line_dedup.BANDS) if m[0] is not None else ():
+                key = (width, j, *[m[(j + step) % line_dedup.MINIMA] for step in line_dedup.STEPS])
+                buckets.setdefault(key, set()).add(i)
+        if len(norm) <= line_dedup.TINY:
+            for key in {norm, *(norm[:at] + norm[at + 1 :] for at in range(len(norm)))}:
+                buckets.setdefault((3, key), set()).add(i)
+    root = list(range(len(norms)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j, width in {(i, j, key[0]) for key, members in buckets.items() for i in members for j in members if i < j}:
+        x, y = norms[i], norms[j]
+        longest = max(len(x), len(y))
+        low = lambda m: [None if v is None else v % 256 for v in m[:32]]
+        agree = sum(a == b for a, b in zip(low(minima[i, width]), low(minima[j, width])))
+        if 100 * min(len(x), len(y)) < percent * longest or (longest > line_dedup.TINY and agree < line_dedup.AGREE):
+            continue
+        if find(i) != find(j) and levenshtein(x, y) <= longest * (100 - percent) // 100:
+            root[find(j)] = find(i)
+    groups = {}
+    for i, norm in enumerate(norms):
+        groups.setdefault(find(i), []).extend(where[norm])
+    return {(*at, *min(g), at == min(g)) for g in groups.values() if len(g) > 1 for at in g}, len(norms)
+
+
 def rows(df):
     got = [tuple(r) for r in df.collect()]
     assert len(got) == len(set(got))
@@ -63,7 +118,7 @@ def rows(df):
 
 
 def test_query_same_as_brute_force(spark, folder, documents):
-    expected, _ = brute([(d["doc_id"], d["text"]) for d in documents])
+    expected, _ = brute_similar([(d["doc_id"], d["text"]) for d in documents])
     assert expected and rows(op10_line_dedup(spark, folder)) == expected
 
 
