@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import field_type
+from ..session import shared_folder
 
 STORAGE_ORDER = ("_doc", "_shard_doc")
 PRESETS = ("date", "date_and_relevance", "relevance")
@@ -69,6 +70,31 @@ def page(df: DataFrame, sort: list[Sort], start: int, rows: int, limit: int | No
     return (ordered.offset(start) if start else ordered).limit(rows)
 
 
+def first_rows(df: DataFrame, sort: list[Sort], limit: int) -> DataFrame:
+    """The first ``limit`` sorted documents, however many that are, without gathering them in one task.
+
+    A range sort is kept in a checkpoint; the counts of its partitions, one number each, say by their running
+    sum where each partition begins, and so which rows lie before the cut.  The sort and the counts run at once.
+    """
+    if limit <= 0:
+        return df.limit(0)
+    shared_folder(df.sparkSession)
+    ordered = df.orderBy(*order_by(df, sort)).checkpoint(eager=True)
+    # A row's id is its partition's number and its place in it.
+    placed = ordered.withColumn("_row_id", F.monotonically_increasing_id())
+    placed = placed.withColumns({"_part": F.shiftright("_row_id", 33), "_at": F.col("_row_id").bitwiseAND((1 << 33) - 1)})
+    # One row per partition: the driver knows their number anyway.
+    counts = sorted(tuple(r) for r in placed.groupBy("_part").count().collect())
+    begin, kept = 0, F.lit(True)
+    for part, n in counts:
+        if begin + n >= limit:
+            # All partitions before this one are whole, and none after it is needed.
+            kept = (F.col("_part") < part) | ((F.col("_part") == part) & (F.col("_at") < limit - begin))
+            break
+        begin += n
+    return placed.filter(kept).drop("_row_id", "_part", "_at")
+
+
 def after(df: DataFrame, sort: list[Sort], last: list) -> DataFrame:
     """Documents strictly after the sort values ``last``, in the given order.
 

@@ -13,7 +13,7 @@ from ..operators.aggregations import Aggregation, aggregate
 from ..operators.compile import matching, scored
 from ..operators.facets_together import aggregate_together, can_be_together
 from ..operators.highlight import Highlight, highlights
-from ..operators.paging import Sort, after, count_hits, page, resolve_sort, total_hits
+from ..operators.paging import Sort, after, count_hits, first_rows, page, resolve_sort, total_hits
 from ..operators.query_strings import expanded
 from ..operators.scope import Scope
 
@@ -133,7 +133,7 @@ def _choose(narrowed: DataFrame, collection: Collection, request: SearchRequest)
     if not request.export:
         return page(rows, sort, request.start, request.rows, request.limit)
     if request.limit is not None:
-        return page(rows, sort, 0, request.limit)
+        return first_rows(rows, sort, request.limit)
     if request.sort:
         from ..operators.paging import order_by
 
