@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import nested_tables
 from ..operators import queries as q
 from ..operators.compile import matching, scored
+from ..operators.highlight import Highlight
 from ..plans.search import Collection
 from .base import bm25_sql, prepared, query, table, tokens_sql
 
@@ -107,6 +108,23 @@ def inner_hits(spark, folder):
     return hits.select("doc_id", F.col("hit.no").cast("long").alias("no"), "hit.line", F.round("hit._score", 6).alias("score"))
 
 
+@query(
+    "inner_hits_highlight",
+    f"""WITH {_LINE_SCORES},
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, no) AS r FROM sc)
+        SELECT doc_id, no, array_to_string(list_transform(regexp_extract_all(line, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+'),
+               lambda x: CASE WHEN lower(x) = 'thtion' THEN '<b>' || x || '</b>' ELSE x END), '') AS marked
+        FROM ranked WHERE r <= 2""",
+)
+def inner_hits_highlight(spark, folder):
+    """The best lines of each document with the words of the query marked."""
+    marks = Highlight()
+    marks.add("lines.line", fragments=0, pre="<b>", post="</b>")
+    wanted = q.Nested("lines", _LINE_QUERY, inner_hits=q.InnerHits(size=2, fields=["no"], highlight=marks))
+    hits = _scored_lines(spark, folder, wanted).select("doc_id", F.explode("inner_hits.lines").alias("hit"))
+    return hits.select("doc_id", F.col("hit.no").cast("long").alias("no"), F.col("hit.line_highlight")[0].alias("marked"))
+
+
 # -- children in a table of their own ---------------------------------------------
 
 _ITEM_QUERY = q.Bool.of(filter=[q.Range("l_quantity", gt=40), q.Term("l_returnflag", "R")])

@@ -6,7 +6,9 @@ from ..operators import queries as q
 from ..operators.highlight import Highlight
 from ..operators.suggest import count_suggestions, suggest, suggest_batch
 from ..plans.search import SearchRequest, search
-from .base import indexed_documents, query, table, tokens_sql
+from ..functions.fields import as_array, first_value
+from .base import indexed_documents, prepared, query, table, tokens_sql
+from .text import pages
 
 _PIECES = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+')"
 
@@ -156,3 +158,67 @@ def suggest_for_types(spark, folder):
     prefixes = part.select(start.alias("request_id"), start.alias("prefix")).distinct()
     found = suggest_batch(part, "p_name", prefixes, "p_size")
     return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+# -- options of the highlighter ----------------------------------------------------------
+
+def _cut_sql(fragment: str) -> str:
+    """As ``highlight_fragments``, with fragments of another shape."""
+    cut = f"regexp_extract_all(text, '{fragment}')"
+    return f"""WITH cut AS (SELECT doc_id, unnest({cut}) AS plain, generate_subscripts({cut}, 1) AS i
+                     FROM documents WHERE list_contains({tokens_sql('text')}, 'thtion')),
+        marked AS (SELECT doc_id, i, plain, {_marked_sql('plain', "lower(x) = 'thtion'", '[', ']')} AS fragment FROM cut),
+        hits AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS place FROM marked
+                 WHERE fragment <> plain)
+        SELECT doc_id, place::INT AS place, fragment FROM hits WHERE place < 2"""
+
+
+def _register_scanner(name: str, fragment: str, **options) -> None:
+    @query(f"highlight_{name}", _cut_sql(fragment))
+    def highlight_scanner(spark, folder):
+        spec = Highlight()
+        spec.add("text", pre="[", post="]", fragments=2, fragment_size=60, **options)
+        hits = _highlighted(spark, folder, q.Match("text", "thtion"), spec)
+        return hits.select("doc_id", F.posexplode("highlight.text").alias("place", "fragment"))
+
+
+_register_scanner("sentences", r"[\s\S]{1,60}[^.!?]*[.!?]*\s*", boundary_scanner="sentence")
+_register_scanner("chars", r"[\s\S]{1,60}[^.,!? \t\n]{0,20}", boundary_scanner="chars")
+_register_scanner("chars_near", r"[\s\S]{1,60}[^e]{0,7}", boundary_scanner="chars", boundary_chars="e", boundary_max_scan=7)
+
+
+@query(
+    "highlight_matched_fields",
+    f"""SELECT page_id, {_marked_sql('url', "lower(x) IN ('example', 'feed')", '<em class="hlt1">')} AS marked FROM pages
+        WHERE list_has_any({tokens_sql('html')}, ['example', 'feed'])
+          AND list_has_any({tokens_sql('url')}, ['example', 'feed'])""",
+)
+def highlight_matched_fields(spark, folder):
+    """Addresses marked by the words asked of the markup, with the styled tags."""
+    collection = prepared(spark, folder, pages(spark, folder), "pages")
+    spec = Highlight()
+    spec.add("url", fragments=0, matched_fields=["html"], tags_schema="styled")
+    request = SearchRequest(q.Match("html", "example feed"), export=True, highlight=spec)
+    hits = search(collection, request).hits.select("page_id", F.col("highlight.url")[0].alias("marked"))
+    return hits.filter(F.col("marked").isNotNull())
+
+
+@query(
+    "values_first_and_all",
+    """SELECT conv_id, first(role ORDER BY turn) AS first_role, string_agg(role, ',' ORDER BY turn) AS all_roles,
+              min(turn) AS first_turn FROM conversations GROUP BY conv_id""",
+)
+def values_first_and_all(spark, folder):
+    """The first and all values of a multi-valued field, and of one with a single value."""
+    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"), F.min("turn").alias("turn")
+    )
+    docs = turns.select("conv_id", F.col("turns.role").alias("roles"), "turn")
+    roles, turn = docs.schema["roles"].dataType, docs.schema["turn"].dataType
+    return docs.select(
+        "conv_id",
+        first_value(F.col("roles"), roles).alias("first_role"),
+        F.array_join(as_array(F.col("roles"), roles), ",").alias("all_roles"),
+        F.array_max(as_array(F.col("turn"), turn)).alias("first_turn"),
+    )
+
