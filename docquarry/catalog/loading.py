@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import queries as q
 from ..plans.index import refresh_index
-from ..sources.documents import upsert, with_ids
+from ..sources.documents import read_json_documents, upsert, with_ids
 from ..streaming.ingest import append_changes, standing_query, standing_scores
 from .base import document_index, query, shared_folder, table, term_scores_sql, tokens_sql
 
@@ -102,17 +102,15 @@ def store_compact(spark, folder):
 
 @query(
     "json_documents",
-    """SELECT lang AS _id, doc_id, "text", n_chars FROM documents WHERE lang IS NOT NULL""",
+    """SELECT coalesce(lang, 'none') AS _id, doc_id, "text", n_chars FROM documents""",
 )
 def json_documents(spark, folder):
-    """All documents written as JSON and read back; the id is the name of the folder or file read."""
-    docs = table(spark, folder, "documents").where("lang is not null").select("doc_id", "text", "n_chars", "lang")
+    """All documents written as JSON and read back by the library's reader; the id is the name of the folder."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars", F.coalesce("lang", F.lit("none")).alias("key"))
     path = _place(spark, "json")
-    docs.write.partitionBy("lang").json(path)
+    docs.write.partitionBy("key").json(path)
     schema = docs.select("doc_id", "text", "n_chars").schema
-    return spark.read.schema(schema).json(path).select(
-        F.regexp_extract("_metadata.file_path", "lang=([^/]*)/", 1).alias("_id"), "doc_id", "text", "n_chars"
-    )
+    return read_json_documents(spark, path, schema, lines=True, id_from="folder").select("_id", "doc_id", "text", "n_chars")
 
 
 @query("generated_ids", "SELECT count(*) AS n, count(*) AS distinct_ids FROM documents")

@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """One JSON object per file; the file name without its ending becomes ``_id``.
+def read_json_documents(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False, id_from: str = "file"
+) -> DataFrame:
+    """JSON documents, one object per file, or one per line if ``lines``.
 
-    Without a schema Spark infers it, which reads the files once more.
+    ``_id`` is the name of the file without its ending, or what stands behind ``key=`` in the name of its
+    folder (``id_from="folder"``).  Without a schema Spark infers it, which reads the files once more.
     """
-    reader = spark.read.option("multiLine", True)
+    if id_from not in ("file", "folder"):
+        raise ValueError(f"ids come from 'file' or 'folder', not {id_from!r}")
+    reader = spark.read.option("multiLine", not lines)
     docs = (reader.schema(schema) if schema is not None else reader).json(path)
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return docs.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("_id"), "*")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1 if id_from == "file" else -2)
+    name = F.regexp_replace(name, r"\.[^.]*$" if id_from == "file" else "^[^=]*=", "")
+    return docs.select(name.alias("_id"), "*")
 
 
 def with_ids(docs: DataFrame, id_col: str = "_id") -> DataFrame:

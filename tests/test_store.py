@@ -12,6 +12,14 @@ def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
+def test_json_lines_with_ids_from_folders(spark, tmp_path):
+    for name, objects in (("key=a", [{"n": 1}, {"n": 2}]), ("key=b.c", [{"n": 3}])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.json").write_text("\n".join(map(json.dumps, objects)))
+    found = read_json_documents(spark, str(tmp_path), lines=True, id_from="folder")
+    assert rows(found, "_id", "n") == [("a", 1), ("a", 2), ("b.c", 3)]
+
+
 def test_json_documents(spark, tmp_path):
     for name, version in (("42", 1), ("43", 2)):
         (tmp_path / f"{name}.json").write_text(json.dumps({"text": f"Document {name}", "version": version}, indent=1))
