@@ -29,13 +29,15 @@ MINIMA, BANDS, STEPS = 36, 24, (0, 1, 4)
 AGREE = 7
 #: Lines up to this length also meet by what is left of them without one character.
 TINY = 14
+#: Where a line is; of a group the least place is kept.
+PLACE = ["doc_id", "version", "line_no"]
 _DRAW = random.Random(10)
 _MASKS = [_DRAW.getrandbits(64) - (1 << 63) for _ in range(MINIMA)]
 
 
 def normalised(text: Column) -> Column:
-    """Lower case, with one space for each run of characters other than letters, digits and newlines."""
-    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+    """Lower case, with one space for each run of characters other than letters, their combining marks, digits and newlines."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}\n]+", " ")
 
 
 def _lanes() -> list[Column]:
@@ -71,22 +73,27 @@ def _block_keys(distance: int, blocks: int) -> Column:
     return F.array(*parts)
 
 
+def version(text: Column) -> Column:
+    """Tells rows of one id with different texts apart."""
+    return F.xxhash64(F.lit(2), text)
+
+
 def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, line_no, k, k2, norm) of every line of at least ``min_words`` words; k and k2 together
-    are a 128-bit name of the normalised line."""
+    """(doc_id, version, line_no, k, k2, norm) of every line of at least ``min_words`` words; k and k2
+    together are a 128-bit name of the normalised line."""
     # The outer form of explode: the inner one would add a filter that computes the array again.
-    lines = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.posexplode_outer(F.split(normalised(F.col(text_col)), "\n", -1)).alias("line_no", "norm"),
+    texts = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), version(F.col(text_col)).alias("version"), normalised(F.col(text_col)).alias("text")
     )
+    lines = texts.select("doc_id", "version", F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "norm"))
     lines = lines.withColumn("norm", F.trim("norm"))
     # With fewer words, the text before the last space asked for is the whole line.
     enough = F.substring_index("norm", " ", min_words - 1) != F.col("norm") if min_words > 1 else F.col("norm") != ""
-    return lines.where(enough).select("doc_id", "line_no", F.xxhash64("norm").alias("k"), F.xxhash64(F.lit(1), "norm").alias("k2"), "norm")
+    return lines.where(enough).select("doc_id", "version", "line_no", F.xxhash64("norm").alias("k"), F.xxhash64(F.lit(1), "norm").alias("k2"), "norm")
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """(k, k2, doc_id, line_no, n, chars, print): one row per distinct normalised line, with its first
+    """(k, k2, doc_id, version, line_no, n, chars, print): one row per distinct normalised line, with its first
     occurrence and its number of occurrences.
 
     Words are exploded and summed in the map tasks, and only sums are shuffled, not texts.  A line's
@@ -102,9 +109,10 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     prints = summed.select("k", "k2", "chars", _fingerprint(F.col("words")).alias("print"))
     prints = prints.groupBy("k", "k2").agg(F.max("chars").alias("chars"), F.max("print").alias("print"))
     least = lines.groupBy("k", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    inside = lines.groupBy("k", "k2", "doc_id").agg(F.min("line_no").alias("line_no"))
-    first = least.join(inside, ["k", "k2", "doc_id"])
-    return first.join(prints, ["k", "k2"]).select("k", "k2", "doc_id", "line_no", "n", "chars", "print")
+    inside = lines.groupBy("k", "k2", "doc_id", "version").agg(F.min("line_no").alias("line_no"))
+    inside = inside.groupBy("k", "k2", "doc_id").agg(F.min(F.struct("version", "line_no")).alias("at"))
+    first = least.join(inside, ["k", "k2", "doc_id"]).select("k", "k2", "doc_id", "at.*", "n")
+    return first.join(prints, ["k", "k2"]).select("k", "k2", "doc_id", "version", "line_no", "n", "chars", "print")
 
 
 def _near(a: str, b: str, distance: int, percent: int) -> Column:
@@ -164,18 +172,18 @@ def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> tuple[DataFra
 
 
 def _grouped(lines: DataFrame, prints: DataFrame, components: DataFrame) -> DataFrame:
-    """The rows of every line that has a duplicate, of (node, component) of linked lines' names."""
-    named = prints.select("k", "k2", "n", F.struct("doc_id", "line_no").alias("first"))
+    """The rows of every line that has a duplicate, of (node, component) of linked lines' names, with the
+    versions of their documents."""
+    named = prints.select("k", "k2", "n", F.struct(*PLACE).alias("first"))
     grouped = named.join(components.withColumnRenamed("node", "k"), "k", "left")
     in_group = grouped.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
     fuzzy = grouped.join(in_group, "component").select("k", "k2", F.col("least").alias("kept_at"))
     equal = grouped.where("component is null and n > 1").select("k", "k2", F.col("first").alias("kept_at"))
     members = materialise(fuzzy.unionAll(equal), "members")
-    found = lines.select("doc_id", "line_no", "k", "k2").join(small_or_plain(members), ["k", "k2"])
-    at = F.struct("doc_id", "line_no")
+    found = lines.select(*PLACE, "k", "k2").join(small_or_plain(members), ["k", "k2"])
+    at = F.struct(*PLACE)
     return found.select(
-        "doc_id",
-        "line_no",
+        *PLACE,
         F.col("kept_at.doc_id").alias("group_doc_id"),
         F.col("kept_at.line_no").alias("group_line_no"),
         (at == F.col("kept_at")).alias("kept"),
@@ -196,16 +204,17 @@ def line_groups(
     Lines are what newlines separate, numbered from 0.  Two lines are linked if their normalised
     forms are equal, or if their SimHash fingerprints (64 bits over words) are at most ``distance``
     bits apart and their edit similarity, 1 - levenshtein / longer length, is ``percent`` / 100 or
-    more.  Of each connected group the occurrence of the smallest (doc_id, line_no) is kept, and
-    names the group.
+    more.  Of each connected group the first occurrence in the document of the smallest id is kept,
+    and names the group.
 
     Blank lines and lines of fewer than ``min_words`` words are no duplicates of anything.  Null
-    texts have no lines; rows without an id are left alone; rows that repeat an id are one
-    document.  A repeated line counts once in every later step.  No rows give no rows.
+    texts have no lines; rows without an id are left alone; equal rows of an id are one document,
+    and rows of an id with different texts several, in the order of a hash.  A repeated line counts
+    once in every later step.  No rows give no rows.
     """
     lines = materialise(occurrences(docs, min_words, id_col, text_col), "lines")
     prints = materialise(fingerprints(lines), "prints")
-    return _grouped(lines, prints, connected_components(_links(prints, lines, distance, blocks, percent)))
+    return _grouped(lines, prints, connected_components(_links(prints, lines, distance, blocks, percent))).drop("version")
 
 
 def _run_hashes(chunks: Column, i: Column, width: Column) -> Column:
@@ -223,14 +232,14 @@ def _turned(j: int) -> Column:
 
 
 def sketches(lines: DataFrame, percent: int) -> DataFrame:
-    """(k, k2, doc_id, line_no, n, chars, width, bands, s0 to s3): for each distinct line its first
+    """(k, k2, doc_id, version, line_no, n, chars, width, bands, s0 to s3): for each distinct line its first
     occurrence, number of occurrences, bands of minima and the low bytes of 32 minima.
 
     Lines that may be similar to shorter and longer ones have a row of each width.  Texts are
     shuffled once; runs are cut and reduced where the line then is.
     """
     distinct = lines.groupBy("k", "k2").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("n"), F.first("norm").alias("norm")
+        F.min(F.struct(*PLACE)).alias("at"), F.count("*").alias("n"), F.first("norm").alias("norm")
     )
     chars = F.length("norm")
     widths = F.array_compact(
@@ -241,7 +250,7 @@ def sketches(lines: DataFrame, percent: int) -> DataFrame:
         "k", "k2", "at.*", "n", chars.alias("chars"), F.explode(widths).alias("width"),
         F.regexp_extract_all("norm", F.lit("(?s).{1,64}"), F.lit(0)).alias("chunks"),
     )
-    own = ["k", "k2", "doc_id", "line_no", "n", "chars", "width"]
+    own = ["k", "k2", *PLACE, "n", "chars", "width"]
     places = chunks.select(*own, "chunks", F.explode(F.sequence(F.lit(0), F.size("chunks") - 1)).alias("i"))
     hashed = places.select(*own, F.explode_outer(_run_hashes(F.col("chunks"), F.col("i"), F.col("width"))).alias("hash"))
     least = hashed.groupBy(*own).agg(*[F.min(_turned(j)).alias(f"m{j}") for j in range(MINIMA)])
@@ -299,27 +308,43 @@ def _similar(prints: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     return linked.unionAll(_verified(pairs, lines, percent)[0])
 
 
+def repeated_line_places(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``repeated_lines`` with ``version``, which tells rows of one id with different texts apart."""
+    lines = materialise(occurrences(docs, 1, id_col, text_col), "lines")
+    prints = materialise(sketches(lines, percent), "prints")
+    one_each = prints.where((F.col("width") == SHORT_WIDTH) | (F.col("chars") >= LONG))
+    return _grouped(lines, one_each, connected_components(_similar(prints, lines, percent)))
+
+
 def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every line that has a duplicate, as ``line_groups`` returns them, but of any length above blank.
 
     Two lines are linked if their normalised forms are equal, or if they share a band of minima of
     their character runs (or all but one character, if short) and their edit similarity is
     ``percent`` / 100 or more.
+
+    Null and empty texts have no lines; rows without an id are left alone; ids may be of any
+    orderable type.  Equal rows of an id are one document and give a row each; rows of an id with
+    different texts are several.  Texts and lines may be of any length.  Other columns are not read.
+    No rows give no rows.
     """
-    lines = materialise(occurrences(docs, 1, id_col, text_col), "lines")
-    prints = materialise(sketches(lines, percent), "prints")
-    one_each = prints.where((F.col("width") == SHORT_WIDTH) | (F.col("chars") >= LONG))
-    return _grouped(lines, one_each, connected_components(_similar(prints, lines, percent)))
+    return repeated_line_places(docs, percent, id_col, text_col).drop("version")
 
 
 def without_lines(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``groups`` does not keep taken out of their texts.
 
-    Documents that lose their last line with a word go; all others stay, changed or not.
+    Documents that lose their last line with a word go; all others stay, changed or not.  Of groups
+    with a ``version``, lines are taken out of the text they were found in only, not out of
+    another text of the same id.
     """
-    gone = groups.where("not kept").groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("_gone"))
-    gone = materialise(gone, "gone").withColumnRenamed("doc_id", "_gone_id")
-    joined = docs.join(gone, docs[id_col] == gone["_gone_id"], "left")
+    keys = [c for c in ("doc_id", "version") if c in groups.columns]
+    gone = groups.where("not kept").groupBy(*keys).agg(F.sort_array(F.collect_set("line_no")).alias("_gone"))
+    gone = materialise(gone, "gone").withColumnsRenamed({c: f"_gone_{c}" for c in keys})
+    here = docs[id_col] == gone["_gone_doc_id"]
+    if "version" in keys:
+        here = here & (version(docs[text_col]) == gone["_gone_version"])
+    joined = docs.join(gone, here, "left")
     kept = F.filter(F.split(text_col, "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     emptied = F.col("_gone").isNotNull() & ~F.coalesce(text.rlike(r"[\p{L}\p{N}]"), F.lit(False))

@@ -225,3 +225,29 @@ def test_recall_against_edit_similarity_alone(spark, make):
 def test_short_lines_with_one_edit(spark, make):
     docs = ["abcd", "abcde", "abxde", "zzz", "zzy", "quick fox", "quack fox"]
     assert rows(repeated_lines(make(docs))) == {(0, 0, 0, 0, True), (1, 0, 0, 0, False), (2, 0, 0, 0, False), (5, 0, 5, 0, True), (6, 0, 5, 0, False)}
+
+
+def test_marks_belong_to_their_letters(spark, make):
+    docs = ["कि", "का", "कि!"]
+    assert rows(repeated_lines(make(docs))) == {(0, 0, 0, 0, True), (2, 0, 0, 0, False)}
+
+
+def test_odd_input_of_the_query(spark, make):
+    schema = "doc_id string, text string, line_no int, version string, k int"
+    long = "many words in one very long line " * 4000
+    odd = [("b", "one line\nother line", 1, "v", 1), ("a", "one line", 1, "v", 1), ("a", "one line", 2, "w", 2), (None, "one line", 1, "v", 1),
+           ("c", None, 1, "v", 1), ("c", "", 1, "v", 1), ("c", long, 1, "v", 1), ("d", long + "!", None, None, None)]
+    docs = spark.createDataFrame(odd, schema)
+    got = sorted(tuple(r) for r in repeated_lines(docs).collect())
+    assert got == [("a", 0, "a", 0, True)] * 2 + [("b", 0, "a", 0, False), ("c", 0, "c", 0, True), ("d", 0, "c", 0, False)]
+    assert repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_lose_their_own_lines_only(spark, make):
+    docs = spark.createDataFrame(
+        [(1, "shared line of words"), (5, "x y z own\nvery precious second line"), (5, "quite another text\nshared line of words")],
+        "doc_id long, text string")
+    left = without_lines(docs, line_dedup.repeated_line_places(docs))
+    assert {r["text"] for r in left.collect()} == {"shared line of words", "x y z own\nvery precious second line", "quite another text"}
+    same = spark.createDataFrame([(5, "alpha beta gamma"), (5, "alpha beta gamma")], "doc_id long, text string")
+    assert without_lines(same, line_dedup.repeated_line_places(same)).count() == 2
