@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,16 @@ class Bands:
         self.factors = draw.integers(0, 2**64, bands * rows, dtype=np.uint64) | np.uint64(1)
         self.addends = draw.integers(0, 2**64, bands * rows, dtype=np.uint64)
 
+    @classmethod
+    def for_percent(cls, percent: float, miss: float = 5e-5, hashes: int = 128) -> Bands:
+        """Bands that miss a pair of this similarity with a probability of ``miss`` at most: the longest
+        that ``hashes`` minima allow, single minima where none do."""
+        s = min(max(percent / 100, 1e-3), 1 - 1e-9)
+        for rows in (5, 4, 3, 2, 1):
+            bands = max(1, math.ceil(math.log(miss) / math.log1p(-(s**rows))))
+            if bands * rows <= hashes or rows == 1:
+                return cls(bands, rows)
+
     def minima(self, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Least value of each hash over each run of values: one row per run."""
         out = np.empty((len(starts), len(self.factors)), np.uint64)
@@ -152,7 +163,8 @@ def near_duplicates(
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if their sets of ``width``-word shingles have a Jaccard similarity of
-    at least ``percent`` / 100; a component is what links connect, named by its smallest id, and
+    at least ``percent`` / 100 (found with a probability of 0.99995 or more each, unless ``bands`` says
+    otherwise); a component is what links connect, named by its smallest id, and
     the document of that id is kept.
 
     Equal sets are one class and only its smallest id goes on.  Documents sharing a band are
@@ -165,7 +177,8 @@ def near_duplicates(
     A null id: linked with nothing, component null, kept.  Rows that repeat an id are each judged by
     their own text, and each is returned.  No rows give no rows.  Other columns are not read.
     """
-    bands = bands or Bands()
+    if bands is None:
+        bands = Bands() if percent >= 80 else Bands.for_percent(percent)
     signed = materialise(signatures(docs, bands, width, id_col, text_col), "minhash")
     usable = signed.where("n > 0 and doc_id is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("class_id"))

@@ -79,3 +79,15 @@ def test_components_of_long_paths_and_hubs(spark):
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {i: 0 for i in range(200)} | {i: 500 for i in range(500, 900)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bands_follow_the_similarity_asked_for(spark, make):
+    rng = random.Random(4)
+    docs = []
+    for _ in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+        docs += [" ".join(words), " ".join([*words[:72], *(f"v{rng.randrange(10**6)}" for _ in range(32))])]
+    parts = [(shingles(docs[i]), shingles(docs[i + 1])) for i in range(0, len(docs), 2)]
+    assert all(0.5 <= len(a & b) / len(a | b) < 0.6 for a, b in parts)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(make(docs), percent=50).collect()}
+    assert all(found[i + 1] == i for i in range(0, len(docs), 2))
