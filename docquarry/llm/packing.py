@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,28 @@ def id_kind(tokenizer) -> str:
     return "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
 
+# How a tokenizer file says that white space only separates, and what its words are.
+SEPARATED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def separates_chunks(tokenizer) -> bool:
+    """Whether a text's ids are its white-space separated chunks' ids one after another, as far as the
+    tokenizer's own settings say so; for any others whole texts have to be encoded."""
+    settings = json.loads(tokenizer.to_str())
+    normalizer, words = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+    steps = words.get("pretokenizers", [])
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and len(steps) == 2
+        and steps[0].get("pattern") == {"Regex": SEPARATED}
+        and (steps[0].get("behavior"), steps[0].get("invert")) == ("Removed", True)
+        and steps[1].get("type") == "ByteLevel"
+        and not steps[1].get("add_prefix_space")
+        and not any(mark.isspace() for added in settings["added_tokens"] for mark in added["content"])
+    )
+
+
 class Encoder(dict):
     """Ids of texts by a tokenizer file, remembering each white-space separated chunk's ids.
 
@@ -35,7 +58,7 @@ class Encoder(dict):
 
     A chunk that is one word of plain letters, perhaps with marks behind it, goes to the tokenizer's
     model at once: for letters below U+0180 (but the dotted capital I) its normalisation is
-    lower-casing and its pre-tokenisation one word.  All others are encoded in full.
+    lower-casing and its pre-tokenisation one word.  All others are encoded in full.  A tokenizer of other settings encodes whole texts.
     """
 
     def __init__(self, path: str, most: int = 150_000):
@@ -44,6 +67,7 @@ class Encoder(dict):
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.kind, self.model = id_kind(self.tokenizer), self.tokenizer.model
         self.old, self.marks = {}, {"": b""}
+        self.by_chunk = separates_chunks(self.tokenizer)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -78,6 +102,9 @@ class Encoder(dict):
         """Little-endian ids of each text, with ``end_id`` after each; null is empty."""
         end, out = array.array(self.kind, [end_id]).tobytes(), []
         for text in texts:
+            if not self.by_chunk:
+                out.append(self._in_full(text or "") + end)
+                continue
             if len(self) > self.most:
                 self.old = dict(self)
                 self.clear()

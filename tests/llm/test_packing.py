@@ -72,3 +72,11 @@ def test_null_and_repeated_ids_and_more_columns(spark):
     rows = pack(docs, PATH).collect()
     assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 2), (3, 3), (3, 3)]
     assert sorted(r["offset"] for r in rows) in ([0, 2, 5], [0, 3, 5], [0, 3, 6])
+
+
+def test_tokenizers_that_keep_white_space(spark, make):
+    path = public_tokenizer("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = dict(enumerate(["two words\n\nand  more\tspaces", " lead", "", None, "don't stop", "Ünïcode  　 text"]))
+    rows = pack(make(list(texts.values())), path).collect()
+    checked(rows, texts, tokenizer, 2048)
