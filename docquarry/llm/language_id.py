@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_fold, query, table
+from .common import in_fold, query, table, unused
 
 ORDERS = (1, 2, 3)
 SLICES = 8
@@ -162,14 +162,15 @@ def predict(docs: DataFrame, model: NaiveBayes, text_col: str = "text", keep: li
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in ("lang_pred", "score")]
+    text_name, letter_name = unused("_text", keep), unused("_letter", keep)
     fields = docs.select(*keep).schema.fields
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            known = np.array([bool(model.langs) and x for x in batch.column("_letter").to_pylist()], bool)
+            texts = batch.column(text_name).to_pylist()
+            known = np.array([bool(model.langs) and x for x in batch.column(letter_name).to_pylist()], bool)
             scores = model.scores(texts) if model.langs else np.zeros((len(texts), 1))
             best = scores.argmax(1)
             with np.errstate(over="ignore"):
@@ -181,7 +182,7 @@ def predict(docs: DataFrame, model: NaiveBayes, text_col: str = "text", keep: li
             )
 
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return docs.select(*keep, F.col(text_col).alias("_text"), letter.alias("_letter")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(text_name), letter.alias(letter_name)).mapInArrow(run, schema)
 
 
 @query("op3_language_id")

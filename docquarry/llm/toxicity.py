@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, query, table
+from .common import materialise, query, table, unused
 
-_WORD = re.compile(r"[^\W_]+")
+#: Letters with their combining marks, and digits.
+_WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 SAMPLE_ROWS = 8192
 VOCABULARY = 8192
 #: How many standard deviations a feature's mean grade lies above the mean of all, at least.
@@ -109,11 +110,11 @@ def _vocabulary(sample: DataFrame, size: int, least: int, deviations: float) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
-                found = list(words_of(text))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.string()), pa.array([grade] * len(found), pa.int32())], ["word", "grade"]
-                )
+            found = [list(words_of(text)) for text in batch.column("text").to_pylist()]
+            grades = np.repeat(batch.column("grade").to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for f in found for w in f], pa.string()), pa.array(grades, pa.int32())], ["word", "grade"]
+            )
 
     words = sample.mapInArrow(run, "word string, grade int").groupBy("word").agg(
         F.count("*").alias("n"), F.avg("grade").alias("mean")
@@ -146,22 +147,21 @@ def fit(
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where("text is not null")
     # At most ``sample_rows`` ids and grades: a few hundred kilobytes.
     sample = materialise(texts.join(F.broadcast(chosen), "_id").select("text", "grade"), "toxicity")
-    grades = sorted(r[0] for r in sample.select("grade").distinct().limit(1000).collect())
+    grades = sorted(r[0] for r in sample.select("grade").distinct().collect())  # at most ``sample_rows``
     model = CumulativeLink(_vocabulary(sample, vocabulary, least, deviations) if len(grades) > 1 else [], grades)
     if len(grades) < 2:
         return model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
-                index, _ = model.rows([text])
-                yield pa.RecordBatch.from_arrays([pa.array([grade], pa.int32()), pa.array([index], pa.list_(pa.int64()))],
-                                                 ["grade", "words"])
+            index, ends = model.rows(batch.column("text").to_pylist())
+            words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(index, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), words], ["grade", "words"])
 
     rows = sample.mapInArrow(run, "grade int, words array<long>").toArrow()
     words = rows.column("words").combine_chunks()
     index = words.flatten().to_numpy()
-    order = np.array([grades.index(g) for g in rows.column("grade").to_pylist()])
+    order = np.searchsorted(grades, rows.column("grade").to_numpy())
     model.fit(index, np.cumsum(words.value_lengths().to_numpy()), order)
     return model
 
@@ -170,12 +170,13 @@ def severity(docs: DataFrame, model: CumulativeLink, text_col: str = "text", kee
     """The columns ``keep`` (all by default) with severity, the expected grade, grade, the most probable
     one, and p_toxic, the probability of more than the lowest grade.
 
-    Whole texts count.  Null or empty texts get what a text without known words gets.  Columns of
+    Whole texts count.  Of equally probable grades the lowest is taken.  Null or empty texts get what a text without known words gets.  Columns of
     the same names are replaced; repeated rows are scored each; no rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     new = ("severity", "grade", "p_toxic")
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in new]
+    text_name = unused("_text", keep)
     fields = docs.select(*keep).schema.fields
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "severity double, grade int, p_toxic double"])
 
@@ -184,7 +185,7 @@ def severity(docs: DataFrame, model: CumulativeLink, text_col: str = "text", kee
         for whole in batches:
             for first in range(0, whole.num_rows, 500):
                 batch = whole.slice(first, 500)
-                above = model.above(batch.column("_text").to_pylist())
+                above = model.above(batch.column(text_name).to_pylist())
                 share = -np.diff(np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], 1), axis=1)
                 grade = np.array(model.grades or [0])[share.argmax(1)]
                 yield pa.RecordBatch.from_arrays(
@@ -193,7 +194,7 @@ def severity(docs: DataFrame, model: CumulativeLink, text_col: str = "text", kee
                     [*keep, *new],
                 )
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(text_name)).mapInArrow(run, schema)
 
 
 def graded(labels: DataFrame) -> DataFrame:

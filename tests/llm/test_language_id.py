@@ -69,3 +69,11 @@ def F_lit(value):
     from pyspark.sql import functions as F
 
     return F.lit(value)
+
+
+def test_columns_of_inner_names(spark):
+    from docquarry.llm.language_id import fit, predict
+
+    docs = spark.createDataFrame([("ab ab", "x", "u", "v"), ("zz zz", "y", "u", "v")], "text string, lang string, _text string, _letter string")
+    got = predict(docs, fit(docs)).collect()
+    assert [(r["lang"], r["lang_pred"], r["_text"], r["_letter"]) for r in got] == [("x", "x", "u", "v"), ("y", "y", "u", "v")]

@@ -79,3 +79,17 @@ def test_cases(spark, make):
     assert {r["severity"] for r in severity(make(texts), none).collect()} == {0.0}
     one = fit(make(texts), labels.where("toxic = 1"), "toxic")
     assert {(r["severity"], r["grade"], r["p_toxic"]) for r in severity(make(texts), one).collect()} == {(1.0, 1, 0.0)}
+
+
+def test_columns_of_inner_names_and_many_grades(spark):
+    from docquarry.llm.toxicity import fit, severity, words_of
+
+    texts = [f"plain text {i}" + " awful" * (i % 3) for i in range(1500)]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, _text string, __text string")
+    labels = spark.createDataFrame([(i, i) for i in range(1500)], "doc_id long, grade int")
+    model = fit(docs, labels, "grade")
+    assert len(model.grades) == 1500
+    scored = severity(docs, model)
+    assert scored.columns == ["doc_id", "text", "_text", "__text", "severity", "grade", "p_toxic"]
+    assert {(r["_text"], r["__text"]) for r in scored.collect()} == {("x", "y")}
+    assert "कि" in words_of("कि, का")
