@@ -124,3 +124,22 @@ def test_contaminated_rows_go_by_their_own_text(spark, tmp_path):
     left = drop_contaminated(spark, docs, str(tmp_path))
     assert left.columns == docs.columns
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in left.collect()) == [("1", "clean words here"), ("2", "None"), ("None", "clean")]
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, k int"
+
+
+def test_near_copies_by_their_own_row(spark):
+    base = [f"w{i}" for i in range(60)]
+    text = " ".join(base)
+    near = " ".join([*base[:59], "other"])
+    own, another = " ".join(f"own{i}" for i in range(40)), " ".join(f"more{i}" for i in range(40))
+    docs = spark.createDataFrame(
+        [row(1, text), row(5, near), row(5, own), row(7, another), row(7, another), row(8, another), row(9, text), row(None, text)], SCHEMA)
+    docs = docs.select(*COLUMNS)
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert left == sorted([(1, text), (5, own), (7, another), (7, another), (0, text)])
+    twice = spark.createDataFrame([row(3, text), row(3, near), row(4, text)], SCHEMA).select(*COLUMNS)
+    left = corpus_pipeline.drop_near_copies(spark, twice, "").collect()
+    assert len(left) == 1 and left[0]["doc_id"] == 3
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
