@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..operators import queries as q
 from ..plans.index import refresh_index
 from ..sources.documents import read_json_documents, upsert, with_ids
+from ..streaming.followed import FollowedIndex
 from ..streaming.ingest import append_changes, standing_query, standing_scores
-from .base import document_index, query, shared_folder, table, term_scores_sql, tokens_sql
+from .base import document_index, indexed_documents, query, shared_folder, table, term_scores_sql, tokens_sql
 
 # A change set derived from the orders: every finished order is repriced, twice, and
 # each urgent order gets a copy under a new id.
@@ -198,3 +199,42 @@ def _delivered(spark, stream, name):
     _run(stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").option(
         "path", f"{path}/out"), spark)
     return spark.read.parquet(f"{path}/out")
+
+
+_FOLLOWED = """changed AS (
+        SELECT doc_id, CASE WHEN lang = 'de' AND doc_id % 2 = 0 THEN 'second ' || source
+                            WHEN lang = 'de' THEN upper(lang) || ' ' || source || ' ' || source
+                            ELSE text END AS text FROM documents WHERE lang IS NULL OR lang <> 'fr' OR doc_id % 2 <> 0
+        UNION ALL SELECT -doc_id - 1, text FROM documents WHERE lang = 'fr')"""
+
+
+@query(
+    "stream_index",
+    f"""WITH {_FOLLOWED},
+        words AS (SELECT doc_id, unnest({tokens_sql('text')}) AS term FROM changed),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        size AS (SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS sum_dl FROM words)
+        SELECT term, count(*) AS df, sum(tf)::BIGINT AS tf, any_value(n_docs) AS n_docs, any_value(sum_dl) AS sum_dl
+        FROM counts, size GROUP BY term""",
+)
+def stream_index(spark, folder):
+    """The index follows a stream that is stopped and started again: German texts change, half of them twice,
+    French ones get a copy under a new id, and then half of the originals go."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    german, french, even = F.col("lang") == "de", F.col("lang") == "fr", F.col("doc_id") % 2 == 0
+    gone, stays = F.lit(True).alias("gone"), F.lit(False).alias("gone")
+    first = docs.where(german).select("doc_id", F.concat_ws(" ", F.upper("lang"), "source", "source").alias("text"), stays)
+    first = first.unionByName(docs.where(french).select((-F.col("doc_id") - 1).alias("doc_id"), "text", stays))
+    second = docs.where(german & even).select("doc_id", F.concat(F.lit("second "), "source").alias("text"), stays)
+    second = second.unionByName(docs.where(french & even).select("doc_id", "text", gone))
+
+    place = _place(spark, "followed")
+    index = FollowedIndex(indexed_documents(spark, folder), f"{place}/changes", deleted_col="gone")
+    for load in (first, second):
+        load.write.mode("append").parquet(f"{place}/loads")
+        _run(index.follow(spark.readStream.schema(load.schema).parquet(f"{place}/loads"), f"{place}/checkpoint"), spark)
+    kept = index.current().index
+    tf = kept.postings.groupBy("term").agg(F.sum("tf").alias("tf"))
+    sizes = kept.field_stats.agg(F.first(F.struct("n_docs", "sum_dl"))).scalar()
+    rows = kept.term_stats.select("term", "df").join(tf, "term", "full")
+    return rows.select("term", "df", "tf", sizes["n_docs"].alias("n_docs"), sizes["sum_dl"].alias("sum_dl"))

@@ -273,15 +273,18 @@ def term_stats(postings: DataFrame) -> DataFrame:
     return postings.groupBy("bucket", "field", "term").agg(count, F.max("impact").alias("best"), F.array(*levels).alias("levels"))
 
 
+def laid_out(index: TextIndex, postings: DataFrame) -> DataFrame:
+    """New postings with the impact and the bucket they have in a saved index."""
+    means = F.create_map(*[F.lit(x) for item in index.lengths.items() for x in item]) if index.lengths else F.lit(None).cast("map<string,double>")
+    impact = scoring.bm25(F.lit(1.0), F.col("tf"), F.col("dl"), F.coalesce(means[F.col("field")], F.col("dl").cast("double")))
+    return index.with_bucket(postings.withColumn("impact", impact))
+
+
 def refresh_index(index: TextIndex, changed: DataFrame, id_col: str, text_fields: dict[str, str]) -> TextIndex:
     """Index after documents changed: their old postings out, their new ones in."""
     fresh = build_index(changed, id_col, text_fields, "positions" in index.postings.columns)
     gone = changed.select(F.col(id_col).alias("_id"))
-    added = fresh.postings
-    if index.buckets is not None:
-        means = F.create_map(*[F.lit(x) for item in index.lengths.items() for x in item])
-        added = added.withColumn("impact", scoring.bm25(F.lit(1.0), F.col("tf"), F.col("dl"), means[F.col("field")]))
-        added = index.with_bucket(added)
+    added = fresh.postings if index.buckets is None else laid_out(index, fresh.postings)
     postings = index.postings.join(gone, "_id", "left_anti").unionByName(added)
     per_doc = postings.groupBy("field", "_id").agg(F.max("dl").alias("dl"))
     sizes = per_doc.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl"))
@@ -297,6 +300,18 @@ def _with_child_tokens(scope: Scope, path: str, name: str) -> Column:
     return F.transform(path, lambda x: F.when(x.isNotNull(), x.withField(leaf, scope.children(path, x).field(name).tokens)))
 
 
+def with_stored_tokens(docs: DataFrame, text_fields: dict[str, str]) -> DataFrame:
+    """Documents with the tokens of their texts beside them."""
+    scope = Scope(docs.schema, text_fields, docs)
+    for name in text_fields:
+        parent = nested_path(scope, name)
+        if parent is None:
+            docs = docs.withColumn(tokens_name(name), scope.field(name).tokens)
+        else:
+            docs = docs.withColumn(parent, _with_child_tokens(scope, parent, name))
+    return docs
+
+
 def prepare(collection: Collection, path: str, files: int | None = None, spread: bool = False) -> Collection:
     """Ingest-time analysis: write the documents with their tokens, and the index.
 
@@ -307,13 +322,7 @@ def prepare(collection: Collection, path: str, files: int | None = None, spread:
     docs = collection.docs
     if spread:
         docs = docs.repartition(files or spark.sparkContext.defaultParallelism, collection.id_col)
-    scope = Scope(docs.schema, collection.text_fields, docs)
-    for name in collection.text_fields:
-        parent = nested_path(scope, name)
-        if parent is None:
-            docs = docs.withColumn(tokens_name(name), scope.field(name).tokens)
-        else:
-            docs = docs.withColumn(parent, _with_child_tokens(scope, parent, name))
+    docs = with_stored_tokens(docs, collection.text_fields)
     docs.write.mode("overwrite").parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
     index = build_index(docs, collection.id_col, collection.text_fields).save(path, files, collection.id_col)
