@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions import analysis
 from ..plans.batch import QueryStrings, batch_match, search_strings
-from .base import bm25_sql, document_index, query, table, tokens_sql
+from ..plans.requests import search_requests
+from .base import bm25_sql, document_index, indexed_documents, query, table, tokens_sql
 
 _POSTINGS = f"""
     toks AS (SELECT doc_id, {tokens_sql('text')} AS t FROM documents),
@@ -72,6 +73,48 @@ def batch_search_all_terms(spark, folder):
     return found.select("query_id", F.col("rank").cast("long").alias("rank"), "_id", F.round("_score", 6).alias("score"))
 
 
+@query(
+    "request_table",
+    f"""WITH {_BATCH},
+        wanted AS (SELECT item_id AS query_id, CASE item_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'de' END AS lang,
+                          CASE item_id % 2 WHEN 0 THEN 'source' ELSE 'lang' END AS facet, 1.0 + item_id % 4 AS boost,
+                          item_id % 5 = 0 AS every FROM benchmark),
+        needed AS (SELECT query_id, count(*) AS k FROM times GROUP BY query_id),
+        total AS (SELECT query_id, doc_id, sum(s * times) AS s, count(*) AS k FROM times JOIN sc USING (term) GROUP BY ALL),
+        hits AS (SELECT query_id, doc_id, s * boost AS s, CASE facet WHEN 'source' THEN source ELSE d.lang END AS key
+                 FROM total JOIN wanted w USING (query_id) JOIN needed n USING (query_id) JOIN documents d USING (doc_id)
+                 WHERE (NOT every OR total.k = n.k) AND (w.lang IS NULL OR d.lang = w.lang)),
+        ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, doc_id) AS rank,
+                          doc_id::VARCHAR AS key, round(s, 6) AS score FROM hits),
+        counted AS (SELECT query_id, key, count(*) AS n FROM hits WHERE key IS NOT NULL GROUP BY ALL),
+        facets AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, key) AS rank, key, n::DOUBLE AS score
+                   FROM counted),
+        totals AS (SELECT w.query_id, count(doc_id) AS n FROM wanted w LEFT JOIN hits h ON h.query_id = w.query_id GROUP BY ALL)
+        SELECT query_id, 'hit' AS part, rank, key, score FROM ranked WHERE rank <= 10
+        UNION ALL SELECT query_id, 'facet', rank, key, score FROM facets WHERE rank <= 3
+        UNION ALL SELECT query_id, 'total', 0, NULL, n::DOUBLE FROM totals""",
+)
+def request_table(spark, folder):
+    """Every benchmark text as a request with an operator, a boost, a filter and a facet of its own."""
+    item = F.col("item_id")
+    lang = F.when(item % 3 == 0, "en").when(item % 3 == 1, "de")
+    requests = table(spark, folder, "benchmark").select(
+        item.alias("query_id"), F.col("text").alias("query"),
+        F.create_map(F.lit("text"), (1 + item % 4).cast("double")).alias("boosts"),
+        F.when(item % 5 == 0, "and").alias("operator"),
+        F.when(lang.isNotNull(), F.create_map(F.lit("lang"), lang)).alias("filters"),
+        F.when(item % 2 == 0, "source").otherwise("lang").alias("facet"),
+    )
+    found = search_requests(requests, indexed_documents(spark, folder), ["lang"], ["source", "lang"], 10, 3)
+    rank = F.col("rank").cast("long").alias("rank")
+    hits = found.hits.select("query_id", F.lit("hit").alias("part"), rank, F.col("_id").cast("string").alias("key"), F.round("_score", 6).alias("score"))
+    facets = found.facets.select("query_id", F.lit("facet").alias("part"), rank, "key", F.col("count").cast("double").alias("score"))
+    totals = found.totals.select(
+        "query_id", F.lit("total").alias("part"), F.lit(0).cast("long").alias("rank"), F.lit(None).cast("string").alias("key"),
+        F.col("total").cast("double").alias("score"))
+    return hits.unionByName(facets).unionByName(totals)
+
+
 # -- query strings --------------------------------------------------------------------
 # Each benchmark text is cut into runs of four words, the last one filled up from the
 # text's beginning, and every run gives one string.  So all words of all texts are used.
