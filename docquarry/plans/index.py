@@ -26,12 +26,19 @@ from ..functions import scoring
 from ..functions.binding import bound
 from ..operators.joins import Requests, request_join
 from ..operators.scope import Scope, stored_name, tokens_name
+from ..session import small_splits
 from .search import Collection
 
 # A bucket holds about so many distinct terms, a file so many postings; there are at most MOST_BUCKETS buckets.
 BUCKET_TERMS = 4_000
 FILE_POSTINGS = 4_000_000
 MOST_BUCKETS = 4096
+# A task sorts about so many postings at most, some 150 MB of them, so it need not spill.
+TASK_POSTINGS = 1_000_000
+# A task that makes postings reads so much of the stored documents: its postings are some ten times that, and stay in memory.
+SPLIT_BYTES = 16 << 20
+# A partition of documents meets so many requests' postings at most.
+TASK_PAIRS = 2_000_000
 #: Steps in which a term's impacts are counted.
 LEVELS = 16
 
@@ -54,6 +61,7 @@ class TextIndex:
     lengths: dict[str, float] = field(default_factory=dict)
     #: Estimated number of terms per field, to lay out an index that is to be saved.
     vocabulary: DataFrame | None = None
+    _unique: bool | None = None
 
     def covers(self, field: str) -> bool:
         return field in self.fields
@@ -94,6 +102,23 @@ class TextIndex:
             postings = postings.select(*keys, *[c for c in columns if c not in keys])
         return request_join(requests, postings, keys, "_id")
 
+    # -- reading by document -------------------------------------------------------
+    @property
+    def keys(self) -> list[str]:
+        """What names a term in the tables."""
+        return ["field", "term"] if self.buckets is None else ["bucket", "field", "term"]
+
+    def unique_ids(self) -> bool:
+        """Whether every id names one document; counted once."""
+        if self._unique is None:
+            self._unique = self.documents.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+        return self._unique
+
+    def by_document(self, rows: DataFrame, pairs: int | None) -> DataFrame:
+        """Rows of postings with those of a document in one partition, enough of them for ``pairs`` rows to come."""
+        least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(max(least, -(-(pairs or 0) // TASK_PAIRS)), "_id")
+
     def _stats_of(self, names: dict[tuple, str]) -> DataFrame:
         return self.of_terms(self.term_stats, sorted({(stored_name(key[0], key[2]), key[3][1]) for key in names}))
 
@@ -136,9 +161,15 @@ class TextIndex:
         layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
         salt = F.pmod(F.xxhash64("_id"), F.lit(salts))
-        laid = with_impact(self.postings, layout.select("field", "avgdl")).withColumn("bucket", bucket_of(buckets))
-        clustered = laid.repartition(n, "bucket", salt).sortWithinPartitions("bucket", "field", "term", F.desc("impact"))
-        clustered.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+        laid = self.postings.withColumn("bucket", bucket_of(buckets))
+        only = self.fields[0] if len(self.fields) == 1 else None
+        # What can be told again behind the exchange does not go through it.
+        laid = (laid if only is None else laid.drop("field")).repartition(max(n, -(-(tokens or 0) // TASK_POSTINGS)), "bucket", salt)
+        laid = laid.select(F.lit(only).alias("field") if only is not None else "field", *[c for c in laid.columns if c != "field"])
+        laid = with_impact(laid, layout.select("field", "avgdl")).select(*self.postings.columns, "impact", "bucket")
+        clustered = laid.sortWithinPartitions("bucket", "field", "term", F.desc("impact"))
+        with small_splits(spark, SPLIT_BYTES):
+            clustered.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
         # From the written postings, so the texts are not analysed again.
         counted = term_stats(spark.read.schema(clustered.schema).parquet(f"{path}/postings"))
         counted = counted.repartition(n, "bucket").sortWithinPartitions("bucket", "field", "term")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: int):
+    """Scans that run inside read at most ``size`` bytes a task, unless the session asks for less already."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    digits = before.lower().removesuffix("b")
+    if digits.isdigit() and int(digits) > size:
+        spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
