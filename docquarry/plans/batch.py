@@ -7,6 +7,7 @@ from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import analysis, scoring
 from ..functions.binding import bound
@@ -30,10 +31,36 @@ def _with_sizes(rows: DataFrame, index: TextIndex) -> DataFrame:
 
 def _weighted(terms: Requests, index: TextIndex, rows: DataFrame | None = None) -> DataFrame:
     """Add ``weight`` (idf) and ``avgdl`` to rows of (field, term)."""
-    keys = ["field", "term"] if index.buckets is None else ["bucket", "field", "term"]
+    keys = index.keys
     wanted = terms.hinted(index.with_bucket(terms.rows if rows is None else rows))
     known = _with_sizes(index.term_stats.select(*keys, "df").join(wanted, keys), index)
-    return known.withColumn("weight", scoring.idf(F.col("n_docs"), F.col("df"))).drop("n_docs", "df")
+    return known.withColumn("weight", scoring.idf(F.col("n_docs"), F.col("df"))).drop("n_docs")
+
+
+def _bm25(tf: str = "tf") -> Column:
+    return scoring.bm25(F.col("weight"), F.col(tf), F.col("dl"), F.col("avgdl"))
+
+
+def numbered(rows: DataFrame, keys: list[str], extra: list[str] = ()) -> tuple[Requests, DataFrame]:
+    """The distinct ``keys`` with a number ``_unit``, and the rows with it instead of them."""
+    units = rows.select(*keys, *extra).distinct().withColumn("_unit", F.monotonically_increasing_id())
+    units = settle(units)
+    return units, rows.join(F.broadcast(units.rows.select(*keys, "_unit")), keys).drop(*keys, *extra)
+
+
+def meet(weighted: Requests, index: TextIndex) -> DataFrame:
+    """Weighted request rows with the ``_id`` and ``score`` of each posting of their terms.
+
+    A posting is scored and sent to its document's partition once, however many requests want its term; it meets
+    the requests there, so what follows per request and document needs no exchange.
+    """
+    if not weighted.small:
+        return index.postings_for(weighted, columns=["_id", "tf", "dl"]).withColumn("score", _bm25()).drop("tf", "dl", *index.keys[:-2])
+    units, wanted = numbered(weighted.rows, index.keys, ["weight", "avgdl", "df"])
+    scored = index.postings_for(units, columns=["_id", "tf", "dl"]).select("_unit", "_id", _bm25().alias("score"))
+    scored = index.by_document(scored, weighted.rows.agg(F.sum("df")).first()[0])
+    names = units.rows.select("_unit", "field", "term")
+    return scored.join(F.broadcast(wanted.join(F.broadcast(names), "_unit")), "_unit").drop("_unit")
 
 
 def batch_match(
@@ -57,9 +84,8 @@ def batch_match(
         words = words.join(total, "query_id")
     words = settle(words.withColumn("field", F.lit(field)))
     weighted = settle(_weighted(words, index))
-    pairs = index.postings_for(weighted, columns=["_id", "tf", "dl"])
-    score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl")) * F.col("times")
-    measures = [F.sum(score).alias("_score")]
+    pairs = meet(weighted, index)
+    measures = [F.sum(F.col("score") * F.col("times")).alias("_score")]
     if operator == "and":
         measures += [F.count(F.lit(1)).alias("found"), F.max("n_terms").alias("n_terms")]
     hits = pairs.groupBy("query_id", "_id").agg(*measures)
@@ -280,6 +306,12 @@ def search_clauses(
     edits = F.when(F.col("kind") == "fuzzy", F.col("k")).otherwise(F.lit(0)).alias("k")
     shapes = {(r["kind"], r["k"]) for r in clauses.rows.select("kind", edits).distinct().collect()}
     kinds = {kind for kind, _ in shapes}
+    # Fields with a dot may be children's, whose postings name the parent more than once.
+    flat = not any("." in field for field in index.fields)
+    if clauses.small and flat and "all" not in kinds and _plain_clauses(clauses.rows) and index.unique_ids():
+        found = _search_plain(clauses, index, n, kinds, sorted(k for kind, k in shapes if kind == "fuzzy"), minimum_should_match)
+        if found is not None:
+            return found
     counts = settle(_clause_counts(clauses.rows))
     only_not = counts.rows.filter((F.col("n_must") == 0) & (F.col("n_should") == 0))
     parts = []
@@ -308,19 +340,172 @@ def search_clauses(
         *[F.sum(F.when(test, F.lit(1)).otherwise(F.lit(0))).alias(o) for o, test in is_a.items()],
     )
 
-    needed = _needed_column(minimum_should_match, F.col("n_should"))
-    lonely = (F.col("n_must") == 0) & (F.col("n_should") > 0)
-    needed = F.when(lonely, F.greatest(F.lit(1), needed)).otherwise(needed)
-    hits = (
-        per_doc.join(counts.hinted(), "query_id")
-        .filter((F.col("must_not") == 0) & (F.col("must") == F.col("n_must")) & (F.col("should") >= needed))
-        .select("query_id", "_id", "_score")
-    )
+    needed = _needed(minimum_should_match)
+    hits = per_doc.join(counts.hinted(), "query_id").filter(_fits(needed)).select("query_id", "_id", "_score")
     if n is None:
         return hits
     return top_n_per_group(hits, ["query_id"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
 
 
+def _needed(minimum_should_match: str | int | None) -> Column:
+    """How many optional clauses a document has to meet."""
+    needed = _needed_column(minimum_should_match, F.col("n_should"))
+    lonely = (F.col("n_must") == 0) & (F.col("n_should") > 0)
+    return F.when(lonely, F.greatest(F.lit(1), needed)).otherwise(needed)
+
+
+def _fits(needed: Column) -> Column:
+    return (F.col("must_not") == 0) & (F.col("must") == F.col("n_must")) & (F.col("should") >= needed)
+
+
+def _plain_clauses(clauses: DataFrame) -> bool:
+    """Whether each clause is one unit of one field: a word, a class of words or a phrase."""
+    words = F.when(F.col("kind") == "term", F.size("terms")).otherwise(F.lit(1))
+    return clauses.groupBy("query_id", "clause_id").agg(F.sum(words).alias("units")).where("units > 1").isEmpty()
+
+
+_ROLES = ("must", "should", "must_not")
+
+
+def _search_plain(
+    clauses: Requests, index: TextIndex, n: int | None, kinds: set[str], fuzzy_ks: list[int],
+    minimum_should_match: str | int | None,
+) -> DataFrame | None:
+    """As ``search_clauses``, for clauses of one unit and documents named by unique ids.
+
+    Equal units of all clauses meet the postings once, and what they find is dealt out by document.  Clauses join
+    it there, so rows per clause and document are folded where they arise and never shuffled; None if a query only excludes.
+    """
+    counts = _clause_counts(clauses.rows)
+    queries = settle(counts.withColumn("needed", _needed(minimum_should_match)).withColumn("_query", F.monotonically_increasing_id()))
+    if not queries.small or not queries.rows.where("n_must = 0 and n_should = 0").isEmpty():
+        return None
+    asked = clauses.rows.join(F.broadcast(queries.rows.select("query_id", "_query")), "query_id")
+    roles = [(F.col("occur") == role).cast("int").alias(role) for role in _ROLES]
+    factor = F.when(F.col("occur") != "must_not", F.col("boost")).otherwise(F.lit(0.0)).alias("factor")
+    asked = asked.select("_query", "field", "kind", "terms", "k", factor, *roles)
+    role = ["_query", "factor", *_ROLES]
+
+    parts = []
+    if "term" in kinds:
+        words = asked.where(F.col("kind") == "term").select(*role, "field", F.get("terms", F.lit(0)).alias("term"))
+        weighted = settle(_weighted(clauses, index, words))
+        if not weighted.small:
+            return None
+        parts.append(meet(weighted, index).select(*role, "_id", "score"))
+    if kinds & {"prefix", "fuzzy"}:
+        prefix = F.get("terms", F.lit(0)).alias("prefix")
+        wanted = asked.where(F.col("kind").isin("prefix", "fuzzy")).select(*role, "field", "kind", "k", prefix)
+        parts.append(_classes_by_document(wanted, index, kinds, fuzzy_ks).select(*role, "_id", "score"))
+    if "phrase" in kinds:
+        phrases = asked.where(F.col("kind") == "phrase").select(*role, "field", "terms", "k")
+        parts.append(_phrases_by_document(phrases, index).select(*role, "_id", "score"))
+    units = parts[0] if len(parts) == 1 else index.by_document(reduce(DataFrame.unionByName, parts), None)
+    per_doc = units.groupBy("_query", "_id").agg(
+        F.sum(F.col("score") * F.col("factor")).alias("_score"), *[F.sum(r).alias(r) for r in _ROLES]
+    )
+    hits = per_doc.join(F.broadcast(queries.rows.drop("query_id", "n_should")), "_query").filter(_fits(F.col("needed")))
+    hits = hits.select("_query", "_id", "_score")
+    if n is not None:
+        hits = top_n_per_group(hits, ["_query"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
+    named = hits.join(F.broadcast(queries.rows.select("_query", "query_id")), "_query")
+    return named.select("query_id", "_id", "_score", *(["rank"] if n is not None else []))
+
+
+def _classes_by_document(wanted: DataFrame, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
+    """``wanted`` with the ``_id`` and ``score`` of each document that holds a word of its class."""
+    classes, wanted = numbered(wanted, _CLASS)
+    times = wanted.groupBy("_unit").agg(F.count(F.lit(1)).alias("times"))
+    named = classes.rows.join(F.broadcast(times), "_unit")
+    covered = _covered_words(named, index, kinds, fuzzy_ks, True, ["_unit", "times"], index.term_stats.select(*index.keys, "df"))
+    covered = settle(covered.select(*index.keys, "_unit", "times", "df"))
+    pairs = covered.rows.agg(F.sum(F.col("df") * F.col("times"))).first()[0]
+    columns = ["_unit", "_id", "tf", "dl"]
+    if covered.small or "fuzzy" in kinds:
+        found = index.postings_for(covered, columns=["_id", "tf", "dl"]).select(*columns)
+    else:
+        # The prefixes are few where the words under them are many.
+        found = prefix_matches(classes.rows, index.postings.select("field", "term", "_id", "tf", "dl"), ["field"], True).select(*columns)
+    held = index.by_document(found, pairs).groupBy("_unit", "_id").agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
+    df = _with_sizes(held.groupBy("_unit").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(classes.rows.select("_unit", "field")), "_unit"), index)
+    weights = df.select("_unit", scoring.idf(F.col("n_docs"), F.col("df")).alias("weight"), "avgdl")
+    scored = held.join(F.broadcast(weights), "_unit").select("_unit", "_id", _bm25().alias("score"))
+    return scored.join(F.broadcast(wanted), "_unit")
+
+
+def _phrases_by_document(wanted: DataFrame, index: TextIndex) -> DataFrame:
+    """``wanted`` with the ``_id`` and ``score`` of each document that holds its phrase.
+
+    The words in use are laid out by document and place.  An exact phrase is there where all its pairs of
+    neighbours are; a sloppy one is looked for only where its two rarest words are near enough, so a document
+    that just holds all words of a phrase costs nothing.
+    """
+    phrases, wanted = numbered(wanted, ["field", "terms", "k"])
+    words = phrases.rows.select("_unit", "field", "k", F.size("terms").alias("m"), F.posexplode("terms").alias("j", "term"))
+    weighted = settle(_weighted(phrases, index, words))
+    # Phrases of which every word is known.
+    whole = weighted.rows.groupBy("_unit").agg(
+        F.sort_array(F.collect_list(F.struct("j", "field", "term", "df"))).alias("words"), F.max("m").alias("m"),
+        F.max("k").alias("k"), F.sum("weight").alias("weight"), F.max("avgdl").alias("avgdl"),
+    ).where(F.size("words") == F.col("m"))
+    used, _ = numbered(whole.select("_unit", F.explode("words").alias("w")).select("_unit", "w.field", "w.term"), ["field", "term"])
+    terms = settle(index.with_bucket(used.rows.withColumnRenamed("_unit", "_term")))
+    fields = {name: i for i, name in enumerate(index.fields)}
+    place = F.create_map(*[F.lit(x) for item in fields.items() for x in item])[F.col("field")].alias("_field")
+    rows = index.postings_for(terms, columns=["_id", "dl", "positions"]).select("_term", place, "_id", "dl", "positions")
+    tokens = index.field_stats.agg(F.sum("sum_dl")).first()[0]
+    laid = index.by_document(rows, tokens)
+
+    number = F.broadcast(terms.rows.select("field", "term", "_term"))
+    spelled = whole.select("_unit", "k", "m", F.explode("words").alias("w")).select("_unit", "k", "m", "w.*").join(number, ["field", "term"])
+    spelled = settle(spelled.select("_unit", "k", "m", "j", "df", "_term", "field", "term"))
+    at = laid.select("_id", "_field", "dl", "_term", F.explode("positions").alias("at"))
+    parts = []
+    exact = spelled.rows.where("k = 0")
+    if not exact.isEmpty():
+        order = Window.partitionBy("_id", "_field").orderBy("at")
+        follow = at.withColumns({"_next": F.lead("_term").over(order), "_at": F.lead("at").over(order)}).where("_at = at + 1")
+        after = exact.select("_unit", (F.col("j") - 1).alias("j"), F.col("_term").alias("_next"))
+        pairs = exact.select("_unit", "j", "m", "_term").join(F.broadcast(after), ["_unit", "j"])
+        met = follow.join(F.broadcast(pairs), ["_term", "_next"]).select("_unit", "_id", "dl", "m", (F.col("at") - F.col("j")).alias("start"))
+        starts = met.groupBy("_unit", "_id", "start").agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("m"), F.max("dl").alias("dl"))
+        starts = starts.where("n = m - 1")
+        parts.append(starts.groupBy("_unit", "_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).cast("double").alias("freq")))
+    sloppy = spelled.rows.where("k > 0")
+    if not sloppy.isEmpty():
+        parts.append(_sloppy_by_document(sloppy, terms, at, index))
+    found = parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts) if parts else None
+    if found is None:
+        found = laid.select(F.lit(None).cast("long").alias("_unit"), "_id", "dl", F.lit(0.0).alias("freq")).limit(0)
+    weights = whole.select("_unit", "weight", "avgdl")
+    scored = found.join(F.broadcast(weights), "_unit").select("_unit", "_id", _bm25("freq").alias("score"))
+    return scored.join(F.broadcast(wanted), "_unit")
+
+
+def _sloppy_by_document(sloppy: DataFrame, terms: Requests, at: DataFrame, index: TextIndex) -> DataFrame:
+    """Weights of sloppy phrases, found through places of their two rarest words that are near enough."""
+    rare = sloppy.groupBy("_unit", "k").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "j", "_term"))), 1, 2).alias("two"))
+    first, second = F.col("two")[0], F.col("two")[1]
+    # Of the two words' places p and q, |(q - j2) - (p - j1)| is at most the slop.
+    gap = second["j"] - first["j"]
+    wanted = rare.select("_unit", first["_term"].alias("_term"), second["_term"].alias("_other"), (gap - F.col("k")).alias("low"), (gap + F.col("k")).alias("high"))
+    wanted = settle(wanted)
+    one = at.join(F.broadcast(wanted.rows.drop("_other")), "_term").select("_unit", "_id", "_field", F.col("at").alias("p"), "low", "high")
+    two = at.join(F.broadcast(wanted.rows.select("_unit", F.col("_other").alias("_term"))), "_term").select("_unit", "_id", "_field", F.col("at").alias("q"))
+    near = one.join(two, ["_unit", "_id", "_field"]).where((F.col("q") - F.col("p")).between(F.col("low"), F.col("high")))
+    near = near.select("_unit", "_id").distinct()
+    asked = near.join(F.broadcast(sloppy.select("_unit", "k", "m", "j", "term", "_term")), "_unit")
+    full = index.postings_for(terms, columns=["_id", "dl", "positions"]).select("_term", "_id", "dl", "positions")
+    offsets = F.transform("positions", lambda p: p - F.col("j"))
+    together = (
+        full.join(asked, ["_term", "_id"]).withColumn("place", F.struct("j", "term", offsets.alias("offsets")))
+        .groupBy("_unit", "k", "m", "_id", "dl").agg(F.sort_array(F.collect_list("place")).alias("places"))
+        .where(F.size("places") == F.col("m"))
+    )
+    freq = sloppy_frequency(F.col("places"), F.col("k"))
+    return together.select("_unit", "_id", "dl", freq.alias("freq")).where("freq > 0")
+
+
 def _clause_counts(clauses: DataFrame) -> DataFrame:
     """Number of required and optional clauses of each query."""
     distinct = clauses.select("query_id", "clause_id", "occur").distinct()
@@ -397,18 +582,20 @@ def _class_units(clauses: Requests, index: TextIndex, kinds: set[str], fuzzy_ks:
 
 
 def _covered_words(
-    classes: DataFrame, index: TextIndex, kinds: set[str], fuzzy_ks: list[int], small: bool
+    classes: DataFrame, index: TextIndex, kinds: set[str], fuzzy_ks: list[int], small: bool,
+    more: list[str] = (), vocabulary: DataFrame | None = None,
 ) -> DataFrame:
-    """Words of the vocabulary that each class stands for."""
-    vocabulary = index.term_stats.select("field", "term")
+    """Words of the vocabulary that each class stands for, with ``more`` columns of the classes."""
+    vocabulary = index.term_stats.select("field", "term") if vocabulary is None else vocabulary
+    kept = [*_CLASS, *more, *[c for c in vocabulary.columns if c != "field"]]
     parts = []
     if "prefix" in kinds:
         stems = classes.filter(F.col("kind") == "prefix")
-        parts.append(prefix_matches(stems, vocabulary, ["field"], small).select(*_CLASS, "term"))
+        parts.append(prefix_matches(stems, vocabulary, ["field"], small).select(*kept))
     if "fuzzy" in kinds:
         near = classes.filter(F.col("kind") == "fuzzy").withColumnRenamed("prefix", "word")
         found = fuzzy_matches(near, vocabulary, ["field"], fuzzy_ks, small).withColumnRenamed("word", "prefix")
-        parts.append(found.select(*_CLASS, "term"))
+        parts.append(found.select(*kept))
     return reduce(DataFrame.unionByName, parts)
 
 
