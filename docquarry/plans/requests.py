@@ -5,15 +5,17 @@ All requests of a table are answered together; what differs from row to row is d
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import analysis, scoring
+from ..functions import analysis
 from ..operators.joins import settle
 from ..operators.topn import top_n_per_group
-from .batch import _weighted
+from ..session import shared_folder
+from .batch import _weighted, meet
 from .search import Collection
 
 
@@ -77,8 +79,8 @@ def search_requests(
     needed = words.groupBy("query_id", "field").agg(F.count(F.lit(1)).alias("n_terms"))
     weighted = settle(_weighted(settle(words.join(needed, ["query_id", "field"])), index))
 
-    pairs = index.postings_for(weighted, columns=["_id", "tf", "dl"])
-    score = scoring.bm25(F.col("weight"), F.col("tf"), F.col("dl"), F.col("avgdl")) * F.col("times") * F.col("boost")
+    pairs = meet(weighted, index)
+    score = F.col("score") * F.col("times") * F.col("boost")
     per_field = pairs.groupBy("query_id", "_id", "field").agg(
         F.sum(score).alias("s"), F.count(F.lit(1)).alias("found"), F.max(F.when(F.col("every"), F.col("n_terms")).otherwise(1)).alias("least")
     )
@@ -88,14 +90,19 @@ def search_requests(
     plain = list(dict.fromkeys([*filter_fields, *facet_fields]))
     if plain:
         values = F.struct(*[F.col(f"`{name}`").cast("string").alias(name) for name in plain]).alias("_values")
-        matched = matched.join(collection.docs.select(F.col(collection.id_col).alias("_id"), values), "_id")
+        # Hits stay in their documents' partitions and unsorted; the few values of these documents go there.
+        matched = matched.join(collection.docs.select(F.col(collection.id_col).alias("_id"), values).hint("shuffle_hash"), "_id")
     for name in filter_fields:
         wanted = F.col("filters")[name]
         passes = F.col("filters").isNull() | ~F.map_contains_key("filters", name) | (F.col("_values")[name] == wanted)
         matched = matched.where(F.coalesce(passes, F.lit(False)))
     key = F.coalesce(*[F.when(F.col("facet") == name, F.col("_values")[name]) for name in facet_fields], F.lit(None).cast("string"))
-    # Hits are what rankings, totals and facets are all made of, so they are computed once.
-    matched = matched.select("query_id", "_id", "_score", "facet", key.alias("key")).checkpoint(eager=True)
+    # Hits are what rankings, totals and facets are all made of, so they are computed once, and kept by column.
+    matched = matched.select("query_id", "_id", "_score", "facet", key.alias("key"))
+    spark = matched.sparkSession
+    path = f"{shared_folder(spark)}/matched-{uuid.uuid4().hex}"
+    matched.write.parquet(path)
+    matched = spark.read.schema(matched.schema).parquet(path)
 
     # Equal documents add the same terms in any order; rounding keeps their tie.
     hits = top_n_per_group(matched.select("query_id", "_id", "_score"), ["query_id"], [F.round("_score", 9).desc(), F.col("_id").asc()], rows)
