@@ -486,17 +486,24 @@ def _sloppy_by_document(sloppy: DataFrame, terms: Requests, at: DataFrame, index
     """Weights of sloppy phrases, found through places of their two rarest words that are near enough."""
     rare = sloppy.groupBy("_unit", "k").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "j", "_term"))), 1, 2).alias("two"))
     first, second = F.col("two")[0], F.col("two")[1]
-    # Of the two words' places p and q, |(q - j2) - (p - j1)| is at most the slop.
-    gap = second["j"] - first["j"]
-    wanted = rare.select("_unit", first["_term"].alias("_term"), second["_term"].alias("_other"), (gap - F.col("k")).alias("low"), (gap + F.col("k")).alias("high"))
-    wanted = settle(wanted)
-    one = at.join(F.broadcast(wanted.rows.drop("_other")), "_term").select("_unit", "_id", "_field", F.col("at").alias("p"), "low", "high")
-    two = at.join(F.broadcast(wanted.rows.select("_unit", F.col("_other").alias("_term"))), "_term").select("_unit", "_id", "_field", F.col("at").alias("q"))
-    near = one.join(two, ["_unit", "_id", "_field"]).where((F.col("q") - F.col("p")).between(F.col("low"), F.col("high")))
-    near = near.select("_unit", "_id").distinct()
+    # Of the two words' places p and q, (q - j2) - (p - j1) is between -k and k: q is at most 2k behind p + j2 - j1 - k.
+    gap = second["j"] - first["j"] - F.col("k")
+    ends = F.array(
+        F.struct(first["_term"].alias("_term"), F.lit(1).alias("end"), gap.alias("shift"), (gap + first["j"]).alias("base")),
+        F.struct(second["_term"].alias("_term"), F.lit(2).alias("end"), F.lit(0).alias("shift"), F.lit(0).alias("base")),
+    )
+    wanted = rare.select("_unit", "k", F.explode(ends).alias("e")).select("_unit", "k", "e.*")
+    met = at.join(F.broadcast(wanted), "_term").select("_unit", "_id", "_field", "k", "end", "base", (F.col("at") + F.col("shift")).alias("key"))
+    # Read from the last place on, the latest second word is the next one.
+    back = Window.partitionBy("_unit", "_id", "_field").orderBy(F.desc("key"), F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
+    met = met.withColumn("_next", F.last(F.when(F.col("end") == 2, F.col("key")), True).over(back))
+    near = met.where((F.col("end") == 1) & (F.col("_next") - F.col("key") <= 2 * F.col("k")))
+    near = near.groupBy("_unit", "_id").agg(F.collect_set(F.col("key") - F.col("base")).alias("firsts"))
     asked = near.join(F.broadcast(sloppy.select("_unit", "k", "m", "j", "term", "_term")), "_unit")
     full = index.postings_for(terms, columns=["_id", "dl", "positions"]).select("_term", "_id", "dl", "positions")
+    # Every window that counts spans at most the slop and holds one of the first words found, so no other place matters.
     offsets = F.transform("positions", lambda p: p - F.col("j"))
+    offsets = F.filter(offsets, lambda o: F.exists("firsts", lambda f: F.abs(o - f) <= F.col("k")))
     together = (
         full.join(asked, ["_term", "_id"]).withColumn("place", F.struct("j", "term", offsets.alias("offsets")))
         .groupBy("_unit", "k", "m", "_id", "dl").agg(F.sort_array(F.collect_list("place")).alias("places"))
