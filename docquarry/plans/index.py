@@ -15,15 +15,18 @@ and pages bound it block by block.  ``best`` is a term's largest impact, and
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scoring
-from ..functions.binding import bound
 from ..operators.joins import Requests, request_join
 from ..operators.scope import Scope, stored_name, tokens_name
 from ..session import small_splits
@@ -39,6 +42,13 @@ TASK_POSTINGS = 1_000_000
 SPLIT_BYTES = 16 << 20
 # A partition of documents meets so many requests' postings at most.
 TASK_PAIRS = 2_000_000
+# A task that looks for the best documents of queries sorts so many rows at most.
+TASK_GROUPS = 1_000_000
+# Postings are made from documents of so many tokens at a time, one document at least, and handed on by so many rows.
+BATCH_TOKENS = 1_000_000
+BATCH_ROWS = 100_000
+# Of the stored tables, the large ones.
+CODEC = "zstd"
 #: Steps in which a term's impacts are counted.
 LEVELS = 16
 
@@ -116,8 +126,17 @@ class TextIndex:
 
     def by_document(self, rows: DataFrame, pairs: int | None) -> DataFrame:
         """Rows of postings with those of a document in one partition, enough of them for ``pairs`` rows to come."""
+        return rows.repartition(self._parts(rows, pairs or 0, TASK_PAIRS), "_id")
+
+    def few_parts(self, hits: DataFrame, queries: int) -> DataFrame:
+        """Rows, one per query and document, in no more partitions than they may need: of each, every query's best are shuffled."""
+        docs = self.field_stats.agg(F.sum("n_docs")).first()[0]
+        return hits.coalesce(self._parts(hits, queries * (docs or 0), TASK_GROUPS))
+
+    @staticmethod
+    def _parts(rows: DataFrame, total: int, each: int) -> int:
         least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return rows.repartition(max(least, -(-(pairs or 0) // TASK_PAIRS)), "_id")
+        return max(least, -(-total // each))
 
     def _stats_of(self, names: dict[tuple, str]) -> DataFrame:
         return self.of_terms(self.term_stats, sorted({(stored_name(key[0], key[2]), key[3][1]) for key in names}))
@@ -164,12 +183,15 @@ class TextIndex:
         laid = self.postings.withColumn("bucket", bucket_of(buckets))
         only = self.fields[0] if len(self.fields) == 1 else None
         # What can be told again behind the exchange does not go through it.
-        laid = (laid if only is None else laid.drop("field")).repartition(max(n, -(-(tokens or 0) // TASK_POSTINGS)), "bucket", salt)
-        laid = laid.select(F.lit(only).alias("field") if only is not None else "field", *[c for c in laid.columns if c != "field"])
+        told = {"field": F.lit(only)} if only is not None else {}
+        if "positions" in laid.columns:
+            told["tf"] = F.size("positions")
+        laid = laid.drop(*told).repartition(max(n, -(-(tokens or 0) // TASK_POSTINGS)), "bucket", salt).withColumns(told)
         laid = with_impact(laid, layout.select("field", "avgdl")).select(*self.postings.columns, "impact", "bucket")
-        clustered = laid.sortWithinPartitions("bucket", "field", "term", F.desc("impact"))
+        names = ["field", "term"] if only is None else ["term"]
+        clustered = laid.sortWithinPartitions("bucket", *names, F.desc("impact"))
         with small_splits(spark, SPLIT_BYTES):
-            clustered.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+            clustered.write.mode("overwrite").option("compression", CODEC).partitionBy("bucket").parquet(f"{path}/postings")
         # From the written postings, so the texts are not analysed again.
         counted = term_stats(spark.read.schema(clustered.schema).parquet(f"{path}/postings"))
         counted = counted.repartition(n, "bucket").sortWithinPartitions("bucket", "field", "term")
@@ -260,38 +282,59 @@ def nested_path(scope: Scope, name: str) -> str | None:
 def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
     """One row per document and distinct term.
 
-    Everything about a document comes from its own row, so this is a narrow
-    step: no shuffle, and no row per word.
-    """
-    tokens = F.col(tokens_name("text"))
-    entries = analysed.select("_id", F.size(tokens).alias("dl"), F.explode(term_entries(tokens)).alias("e"))
-    columns = ["_id", "dl", "e.term", "e.tf"] + (["e.positions"] if positions else [])
-    return entries.select(F.lit(field).alias("field"), *columns)
-
-
-def term_entries(tokens: Column) -> Column:
-    """``array<struct<term, tf, positions>>`` of one document.
-
-    (term, position) pairs are sorted; each run of equal terms is one entry.
+    Everything about a document comes from its own row, so this is a narrow step without a shuffle.
+    Some documents at a time are handled as arrays, and their postings come out by term.
     """
-    pairs = F.sort_array(F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
-
-    def runs(s: Column) -> Column:
-        first = F.filter(
-            F.sequence(F.lit(0), F.size(s) - F.lit(1)),
-            lambda k: (k == 0) | (F.get(s, k)["term"] != F.get(s, k - F.lit(1))["term"]),
-        )
-        return bound(first, lambda starts: F.transform(starts, lambda at, j: entry(s, starts, at, j)))
-
-    def entry(s: Column, starts: Column, at: Column, j: Column) -> Column:
-        tf = F.coalesce(F.get(starts, j + F.lit(1)), F.size(s)) - at
-        return F.struct(
-            F.get(s, at)["term"].alias("term"),
-            tf.alias("tf"),
-            F.transform(F.slice(s, at + F.lit(1), tf), lambda x: x["pos"]).alias("positions"),
-        )
-
-    return F.when(F.size(tokens) > 0, bound(pairs, runs))
+    schema = T.StructType([
+        T.StructField("_id", analysed.schema["_id"].dataType), T.StructField("dl", T.IntegerType()),
+        T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType()),
+        T.StructField("positions", T.ArrayType(T.IntegerType())),
+    ])
+    rows = analysed.select("_id", tokens_name("text")).where(F.size(tokens_name("text")) > 0).mapInArrow(_batch_postings, schema)
+    return rows.select(F.lit(field).alias("field"), "_id", "dl", "term", "tf", *(["positions"] if positions else []))
+
+
+def _batch_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The postings of batches of (_id, tokens)."""
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, done + BATCH_TOKENS, side="right")))
+            found = _sorted_postings(batch.slice(start, end - start))
+            for at in range(0, found.num_rows, BATCH_ROWS):
+                yield found.slice(at, BATCH_ROWS)
+            start = end
+
+
+def _sorted_postings(docs: pa.RecordBatch) -> pa.RecordBatch:
+    """The postings of some documents, by term and about by impact, so that little is left to sort where they meet others."""
+    dl = pc.list_value_length(docs.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
+    words = docs.column(1).flatten().dictionary_encode()
+    order = pc.sort_indices(words.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    # A token's number stays in the low half, so equal terms keep the order of the text.
+    known = np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False))
+    key = np.sort((rank[words.indices.drop_null().to_numpy()] << 32) | known)
+    token, term = key & 0xFFFFFFFF, key >> 32
+    doc = np.repeat(np.arange(len(dl)), dl)[token]
+    first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+    bounds = np.append(first, len(key)).astype(np.int32)
+    places = (token - (np.cumsum(dl, dtype=np.int64) - dl)[doc]).astype(np.int32)
+    own, tf = doc[first], np.diff(bounds)
+    weak = 1 / (1 + tf / (1 - scoring.B + scoring.B * dl[own] / max(dl.mean(), 1)))
+    by = np.argsort((term[first] << 20) | (weak * (1 << 20)).astype(np.int64), kind="stable")
+    own = own[by]
+    return pa.RecordBatch.from_arrays(
+        [
+            docs.column(0).take(pa.array(own)), pa.array(dl[own]),
+            words.dictionary.take(pa.array(order[term[first[by]]])).cast(pa.string()), pa.array(tf[by]),
+            pa.ListArray.from_arrays(pa.array(bounds), pa.array(places)).take(pa.array(by)),
+        ],
+        ["_id", "dl", "term", "tf", "positions"],
+    )
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -354,7 +397,7 @@ def prepare(collection: Collection, path: str, files: int | None = None, spread:
     if spread:
         docs = docs.repartition(files or spark.sparkContext.defaultParallelism, collection.id_col)
     docs = with_stored_tokens(docs, collection.text_fields)
-    docs.write.mode("overwrite").parquet(f"{path}/docs")
+    docs.write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
     index = build_index(docs, collection.id_col, collection.text_fields).save(path, files, collection.id_col)
     return Collection(docs, collection.id_col, collection.text_fields, index)
