@@ -407,7 +407,7 @@ def _search_plain(
     hits = per_doc.join(F.broadcast(queries.rows.drop("query_id", "n_should")), "_query").filter(_fits(F.col("needed")))
     hits = hits.select("_query", "_id", "_score")
     if n is not None:
-        hits = top_n_per_group(hits, ["_query"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
+        hits = top_n_per_group(index.few_parts(hits, queries.count), ["_query"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
     named = hits.join(F.broadcast(queries.rows.select("_query", "query_id")), "_query")
     return named.select("query_id", "_id", "_score", *(["rank"] if n is not None else []))
 
@@ -427,7 +427,9 @@ def _classes_by_document(wanted: DataFrame, index: TextIndex, kinds: set[str], f
         # The prefixes are few where the words under them are many.
         found = prefix_matches(classes.rows, index.postings.select("field", "term", "_id", "tf", "dl"), ["field"], True).select(*columns)
     held = index.by_document(found, pairs).groupBy("_unit", "_id").agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
-    df = _with_sizes(held.groupBy("_unit").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(classes.rows.select("_unit", "field")), "_unit"), index)
+    # Counted over the same columns as are scored, so both read one exchange.
+    documents = F.count_if(F.col("tf").isNotNull() & F.col("dl").isNotNull()).alias("df")
+    df = _with_sizes(held.groupBy("_unit").agg(documents).join(F.broadcast(classes.rows.select("_unit", "field")), "_unit"), index)
     weights = df.select("_unit", scoring.idf(F.col("n_docs"), F.col("df")).alias("weight"), "avgdl")
     scored = held.join(F.broadcast(weights), "_unit").select("_unit", "_id", _bm25().alias("score"))
     return scored.join(F.broadcast(wanted), "_unit")

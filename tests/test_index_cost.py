@@ -1,10 +1,14 @@
-"""What making the index costs: postings made by arrays, in the order they are stored in."""
+"""What making the index and searching it by document cost: ordered postings, one exchange, few partitions."""
+
+import re
 
 import pyarrow as pa
 import pytest
 
 from docquarry.plans import index as module
-from docquarry.plans.index import build_index
+from docquarry.plans.batch import QueryStrings, search_strings
+from docquarry.plans.index import build_index, prepare
+from docquarry.plans.search import Collection
 
 TEXT = {"text": "standard"}
 
@@ -41,3 +45,24 @@ def test_postings_leave_the_documents_by_term_and_impact(spark):
     assert [r["term"] for r in found] == ["a", "blue", "blue", "red", "red", "red"]
     assert [r["_id"] for r in found] == ["v", "y", "x", "x", None, "v"]
     assert build_index(docs, "id", TEXT, positions=False).postings.columns == ["field", "_id", "dl", "term", "tf"]
+
+
+def answers(found):
+    return sorted((r["query_id"], r["rank"], r["_id"], round(r["_score"], 9)) for r in found.collect())
+
+
+def test_classes_are_counted_and_scored_from_one_exchange(spark, tmp_path, monkeypatch):
+    rows = [(i, " ".join(f"{'abc'[(i * k) % 3]}{(i + k) % 7}" for k in range(i % 9))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    made = prepare(Collection(docs, "id", TEXT), str(tmp_path), files=2).index
+    table = spark.createDataFrame([(0, "a* b*"), (1, "+a* -c3*"), (2, "b* c* a1*")], "query_id long, query string")
+    found = search_strings(table, made, QueryStrings(["text"]), 4)
+    before = answers(found)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReusedExchange \[[^\]]*\], Exchange hashpartitioning\(_id#", plan), plan
+    # Of each partition the best of every query are shuffled, so many small ones are put together first.
+    monkeypatch.setattr(module, "TASK_PAIRS", 5)
+    many = search_strings(table, made, QueryStrings(["text"]), 4)
+    assert answers(many) == before
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Coalesce \d+", plan), plan
