@@ -15,7 +15,7 @@ and pages bound it block by block.  ``best`` is a term's largest impact, and
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -290,51 +290,59 @@ def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
         T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType()),
         T.StructField("positions", T.ArrayType(T.IntegerType())),
     ])
-    rows = analysed.select("_id", tokens_name("text")).where(F.size(tokens_name("text")) > 0).mapInArrow(_batch_postings, schema)
+    make = _posting_batches(BATCH_TOKENS, BATCH_ROWS)
+    rows = analysed.select("_id", tokens_name("text")).where(F.size(tokens_name("text")) > 0).mapInArrow(make, schema)
     return rows.select(F.lit(field).alias("field"), "_id", "dl", "term", "tf", *(["positions"] if positions else []))
 
 
-def _batch_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The postings of batches of (_id, tokens)."""
-    for batch in batches:
-        ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
-        start = 0
-        while start < batch.num_rows:
-            done = ends[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(ends, done + BATCH_TOKENS, side="right")))
-            found = _sorted_postings(batch.slice(start, end - start))
-            for at in range(0, found.num_rows, BATCH_ROWS):
-                yield found.slice(at, BATCH_ROWS)
-            start = end
-
-
-def _sorted_postings(docs: pa.RecordBatch) -> pa.RecordBatch:
-    """The postings of some documents, by term and about by impact, so that little is left to sort where they meet others."""
-    dl = pc.list_value_length(docs.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
-    words = docs.column(1).flatten().dictionary_encode()
-    order = pc.sort_indices(words.dictionary).to_numpy()
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    # A token's number stays in the low half, so equal terms keep the order of the text.
-    known = np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False))
-    key = np.sort((rank[words.indices.drop_null().to_numpy()] << 32) | known)
-    token, term = key & 0xFFFFFFFF, key >> 32
-    doc = np.repeat(np.arange(len(dl)), dl)[token]
-    first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
-    bounds = np.append(first, len(key)).astype(np.int32)
-    places = (token - (np.cumsum(dl, dtype=np.int64) - dl)[doc]).astype(np.int32)
-    own, tf = doc[first], np.diff(bounds)
-    weak = 1 / (1 + tf / (1 - scoring.B + scoring.B * dl[own] / max(dl.mean(), 1)))
-    by = np.argsort((term[first] << 20) | (weak * (1 << 20)).astype(np.int64), kind="stable")
-    own = own[by]
-    return pa.RecordBatch.from_arrays(
-        [
-            docs.column(0).take(pa.array(own)), pa.array(dl[own]),
-            words.dictionary.take(pa.array(order[term[first[by]]])).cast(pa.string()), pa.array(tf[by]),
-            pa.ListArray.from_arrays(pa.array(bounds), pa.array(places)).take(pa.array(by)),
-        ],
-        ["_id", "dl", "term", "tf", "positions"],
-    )
+def _posting_batches(tokens_at_once: int, rows_at_once: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What makes the postings of batches of (_id, tokens).
+
+    The functions are local, so they are sent whole and executors need not have this package.
+    """
+    b = scoring.B
+
+    def postings(docs: pa.RecordBatch) -> pa.RecordBatch:
+        # By term and about by impact, so that little is left to sort where they meet others.
+        dl = pc.list_value_length(docs.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
+        words = docs.column(1).flatten().dictionary_encode()
+        order = pc.sort_indices(words.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        # A token's number stays in the low half, so equal terms keep the order of the text.
+        known = np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False))
+        key = np.sort((rank[words.indices.drop_null().to_numpy()] << 32) | known)
+        token, term = key & 0xFFFFFFFF, key >> 32
+        doc = np.repeat(np.arange(len(dl)), dl)[token]
+        first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+        bounds = np.append(first, len(key)).astype(np.int32)
+        places = (token - (np.cumsum(dl, dtype=np.int64) - dl)[doc]).astype(np.int32)
+        own, tf = doc[first], np.diff(bounds)
+        weak = 1 / (1 + tf / (1 - b + b * dl[own] / max(dl.mean(), 1)))
+        by = np.argsort((term[first] << 20) | (weak * (1 << 20)).astype(np.int64), kind="stable")
+        own = own[by]
+        return pa.RecordBatch.from_arrays(
+            [
+                docs.column(0).take(pa.array(own)), pa.array(dl[own]),
+                words.dictionary.take(pa.array(order[term[first[by]]])).cast(pa.string()), pa.array(tf[by]),
+                pa.ListArray.from_arrays(pa.array(bounds), pa.array(places)).take(pa.array(by)),
+            ],
+            ["_id", "dl", "term", "tf", "positions"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+            start = 0
+            while start < batch.num_rows:
+                done = ends[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(ends, done + tokens_at_once, side="right")))
+                found = postings(batch.slice(start, end - start))
+                for at in range(0, found.num_rows, rows_at_once):
+                    yield found.slice(at, rows_at_once)
+                start = end
+
+    return run
 
 
 def term_stats(postings: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 """What making the index and searching it by document cost: ordered postings, one exchange, few partitions."""
 
 import re
+import subprocess
+import sys
 
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
 from docquarry.plans import index as module
 from docquarry.plans.batch import QueryStrings, search_strings
@@ -22,17 +25,16 @@ def expected(rows):
 
 
 @pytest.mark.parametrize("tokens", [1, 4, 1000])
-def test_postings_of_any_number_of_documents_at_a_time(monkeypatch, tokens):
-    monkeypatch.setattr(module, "BATCH_TOKENS", tokens)
-    monkeypatch.setattr(module, "BATCH_ROWS", 2)
+def test_postings_of_any_number_of_documents_at_a_time(tokens):
+    make = module._posting_batches(tokens, 2)
     rows = [(7, ["b", "a", "b"]), (7, ["é"]), (3, ["a", "a", "ab", "", "b", "a"]), (1, ["b"])]
     batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([w for _, w in rows])], ["_id", "t"])
     parts = [batch.slice(0, 1), batch.slice(1), batch.slice(0, 0)]
-    found = [tuple(r.values()) for part in module._batch_postings(iter(parts)) for r in part.to_pylist()]
+    found = [tuple(r.values()) for part in make(iter(parts)) for r in part.to_pylist()]
     assert sorted(found) == expected(rows)
     # A word that is not there has no posting but keeps its place.
     gap = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([["b", None, "b"]])], ["_id", "t"])
-    assert module._sorted_postings(gap).to_pylist() == [{"_id": 1, "dl": 3, "term": "b", "tf": 2, "positions": [0, 2]}]
+    assert [r for part in make(iter([gap])) for r in part.to_pylist()] == [{"_id": 1, "dl": 3, "term": "b", "tf": 2, "positions": [0, 2]}]
 
 
 def test_postings_leave_the_documents_by_term_and_impact(spark):
@@ -47,6 +49,16 @@ def test_postings_leave_the_documents_by_term_and_impact(spark):
     assert build_index(docs, "id", TEXT, positions=False).postings.columns == ["field", "_id", "dl", "term", "tf"]
 
 
+def test_executors_need_not_have_the_package():
+    """What is sent to them names no module of this package."""
+    sent = cloudpickle.dumps(module._posting_batches(5, 5))
+    found = subprocess.run(
+        [sys.executable, "-c", "import sys, pickle; pickle.loads(sys.stdin.buffer.read()); print('docquarry' in sys.modules)"],
+        input=sent, capture_output=True, cwd="/",
+    )
+    assert found.stdout.strip() == b"False", found.stderr
+
+
 def answers(found):
     return sorted((r["query_id"], r["rank"], r["_id"], round(r["_score"], 9)) for r in found.collect())
 
