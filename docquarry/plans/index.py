@@ -47,6 +47,8 @@ TASK_GROUPS = 1_000_000
 # Postings are made from documents of so many tokens at a time, one document at least, and handed on by so many rows.
 BATCH_TOKENS = 1_000_000
 BATCH_ROWS = 100_000
+# Postings of one term go through the exchange in one row, at most so many.
+BLOCK_POSTINGS = 10_000
 # Of the stored tables, the large ones.
 CODEC = "zstd"
 #: Steps in which a term's impacts are counted.
@@ -71,6 +73,8 @@ class TextIndex:
     lengths: dict[str, float] = field(default_factory=dict)
     #: Estimated number of terms per field, to lay out an index that is to be saved.
     vocabulary: DataFrame | None = None
+    #: Makes the postings as blocks, given the number of buckets and the mean lengths, for an index that is to be saved.
+    blocks: Callable[[int, dict[str, float]], DataFrame] | None = None
     _unique: bool | None = None
 
     def covers(self, field: str) -> bool:
@@ -179,17 +183,16 @@ class TextIndex:
         layout = layout.withColumns({"buckets": F.lit(buckets), "positions": F.lit("positions" in self.postings.columns)})
         layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
-        salt = F.pmod(F.xxhash64("_id"), F.lit(salts))
-        laid = self.postings.withColumn("bucket", bucket_of(buckets))
+        means = {r["field"]: r["avgdl"] for r in layout.collect()}
         only = self.fields[0] if len(self.fields) == 1 else None
         # What can be told again behind the exchange does not go through it.
         told = {"field": F.lit(only)} if only is not None else {}
-        if "positions" in laid.columns:
-            told["tf"] = F.size("positions")
-        laid = laid.drop(*told).repartition(max(n, -(-(tokens or 0) // TASK_POSTINGS)), "bucket", salt).withColumns(told)
-        laid = with_impact(laid, layout.select("field", "avgdl")).select(*self.postings.columns, "impact", "bucket")
+        salt = F.pmod(F.xxhash64(F.get("ids", F.lit(0))), F.lit(salts))
+        blocks = self.blocks(buckets, means).drop(*told)
+        blocks = blocks.repartition(max(n, -(-(tokens or 0) // TASK_POSTINGS)), "bucket", salt)
+        laid = with_impact(_of_blocks(blocks).withColumns(told), layout.select("field", "avgdl"))
         names = ["field", "term"] if only is None else ["term"]
-        clustered = laid.sortWithinPartitions("bucket", *names, F.desc("impact"))
+        clustered = laid.sortWithinPartitions("bucket", *names, F.desc("impact")).select(*self.postings.columns, "impact", "bucket")
         with small_splits(spark, SPLIT_BYTES):
             clustered.write.mode("overwrite").option("compression", CODEC).partitionBy("bucket").parquet(f"{path}/postings")
         # From the written postings, so the texts are not analysed again.
@@ -242,7 +245,7 @@ def build_index(
     if spread:
         docs = docs.repartition(id_col)
     scope = Scope(docs.schema, text_fields, docs)
-    parts, sizes, vocabulary = [], [], []
+    parts, sizes, vocabulary, sources = [], [], [], {}
     for name in text_fields:
         path = nested_path(scope, name)
         if path is not None:
@@ -255,6 +258,7 @@ def build_index(
             raise ValueError(f"no text field {name!r}")
         analysed = rows.select("_id", f.tokens.alias(tokens_name("text")))
         parts.append(_postings(analysed, name, positions))
+        sources[name] = analysed
         size = F.size(tokens_name("text"))
         present = F.when(size > 0, size)
         sizes.append(
@@ -266,9 +270,13 @@ def build_index(
         words = analysed.select(F.explode(tokens_name("text")).alias("term"))
         vocabulary.append(words.agg(F.approx_count_distinct("term").alias("n_terms")).select(F.lit(name).alias("field"), "n_terms"))
     postings = reduce(DataFrame.unionByName, parts)
+
+    def blocks(buckets: int, means: dict[str, float]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [_blocks(rows, f, buckets, means.get(f)) for f, rows in sources.items()])
+
     return TextIndex(
         postings, term_stats(postings), reduce(DataFrame.unionByName, sizes), list(text_fields),
-        docs.select(F.col(id_col).alias("_id")), vocabulary=reduce(DataFrame.unionByName, vocabulary),
+        docs.select(F.col(id_col).alias("_id")), vocabulary=reduce(DataFrame.unionByName, vocabulary), blocks=blocks,
     )
 
 
@@ -295,18 +303,79 @@ def _postings(analysed: DataFrame, field: str, positions: bool) -> DataFrame:
     return rows.select(F.lit(field).alias("field"), "_id", "dl", "term", "tf", *(["positions"] if positions else []))
 
 
-def _posting_batches(tokens_at_once: int, rows_at_once: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """What makes the postings of batches of (_id, tokens).
+def _blocks(analysed: DataFrame, field: str, buckets: int, mean: float | None) -> DataFrame:
+    """The postings with those of a term, from some documents at a time, in one row.
+
+    ``ids`` and ``dls`` have an entry for each posting; ``positions`` are those of all one after another, and ``ends``
+    tells where each one's end, null if each has one.  Blocks come by bucket and term and their postings by impact, so
+    the sort behind the exchange merges runs.
+    """
+    ints = T.ArrayType(T.IntegerType())
+    schema = T.StructType([
+        T.StructField("bucket", T.IntegerType()), T.StructField("term", T.StringType()),
+        T.StructField("ids", T.ArrayType(analysed.schema["_id"].dataType)), T.StructField("dls", ints),
+        T.StructField("ends", ints), T.StructField("positions", ints),
+    ])
+    make = _posting_batches(BATCH_TOKENS, BATCH_ROWS, (field, buckets, mean or 1.0, BLOCK_POSTINGS))
+    rows = analysed.select("_id", tokens_name("text")).where(F.size(tokens_name("text")) > 0).mapInArrow(make, schema)
+    return rows.select(F.lit(field).alias("field"), "*")
+
+
+def _of_blocks(blocks: DataFrame) -> DataFrame:
+    """One row per posting of ``blocks``."""
+    own = [c for c in ("field", "bucket", "term") if c in blocks.columns]
+    rows = blocks.select(*own, F.posexplode("ids").alias("_i", "_id"), "dls", "ends", "positions")
+    start = F.when(F.col("_i") == 0, F.lit(0)).otherwise(F.coalesce(F.get("ends", F.col("_i") - 1), F.col("_i")))
+    tf = F.coalesce(F.get("ends", F.col("_i")), F.col("_i") + 1) - start
+    return rows.select(
+        *own, "_id", F.get("dls", F.col("_i")).alias("dl"), tf.alias("tf"), F.slice("positions", start + 1, tf).alias("positions")
+    )
+
+
+def _posting_batches(
+    tokens_at_once: int, rows_at_once: int, laid: tuple[str, int, float, int] | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What makes the postings of batches of (_id, tokens); as blocks, if ``laid`` names the field, the number of
+    buckets, the mean length and the most postings of a block.
 
     The functions are local, so they are sent whole and executors need not have this package.
     """
-    b = scoring.B
+    b, k1 = scoring.B, scoring.K1
+
+    def blocks(ids: pa.Array, dl: np.ndarray, term: np.ndarray, tf: np.ndarray, places: pa.Array, words: pa.Array, bucket: np.ndarray) -> pa.RecordBatch:
+        at = np.arange(len(term))
+        change = np.diff(term, prepend=-1) != 0
+        begin = at - np.maximum.accumulate(np.where(change, at, 0))
+        starts = np.flatnonzero(begin % laid[3] == 0)
+        bounds = np.append(starts, len(term)).astype(np.int32)
+        ends = np.cumsum(tf)
+        total = np.append(0, ends)[bounds].astype(np.int32)
+        each = np.diff(bounds)
+        inside = (ends - np.repeat(total[:-1], each)).astype(np.int32)
+        single = np.diff(total) == each
+        own = np.append(0, np.cumsum(np.where(single, 0, each))).astype(np.int32)
+        shown = term[starts]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[shown]), words.take(pa.array(shown)), pa.ListArray.from_arrays(bounds, ids),
+                pa.ListArray.from_arrays(bounds, pa.array(dl)),
+                pa.ListArray.from_arrays(pa.array(own), pa.array(inside[~np.repeat(single, each)]), mask=pa.array(single)),
+                pa.ListArray.from_arrays(total, places),
+            ],
+            ["bucket", "term", "ids", "dls", "ends", "positions"],
+        )
 
     def postings(docs: pa.RecordBatch) -> pa.RecordBatch:
         # By term and about by impact, so that little is left to sort where they meet others.
         dl = pc.list_value_length(docs.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
         words = docs.column(1).flatten().dictionary_encode()
         order = pc.sort_indices(words.dictionary).to_numpy()
+        if laid is not None:
+            above = zlib.crc32(f"{laid[0]}\0".encode())
+            named = words.dictionary.cast(pa.string()).cast(pa.binary()).take(pa.array(order)).to_pylist()
+            bucket = np.array([zlib.crc32(word, above) % laid[1] for word in named], np.int32)
+            by = np.argsort(bucket, kind="stable")
+            order, bucket = order[by], bucket[by]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         # A token's number stays in the low half, so equal terms keep the order of the text.
@@ -318,6 +387,13 @@ def _posting_batches(tokens_at_once: int, rows_at_once: int) -> Callable[[Iterat
         bounds = np.append(first, len(key)).astype(np.int32)
         places = (token - (np.cumsum(dl, dtype=np.int64) - dl)[doc]).astype(np.int32)
         own, tf = doc[first], np.diff(bounds)
+        if laid is not None:
+            impact = (k1 + 1) * tf / (tf + k1 * (1 - b + b * dl[own] / laid[2]))
+            by = np.lexsort((-impact, term[first]))
+            own = own[by]
+            placed = pa.ListArray.from_arrays(pa.array(bounds), pa.array(places)).take(pa.array(by)).flatten()
+            named = words.dictionary.cast(pa.string()).take(pa.array(order))
+            return blocks(docs.column(0).take(pa.array(own)), dl[own], term[first[by]], tf[by], placed, named, bucket)
         weak = 1 / (1 + tf / (1 - b + b * dl[own] / max(dl.mean(), 1)))
         by = np.argsort((term[first] << 20) | (weak * (1 << 20)).astype(np.int64), kind="stable")
         own = own[by]
