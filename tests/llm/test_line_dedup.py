@@ -251,3 +251,24 @@ def test_rows_of_one_id_lose_their_own_lines_only(spark, make):
     assert {r["text"] for r in left.collect()} == {"shared line of words", "x y z own\nvery precious second line", "quite another text"}
     same = spark.createDataFrame([(5, "alpha beta gamma"), (5, "alpha beta gamma")], "doc_id long, text string")
     assert without_lines(same, line_dedup.repeated_line_places(same)).count() == 2
+
+
+def test_runs_are_cut_by_compiled_code(spark, make):
+    lines = line_dedup.occurrences(make(["a b c d e", "xy", "many words " * 30]), 1, "doc_id", "text")
+    found = line_dedup.sketches(lines, 80)
+    assert "lambda at" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["doc_id"], r["width"]): r["bands"] for r in found.collect()}
+    assert got.keys() == {(0, 3), (1, 3), (2, 5)} and got[1, 3] is None and len(got[0, 3]) == line_dedup.BANDS
+
+
+def test_shuffle_files_go_with_their_step(spark, make, tmp_path, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name), []
+    spark.conf.set(name, "false")
+    plain = line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda *a: seen.append(spark.conf.get(name)) or plain(*a))
+    try:
+        assert repeated_lines(make(["same line", "same line"])).count() == 2
+        assert seen and set(seen) == {"true"} and spark.conf.get(name) == "false"
+    finally:
+        spark.conf.set(name, before)
