@@ -51,6 +51,8 @@ BATCH_ROWS = 100_000
 BLOCK_POSTINGS = 10_000
 # Of the stored tables, the large ones.
 CODEC = "zstd"
+# The number of terms is estimated from one of so many parts of their hashes.
+HASH_PARTS = 16
 #: Steps in which a term's impacts are counted.
 LEVELS = 16
 
@@ -267,8 +269,7 @@ def build_index(
                 F.coalesce(F.sum(present), F.lit(0)).alias("sum_dl"),
             ).select(F.lit(name).alias("field"), "n_docs", "sum_dl")
         )
-        words = analysed.select(F.explode(tokens_name("text")).alias("term"))
-        vocabulary.append(words.agg(F.approx_count_distinct("term").alias("n_terms")).select(F.lit(name).alias("field"), "n_terms"))
+        vocabulary.append(_vocabulary(analysed.select(F.explode(tokens_name("text")).alias("term")), name))
     postings = reduce(DataFrame.unionByName, parts)
 
     def blocks(buckets: int, means: dict[str, float]) -> DataFrame:
@@ -280,6 +281,16 @@ def build_index(
     )
 
 
+def _vocabulary(words: DataFrame, field: str) -> DataFrame:
+    """The estimated number of terms: those whose hash is in one of ``HASH_PARTS`` parts are counted exactly.
+
+    Every word is hashed and compared in compiled code; a sketch of all words costs several times that.
+    """
+    hashed = words.where("term is not null").select(F.xxhash64("term").alias("hash"))
+    counted = hashed.where(F.pmod("hash", F.lit(HASH_PARTS)) == 0).agg((F.count_distinct("hash") * HASH_PARTS).alias("n_terms"))
+    return counted.select(F.lit(field).alias("field"), "n_terms")
+
+
 def nested_path(scope: Scope, name: str) -> str | None:
     """The array of children a field belongs to, if it does."""
     path = name.rpartition(".")[0]

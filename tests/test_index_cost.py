@@ -78,3 +78,12 @@ def test_classes_are_counted_and_scored_from_one_exchange(spark, tmp_path, monke
     assert answers(many) == before
     plan = many._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Coalesce \d+", plan), plan
+
+
+def test_terms_are_estimated_by_plain_aggregates(spark):
+    words = spark.range(60000).selectExpr("concat('w', id % 20000) AS term").unionAll(spark.sql("SELECT cast(null AS string)"))
+    found = module._vocabulary(words, "text")
+    assert "approx_count_distinct" not in found._jdf.queryExecution().optimizedPlan().toString()
+    (row,) = found.collect()
+    assert row["field"] == "text" and 0.85 * 20000 < row["n_terms"] < 1.15 * 20000
+    assert module._vocabulary(words.limit(0), "text").first()["n_terms"] == 0
