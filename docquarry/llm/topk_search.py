@@ -13,6 +13,10 @@ from .common import materialise, query, table
 
 CELLS = 16
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 1024
+#: Parts of the vectors that are searched apart.
+LANES = 64
+#: A task holds queries of about so many components at once, with their results.
+GROUP_VALUES = 1 << 20
 
 
 def whole_numbers(vector: str, scale: int) -> Column:
@@ -22,6 +26,16 @@ def whole_numbers(vector: str, scale: int) -> Column:
     return F.when(F.coalesce(fit, F.lit(False)), whole)
 
 
+def _narrow(exact: np.ndarray) -> np.ndarray:
+    """The same numbers in the least of the signed types that holds them all."""
+    if exact.size:
+        least, most = exact.min(), exact.max()
+        for kind in (np.int8, np.int16, np.int32):
+            if np.iinfo(kind).min <= least and most <= np.iinfo(kind).max:
+                return exact.astype(kind)
+    return exact
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -39,12 +53,15 @@ class Block:
         self.cells = np.minimum((exact - self.low) / self.step, CELLS - 1).astype(np.uint8)
 
     def pack(self) -> tuple:
-        return (len(self.ids), self.ids.tobytes(), self.exact.tobytes(), self.cells.tobytes(), self.low.tobytes(), self.step.tobytes())
+        exact = _narrow(self.exact)
+        return (
+            len(self.ids), exact.itemsize, self.ids.tobytes(), exact.tobytes(), self.cells.tobytes(), self.low.tobytes(), self.step.tobytes()
+        )
 
     @classmethod
-    def unpack(cls, n: int, ids: bytes, exact: bytes, cells: bytes, low: bytes, step: bytes) -> Block:
+    def unpack(cls, n: int, item: int, ids: bytes, exact: bytes, cells: bytes, low: bytes, step: bytes) -> Block:
         block = cls.__new__(cls)
-        block.ids, block.exact = np.frombuffer(ids, np.int64), np.frombuffer(exact, np.int64).reshape(n, -1)
+        block.ids, block.exact = np.frombuffer(ids, np.int64), np.frombuffer(exact, f"i{item}").reshape(n, -1)
         block.cells = np.frombuffer(cells, np.uint8).reshape(n, -1)
         block.low, block.step = np.frombuffer(low), np.frombuffer(step)
         return block
@@ -89,7 +106,7 @@ class Best:
                     break
                 some = open_[at : at + max(self.k, 32)]
                 at += len(some)
-                scores = np.concatenate([scores, block.exact[some] @ self.exact[row]])
+                scores = np.concatenate([scores, block.exact[some].astype(np.int64) @ self.exact[row]])
                 ids = np.concatenate([ids, block.ids[some]])
                 order = np.lexsort((ids, -scores))[: self.k]
                 scores, ids = scores[order], ids[order]
@@ -127,7 +144,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
             yield dim, all_ids, all_rows
 
 
-_PACKED = "dim int, n int, ids binary, exact binary, cells binary, low binary, step binary"
+_PACKED = "dim int, n int, item int, ids binary, exact binary, cells binary, low binary, step binary"
 
 
 def _packed(size: int):
@@ -135,33 +152,39 @@ def _packed(size: int):
         for dim, ids, vectors in _blocks(batches, size):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([dim], pa.int32()), *_fields(Block(ids, vectors))],
-                ["dim", "n", "ids", "exact", "cells", "low", "step"],
+                ["dim", "n", "item", "ids", "exact", "cells", "low", "step"],
             )
 
     return run
 
 
 def _fields(block: Block) -> list[pa.Array]:
-    n, *data = block.pack()
-    return [pa.array([n], pa.int32()), *(pa.array([x], pa.binary()) for x in data)]
+    n, item, *data = block.pack()
+    return [pa.array([n], pa.int32()), pa.array([item], pa.int32()), *(pa.array([x], pa.binary()) for x in data)]
 
 
 def _search(k: int):
-    """Rows are pairs of a query block and a vector block, sorted by query block."""
+    """Rows are blocks, sorted by dimension and group of queries; a group's queries come first, the vectors pass them by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, best = None, None
+        last, held, best = None, set(), []
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["query_block"] != last:
-                    if best is not None:
-                        yield best.rows()
-                    ids = np.frombuffer(row["q_ids"], np.int64)
-                    best = Best(ids, np.frombuffer(row["q_exact"], np.int64).reshape(len(ids), row["dim"]), k)
-                    last = row["query_block"]
-                best.scan(Block.unpack(row["n"], *(row[c] for c in ("ids", "exact", "cells", "low", "step"))))
-        if best is not None:
-            yield best.rows()
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                if (row["dim"], row["group"]) != last:
+                    yield from (b.rows() for b in best)
+                    last, held, best = (row["dim"], row["group"]), set(), []
+                data = [row[c] for c in ("n", "item", "ids", "exact", "cells", "low", "step")]
+                if row["vectors"]:
+                    block = Block.unpack(*data)
+                    for b in best:
+                        b.scan(block)
+                elif row["ids"] not in held:
+                    # Two lanes in one partition bring the same queries.
+                    held.add(row["ids"])
+                    ids = np.frombuffer(row["ids"], np.int64)
+                    best.append(Best(ids, np.frombuffer(row["exact"], f"i{row['item']}").reshape(len(ids), -1).astype(np.int64), k))
+        yield from (b.rows() for b in best)
 
     return run
 
@@ -180,8 +203,8 @@ def top_k(
     Vectors become blocks of rows: one byte per component says which of 16 cells it lies in, and the
     exact integers lie beside.  Each block of queries meets each block of vectors of its dimension
     once; the cells give bounds on all scores, and exact vectors are read in order of their bounds
-    until the k-th result is certain.  A task keeps a block's results over the vector blocks it
-    meets, so it returns k rows per query, not k per block.
+    until the k-th result is certain.  A task holds a group of queries and their results, while the
+    vector blocks of its lanes pass by one at a time, so it returns k rows per query, not k per block.
 
     Vectors that are null or hold a null or non-finite component, and rows without id, take no part.
     Vectors of different lengths do not meet.  Repeated rows are candidates each, and a repeated
@@ -195,16 +218,19 @@ def top_k(
 
     file = materialise(prepared(vectors).mapInArrow(_packed(BLOCK_VECTORS), _PACKED), "vectors")
     asked = prepared(queries).dropDuplicates(["id"]).mapInArrow(_packed(BLOCK_QUERIES), _PACKED)
-    asked = materialise(asked.select("dim", F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact")), "queries")
-    asked = asked.withColumn("query_block", F.xxhash64("q_ids"))
-    # Blocks meet by dimension and one of a few lanes, so the pairs spread over tasks.
-    lanes = 64
-    file = file.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
-    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    pairs = file.join(asked, ["dim", "lane"])
-    found = pairs.repartition("dim", "lane").sortWithinPartitions("query_block").mapInArrow(
-        _search(k), "query_id long, vec_id long, score long"
-    )
+    # Of queries the exact numbers are read only.
+    asked = asked.withColumns({c: F.lit(None).cast("binary") for c in ("cells", "low", "step")})
+    asked = materialise(asked, "queries")
+    values = asked.agg(F.sum(F.col("n").cast("long") * F.greatest("dim", F.lit(1)))).first()[0]
+    groups = max(1, -(-(values or 0) // GROUP_VALUES))
+    # Blocks are rows of one table, so neither side is ever broadcast and no pair of blocks is shuffled: a vector block
+    # goes to its lane once for each group of queries, a query block to each lane.
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
+    passing = file.withColumns({"vectors": F.lit(True), "lane": dealt(LANES)}).withColumn("group", every(groups))
+    waiting = asked.withColumns({"vectors": F.lit(False), "group": dealt(groups)}).withColumn("lane", every(LANES))
+    blocks = passing.unionByName(waiting).repartition("dim", "group", "lane")
+    found = blocks.sortWithinPartitions("dim", "group", "vectors").mapInArrow(_search(k), "query_id long, vec_id long, score long")
     return ranked(found, k)
 
 

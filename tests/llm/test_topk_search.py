@@ -46,3 +46,20 @@ def test_cases(spark, monkeypatch):
     twice = spark.createDataFrame([(1, [1.0]), (1, [1.0]), (2, [3.0]), (2, [3.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r) for r in top_k(twice, twice, k=2).collect()) == [
         (1, 1, 2, 12288), (1, 2, 2, 12288), (2, 1, 1, 12288), (2, 2, 1, 12288)]
+
+
+def test_no_side_is_broadcast_and_groups_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(0, 10 ** (i % 5), 4).astype("float32").tolist()) for i in range(300)]
+    rows += [(1000 + i, rng.normal(0, 1, 6).tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = df.where("vec_id % 3 = 0")
+    plain = top_k(df, asked, k=5)
+    plan = plain._jdf.queryExecution().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    expected = {tuple(r) for r in plain.collect()}
+    assert expected == brute([tuple(r) for r in df.collect()], {i for i, _ in rows if i % 3 == 0}, 5)
+    for name, size in (("BLOCK_VECTORS", 16), ("BLOCK_QUERIES", 7), ("GROUP_VALUES", 90), ("LANES", 3)):
+        monkeypatch.setattr(topk_search, name, size)
+    got = top_k(df, asked, k=5).collect()
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
