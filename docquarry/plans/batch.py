@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,6 +19,13 @@ from ..operators.phrases import exact_frequency, sloppy_frequency
 from ..operators.topn import top_n_per_group
 from .index import TextIndex
 
+# Documents whose scores are folded as arrays: so many numbers of documents times classes or clauses at once.
+FOLD_NUMBERS = 1 << 20
+# Rows of so many are gathered for that.
+FOLD_ROWS = 1 << 18
+# So many candidates are kept, besides the best of every query, before they are cut to those.
+FOLD_CANDIDATES = 1 << 19
+
 
 def _with_sizes(rows: DataFrame, index: TextIndex) -> DataFrame:
     """Add ``n_docs`` and ``avgdl`` of the row's field.
@@ -386,6 +396,11 @@ def _search_plain(
     asked = asked.select("_query", "field", "kind", "terms", "k", factor, *roles)
     role = ["_query", "factor", *_ROLES]
 
+    if kinds <= {"prefix", "fuzzy"}:
+        prefix = F.get("terms", F.lit(0)).alias("prefix")
+        scored, wanted = _scored_classes(asked.select(*role, "field", "kind", "k", prefix), index, kinds, fuzzy_ks, False)
+        hits = _folded(scored, wanted, queries, n)
+        return _named(hits, queries, n)
     parts = []
     if "term" in kinds:
         words = asked.where(F.col("kind") == "term").select(*role, "field", F.get("terms", F.lit(0)).alias("term"))
@@ -396,7 +411,8 @@ def _search_plain(
     if kinds & {"prefix", "fuzzy"}:
         prefix = F.get("terms", F.lit(0)).alias("prefix")
         wanted = asked.where(F.col("kind").isin("prefix", "fuzzy")).select(*role, "field", "kind", "k", prefix)
-        parts.append(_classes_by_document(wanted, index, kinds, fuzzy_ks).select(*role, "_id", "score"))
+        scored, wanted = _scored_classes(wanted, index, kinds, fuzzy_ks, True)
+        parts.append(scored.join(F.broadcast(wanted), "_unit").select(*role, "_id", "score"))
     if "phrase" in kinds:
         phrases = asked.where(F.col("kind") == "phrase").select(*role, "field", "terms", "k")
         parts.append(_phrases_by_document(phrases, index).select(*role, "_id", "score"))
@@ -406,20 +422,30 @@ def _search_plain(
     )
     hits = per_doc.join(F.broadcast(queries.rows.drop("query_id", "n_should")), "_query").filter(_fits(F.col("needed")))
     hits = hits.select("_query", "_id", "_score")
+    return _named(hits if n is None else index.few_parts(hits, queries.count), queries, n)
+
+
+def _named(hits: DataFrame, queries: Requests, n: int | None) -> DataFrame:
+    """The ``n`` best hits, with the ids of their queries."""
     if n is not None:
-        hits = top_n_per_group(index.few_parts(hits, queries.count), ["_query"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
+        hits = top_n_per_group(hits, ["_query"], [F.round("_score", 9).desc(), F.col("_id").asc()], n)
     named = hits.join(F.broadcast(queries.rows.select("_query", "query_id")), "_query")
     return named.select("query_id", "_id", "_score", *(["rank"] if n is not None else []))
 
 
-def _classes_by_document(wanted: DataFrame, index: TextIndex, kinds: set[str], fuzzy_ks: list[int]) -> DataFrame:
-    """``wanted`` with the ``_id`` and ``score`` of each document that holds a word of its class."""
+def _scored_classes(
+    wanted: DataFrame, index: TextIndex, kinds: set[str], fuzzy_ks: list[int], joined: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The ``_unit``, ``_id`` and ``score`` of each class and document that holds a word of it, and ``wanted`` with its classes' units.
+
+    Rows of a document are in one partition.  If they are to be ``joined`` with ``wanted``, there are more of these.
+    """
     classes, wanted = numbered(wanted, _CLASS)
     times = wanted.groupBy("_unit").agg(F.count(F.lit(1)).alias("times"))
     named = classes.rows.join(F.broadcast(times), "_unit")
     covered = _covered_words(named, index, kinds, fuzzy_ks, True, ["_unit", "times"], index.term_stats.select(*index.keys, "df"))
     covered = settle(covered.select(*index.keys, "_unit", "times", "df"))
-    pairs = covered.rows.agg(F.sum(F.col("df") * F.col("times"))).first()[0]
+    pairs = covered.rows.agg(F.sum(F.col("df") * F.col("times") if joined else F.col("df"))).first()[0]
     columns = ["_unit", "_id", "tf", "dl"]
     if covered.small or "fuzzy" in kinds:
         found = index.postings_for(covered, columns=["_id", "tf", "dl"]).select(*columns)
@@ -431,8 +457,141 @@ def _classes_by_document(wanted: DataFrame, index: TextIndex, kinds: set[str], f
     documents = F.count_if(F.col("tf").isNotNull() & F.col("dl").isNotNull()).alias("df")
     df = _with_sizes(held.groupBy("_unit").agg(documents).join(F.broadcast(classes.rows.select("_unit", "field")), "_unit"), index)
     weights = df.select("_unit", scoring.idf(F.col("n_docs"), F.col("df")).alias("weight"), "avgdl")
-    scored = held.join(F.broadcast(weights), "_unit").select("_unit", "_id", _bm25().alias("score"))
-    return scored.join(F.broadcast(wanted), "_unit")
+    return held.join(F.broadcast(weights), "_unit").select("_unit", "_id", _bm25().alias("score")), wanted
+
+
+def _folded(scored: DataFrame, wanted: DataFrame, queries: Requests, n: int | None) -> DataFrame:
+    """(_query, _id, _score) of the documents that fit, of each partition the ``n`` best of every query at least.
+
+    ``scored`` has a row per unit and document, those of a document in one partition.  Their scores become a matrix
+    of some documents at a time, whose rows are added up for each clause, so there is no row per query and document.
+    The clauses were measured: they are sent to every task as arrays.
+    """
+    clauses = wanted.join(F.broadcast(queries.rows.select("_query", "n_must", "needed")), "_query")
+    clauses = clauses.select("_query", "_unit", "factor", *_ROLES, "n_must", "needed").toArrow()
+    columns = {name: clauses.column(name).to_numpy() for name in clauses.column_names}
+    fold = _fold(columns, n, FOLD_NUMBERS, FOLD_ROWS, FOLD_CANDIDATES)
+    # In the order of ids, so a later document never comes before an equal one.
+    rows = scored.sortWithinPartitions("_id").select("_unit", "_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+    id_type = scored.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(fold, f"_query long, _id {id_type}, _score double")
+
+
+def _fold(
+    clauses: dict[str, np.ndarray], n: int | None, numbers: int, rows: int, candidates: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What makes hits of batches of (_unit, _id, score) in the order of ids.
+
+    The functions are local, so they are sent whole and executors need not have this package.
+    """
+    # Queries of many clauses come first, so those that have a j-th clause are the first so many.
+    query, own, sizes = np.unique(clauses["_query"], return_inverse=True, return_counts=True)
+    first = np.argsort(-sizes, kind="stable")
+    place = np.empty(len(first), np.int64)
+    place[first] = np.arange(len(first))
+    by = np.lexsort((clauses["_unit"], place[own]))
+    query, sizes = query[first], sizes[first]
+    unit, unit_of = np.unique(clauses["_unit"], return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    unit_of, factor = unit_of[by], clauses["factor"][by].astype(np.float64)
+    roles = {role: clauses[role][by].astype(np.int16) for role in ("must", "should", "must_not")}
+    n_must, needed = (clauses[name][by][starts].astype(np.int64) for name in ("n_must", "needed"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_once = max(1, numbers // max(1, len(unit)))
+        floor = np.full(len(query), -np.inf)
+        pool: list[tuple] = []
+        held, rest = 0, None
+
+        def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            some: list[pa.RecordBatch] = []
+            for batch in batches:
+                if batch.num_rows:
+                    some.append(batch)
+                if sum(b.num_rows for b in some) >= rows:
+                    yield pa.concat_batches(some)
+                    some = []
+            if some:
+                yield pa.concat_batches(some)
+
+        def of_documents(units: np.ndarray, docs: np.ndarray, scores: np.ndarray, n_docs: int) -> Iterator[tuple]:
+            table, there = np.zeros((len(unit), n_docs)), np.zeros((len(unit), n_docs), bool)
+            table[units, docs], there[units, docs] = scores, True
+            step = max(1, numbers // n_docs)
+            for low in range(0, len(query), step):
+                high = min(low + step, len(query))
+                total = np.zeros((high - low, n_docs))
+                met = {role: np.zeros((high - low, n_docs), np.int16) for role, used in roles.items() if used.any()}
+                for j in range(sizes[low] if high > low else 0):
+                    more = int(np.searchsorted(-sizes[low:high], -j, side="left"))
+                    at = starts[low:low + more] + j
+                    total[:more] += table[unit_of[at]] * factor[at, None]
+                    for role, count in met.items():
+                        count[:more] += there[unit_of[at]] * roles[role][at, None]
+                none = np.int16(0)
+                fits = (met.get("must", none) == n_must[low:high, None]) & (met.get("should", none) >= needed[low:high, None])
+                if "must_not" in met:
+                    fits &= met["must_not"] == 0
+                if n is not None:
+                    fits &= np.round(total, 9) > floor[low:high, None]
+                row, doc = np.nonzero(fits)
+                yield row + low, doc, total[row, doc]
+
+        def best() -> tuple:
+            # The pool is in the order of ids, and the sort keeps it.
+            row, ids, score = np.concatenate([p[0] for p in pool]), pa.concat_arrays([p[1] for p in pool]), np.concatenate([p[2] for p in pool])
+            order = np.lexsort((-np.round(score, 9), row))
+            row = row[order]
+            begin = np.searchsorted(row, row)
+            kept = order[np.arange(len(order)) - begin < n]
+            last = np.flatnonzero(np.arange(len(order)) - begin == n - 1)
+            floor[row[last]] = np.round(score[order[last]], 9)
+            # Back in the order of arrival.
+            kept = np.sort(kept)
+            return np.concatenate([p[0] for p in pool])[kept], ids.take(pa.array(kept)), score[kept]
+
+        def hits(row: np.ndarray, ids: pa.Array, score: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(query[row]), ids, pa.array(score)], ["_query", "_id", "_score"])
+
+        def folded(units: np.ndarray, ids: pa.Array, scores: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Whole documents, some at a time."""
+            nonlocal pool, held
+            begins = np.flatnonzero(np.diff(codes, prepend=codes[0] - 1))
+            for low in range(0, len(begins), at_once):
+                some = begins[low:low + at_once]
+                end = begins[low + at_once] if low + at_once < len(begins) else len(codes)
+                part = slice(some[0], end)
+                docs = np.repeat(np.arange(len(some)), np.diff(np.append(some, end)))
+                names = ids.take(pa.array(some))
+                for row, doc, score in of_documents(units[part], docs, scores[part], len(some)):
+                    if n is None:
+                        if len(row):
+                            yield hits(row, names.take(pa.array(doc)), score)
+                        continue
+                    pool.append((row, names.take(pa.array(doc)), score))
+                    held += len(row)
+                    if held > candidates + n * len(query):
+                        pool = [best()]
+                        held = len(pool[0][0])
+
+        for batch in gathered(batches):
+            units = np.searchsorted(unit, batch.column(0).to_numpy())
+            ids, scores = batch.column(1), batch.column(2).to_numpy()
+            if rest is not None:
+                units, scores = np.concatenate([rest[0], units]), np.concatenate([rest[2], scores])
+                ids = pa.concat_arrays([rest[1], ids])
+            codes = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            # The last document may go on in the next batch.
+            last = int(np.flatnonzero(codes != codes[-1])[-1]) + 1 if codes[0] != codes[-1] else 0
+            rest = units[last:], ids.slice(last), scores[last:]
+            if last:
+                yield from folded(units[:last], ids.slice(0, last), scores[:last], codes[:last])
+        if rest is not None:
+            yield from folded(*rest, np.zeros(len(rest[0]), np.int64))
+        if pool:
+            yield hits(*best())
+
+    return run
 
 
 def _phrases_by_document(wanted: DataFrame, index: TextIndex) -> DataFrame:

@@ -65,3 +65,31 @@ def test_tasks_that_sort_postings_follow_their_number(spark, tmp_path, monkeypat
     prepared(spark, rows, tmp_path)
     files = [p.name.split("-")[1] for p in (tmp_path / "postings").rglob("part-*.parquet")]
     assert len(set(files)) > 10 and TASK_POSTINGS > 50
+
+
+CLASSES = ["re* gre*", "+re* -gre*", "+gre* rad~1 re*^3", "blue~1 blu* rod~1", "zzz*", "+zzz* re*", "r* r* b*"]
+
+
+@pytest.mark.parametrize("as_id", [int, lambda i: f"é{i % 7}-{i}"])
+def test_classes_are_folded_as_arrays(spark, rows, tmp_path, monkeypatch, as_id):
+    """No row per query and document, and the rows of the general form, however few documents are folded at once."""
+    from docquarry.plans import batch
+
+    id_type = "long" if as_id is int else "string"
+    docs = spark.createDataFrame([(as_id(i), text) for i, text in rows] + [(None, "red blue red")], f"id {id_type}, text string")
+    index = prepare(Collection(docs, "id", TEXT), str(tmp_path), files=2).index
+    table = spark.createDataFrame(list(enumerate(CLASSES)), "query_id long, query string")
+
+    def found(n, spec=QueryStrings(["text"])):
+        got = search_strings(table, index, spec, n).collect()
+        return sorted((r["query_id"], r["_id"] is not None, r["_id"], round(r["_score"], 9), r["rank"] if n else None) for r in got)
+
+    plan = search_strings(table, index, QueryStrings(["text"]), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and not re.search(r"Aggregate\(keys=\[_query#\w+, _id#", plan)
+    some = QueryStrings(["text"], minimum_should_match=2)
+    folded = [found(None), found(4), found(1), found(None, some)]
+    for name, size in (("FOLD_NUMBERS", 20), ("FOLD_ROWS", 3), ("FOLD_CANDIDATES", 2)):
+        monkeypatch.setattr(batch, name, size)
+    assert [found(None), found(4), found(1), found(None, some)] == folded
+    index._unique = False
+    assert [found(None), found(4), found(1), found(None, some)] == folded and {q for q, *_ in folded[0]} == {0, 1, 2, 3, 6}
